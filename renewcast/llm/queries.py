@@ -1,8 +1,10 @@
 """Queries of the corpus operators, one ``opN_<name>`` each, and their SQL where DuckDB can express them."""
 from __future__ import annotations
 
+from renewcast.llm.bpe import op7_bpe
 from renewcast.llm.substring_dedup import op1_substring_dedup
+from renewcast.llm.token_files import op10_token_counts
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup,)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op7_bpe, op10_token_counts)}
 
 SQL: dict[str, str] = {}
