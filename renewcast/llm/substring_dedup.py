@@ -77,11 +77,11 @@ def removed_segments(docs: DataFrame, window: int = 50, gram: int = GRAM) -> Dat
     about = text_bytes(docs) // 6 * 2 // (window - gram + 2)
     bits = countmin.build(docs, keys, countmin.blocks_for(about))
     found = materialise(_found(docs, window, gram, bits), "windows")
-    parts = found.groupBy("anchor", "segment", "n").agg(F.min("doc_id").alias("first_doc"))
+    # Equal segments are one piece, with its windows as any of them has them.
+    pieces = materialise(found.groupBy("anchor", "segment", "n").agg(F.min("doc_id").alias("first_doc"), F.first("windows").alias("windows")), "pieces")
+    parts = pieces.drop("windows")
     several = parts.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("anchor")
-    # The windows of the different segments of an anchor, as their first document has them.
-    lists = found.groupBy("anchor", "segment", "n").agg(F.min("doc_id").alias("first_doc"), F.first("windows").alias("windows")).join(several, "anchor", "left_semi")
-    each = lists.select("anchor", "segment", "n", "first_doc", F.posexplode("windows").alias("j", "window"))
+    each = pieces.join(several, "anchor", "left_semi").select("anchor", "segment", "n", "first_doc", F.posexplode("windows").alias("j", "window"))
     least = each.groupBy("anchor", "window").agg(F.min("first_doc").alias("least"))
     late = each.join(least, ["anchor", "window"]).where("least < first_doc").groupBy("anchor", "segment", "n").agg(F.expr("bit_or(shiftleft(1L, j))").alias("mask"))
     decided = parts.join(late, ["anchor", "segment", "n"], "left")
