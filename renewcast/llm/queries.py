@@ -8,8 +8,9 @@ from renewcast.llm.line_dedup import OP9_SQL, op9_line_dedup
 from renewcast.llm.substring_dedup import op1_substring_dedup
 from renewcast.llm.suffix_dedup import op2_suffix_dedup
 from renewcast.llm.token_files import op10_token_counts
+from renewcast.llm.toxicity import op5_toxicity
 from renewcast.llm.warc import op3_warc
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_warc, op4_decontaminate, op6_jaccard_join, op7_bpe, op9_line_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_warc, op4_decontaminate, op5_toxicity, op6_jaccard_join, op7_bpe, op9_line_dedup, op10_token_counts)}
 
 SQL: dict[str, str] = {"op9_line_dedup": OP9_SQL}
