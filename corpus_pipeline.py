@@ -1,10 +1,77 @@
-"""The corpus pipeline: STAGES over ``documents``."""
+"""The corpus pipeline: five stages over ``documents``, each written and reread as the next one's input.
+
+1. toxicity: documents scored 0.5 or more go;
+2. line dedup: later copies of repeated runs of lines go from the texts, and texts that they emptied;
+3. Jaccard join: of each group of near copies, the document with the smallest id stays;
+4. benchmark decontamination: spans of benchmark words go from the texts, and documents that are mostly such;
+5. BPE: token ids, their number and the digest of what they decode to are added.
+
+Where a stage changes a text, ``n_chars`` follows it.
+"""
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from renewcast.llm.bpe import decode, encode
+from renewcast.llm.decontaminate import decontaminate
+from renewcast.llm.jaccard_join import jaccard_join
+from renewcast.llm.line_dedup import line_dedup
+from renewcast.llm.shared import materialise
+from renewcast.llm.toxicity import learn, score
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def _resized(docs: DataFrame, changed) -> DataFrame:
+    return docs.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*COLUMNS)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return score(docs, learn(spark, docs, sf_dir)).where("score < 0.5").select(*COLUMNS)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = line_dedup(docs).where((F.col("n_removed") == 0) | (F.trim("text") != ""))
+    return _resized(out, F.col("n_removed") > 0)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without words are in no group and stay; of rows that share the smallest id, one stays."""
+    groups = jaccard_join(docs)
+    leaders = groups.where("n_shingles > 0 AND doc_id = component_id").groupBy("component_id").agg(F.min("node").alias("node"))
+    keep = leaders.select(F.col("component_id").alias("doc_id"), "node").unionByName(groups.where("n_shingles = 0 OR component_id IS NULL").select("doc_id", "node")).distinct()
+    # Back to the rows by id and set; equal rows of one id are one group, so one of them stays.
+    ids = materialise(keep.select("doc_id").distinct(), "kept")
+    kept = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
+    several = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("doc_id")
+    single = kept.join(several, kept["doc_id"].eqNullSafe(several["doc_id"]), "left_anti")
+    repeated = kept.join(several, kept["doc_id"].eqNullSafe(several["doc_id"]), "left_semi")
+    if not several.limit(1).count():
+        return single.select(*COLUMNS)
+    # Rows that share an id are told apart by their text; empty ones all stay.
+    first = repeated.withColumn("i", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc(F.length(F.trim(F.coalesce("text", F.lit("")))) > 0), "text")))
+    return single.unionByName(first.where("i = 1 OR doc_id IS NULL OR text IS NULL OR trim(text) = ''").drop("i")).select(*COLUMNS)
+
+
+def clean_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("NOT dropped")
+    changed = ~F.col("text").eqNullSafe(F.col("clean"))
+    return out.withColumn("n_chars", F.when(changed, F.length("clean").cast("long")).otherwise(F.col("n_chars"))).withColumn("text", F.col("clean")).select(*COLUMNS)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    coded = decode(encode(docs))
+    return coded.select(*COLUMNS, "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+STAGES = [("toxicity", toxicity), ("line dedup", dedup_lines), ("n-gram Jaccard join", near_copies), ("benchmark decontamination", clean_benchmark), ("BPE encoding and decoding", tokens)]
+#: Scores, shingle sets and token ids have no SQL; tests/llm/test_pipeline.py holds run() against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
     return docs

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from renewcast.llm.shared import materialise
 
 LEAF, SAMPLE, TREES, DEGREE, ROUNDS = 1024, 1 << 16, 6, 32, 2
-BEAM, EXPAND, HOPS, QUERY_BYTES = 96, 32, 3, 32 << 20
+BEAM, EXPAND, HOPS, QUERY_BYTES = 256, 64, 4, 32 << 20
 
 
 def usable(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
