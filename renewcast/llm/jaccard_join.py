@@ -13,10 +13,12 @@ Large sets (heavy): linked sets of a space (a range of sizes) differ in at most
 dealt by hash into k + 3 parts, so at least three parts agree in full, and each part's content is the key
 of an inverted list.  Empty parts say nothing and have no lists; a set with three or more of them is dealt
 again by another hash (and, after ``SEEDS`` hashes, lists its empty parts too), which keeps the guarantee.
-A merged count-min sketch drops lists of one set before they are written.  Lists are scanned in two steps.
-First every member is compared with the list's first member, exactly.  Then only members of different
-components so far are paired, unless their known distances to the list's first member differ by more than a
-link allows (the Jaccard distance is a metric).  Large groups of near copies thus cost one comparison each.
+A merged count-min sketch drops lists of one set before they are written.  Lists are scanned in rounds:
+every set is compared, exactly, with the most central set (the one in the most and longest lists) of the
+lists it is in, and what links is merged; up to ``ROUNDS`` times, for lists that still hold several
+components.  Then the members of different components in a list are compared by sketches, which bound from
+below in how many shingles sets differ, and those that may link exactly.  A large group of near copies thus
+costs a comparison or a few for each copy, and no link is lost.
 
 The boundary is where the total of subsets written and lists scanned is least for the sizes at hand; sets of
 at least percent % of it are in the inverted lists too, for links across.
@@ -37,11 +39,11 @@ from pyspark.sql import functions as F
 
 from renewcast.llm import countmin
 from renewcast.llm.components import components
-from renewcast.llm.shared import materialise, text_bytes
+from renewcast.llm.shared import materialise, text_bytes, whole_groups
 from renewcast.llm.textkernel import _P1, SPACE, U, mix, prefix_hash, ranges, row_bounds, span_hash, texts, word_hashes, word_spans
 
 #: What reading, pairing and checking an entry of an inverted list costs, in subsets written.
-SCAN, MOST_LIGHT, SEEDS, SPARE = 16, 24, 4, 3
+SCAN, MOST_LIGHT, SEEDS, SPARE, ROUNDS, SKETCH, CELL = 16, 24, 4, 3, 2, 256, 1024
 _WORD = ~SPACE
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -181,7 +183,7 @@ def _scan(docs: DataFrame, gram: int, sizes: Sizes, bits) -> DataFrame:
 
 
 def _shingles(docs: DataFrame, gram: int, nodes: DataFrame) -> DataFrame:
-    """(node, shingles) of the given nodes: a scan behind a bit filter of their ids."""
+    """(node, shingles, sketch) of the given nodes: a scan behind a bit filter of their ids."""
     about = nodes.count()
     bits = countmin.build(nodes, lambda b: iter([b.column(0).to_numpy().view(U)]), countmin.blocks_for(about, 12), least=1)
     bits = docs.sparkSession.sparkContext.broadcast(bits)
@@ -196,10 +198,51 @@ def _shingles(docs: DataFrame, gram: int, nodes: DataFrame) -> DataFrame:
                 r = r[one]
                 if len(r):
                     size = np.diff(bound)[r]
-                    yield pa.record_batch([pa.array(ids[r].view(np.int64)), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(h[ranges(bound[r], size)].view(np.int64)))], names=["node", "shingles"])
-
-    found = docs.mapInArrow(run, "node long, shingles array<long>")
-    return found.groupBy("node").agg(F.first("shingles").alias("shingles"))
+                    own = h[ranges(bound[r], size)]
+                    x = mix(own + U(0x7F4A7C15))
+                    content = np.zeros(len(r) * SKETCH, U)
+                    np.add.at(content, np.repeat(np.arange(len(r)), size) * SKETCH + (x % U(SKETCH)).astype(np.int64), mix(x))
+                    sketch = (mix(content) >> U(56)).astype(np.uint8)
+                    yield pa.record_batch([pa.array(ids[r].view(np.int64)), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(own.view(np.int64))),
+                                           pa.FixedSizeBinaryArray.from_buffers(pa.binary(SKETCH), len(r), [None, pa.py_buffer(sketch)]).cast(pa.binary())], names=["node", "shingles", "sketch"])
+
+    found = docs.mapInArrow(run, "node long, shingles array<long>, sketch binary")
+    return found.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("sketch").alias("sketch"))
+
+
+def _candidates(rest: DataFrame, percent: int) -> DataFrame:
+    """(a, b): members of one list, of different components, whose sketches don't rule a link out.
+
+    A sketch has a byte for each of SKETCH parts of the set; sets differ in at least as many shingles as
+    sketches do in bytes.  Lists of more than CELL members are compared in cells of two chunks of them.
+    """
+    counts = rest.groupBy("key").agg(F.count(F.lit(1)).alias("k")).select("key", F.ceil(F.col("k") / CELL).cast("int").alias("g"))
+    chunked = rest.join(counts, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), "g").cast("int"))
+    cells = chunked.select("key", "node", "n", "component", "sketch", "chunk", F.explode(F.expr("sequence(0, g - 1)")).alias("j"))
+    cells = cells.select(F.xxhash64("key", F.least("chunk", "j"), F.greatest("chunk", "j")).alias("at"), "key", (F.col("chunk") != F.col("j")).alias("across"), "chunk", "node", "n", "component", "sketch")
+
+    def compare(batches):
+        for table in whole_groups(batches):
+            at, chunk, across = (table[c].to_numpy(zero_copy_only=False) for c in ("at", "chunk", "across"))
+            node, n, part = (table[c].to_numpy() for c in ("node", "n", "component"))
+            s = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH)
+            edge = np.append(np.flatnonzero(np.append(True, at[1:] != at[:-1])), len(at))
+            left, right = [], []
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                for i in range(a, b):
+                    # Each pair of a cell once; pairs of one chunk belong to the chunk's own cell.
+                    j = np.arange(i + 1, b)
+                    j = j[(part[j] != part[i]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent) & ((chunk[j] != chunk[i]) | (across[i] == False))]  # noqa: E712
+                    if len(j):
+                        j = j[(s[j] != s[i]).sum(axis=1) <= (n[i].astype(np.int64) + n[j]) * (100 - percent) // (100 + percent)]
+                        left.append(np.full(len(j), node[i]))
+                        right.append(node[j])
+            if left:
+                x, y = np.concatenate(left), np.concatenate(right)
+                x, y = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+                yield pa.record_batch([pa.array(x), pa.array(y)], names=["a", "b"])
+
+    return cells.repartition("at").sortWithinPartitions("at").mapInArrow(compare, "a long, b long")
 
 
 def _distances(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
@@ -229,28 +272,39 @@ def jaccard_join(docs: DataFrame, percent: int = 85, gram: int = 4, light: int |
     least = each.groupBy("key", "c").agg(F.min(F.struct("n", "node")).alias("to"), F.count(F.lit(1)).alias("k")).where("k > 1")
     light_links = (each.join(least, ["key", "c"]).where((F.col("node") != F.col("to.node")) & fits(F.col("n"), F.col("to.n")) & (F.ceil((F.col("n") + F.col("to.n")) * percent / (100 + percent)) <= F.col("c")))
                    .select(F.col("to.node").alias("a"), F.col("node").alias("b")).distinct())
-    # Heavy: members of a list against its first.
+    # Heavy: each member against the most central one of its lists, then again where lists are still mixed.
     entries = nodes.where(F.size("lists") > 0).select("node", "n", F.explode(F.array_distinct("lists")).alias("key"))
-    heads = entries.groupBy("key").agg(F.min(F.struct("node", "n")).alias("head"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    members = materialise(entries.join(heads, "key").select("key", "node", "n", F.col("head.node").alias("head"), F.col("head.n").alias("head_n")), "members")
-    stars = members.where((F.col("node") != F.col("head")) & fits(F.col("n"), F.col("head_n"))).select(F.col("head").alias("a"), F.col("node").alias("b")).distinct()
-    shingles = materialise(_shingles(docs, gram, members.select("node").distinct()), "shingles")
-    known = materialise(_distances(stars, shingles), "distances")
+    sizes_of = entries.groupBy("key").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    members = materialise(entries.join(sizes_of, "key"), "entries")
+    central = members.groupBy("node").agg(F.sum("k").alias("central"))
+    members = materialise(members.join(central, "node").select("key", "node", "n", "central"), "members")
+    shingles = materialise(_shingles(docs, gram, central.select("node")), "shingles")
     linked = F.col("inter") * 100 >= F.col("total") * percent
-    links = known.where(linked).select("a", "b").unionByName(light_links)
+    links, known = light_links, None
+    for _ in range(ROUNDS):
+        labels = materialise(components(links), "components")
+        marked = members.join(labels, "node", "left").select("key", "node", "n", "central", F.coalesce("component", "node").alias("component"))
+        lists = marked.groupBy("key").agg(F.max(F.struct("central", "node", "n", "component")).alias("head"), F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key", "head")
+        mixed = materialise(marked.join(lists, "key"), "mixed")
+        asked = mixed.where((F.col("component") != F.col("head.component")) & fits(F.col("n"), F.col("head.n"))).select(F.col("head.node").alias("a"), F.col("node").alias("b"), F.col("head.central").alias("central"))
+        if known is not None:
+            asked = asked.join(known.select("a", "b"), ["a", "b"], "left_anti")
+        asked = materialise(asked.groupBy("b").agg(F.max_by("a", F.struct("central", "a")).alias("a")), "asked")
+        if not asked.limit(1).count():
+            break
+        found = materialise(_distances(asked, shingles), "distances")
+        known = found if known is None else known.unionByName(found)
+        links = links.unionByName(found.where(linked).select("a", "b"))
     labels = materialise(components(links), "components")
     # Members of different components, where nothing rules a link out.
-    marked = members.join(labels, "node", "left").select("key", "node", "n", "head", F.coalesce("component", "node").alias("component"))
-    mixed = marked.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    rest = marked.join(mixed, "key", "left_semi").join(known.select(F.col("a").alias("head"), F.col("b").alias("node"), (1 - F.col("inter") / F.col("total")).alias("far")), ["head", "node"], "left")
-    rest = materialise(rest.select("key", "node", "n", "component", F.when(F.col("node") == F.col("head"), 0.0).otherwise(F.col("far")).alias("far")), "rest")
-    x, y = rest.select("key", *(F.col(c).alias(f"x_{c}") for c in rest.columns[1:])), rest.select("key", *(F.col(c).alias(f"y_{c}") for c in rest.columns[1:]))
-    near = F.coalesce(F.abs(F.col("x_far") - F.col("y_far")) <= 1 - percent / 100 + 1e-9, F.lit(True))
-    pairs = x.join(y, "key").where((F.col("x_node") < F.col("y_node")) & (F.col("x_component") != F.col("y_component")) & fits(F.col("x_n"), F.col("y_n")) & near).select(F.col("x_node").alias("a"), F.col("y_node").alias("b")).distinct()
-    pairs = pairs.join(known.select("a", "b"), ["a", "b"], "left_anti")
+    marked = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
+    lists = marked.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    pairs = _candidates(marked.join(lists, "key", "left_semi").join(shingles.select("node", "sketch"), "node"), percent).distinct()
+    if known is not None:
+        pairs = pairs.join(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     more = materialise(_distances(pairs, shingles).where(linked).select("a", "b"), "links")
     if more.limit(1).count():
-        labels = materialise(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)), "components")
+        labels = materialise(components(links.unionByName(more)), "components")
     named = nodes.select("node", "first_doc").join(labels, "node", "left").select("node", "first_doc", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
     # Nodes that are alone keep their own first document; the others ask their component.

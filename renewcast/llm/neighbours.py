@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from renewcast.llm.shared import materialise
+from renewcast.llm.shared import materialise, whole_groups
 
 LEAF, SAMPLE, TREES, DEGREE, ROUNDS = 1024, 1 << 16, 6, 32, 2
 BEAM, EXPAND, HOPS, QUERY_BYTES = 256, 64, 4, 32 << 20
@@ -141,7 +141,7 @@ def _round(graph: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
     meet = out.unionByName(back).select("at", "node").distinct().join(packed, "node").select("at", "node", "scale", "least", "q")
 
     def compare(batches):
-        for table in _whole_groups(batches):
+        for table in whole_groups(batches):
             at, ids = table["at"].to_numpy(), table["node"].to_numpy()
             least = table["least"].to_numpy()
             v = np.frombuffer(b"".join(table["q"].to_pylist()), np.int8).reshape(len(ids), -1) * table["scale"].to_numpy()[:, None]
@@ -171,24 +171,6 @@ def _round(graph: DataFrame, nodes: DataFrame, degree: int) -> DataFrame:
     return _best(merged, degree)
 
 
-def _whole_groups(batches, rows: int = 1 << 16):
-    """Tables of about so many rows, cut where ``at`` changes."""
-    held, n = [], 0
-    for batch in batches:
-        held.append(batch)
-        n += batch.num_rows
-        if n >= rows:
-            table = pa.Table.from_batches(held).combine_chunks()
-            at = table["at"].to_numpy()
-            cut = int(np.searchsorted(at, at[-1]))
-            if cut:
-                yield table.slice(0, cut).combine_chunks()
-            table = table.slice(cut).combine_chunks()
-            held, n = table.to_batches(), table.num_rows
-    if n:
-        yield pa.Table.from_batches(held).combine_chunks()
-
-
 def build_graph(nodes: DataFrame, trees: int = TREES, degree: int = DEGREE, rounds: int = ROUNDS) -> DataFrame:
     """nodes(node, v) -> (node, near, score, place): each node's nearest as found."""
     count = nodes.count()

@@ -4,6 +4,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,3 +47,21 @@ def same_row(left: DataFrame, right: DataFrame, *keys: str):
         c = left[k].eqNullSafe(right[k])
         cond = c if cond is None else cond & c
     return cond
+
+
+def whole_groups(batches, rows: int = 1 << 16):
+    """Tables of about so many rows, cut where ``at`` changes."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            table = pa.Table.from_batches(held).combine_chunks()
+            at = table["at"].to_numpy()
+            cut = int(np.searchsorted(at, at[-1]))
+            if cut:
+                yield table.slice(0, cut).combine_chunks()
+            table = table.slice(cut).combine_chunks()
+            held, n = table.to_batches(), table.num_rows
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks()
