@@ -73,6 +73,59 @@ logits AS (SELECT composition, ord, h, real, due_units, 'T2_mean' AS technique,
 bt AS (SELECT composition, ord, CASE WHEN ord >= 24006 THEN 'examen' ELSE 'seleccion' END AS purpose, h, technique, 1 / (1 + exp(-lo)) AS predicted, real, due_units, greatest(least(real, 1 - 0.5::DOUBLE / due_units), 0.5::DOUBLE / due_units) AS p FROM logits)
 """
 
+_RATES = """, r AS (SELECT n.region, n.product, n.dormant::VARCHAR AS dormant, n.softcancel::VARCHAR AS softcancel, n.autorenew::VARCHAR AS autorenew, n.channel, support AS w, s.ren_units::DOUBLE / s.due_units AS x FROM summary s JOIN names n ON s.fs_id = n.fs_id WHERE s.due_units > 0 AND support > 0)"""
+_SERIES = ("region", "product", "dormant", "softcancel", "autorenew", "channel")
+_PAIRS = [(a, b) for i, a in enumerate(_SERIES) for b in _SERIES[i + 1:]]
+
+
+def _spread(name: str, values: list[str]) -> str:
+    """CTEs of the sums of squares by values: rows (d, v, w, x) of all series for each dimension or pair."""
+    rows = " UNION ALL ".join(f"SELECT {v}, w, x FROM r" for v in values)
+    return f""", {name}0 AS ({rows}), {name}1 AS (SELECT d, v, count(*) AS n, sum(w) AS sw, sum(w * x) AS wx, sum(w * x * x) AS wxx FROM {name}0 GROUP BY d, v),
+{name} AS (SELECT d, count(*) AS levels, sum(n)::BIGINT AS series, sum(wxx) - sum(wx) * sum(wx) / sum(sw) AS sst, sum(wx * wx / sw) - sum(wx) * sum(wx) / sum(sw) AS ssb FROM {name}1 GROUP BY d)"""
+
+
+_SINGLE = _spread("sg", [f"'{d}' AS d, {d} AS v" for d in _SERIES])
+_DYNAMICS = """, dy AS (SELECT composition, ord, due_units, ren_units, ren_units::DOUBLE / due_units AS rate, count(*) OVER c AS n, due_units / avg(due_units) OVER c AS w, (ord - min(ord) OVER c) / 12.0::DOUBLE AS t FROM pool WHERE due_units > 0 WINDOW c AS (PARTITION BY composition)),
+d1 AS (SELECT *, t - sum(w * t) OVER c / sum(w) OVER c AS dt, rate - sum(w * rate) OVER c / sum(w) OVER c AS dr FROM dy WHERE n >= 24 WINDOW c AS (PARTITION BY composition)),
+d2 AS (SELECT *, sum(w * dt * dt) OVER c AS sxx, sum(w * dt * dr) OVER c / sum(w * dt * dt) OVER c AS slope FROM d1 WINDOW c AS (PARTITION BY composition)),
+d3 AS (SELECT *, dr - slope * dt AS res FROM d2),
+m1 AS (SELECT composition, n, (ord % 12 + 1)::INT AS month, sum(w) AS mw, sum(w * res) AS wr, sum(w * res * res) AS wrr, count(*) AS seen FROM d3 GROUP BY ALL),
+m2 AS (SELECT *, wr / mw - sum(wr) OVER c / sum(mw) OVER c AS effect, count(*) OVER c AS months, sum(wrr - wr * wr / mw) OVER c AS within FROM m1 WINDOW c AS (PARTITION BY composition)),
+m3 AS (SELECT *, sum(mw * effect * effect) OVER (PARTITION BY composition) AS between_, greatest(months - 1, 1) AS df1, greatest(n - months - 1, 1) AS df2 FROM m2),
+m4 AS (SELECT *, sqrt(greatest(within, 0) / df2 / seen) AS error FROM m3)
+"""
+_COMBOS = {"dormant": "dormant", "softcancel": "softcancel", "dormant_softcancel": "dormant+softcancel"}
+
+
+def _moves() -> str:
+    names = list(_COMBOS.values())
+    part = lambda col, tag: ", ".join(f"coalesce(sum({col}) FILTER (mark = '{c}'), 0)::DOUBLE AS {tag}{i}" for i, c in enumerate(names))
+    text = """, kr AS (SELECT concat_ws('|', region, product, channel) AS grp, concat_ws('|', region, product) AS cell, 'all' AS everything, CASE WHEN dormant = 1 AND softcancel = 1 THEN 'dormant+softcancel' WHEN dormant = 1 THEN 'dormant' WHEN softcancel = 1 THEN 'softcancel' ELSE 'neutral' END AS mark, ord, ord % 12 AS m, due_units, ren_units FROM fin WHERE ts = 0 AND due_units > 0),
+kh AS (SELECT * FROM kr WHERE ord < 24009 AND ord IN (SELECT DISTINCT ord FROM kr WHERE ord < 24009 ORDER BY ord DESC LIMIT 12))"""
+    levels = {"g": "grp", "c": "cell", "a": "everything"}
+    for k, col in levels.items():
+        text += f", mix_{k} AS (SELECT {col}, m, sum(due_units)::DOUBLE AS total, {part('due_units', 'u')} FROM kh GROUP BY {col}, m), rate_{k} AS (SELECT {col}, {part('due_units', 'd')}, {part('ren_units', 'r')} FROM kh GROUP BY {col})"
+    text += f", kt AS (SELECT grp, cell, everything, ord, m, sum(due_units)::DOUBLE AS total, coalesce(sum(due_units) FILTER (mark = 'neutral'), 0)::BIGINT AS neutral, {part('due_units', 'now')} FROM kr WHERE ord >= 24009 GROUP BY ALL)"
+    pick = lambda x: f"CASE WHEN mg.total >= 100 THEN mg.{x} WHEN mc.total >= 100 THEN mc.{x} ELSE ma.{x} END"
+    rate = lambda i: f"coalesce(CASE WHEN rg.d{i} >= 100 THEN rg.r{i} / rg.d{i} WHEN rc.d{i} >= 100 THEN rc.r{i} / rc.d{i} ELSE ra.r{i} / nullif(ra.d{i}, 0) END, 0)"
+    each = ", ".join(f"coalesce({pick(f'u{i}')} / {pick('total')}, 0) AS final{i}, now{i} / kt.total AS today{i}, {rate(i)} AS there{i}" for i in range(3))
+    text += f""", k0 AS (SELECT kt.grp, kt.ord, kt.neutral, kt.total, CASE WHEN mg.total >= 100 THEN 'grp' WHEN mc.total >= 100 THEN 'cell' ELSE 'all' END AS level, {each} FROM kt
+  LEFT JOIN mix_g mg ON kt.grp = mg.grp AND kt.m = mg.m LEFT JOIN mix_c mc ON kt.cell = mc.cell AND kt.m = mc.m LEFT JOIN mix_a ma ON kt.m = ma.m
+  LEFT JOIN rate_g rg ON kt.grp = rg.grp LEFT JOIN rate_c rc ON kt.cell = rc.cell LEFT JOIN rate_a ra ON true WHERE kt.neutral > 0),
+k1 AS (SELECT *, greatest(final0 - today0, 0) AS a0, greatest(final1 - today1, 0) AS a1, greatest(final2 - today2, 0) AS a2, greatest(final0 + final2 - today0 - today2, 0) AS room0, greatest(final1 + final2 - today1 - today2, 0) AS room1 FROM k0),
+k2 AS (SELECT *, CASE WHEN a0 + a2 > room0 THEN room0 / (a0 + a2) ELSE 1 END AS s0 FROM k1), k3 AS (SELECT *, a0 * s0 AS g0, a2 * s0 AS b2 FROM k2),
+k4 AS (SELECT *, CASE WHEN a1 + b2 > room1 THEN room1 / (a1 + b2) ELSE 1 END AS s1 FROM k3), k5 AS (SELECT *, a1 * s1 AS g1, b2 * s1 AS g2 FROM k4),
+k6 AS (SELECT *, g0 + g1 + g2 AS gap, least((g0 + g1 + g2) / (neutral / total), 1) AS moved FROM k5 WHERE g0 + g1 + g2 > 1e-12)"""
+    return text + " SELECT grp, ord, level, neutral, round(moved, 6) AS moved, round((g0 * there0 + g1 * there1 + g2 * there2) / gap, 6) AS rate_there, " + ", ".join(f"round(moved * g{i} / gap, 6) AS to_{c}" for i, c in enumerate(_COMBOS)) + " FROM k6"
+
+
+_CLIMBED = """, climbed AS (SELECT p.fs_id, p.pass, p.pattern, s.support, s.due_units, s.ren_units, s.series, CASE WHEN p.pass <= 2 THEN p.pass ELSE 3 END AS stage FROM pattern p JOIN pstat s ON p.pass = s.pass AND p.pattern = s.pattern JOIN chosen c ON c.fs_id = p.fs_id WHERE p.pass <= c.pass)
+, stages AS (SELECT fs_id, """ + ", ".join(f"max_by(pattern, pass) FILTER (stage <= {s}) AS stage{s}_id, max_by(support, pass) FILTER (stage <= {s}) AS stage{s}_support" for s in range(4)) + " FROM climbed GROUP BY fs_id)"
+_STAGE = ", money AS (SELECT s.*, coalesce(m.cents, 0) AS cents FROM stages s LEFT JOIN (SELECT fs_id, sum(due_cents) AS cents FROM units WHERE ord >= 24009 GROUP BY fs_id) m ON s.fs_id = m.fs_id) " + " UNION ALL ".join(
+    f"SELECT {s} AS stage, '{n}' AS name, count(DISTINCT stage{s}_id) AS groups, count(*) AS series, round(coalesce(sum(cents) FILTER (stage{s}_support >= 30), 0)::DOUBLE / sum(cents)::DOUBLE, 6) AS share_floor, round(coalesce(sum(cents) FILTER (stage{s}_support >= 271), 0)::DOUBLE / sum(cents)::DOUBLE, 6) AS share_own FROM money"
+    for s, n in enumerate(("raw", "sign", "extras", "collapse")))
+
 SQL = {k: _BASE + v for k, v in {
     "calendar_by_month": "SELECT ord, role, count(*) AS rows, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents, sum(ren_units)::BIGINT AS ren_units, sum(ren_value)::BIGINT AS ren_value, sum(raw_due_units)::BIGINT AS raw_due_units, sum(raw_ren_units)::BIGINT AS raw_ren_units, sum(ren_units)::DOUBLE / nullif(sum(due_units), 0)::DOUBLE AS rate FROM fin GROUP BY ord, role",
     "months_per_role": "SELECT fs_id, count(DISTINCT ord) FILTER (role = 'entrenamiento') AS entrenamiento, count(DISTINCT ord) FILTER (role = 'examen') AS examen, count(DISTINCT ord) FILTER (role = 'proyeccion') AS proyeccion FROM fin GROUP BY fs_id",
@@ -107,6 +160,20 @@ SQL = {k: _BASE + v for k, v in {
     "region_rate_cascade": ", t AS (SELECT * FROM fin WHERE ts = 1 AND ord < 24009), a AS (SELECT region, product, sum(due_units) AS d, sum(ren_units) AS r FROM t GROUP BY ALL), b AS (SELECT region, sum(due_units) AS d, sum(ren_units) AS r FROM t GROUP BY ALL), c AS (SELECT sum(due_units) AS d, sum(ren_units) AS r FROM t) SELECT w.region, w.product, CASE WHEN a.d >= 30 THEN a.r::DOUBLE / a.d::DOUBLE WHEN b.d >= 30 THEN b.r::DOUBLE / b.d::DOUBLE ELSE c.r::DOUBLE / c.d::DOUBLE END AS rate, CASE WHEN a.d >= 30 THEN 'product' WHEN b.d >= 30 THEN 'region' ELSE 'global' END AS level FROM (SELECT DISTINCT region, product FROM fin) w LEFT JOIN a ON w.region = a.region AND w.product = a.product LEFT JOIN b ON w.region = b.region CROSS JOIN c",
     "totals_by_prefix": "SELECT region, product, grouping_id(region, product)::INT AS level, sum(due_units)::BIGINT AS due_units, sum(ren_units)::BIGINT AS ren_units, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS rate FROM fin WHERE ord < 24009 GROUP BY ROLLUP (region, product)",
     "horizon_extension": "SELECT region, product, (ord + 12)::INT AS ord, sum(due_units)::BIGINT AS due_units, round(sum(due_units * rate), 6) AS expected_units FROM fin JOIN (SELECT region, product, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS rate FROM fin WHERE ord < 24009 AND ts = 0 GROUP BY ALL) USING (region, product) WHERE ord >= 24009 AND term = '1 year' AND due_units > 0 AND ts = 0 GROUP BY region, product, ord",
+    "omega2_by_dimension": _RATES + _SINGLE + " SELECT d AS dimension, levels, series, round(CASE WHEN sst > 0 AND series > levels THEN greatest(0, (ssb - (levels - 1) * (sst - ssb) / (series - levels)) / (sst + (sst - ssb) / (series - levels))) ELSE 0 END, 6)::DOUBLE AS omega2 FROM sg",
+    "dimension_pairs": _RATES + _SINGLE + _spread("pr", [f"'{a}×{b}' AS d, {a} || '|' || {b} AS v" for a, b in _PAIRS]) + ", names2(d, a, b) AS (VALUES " + ", ".join(f"('{a}×{b}', '{a}', '{b}')" for a, b in _PAIRS) + "), eta AS (SELECT d, round(CASE WHEN sst > 0 THEN ssb / sst ELSE 0 END, 4)::DOUBLE AS e FROM sg) SELECT p.d AS pair, round(CASE WHEN sst > 0 THEN ssb / sst ELSE 0 END, 4)::DOUBLE AS eta2, round(round(CASE WHEN sst > 0 THEN ssb / sst ELSE 0 END, 4)::DOUBLE - greatest(x.e, y.e), 4)::DOUBLE AS interaction FROM pr p JOIN names2 k ON p.d = k.d JOIN eta x ON x.d = k.a JOIN eta y ON y.d = k.b ORDER BY interaction DESC, pair LIMIT 20",
+    "level_values": ", tr AS (SELECT * FROM fin WHERE role = 'entrenamiento' AND due_units > 0), cr AS (SELECT region, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS rate FROM tr GROUP BY region), mo AS (SELECT product AS value, ord, sum(due_units)::BIGINT AS due_units, sum(ren_units)::BIGINT AS ren_units, sum(due_units * rate) AS expected FROM tr JOIN cr USING (region) GROUP BY ALL) SELECT value, sum(due_units)::BIGINT AS due_units, sum(ren_units)::BIGINT AS ren_units, round(sum(expected), 6) AS expected, median(due_units::DOUBLE) AS support FROM mo GROUP BY value",
+    "dynamics_statistics": _DYNAMICS + """, own AS (SELECT composition, n, sxx, slope, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS rate, var_samp(rate) AS var, avg(1.0::DOUBLE / due_units) AS per, sum(w * res * res) AS rss FROM d3 GROUP BY composition, n, sxx, slope),
+sea AS (SELECT composition, df1, df2, within, between_, max(effect) - min(effect) AS amplitude, coalesce(string_agg(month::VARCHAR, ',' ORDER BY month) FILTER (effect > 2 * error), '') AS high, coalesce(string_agg(month::VARCHAR, ',' ORDER BY month) FILTER (-effect > 2 * error), '') AS low FROM m4 GROUP BY composition, df1, df2, within, between_),
+mid AS (SELECT composition, median(y) AS middle FROM (SELECT DISTINCT composition, ord // 12 AS y FROM d3) GROUP BY composition),
+hv AS (SELECT composition, ord % 12 AS m, avg(res) FILTER (ord // 12 <= middle) AS a, avg(res) FILTER (ord // 12 > middle) AS b FROM d3 JOIN mid USING (composition) GROUP BY ALL),
+st AS (SELECT composition, CASE WHEN count(*) >= 3 AND stddev(a) > 0 AND stddev(b) > 0 THEN round(corr(a, b), 6) END AS consistency FROM hv WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY composition)
+SELECT own.composition, n AS months, round(rate, 6) AS rate, round(var / nullif(rate * (1 - rate) * per, 0), 6) AS phi, round(100 * slope, 6) AS trend_pp, round(coalesce(slope / nullif(sqrt(rss / (n - 2) / sxx), 0), 0), 6) AS t, round(CASE WHEN within > 1e-15 THEN (between_ / df1) / (within / df2) ELSE 0 END, 6)::DOUBLE AS f, df1, df2, round(100 * amplitude, 6) AS amplitude_pp, high, low, consistency FROM own JOIN sea USING (composition) LEFT JOIN st USING (composition)""",
+    "month_profile": _DYNAMICS + "SELECT composition, month, round(100 * effect, 6) AS effect_pp, round(100 * error, 6) AS error_pp, seen FROM m4",
+    "mark_redistribution": _moves(),
+    "merge_evidence": _CLIMBED + ", lagged AS (SELECT *, lag(series) OVER w AS before, lag(support) OVER w AS support_before FROM climbed WINDOW w AS (PARTITION BY fs_id ORDER BY pass)), ev AS (SELECT l.*, l.ren_units::DOUBLE / nullif(l.due_units, 0) AS q, s.ren_units::DOUBLE / nullif(s.due_units, 0) AS p, greatest(coalesce(s.support, 0), 1) AS n FROM lagged l JOIN summary s ON l.fs_id = s.fs_id WHERE before IS NOT NULL AND series > before), er AS (SELECT *, 100 * sqrt(p * (1 - p) / n) AS alone, 100 * sqrt((q - p) * (q - p) + q * (1 - q) / greatest(support, 1)) AS merged FROM ev) SELECT fs_id, pass, pattern, support_before, support, series, round(100 * (q - p), 6) AS bias_pp, round(alone, 6) AS error_alone_pp, round(merged, 6) AS error_merged_pp, (round(merged, 9) < round(alone, 9))::INT AS improves FROM er",
+    "ladder_stages": _CLIMBED + " SELECT * FROM stages",
+    "stage_summary": _CLIMBED + _STAGE,
 }.items()}
 for _name, _text in REPORTS.items():
     _text = _text.replace("FROM fine", "FROM fin")

@@ -7,8 +7,13 @@ from pyspark.sql import functions as F
 from renewcast.config import Config
 from renewcast.functions import columns as X
 from renewcast.operators import backtest as B
+from renewcast.operators import bootstrap, core, levels
+from renewcast.operators import dynamics as D
+from renewcast.operators import evidence as E
 from renewcast.operators import ladder as L
+from renewcast.operators import maturation as M
 from renewcast.operators import price as P
+from renewcast.operators import relevance as V
 from renewcast.operators import series as S
 from renewcast.plans.reports import REPORTS
 from renewcast.sources.extract import extract, fine_table, licences, units
@@ -128,6 +133,32 @@ def forecast_rows(spark: SparkSession, sf: str) -> DataFrame:
     return forecast_tables(spark, sf, CFG)["forecast"]
 
 
+def _rates(dims=None):
+    """Queries of a summary's rates with the dimensions."""
+    dims = dims or CFG.series
+
+    def wrap(f):
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            rows = units(fine_table(spark, sf, CFG), CFG)
+            return f(spark, V.weighted_rates(S.rate_summary(rows, CFG).join(rows.select("fs_id", *CFG.series).distinct(), "fs_id"), dims))
+
+        return run
+
+    return wrap
+
+
+def matured_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """The forecast after the marks still to come."""
+    fine = fine_table(spark, sf, CFG)
+    dims = units(fine, CFG).select("fs_id", *CFG.series).distinct()
+    return M.distribute(forecast_rows(spark, sf).join(dims, "fs_id"), M.moves(fine, CFG), CFG)
+
+
+def core_table(spark: SparkSession, sf: str) -> DataFrame:
+    fine = fine_table(spark, sf, CFG)
+    return core.core(fine, forecast_rows(spark, sf), P.uplifts(fine, CFG), horizon_extension(fine), acquisition_lag12(fine), CFG)
+
+
 def _report(text: str):
     return lambda spark, sf: spark.sql(text.replace("FROM fine", "FROM {fine}"), fine=fine_table(spark, sf, CFG))
 
@@ -173,5 +204,24 @@ QUERIES = {
     "region_rate_cascade": _fine(region_rate_cascade),
     "totals_by_prefix": _fine(totals_by_prefix),
     "horizon_extension": _fine(horizon_extension),
+    "omega2_by_dimension": _rates()(lambda spark, r: V.omega_squared(r, CFG.series)),
+    "dimension_pairs": _rates()(lambda spark, r: V.pairs(r, CFG.series)),
+    "collapse_order": _rates()(lambda spark, r: V.collapse_order(spark, r, CFG.mandatory + CFG.extra)),
+    "pass_plan": _rates()(lambda spark, r: V.pass_plan(spark, r, CFG)),
+    "level_values": _fine(lambda f: levels.values(f, "product", CFG)),
+    "level_groups": lambda spark, sf: levels.levels(spark, fine_table(spark, sf, CFG), "product", CFG),
+    "dynamics_statistics": _units(lambda u: D.statistics(L.pooled(u, CFG))),
+    "dynamics_tests": _units(lambda u: D.tests(L.pooled(u, CFG))),
+    "month_profile": _units(lambda u: D.month_profile(L.pooled(u, CFG))),
+    "mark_redistribution": _fine(lambda f: M.moves(f, CFG)),
+    "matured_forecast": matured_forecast,
+    "uplift_bands": _fine(lambda f: bootstrap.bands(f, CFG)),
+    "merge_evidence": _units(lambda u: E.merges(u, CFG)),
+    "ladder_stages": _units(lambda u: E.stages(u, CFG)),
+    "stage_summary": _units(lambda u: E.stage_summary(u, CFG)),
+    "series_cards": lambda spark, sf: E.cards(f := fine_table(spark, sf, CFG), units(f, CFG), CFG),
+    "core_table": core_table,
+    "core_legend": lambda spark, sf: core.legend(spark),
+    "new_rows_by_source": lambda spark, sf: core.new_rows(core_table(spark, sf)),
     **{name: _report(text) for name, text in REPORTS.items()},
 }
