@@ -37,6 +37,7 @@ from renewcast.llm.textkernel import _P1, U, prefix_hash, ranges, span_hash, tex
 
 SAMPLE, VOCABULARY, Z, K = 32768, 1024, 4.5, 15
 BLOCK, SOFT, PRIOR = 64, 0.1, 1.0
+STEP = 1 << 22
 STEMS = (4, 5, 6, 7)
 
 
@@ -108,14 +109,25 @@ class Index:
 
     def nearest(self, row, term, weight, k: int, skip=None):
         """Of each row that occurs: (rows, examples (-1: none), similarities), by falling similarity, ties by place.
-        skip: an example for each row that doesn't count."""
+        skip: an example for each row that doesn't count.  Bounds take a number for each term and block, so rows
+        are answered in steps of about ``STEP`` such numbers."""
         rows, first = np.unique(row, return_index=True)
-        m, blocks = len(rows), self.weight.shape[1]
+        ends, limit = np.append(first, len(row)), max(1, STEP // self.weight.shape[1])
+        edge, who, best = 0, [np.zeros((0, k), np.int64)], [np.zeros((0, k), np.float32)]
+        while edge < len(rows):
+            stop = max(edge + 1, int(np.searchsorted(ends, ends[edge] + limit, "right")) - 1)
+            part = slice(ends[edge], ends[stop])
+            found = self._nearest(first[edge:stop] - first[edge], term[part], weight[part], k, None if skip is None else skip[edge:stop])
+            who.append(found[0])
+            best.append(found[1])
+            edge = stop
+        return rows, np.concatenate(who), np.concatenate(best)
+
+    def _nearest(self, first, term, weight, k: int, skip):
+        m, blocks = len(first), self.weight.shape[1]
         best = np.zeros((m, k), np.float32)
         who = np.full((m, k), -1, np.int64)
-        if not m:
-            return rows, who, best
-        size = np.diff(np.append(first, len(row)))
+        size = np.diff(np.append(first, len(term)))
         bound = np.add.reduceat(self.most[term] * weight[:, None], first, axis=0)
         order = np.argsort(-bound, axis=1, kind="stable")
         active = np.arange(m)
@@ -136,7 +148,7 @@ class Index:
             all_i = np.where(all_s > 0, all_i, -1)
             top = np.lexsort((np.where(all_i < 0, self.n, all_i), -all_s), axis=1)[:, :k]
             best[active], who[active] = np.take_along_axis(all_s, top, 1), np.take_along_axis(all_i, top, 1)
-        return rows, who, best
+        return who, best
 
     def votes(self, who, similarity):
         w = np.where(who >= 0, 1 / (1 - np.minimum(similarity, 1) + SOFT), 0)
