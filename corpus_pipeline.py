@@ -2,7 +2,7 @@
 
 1. toxicity: documents scored 0.5 or more go;
 2. line dedup: later copies of repeated runs of lines go from the texts, and texts that they emptied;
-3. Jaccard join: of each group of near copies, the document with the smallest id stays;
+3. Jaccard join: of each group of near copies (80 % of shingles of five words), the document with the smallest id stays;
 4. benchmark decontamination: spans of benchmark words go from the texts, and documents that are mostly such;
 5. BPE: token ids, their number and the digest of what they decode to are added.
 
@@ -21,6 +21,8 @@ from renewcast.llm.shared import materialise
 from renewcast.llm.toxicity import learn, score
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: What near copies are in this stage; op6's 85 % of four words are its own.
+PERCENT, GRAM = 80, 5
 
 
 def _resized(docs: DataFrame, changed) -> DataFrame:
@@ -38,7 +40,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without words are in no group and stay; of rows that share the smallest id, one stays."""
-    groups = jaccard_join(docs)
+    groups = jaccard_join(docs, percent=PERCENT, gram=GRAM)
     leaders = groups.where("n_shingles > 0 AND doc_id = component_id").groupBy("component_id").agg(F.min("node").alias("node"))
     keep = leaders.select(F.col("component_id").alias("doc_id"), "node").unionByName(groups.where("n_shingles = 0 OR component_id IS NULL").select("doc_id", "node")).distinct()
     # Back to the rows by id and set; equal rows of one id are one group, so one of them stays.
