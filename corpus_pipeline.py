@@ -17,7 +17,7 @@ from renewcast.llm.bpe import decode, encode
 from renewcast.llm.decontaminate import decontaminate
 from renewcast.llm.jaccard_join import jaccard_join
 from renewcast.llm.line_dedup import line_dedup
-from renewcast.llm.shared import materialise
+from renewcast.llm.shared import materialise, same_row
 from renewcast.llm.toxicity import learn, score
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -39,21 +39,24 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without words are in no group and stay; of rows that share the smallest id, one stays."""
-    groups = jaccard_join(docs, percent=PERCENT, gram=GRAM)
-    leaders = groups.where("n_shingles > 0 AND doc_id = component_id").groupBy("component_id").agg(F.min("node").alias("node"))
-    keep = leaders.select(F.col("component_id").alias("doc_id"), "node").unionByName(groups.where("n_shingles = 0 OR component_id IS NULL").select("doc_id", "node")).distinct()
-    # Back to the rows by id and set; equal rows of one id are one group, so one of them stays.
-    ids = materialise(keep.select("doc_id").distinct(), "kept")
-    kept = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi")
-    several = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("doc_id")
-    single = kept.join(several, kept["doc_id"].eqNullSafe(several["doc_id"]), "left_anti")
-    repeated = kept.join(several, kept["doc_id"].eqNullSafe(several["doc_id"]), "left_semi")
+    """Of each component of linked texts the row with the smallest (id, hash of the text) stays, rows without an id
+    last.  Documents without words are in no group and stay; of equal rows, one stays."""
+    key = ["doc_id", "text_hash"]
+    docs = docs.withColumn("text_hash", F.xxhash64("text"))
+    groups = jaccard_join(docs, percent=PERCENT, gram=GRAM, carry=("text_hash",)).where("n_shingles > 0").select(*key, "component")
+    rows = materialise(groups.groupBy(*key).agg(F.first("component").alias("component"), F.count(F.lit(1)).alias("k")), "grouped")
+    first = rows.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("bare"), *key)).alias("first"))
+    leaders = materialise(first.select("first.doc_id", "first.text_hash"), "leaders")
+    # Most rows stay, so the rows are held against those that go.
+    gone = materialise(rows.join(leaders, same_row(rows, leaders, *key), "left_anti").select(*key), "gone")
+    kept = docs.join(gone, same_row(docs, gone, *key), "left_anti")
+    several = materialise(rows.where("k > 1").join(leaders, same_row(rows, leaders, *key), "left_semi").select(*key), "several")
     if not several.limit(1).count():
-        return single.select(*COLUMNS)
-    # Rows that share an id are told apart by their text; empty ones all stay.
-    first = repeated.withColumn("i", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.desc(F.length(F.trim(F.coalesce("text", F.lit("")))) > 0), "text")))
-    return single.unionByName(first.where("i = 1 OR doc_id IS NULL OR text IS NULL OR trim(text) = ''").drop("i")).select(*COLUMNS)
+        return kept.select(*COLUMNS)
+    single = kept.join(several, same_row(kept, several, *key), "left_anti")
+    equal = kept.join(several, same_row(kept, several, *key), "left_semi")
+    one = equal.withColumn("i", F.row_number().over(Window.partitionBy(*key).orderBy("lang", "source", "n_chars"))).where("i = 1")
+    return single.select(*COLUMNS).unionByName(one.select(*COLUMNS))
 
 
 def clean_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,6 +36,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from renewcast.llm import countmin
 from renewcast.llm.components import components
@@ -163,7 +164,8 @@ def _lists(row, rows, *columns):
     return [pa.ListArray.from_arrays(edge, pa.array(c[order].view(np.int64) if c.dtype == U else c[order])) for c in columns]
 
 
-def _scan(docs: DataFrame, gram: int, sizes: Sizes, bits) -> DataFrame:
+def _scan(docs: DataFrame, gram: int, sizes: Sizes, bits, carry=()) -> DataFrame:
+    carried = docs.select(*carry).schema
     bits = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches):
@@ -177,9 +179,11 @@ def _scan(docs: DataFrame, gram: int, sizes: Sizes, bits) -> DataFrame:
                 yield pa.record_batch([
                     batch.column(0).slice(first, rows), pa.array(_set_ids(h, of, rows).view(np.int64)), pa.array(np.diff(bound).astype(np.int32)),
                     *_lists(row[keep], rows, key[keep]), *_lists(light[0], rows, light[1], light[2]),
-                ], names=["doc_id", "node", "n", "lists", "subsets", "sizes"])
+                    *(batch.column(2 + i).slice(first, rows) for i in range(len(carry))),
+                ], names=["doc_id", "node", "n", "lists", "subsets", "sizes", *carry])
 
-    return docs.mapInArrow(run, "doc_id long, node long, n int, lists array<long>, subsets array<long>, sizes array<int>")
+    own = T.StructType.fromDDL("doc_id long, node long, n int, lists array<long>, subsets array<long>, sizes array<int>")
+    return docs.mapInArrow(run, T.StructType([*own.fields, *carried.fields]))
 
 
 def _shingles(docs: DataFrame, gram: int, nodes: DataFrame) -> DataFrame:
@@ -252,9 +256,10 @@ def _distances(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     return both.select("a", "b", "inter", (F.col("sum") - F.col("inter")).alias("total"))
 
 
-def jaccard_join(docs: DataFrame, percent: int = 85, gram: int = 4, light: int | None = None) -> DataFrame:
-    """doc_id, n_shingles, node (set), component_id for docs(doc_id, text)."""
-    docs = docs.select("doc_id", "text")
+def jaccard_join(docs: DataFrame, percent: int = 85, gram: int = 4, light: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, node (set), component (of linked sets, by a node), component_id and the columns of
+    ``carry`` for docs(doc_id, text)."""
+    wide, docs = docs.select("doc_id", "text", *carry), docs.select("doc_id", "text")
     if light is None:
         light = choose_boundary(docs, percent, gram)
     sizes = Sizes(percent, light)
@@ -265,7 +270,7 @@ def jaccard_join(docs: DataFrame, percent: int = 85, gram: int = 4, light: int |
             yield signatures(*sets(data, off, gram), sizes)[1]
 
     bits = countmin.build(docs, keys, countmin.blocks_for(text_bytes(docs) // 15))
-    rows = materialise(_scan(docs, gram, sizes, bits), "sets")
+    rows = materialise(_scan(wide, gram, sizes, bits, carry), "sets")
     nodes = materialise(rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_doc"), F.first("lists").alias("lists"), F.first("subsets").alias("subsets"), F.first("sizes").alias("sizes")), "nodes")
     # Light: all sets with a subset in common, to the smallest.
     each = nodes.where(F.size("subsets") > 0).select("node", "n", F.explode(F.arrays_zip("subsets", "sizes")).alias("s")).select("node", "n", F.col("s.subsets").alias("key"), F.col("s.sizes").alias("c"))
@@ -308,8 +313,8 @@ def jaccard_join(docs: DataFrame, percent: int = 85, gram: int = 4, light: int |
     named = nodes.select("node", "first_doc").join(labels, "node", "left").select("node", "first_doc", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
     # Nodes that are alone keep their own first document; the others ask their component.
-    by_node = named.join(names, "component").select("node", "component_id")
-    return rows.select("doc_id", "node", F.col("n").cast("long").alias("n_shingles")).join(by_node, "node", "left").select("doc_id", "n_shingles", "node", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    by_node = named.join(names, "component").select("node", "component", "component_id")
+    return rows.select("doc_id", "node", F.col("n").cast("long").alias("n_shingles"), *carry).join(by_node, "node", "left").select("doc_id", "n_shingles", "node", *carry, "component", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def op6_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -31,3 +31,9 @@ def test_tables_leaders(spark):
     rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
     want = {d for d, n, k in brute(rows, 80, 5) if n == 0 or d == k}
     assert {d for d, _ in left(spark, rows)} == want
+
+
+def test_repeated_ids(spark):
+    a, b, c, d = (" ".join(words(x, 100)) for x in "abcd")
+    rows = [(5, a), (5, b), (6, a + " a"), (7, b + " b"), (3, c), (8, c + " c"), (8, d), (9, d + " d"), (9, d + " d"), (10, ""), (10, None), (10, ""), (11, a), (2, "x y"), (2, "x y"), (None, b), (None, "no id here")]
+    assert left(spark, rows) == sorted([(5, a), (5, b), (3, c), (8, d), (10, ""), (10, None), (10, ""), (2, "x y"), (None, "no id here")], key=str)
