@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from renewcast import config as C
-from renewcast.functions.columns import inverse_logit, logit, ratio
+from renewcast.functions.columns import inverse_logit, join_id, logit, ratio
 from renewcast.operators.techniques import CATALOGUE, CHALLENGER
 
 HORIZONS, SELECTION_MONTHS, LEAST_PREDICTIONS = (1, 6), 12, 3
@@ -63,17 +63,55 @@ def exam(predictions: DataFrame, decision: DataFrame) -> DataFrame:
     return rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(p), 4).alias("predicted_units"), F.round(F.sum(r), 4).alias("real_units"), F.round(F.sum(F.abs(p - r)) / F.sum(r), 6).alias("wape"), F.round(F.avg("error"), 6).alias("bias"))
 
 
-def forecast(pooled: DataFrame, members: DataFrame, units: DataFrame, decision: DataFrame, bands: DataFrame, cfg: C.Config) -> DataFrame:
-    """Renewals of each series' open months: the chosen technique of its composition, judged by the nearest
-    horizon, with the band of its errors."""
-    history = histories(pooled)
-    rows = history.select("composition", F.explode(F.array(*map(F.lit, HORIZONS))).alias("h"), F.filter("history", lambda x: x["ord"] < cfg.current).alias("seen"))
-    rates = predict_all(rows).withColumn("rate", inverse_logit(F.col("logit"))).join(decision, ["composition", "h", "technique"])
-    rates = rates.join(bands.select("technique", "h", "q_low", "q_high"), ["technique", "h"], "left").select("composition", F.col("h").alias("judged"), "technique", "rate", "q_low", "q_high")
-    future = units.where((F.col("ord") >= cfg.current) & (F.col("due_units") > 0)).join(members.where("membership = 'uses'"), "fs_id").withColumn("h", F.col("ord") - cfg.current + 1).withColumn("judged", F.when(F.col("h") <= HORIZONS[0], HORIZONS[0]).otherwise(HORIZONS[-1]))
+def judged(h):
+    """The judged horizon of a horizon: the next one above, or the last."""
+    out = F.lit(HORIZONS[-1])
+    for k in reversed(HORIZONS[:-1]):
+        out = F.when(h <= k, k).otherwise(out)
+    return out
+
+
+def predict_chosen(rows: DataFrame) -> DataFrame:
+    """rows with seen, h and technique -> technique and rate: the challenger's where the technique can't predict."""
+    y, m = F.transform("seen", lambda x: x["y"]), F.transform("seen", lambda x: (x["ord"] % 12 + 1).cast("int"))
+    out = rows.withColumn("y", y).withColumn("m", m)
+    found = F.lit(None).cast("double")
+    for name, (least, f) in CATALOGUE.items():
+        found = F.when((F.col("technique") == name) & (F.size("seen") >= least), f(F.col("y"), F.col("m"), F.col("h"))).otherwise(found)
+    finite = lambda c: F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
+    out = out.withColumn("own", found).withColumn("own", finite(F.col("own")))
+    out = out.withColumn("rival", F.when(F.size("seen") > 0, CATALOGUE[CHALLENGER][1](F.col("y"), F.col("m"), F.col("h")))).withColumn("rival", finite(F.col("rival")))
+    keep = [c for c in rows.columns if c not in ("seen", "technique")]
+    return out.select(*keep, F.when(F.col("own").isNull(), CHALLENGER).otherwise(F.col("technique")).alias("technique"), inverse_logit(F.coalesce("own", "rival")).alias("rate"))
+
+
+def forecast(pooled: DataFrame, members: DataFrame, units: DataFrame, decision: DataFrame, bands: DataFrame, weights: DataFrame, cfg: C.Config) -> DataFrame:
+    """Renewals of each series' open months, all of them.  The rate is what the technique chosen for its composition
+    (the challenger, if it wasn't judged or can't predict) predicts for that month, moved toward the composition's
+    reference where z < 1; without a prediction it is the mandatory cell's rate, or that of everything.  The band is
+    that of the technique's errors at the nearest judged horizon (the challenger's, then z, if there are none)."""
+    open_rows = units.where(F.col("ord") >= cfg.current).withColumn("cell", join_id(*cfg.mandatory)).withColumn("h", F.col("ord") - cfg.current + 1)
+    future = open_rows.select("fs_id", "cell", "ord", "h", "due_units").join(members.where("membership = 'uses'").select("fs_id", "composition"), "fs_id", "left")
+    history = histories(pooled).select("composition", F.filter("history", lambda x: x["ord"] < cfg.current).alias("seen"))
+    rows = future.select("composition", "h").distinct().join(history, "composition").withColumn("judged", judged(F.col("h")))
+    rows = rows.join(decision.select("composition", F.col("h").alias("judged"), "technique"), ["composition", "judged"], "left").withColumn("technique", F.coalesce("technique", F.lit(CHALLENGER)))
+    rates = predict_chosen(rows.select("composition", "h", "technique", "seen")).withColumnRenamed("rate", "pool_rate")
+    z, p, r = F.col("z"), F.col("own_rate"), F.col("reference_rate")
+    shift = F.when((z < 1) & (p > 0) & (p < 1) & (r > 0) & (r < 1), (1 - z) * (logit(r) - logit(p))).otherwise(0.0)
+    out = future.join(rates, ["composition", "h"], "left").join(weights.select("fs_id", "z", "own_rate", "reference_rate"), "fs_id", "left").withColumn("shift", shift)
+    own = F.when(F.col("shift") == 0, F.col("pool_rate")).otherwise(inverse_logit(logit(F.col("pool_rate")) + F.col("shift")))
+    closed = units.where((F.col("ord") < cfg.current) & (F.col("due_units") > 0))
+    sums = lambda x: ratio(F.sum("ren_units"), F.sum("due_units")).alias(x)
+    out = out.join(closed.groupBy(join_id(*cfg.mandatory).alias("cell")).agg(sums("cell_rate")), "cell", "left").crossJoin(F.broadcast(closed.agg(sums("global_rate"))))
+    out = out.withColumn("rate", F.coalesce(own, F.col("cell_rate"), F.col("global_rate"))).withColumn("technique", F.coalesce("technique", F.lit(CHALLENGER))).withColumn("judged", judged(F.col("h")))
+    out = out.withColumn("origin", F.when(F.col("pool_rate").isNotNull(), "pool").when(F.col("cell_rate").isNotNull(), "cell").otherwise("global"))
+    edges = bands.select("technique", F.col("h").alias("judged"), "q_low", "q_high")
+    rival = edges.where(F.col("technique") == CHALLENGER).select("judged", F.col("q_low").alias("c_low"), F.col("q_high").alias("c_high"))
+    out = out.join(F.broadcast(edges), ["technique", "judged"], "left").join(F.broadcast(rival), "judged", "left")
+    low, high = F.coalesce("q_low", "c_low", F.lit(-cfg.z90)), F.coalesce("q_high", "c_high", F.lit(cfg.z90))
     se = F.sqrt(F.col("rate") * (1 - F.col("rate")) / F.greatest("due_units", F.lit(1)))
     edge = lambda q: F.least(F.greatest(F.col("rate") + q * se, F.lit(0.0)), F.lit(1.0))
-    return future.join(rates, ["composition", "judged"]).select("fs_id", "ord", "h", "composition", "technique", "due_units", "rate", edge(F.least("q_low", F.lit(0.0))).alias("rate_low"), edge(F.greatest("q_high", F.lit(0.0))).alias("rate_high"), (F.col("rate") * F.col("due_units")).alias("expected_units"))
+    return out.select("fs_id", "ord", "h", "composition", "origin", "technique", "due_units", "rate", edge(F.least(low, F.lit(0.0))).alias("rate_low"), edge(F.greatest(high, F.lit(0.0))).alias("rate_high"), (F.col("rate") * F.col("due_units")).alias("expected_units"))
 
 
 def yearly_totals(forecast: DataFrame) -> DataFrame:

@@ -60,14 +60,19 @@ def credibility(units: DataFrame, cfg: C.Config) -> DataFrame:
     return by.select("reference", "siblings", F.round(F.col("wp") / F.col("w"), 6).alias("mean_rate"), F.round(k, 4).alias("k"))
 
 
-def blended(units: DataFrame, cfg: C.Config) -> DataFrame:
-    """z = n / (n + k) of each series' composition and the rate between it and its reference."""
+def weighted(units: DataFrame, cfg: C.Config) -> DataFrame:
+    """z = n / (n + k) of each series' composition, and the rates of composition and reference."""
     own = chosen(units, cfg)
     ref = references(units, cfg).join(credibility(units, cfg).select("reference", "k"), "reference", "left")
     rows = own.join(ref.select("fs_id", "reference", "r_due", "r_ren", "k"), "fs_id", "left")
     z = F.when(F.col("reference").isNull(), 1.0).otherwise(F.round(F.col("support") / (F.col("support") + F.coalesce("k", F.lit(cfg.default_k))), 3))
-    p, r = ratio(F.col("ren_units"), F.col("due_units")), ratio(F.col("r_ren"), F.col("r_due"))
-    return rows.select("fs_id", "composition", "reference", z.alias("z"), F.round(z * p + (1 - z) * F.coalesce(r, p), 6).alias("rate"))
+    return rows.select("fs_id", "composition", "reference", z.alias("z"), ratio(F.col("ren_units"), F.col("due_units")).alias("own_rate"), ratio(F.col("r_ren"), F.col("r_due")).alias("reference_rate"))
+
+
+def blended(units: DataFrame, cfg: C.Config) -> DataFrame:
+    """z of each series' composition and the rate between it and its reference."""
+    z, p, r = F.col("z"), F.col("own_rate"), F.col("reference_rate")
+    return weighted(units, cfg).select("fs_id", "composition", "reference", "z", F.round(z * p + (1 - z) * F.coalesce(r, p), 6).alias("rate"))
 
 
 def members(units: DataFrame, cfg: C.Config) -> DataFrame:

@@ -33,11 +33,12 @@ STEPS = (
     Step("summary", lambda s, d, c, t: S.rate_summary(t["units"], c), ("fs_id",)),
     Step("members", lambda s, d, c, t: L.members(t["units"], c), ("fs_id", "composition")),
     Step("pooled", lambda s, d, c, t: L.pooled(t["units"], c), ("composition", "ord")),
+    Step("weights", lambda s, d, c, t: L.weighted(t["units"], c), ("fs_id",)),
     Step("predictions", lambda s, d, c, t: B.backtest(t["pooled"], c), ("composition", "ord", "h", "technique")),
     Step("decision", lambda s, d, c, t: B.choose(t["predictions"], c), ("composition", "h")),
     Step("bands", lambda s, d, c, t: B.error_bands(t["predictions"]), ("technique", "h")),
     Step("uplift", lambda s, d, c, t: P.uplifts(t["fine"], c), ("cell",)),
-    Step("forecast", lambda s, d, c, t: B.forecast(t["pooled"], t["members"], t["units"], t["decision"], t["bands"], c), ("fs_id", "ord")),
+    Step("forecast", lambda s, d, c, t: B.forecast(t["pooled"], t["members"], t["units"], t["decision"], t["bands"], t["weights"], c), ("fs_id", "ord")),
     Step("yearly", lambda s, d, c, t: B.yearly_totals(t["forecast"]), ("year",)),
 )
 
