@@ -1,32 +1,39 @@
 """BPE encoding and decoding of whole texts, exactly as the tokenizers library does it.
 
-Words between ASCII white space are independent for a tokenizer that drops white space, so each distinct
-word of a batch is encoded once (by the library) and its ids are gathered into the texts with numpy.
+Tree concatenation: a text of more than ``LEAF`` characters is cut in halves, wherever the middle falls, down to
+leaves; leaves are encoded apart, and a window around each join is encoded again and grown until, on either
+side, it holds two neighbouring tokens that the half has too, with the same ids and places.  A token sequence
+is the BPE encoding of its text if each neighbouring pair is one in some correct encoding, so what is put
+together at such places is exact.  Texts over ``PART`` bytes are cut into parts that are dealt over the tasks,
+so that their leaves are encoded in parallel, and joined likewise.
 
-Tree concatenation serves long unsplit text (no white space for ``LEAF`` characters or more): halves are
-encoded apart, and a window around each join is encoded again and grown until, on either side, it holds two
-neighbouring tokens that the half has too, with the same ids and places.  A token sequence is the BPE
-encoding of its text if each neighbouring pair is one in some correct encoding, so what is put together at
-such places is exact.  Texts over ``PART`` bytes are dealt out in parts over the tasks and joined likewise.
+Leaves are encoded by their distinct words: words between ASCII white space are independent for a tokenizer
+that drops white space, so each is encoded once by the library while it is remembered (words are compared by
+their bytes).  What is remembered is bounded by ``CACHE`` bytes, and texts are taken in steps of bounded size.
 
 Nulls count as empty; empty texts give no ids and an empty decoded text.  Ties and repeated rows are encoded
-row by row; other columns of the input are kept unless they bear the output's name, which is replaced.
+row by row; other columns of the input are kept, whatever their names, unless they bear an output's name,
+which is replaced.  An empty table gives no rows.
 """
 from __future__ import annotations
 
+import os
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from renewcast.llm.textkernel import SPACE, ranges, row_bounds, texts, word_hashes, word_spans
+from renewcast.llm.textkernel import SPACE, ranges, texts, word_spans
 
 TOKENIZER = "word_bpe_49k.json"
-LEAF, PART, CACHE = 4096, 1 << 20, 300_000
+LEAF, PART, CACHE, TOGETHER = 4096, 1 << 16, 24 << 20, 200
 _WORD = ~SPACE
 _NONE = np.zeros(0, np.uint32)
+_ZERO = np.zeros(0, np.int64)
 
 
 class Encoded:
@@ -39,107 +46,165 @@ class Encoded:
         return self.ids[a:b], self.start[a:b] + shift, self.end[a:b] + shift
 
 
-def _pairs(e: Encoded, shift: int = 0) -> dict:
-    """Place of each pair of neighbouring tokens that meet at a character's edge, to the second one's index."""
-    ok = np.flatnonzero(e.end[:-1] <= e.start[1:])
-    return {(int(e.ids[k]), int(e.ids[k + 1]), int(e.start[k]) + shift, int(e.end[k]) + shift, int(e.start[k + 1]) + shift, int(e.end[k + 1]) + shift): int(k) + 1 for k in ok}
+def _pairs(e: Encoded, first: int, last: int, shift: int) -> dict:
+    """Of the tokens first to last: place of each pair of neighbours that meet at a character's edge, to the
+    second one's index."""
+    ids, start, end = e.ids[first:last].tolist(), (e.start[first:last] + shift).tolist(), (e.end[first:last] + shift).tolist()
+    return {(ids[k], ids[k + 1], start[k], end[k], start[k + 1], end[k + 1]): first + k + 1 for k in range(len(ids) - 1) if end[k] <= start[k + 1]}
 
 
 def join(encode, left: Encoded, right: Encoded) -> Encoded:
     """The encoding of left.text + right.text."""
     n, m = len(left.text), 8
-    whole = left.text + right.text
     while True:
         i, j = max(0, len(left.ids) - m), min(len(right.ids), m)
         a = int(left.start[i]) if i else 0
-        b = n + (int(right.end[j - 1]) if j < len(right.ids) else len(right.text))
-        w = encode(whole[a:b])
-        mine = _pairs(w, a)
+        b = int(right.end[j - 1]) if j < len(right.ids) else len(right.text)
+        w = encode(left.text[a:] + right.text[:b])
+        mine = _pairs(w, 0, len(w.ids), a)
         from_left = from_right = None
         if i == 0:
             from_left = (0, 0)
         else:
-            theirs = _pairs(left)
+            theirs = _pairs(left, i, len(left.ids), 0)
             from_left = next(((theirs[p], k) for p, k in mine.items() if p in theirs), None)
         if j == len(right.ids):
             from_right = (len(w.ids), len(right.ids))
         else:
-            theirs = _pairs(right, n)
+            theirs = _pairs(right, 0, j, n)
             from_right = next(((k, theirs[p]) for p, k in reversed(mine.items()) if p in theirs), None)
         if from_left and from_right and from_left[1] <= from_right[0]:
             parts = [left.cut(0, from_left[0]), w.cut(from_left[1], from_right[0], a), right.cut(from_right[1], len(right.ids), n)]
-            return Encoded(whole, *(np.concatenate(x) for x in zip(*parts)))
+            return Encoded(left.text + right.text, *(np.concatenate(x) for x in zip(*parts)))
         m *= 2
 
 
-def encode_tree(encode, text: str) -> Encoded:
-    """Halves down to LEAF characters, joined from below."""
-    if len(text) <= LEAF:
-        return encode(text)
-    half = len(text) // 2
-    return join(encode, encode_tree(encode, text[:half]), encode_tree(encode, text[half:]))
-
-
 def join_all(encode, parts: list[Encoded]) -> Encoded:
+    """Neighbours joined from below."""
     while len(parts) > 1:
         parts = [join(encode, *parts[k:k + 2]) if k + 1 < len(parts) else parts[k] for k in range(0, len(parts), 2)]
     return parts[0]
 
 
-class WordEncoder:
-    """Encodes texts by their distinct words.  plain: special tokens in a text are ordinary text."""
+class Coder:
+    """Encodes and decodes texts.  plain: special tokens in a text are ordinary text."""
 
     def __init__(self, name: str, plain: bool = False):
-        import os
-
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        self.tokenizer.encode_special_tokens = plain
+        def load(plain: bool):
+            t = Tokenizer.from_file(public_tokenizers.path(name))
+            t.no_truncation()
+            t.no_padding()
+            t.encode_special_tokens = plain
+            return t
+
+        self.tokenizer = load(plain)
+        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
+        # A special token between words keeps them apart, so that many are encoded by one call.
+        self.between, self.between_id = next(iter(special.items()), (None, -1))
+        self.grouped = load(False) if plain and special else self.tokenizer
+        self.special = [s.encode() for s in special]
+        # With no decoder in the file, the library puts the tokens' own texts together with blanks.
+        self.token = pa.array([self.tokenizer.id_to_token(k) or "" for k in range(self.tokenizer.get_vocab_size())], pa.large_string()) if self.tokenizer.decoder is None else None
         self.clear()
 
     def clear(self):
         self.known: dict[bytes, int] = {}
-        self.flat, self.first, self.count = [], np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = _NONE
+        self.held = 0
+        self.first = self.count = _ZERO
+        self.ids, self.start, self.end = _NONE, np.zeros(0, np.int32), np.zeros(0, np.int32)
 
     def encode(self, text: str) -> Encoded:
+        """By the library, with no tree."""
         e = self.tokenizer.encode(text, add_special_tokens=False)
         off = np.array(e.offsets, np.int64).reshape(-1, 2)
         return Encoded(text, e.ids, off[:, 0], off[:, 1])
 
-    def words(self, words: list[bytes]) -> np.ndarray:
-        """Index of each word among those known."""
-        new = list(dict.fromkeys(w for w in words if w not in self.known))
-        if new:
-            if len(self.known) + len(new) > CACHE and self.known:
-                self.clear()
-                new = list(dict.fromkeys(words))
-            short = [w for w in new if len(w) <= LEAF]
-            ids = {w: e.ids for w, e in zip(short, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in short], add_special_tokens=False))}
-            arrays = [np.array(ids[w], np.uint32) if w in ids else encode_tree(self.encode, w.decode("utf-8", "replace")).ids for w in new]
-            count = np.array([len(x) for x in arrays], np.int64)
-            self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
-            self.count = np.concatenate([self.count, count])
-            self.ids = np.concatenate([self.ids, *arrays])
-            for w in new:
-                self.known[w] = len(self.known)
-        return np.array([self.known[w] for w in words], np.int64)
-
-    def step(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _together(self, words: list[bytes]) -> list[tuple]:
+        """(ids, start, end) of the words of one call."""
+        plain = [w.decode() for w in words]
+        if self.between is None or any(s in w for w in words for s in self.special):
+            return [(e.ids, e.start, e.end) for e in map(self.encode, plain)]
+        e = self.grouped.encode(self.between.join(plain), add_special_tokens=False)
+        ids, off = np.array(e.ids, np.uint32), np.array(e.offsets, np.int32).reshape(-1, 2)
+        cut = np.flatnonzero(ids == self.between_id)
+        if len(cut) != len(words) - 1:
+            return [(e.ids, e.start, e.end) for e in map(self.encode, plain)]
+        a, b, shift = [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)], [0, *off[cut, 1].tolist()]
+        return [(ids[i:j], off[i:j, 0] - s, off[i:j, 1] - s) for i, j, s in zip(a, b, shift)]
+
+    def learn(self, words: list[bytes]) -> None:
+        """Have all the words known; forget others if these would be too much beside them."""
+        new = list({w: None for w in words if w not in self.known})
+        if not new:
+            return
+        if self.held > CACHE:
+            self.clear()
+            new = list(dict.fromkeys(words))
+        found: list[tuple] = []
+        short = [w for w in new if len(w) <= LEAF]
+        for i in range(0, len(short), TOGETHER):
+            found += self._together(short[i:i + TOGETHER])
+        known = dict(zip(short, found))
+        for w in new:
+            if len(w) > LEAF:
+                e = self.tree(w.decode(), self.encode)
+                known[w] = e.ids, e.start, e.end
+        count = np.array([len(known[w][0]) for w in new], np.int64)
+        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.ids, self.start, self.end = (np.concatenate([old, *(known[w][k] for w in new)]).astype(old.dtype, copy=False) for k, old in enumerate((self.ids, self.start, self.end)))
+        n = len(self.known)
+        self.known.update(zip(new, range(n, n + len(new))))
+        self.held += sum(map(len, new)) + 100 * len(new) + 12 * int(count.sum())
+
+    def _gather(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Index of each token among those remembered, and how many each word has."""
+        known = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        return ranges(self.first[known], self.count[known]), self.count[known]
+
+    def leaf(self, text: str) -> Encoded:
+        """By words, with places."""
+        raw = text.encode()
+        words = raw.split()
+        self.learn(words)
+        at, count = self._gather(words)
+        data = np.frombuffer(raw, np.uint8)
+        begin = word_spans(data, np.array([0, len(data)]), _WORD)[0]
+        if len(raw) != len(text):
+            begin = np.append(0, np.cumsum((data & 0xC0) != 0x80))[begin]
+        shift = np.repeat(begin, count)
+        return Encoded(text, self.ids[at], self.start[at] + shift, self.end[at] + shift)
+
+    def tree(self, text: str, leaf=None) -> Encoded:
+        """Halves down to LEAF characters, joined from below."""
+        leaf = leaf or self.leaf
+        if len(text) <= LEAF:
+            return leaf(text)
+        half = len(text) // 2
+        return join(self.encode, self.tree(text[:half], leaf), self.tree(text[half:], leaf))
+
+    def step(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a step, and where each text's begin (one more at the end)."""
-        start, end, row = word_spans(data, off, _WORD)
-        if not len(start):
-            return _NONE, np.zeros(len(off), np.int64)
-        _, one, which = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
-        raw = data.tobytes()
-        known = self.words([raw[a:b] for a, b in zip(start[one].tolist(), end[one].tolist())])[which]
-        count = self.count[known]
-        ids = self.ids[ranges(self.first[known], count)]
-        return ids, np.append(0, np.cumsum(count))[row_bounds(row, len(off) - 1)]
+        split = [raw.split() if len(raw) <= LEAF else () for raw in raws]
+        words = [w for ws in split for w in ws]
+        # Trees may make the coder forget, so the others' words are gathered before.
+        self.learn(words)
+        at, count = self._gather(words)
+        short, edge = self.ids[at], np.append(0, np.cumsum(count))[np.append(0, np.cumsum([len(ws) for ws in split]))]
+        if all(len(raw) <= LEAF for raw in raws):
+            return short, edge
+        parts = [short[edge[i]:edge[i + 1]] if len(raw) <= LEAF else self.tree(raw.decode()).ids for i, raw in enumerate(raws)]
+        return np.concatenate(parts), np.append(0, np.cumsum([len(p) for p in parts]))
+
+    def decode(self, ids: np.ndarray, edge: np.ndarray) -> pa.Array:
+        """The texts of ids, by the library's rule; edge: where each text's begin."""
+        if self.token is None:
+            return pa.array([self.tokenizer.decode(ids[a:b].tolist(), skip_special_tokens=False) for a, b in zip(edge[:-1].tolist(), edge[1:].tolist())], pa.string())
+        lists = pa.LargeListArray.from_arrays(pa.array(edge, pa.int64()), self.token.take(pa.array(ids)))
+        return pc.binary_join(lists, pa.scalar(" ", pa.large_string())).cast(pa.string())
 
 
 def _raw(ids: np.ndarray) -> bytes:
@@ -151,104 +216,107 @@ def _binary(flat: np.ndarray, edge: np.ndarray) -> pa.Array:
     return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(edge) - 1, [None, pa.py_buffer((edge * 4).astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())
 
 
-def _keep(df: DataFrame, *drop: str) -> T.StructType:
-    return T.StructType([f for f in df.schema.fields if f.name not in drop])
-
+def encode(docs: DataFrame, text: str = "text", out: str = "ids", tokenizer: str = TOKENIZER, plain: bool = False, part: int = PART, decoded: str | None = None) -> DataFrame:
+    """docs with ``out``: the text's ids as little-endian unsigned 32-bit integers (binary); ``decoded`` names a
+    column for what they decode to, which is made in the same pass."""
+    added = [T.StructField(out, T.BinaryType())] + ([T.StructField(decoded, T.StringType())] if decoded else [])
+    docs = docs.drop(*(f.name for f in added))
+    names = docs.columns
+    schema = T.StructType([*docs.schema.fields, *added])
+    at = names.index(text)
 
-def encode(docs: DataFrame, text: str = "text", out: str = "ids", tokenizer: str = TOKENIZER, plain: bool = False, part: int = PART) -> DataFrame:
-    """docs with ``out``: the text's ids as little-endian unsigned 32-bit integers (binary)."""
-    if out in docs.columns:
-        docs = docs.drop(out)
-    size = F.coalesce(F.octet_length(text), F.lit(0))
-    schema = T.StructType([*docs.schema.fields, T.StructField(out, T.BinaryType())])
-    at = docs.columns.index(text)
+    def outputs(coder, ids, edge):
+        return [_binary(ids, edge), *([coder.decode(ids, edge)] if decoded else [])]
 
     def short(batches):
-        encoder = WordEncoder(tokenizer, plain)
+        coder = Coder(tokenizer, plain)
         for batch in batches:
             for first, data, off in texts(batch.column(at)):
-                ids, edge = encoder.step(data, off)
-                rows = batch.slice(first, len(off) - 1)
-                yield pa.record_batch([*rows.columns, _binary(ids, edge)], names=[*rows.schema.names, out])
+                raw, o = data.tobytes(), off.tolist()
+                rows = batch.slice(first, len(o) - 1)
+                yield pa.record_batch([*rows.columns, *outputs(coder, *coder.step([raw[a:b] for a, b in zip(o[:-1], o[1:])]))], names=schema.names)
 
-    return docs.where(size <= part).mapInArrow(short, schema).unionByName(_encode_long(docs.where(size > part), text, out, schema, tokenizer, plain, part))
+    size = F.coalesce(F.octet_length(text), F.lit(0))
+    rest = F.struct(*(F.col(f"`{c}`") for c in names if c != text)) if len(names) > 1 else F.struct(F.lit(0).alias("none"))
+    packed = docs.where(size > part).select(F.monotonically_increasing_id().alias("row"), rest.alias("rest"), F.col(text).alias("text"))
+    whole = _encode_long(packed, tokenizer, plain, part, bool(decoded), outputs)
+    whole = whole.select(*(F.col("text").alias(c) if c == text else F.col("rest").getField(c).alias(c) for c in names), F.col("ids").alias(out), *([F.col("decoded").alias(decoded)] if decoded else []))
+    return docs.where(size <= part).mapInArrow(short, schema).unionByName(whole)
 
 
-_FRAGMENT = "struct<text:string,ids:binary,start:binary,end:binary>"
+_FRAGMENT = pa.struct([("text", pa.string()), ("ids", pa.binary()), ("start", pa.binary()), ("end", pa.binary())])
 
 
-def _encode_long(docs: DataFrame, text: str, out: str, schema: T.StructType, tokenizer: str, plain: bool, part: int) -> DataFrame:
-    rest = [c for c in docs.columns if c != text]
-    docs = docs.select(F.monotonically_increasing_id().alias("_row"), *(F.col(c) for c in docs.columns))
+def _encode_long(packed: DataFrame, tokenizer: str, plain: bool, part: int, decoded: bool, outputs) -> DataFrame:
+    """(rest, text, ids, decoded) of long texts.  The other columns travel with a text's first part."""
+    piece = T.StructType([T.StructField("row", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("rest", packed.schema["rest"].dataType), T.StructField("text", T.StringType())])
+    fragment = T.StructType([T.StructField(c, T.StringType() if c == "text" else T.BinaryType()) for c in ("text", "ids", "start", "end")])
+    coded = T.StructType([*piece.fields, T.StructField("split", T.BooleanType()), T.StructField("head", fragment), T.StructField("middle", T.BinaryType()), T.StructField("tail", fragment)])
+    result = T.StructType([piece["rest"], piece["text"], T.StructField("ids", T.BinaryType())] + ([T.StructField("decoded", T.StringType())] if decoded else []))
 
     def cut(batches):
         for batch in batches:
             for i in range(batch.num_rows):
-                raw = batch.column(1)[i].as_py().encode()
+                raw = batch.column(2)[i].as_py().encode()
                 a = k = 0
                 while a < len(raw):
                     b = min(len(raw), a + part)
                     while b < len(raw) and raw[b] & 0xC0 == 0x80:
                         b += 1
-                    yield pa.record_batch([batch.column(0).slice(i, 1), pa.array([k], pa.int32()), pa.array([raw[a:b].decode()])], names=["_row", "_part", "_text"])
+                    own = batch.column(1).slice(i, 1)
+                    yield pa.record_batch([batch.column(0).slice(i, 1), pa.array([k], pa.int32()), own if not k else pa.nulls(1, own.type), pa.array([raw[a:b].decode()])], names=piece.names)
                     a, k = b, k + 1
 
-    def fragment(e: Encoded) -> dict:
+    def fragment_of(e: Encoded) -> dict:
         return {"text": e.text, "ids": _raw(e.ids), "start": e.start.tobytes(), "end": e.end.tobytes()}
 
     def some(batches):
-        encoder = WordEncoder(tokenizer, plain)
+        coder = Coder(tokenizer, plain)
         for batch in batches:
-            for row, k, t in zip(*(batch.column(c).to_pylist() for c in range(3))):
+            for i, t in enumerate(batch.column(3).to_pylist()):
                 raw = t.encode()
                 place = np.flatnonzero(SPACE[np.frombuffer(raw, np.uint8)])
+                # What stands before the first and behind the last white space may go on in other parts.
                 a, b = (int(place[0]), int(place[-1]) + 1) if len(place) else (len(raw), len(raw))
-                head, tail = encode_tree(encoder.encode, raw[:a].decode()), encode_tree(encoder.encode, raw[b:].decode())
-                ids = encoder.step(np.frombuffer(raw[a:b], np.uint8), np.array([0, b - a]))[0]
-                yield pa.RecordBatch.from_pylist([{"_row": row, "_part": k, "split": bool(len(place)), "head": fragment(head), "ids": _raw(ids), "tail": fragment(tail)}], schema=arrow)
-
-    frag = pa.struct([("text", pa.string()), ("ids", pa.binary()), ("start", pa.binary()), ("end", pa.binary())])
-    arrow = pa.schema([("_row", pa.int64()), ("_part", pa.int32()), ("split", pa.bool_()), ("head", frag), ("ids", pa.binary()), ("tail", frag)])
+                head, middle, tail = (coder.tree(raw[x:y].decode()) for x, y in ((0, a), (a, b), (b, len(raw))))
+                yield pa.record_batch([*batch.slice(i, 1).columns, pa.array([bool(len(place))]), pa.array([fragment_of(head)], _FRAGMENT), pa.array([_raw(middle.ids)], pa.binary()), pa.array([fragment_of(tail)], _FRAGMENT)], names=coded.names)
 
     def whole(table: pa.Table) -> pa.Table:
-        encoder = WordEncoder(tokenizer, plain)
+        coder = Coder(tokenizer, plain)
         back = lambda x: Encoded(x["text"], np.frombuffer(x["ids"], "<u4"), np.frombuffer(x["start"], np.int64), np.frombuffer(x["end"], np.int64))
+        table = table.sort_by("part")
         ids, held = [], []
-        for x in table.sort_by("_part").to_pylist():
+        for x in table.select(["split", "head", "middle", "tail"]).to_pylist():
             held.append(back(x["head"]))
             if x["split"]:
-                ids += [_raw(join_all(encoder.encode, held).ids), x["ids"]]
+                ids += [join_all(coder.encode, held).ids, np.frombuffer(x["middle"], "<u4")]
                 held = [back(x["tail"])]
-        ids.append(_raw(join_all(encoder.encode, held).ids))
-        return pa.table({"_row": table["_row"][:1], out: pa.array([b"".join(ids)], pa.binary())})
+        ids.append(join_all(coder.encode, held).ids)
+        ids = np.concatenate(ids)
+        return pa.table([table["rest"].slice(0, 1), pa.array(["".join(table["text"].to_pylist())]), *outputs(coder, ids, np.array([0, len(ids)]))], names=result.names)
 
-    parts = docs.select("_row", text).mapInArrow(cut, "_row long, _part int, _text string")
-    done = (parts.repartition("_row", "_part").mapInArrow(some, f"_row long, _part int, split boolean, head {_FRAGMENT}, ids binary, tail {_FRAGMENT}")
-            .groupBy("_row").applyInArrow(whole, f"_row long, {out} binary"))
-    return docs.join(done, "_row").select(*(F.col(c) for c in [*rest, text] if c != "_row"), out).select(*schema.names)
+    return packed.mapInArrow(cut, piece).repartition("row", "part").mapInArrow(some, coded).groupBy("row").applyInArrow(whole, result)
 
 
 def decode(rows: DataFrame, ids: str = "ids", out: str = "decoded", tokenizer: str = TOKENIZER) -> DataFrame:
     """rows with ``out``: the text of the ids, special tokens kept.  Null ids count as none."""
     rows = rows.drop(out) if out in rows.columns else rows
     at = rows.columns.index(ids)
+    schema = T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())])
 
     def run(batches):
-        from tokenizers import Tokenizer
-
-        t = Tokenizer.from_file(public_tokenizers.path(tokenizer))
-        # With no decoder in the file, the library puts the tokens' own texts together with blanks.
-        plain = t.decoder is None
-        token = np.array([t.id_to_token(k) or "" for k in range(t.get_vocab_size())], object) if plain else None
+        coder = Coder(tokenizer)
         for batch in batches:
-            raws = [np.frombuffer(x, "<u4") if x else _NONE for x in batch.column(at).to_pylist()]
-            done = [" ".join(token[r].tolist()) for r in raws] if plain else [t.decode(r.tolist(), skip_special_tokens=False) for r in raws]
-            yield pa.record_batch([*batch.columns, pa.array(done, pa.string())], names=[*batch.schema.names, out])
+            for i in range(0, batch.num_rows, 256):
+                some = batch.slice(i, 256)
+                raws = [x or b"" for x in some.column(at).to_pylist()]
+                edge = np.append(0, np.cumsum([len(x) // 4 for x in raws]))
+                yield pa.record_batch([*some.columns, coder.decode(np.frombuffer(b"".join(raws), "<u4"), edge)], names=schema.names)
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())]))
+    return rows.mapInArrow(run, schema)
 
 
 def op7_bpe(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    coded = decode(encode(docs).select("doc_id", "ids"))
+    coded = encode(docs, decoded="decoded")
     return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

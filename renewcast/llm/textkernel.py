@@ -1,10 +1,13 @@
 """Vectorised text primitives on Arrow string batches: byte views, word spans, rolling hashes, anchors.
 
-All hashes are polynomial in an odd base modulo 2**64, computed by prefix sums and finalised by a bit mixer,
-so equal content has equal hashes in every partition and on every machine.
+Hashes are polynomial in an odd base modulo 2**64, computed by prefix sums and finalised by a bit mixer, so equal
+content has equal hashes in every partition and on every machine.  Such polynomials confuse some sequences of
+1,024 symbols and more (Thue-Morse); words of over ``LONG`` bytes therefore have cryptographic hashes, and spans
+of items stay far below that length.
 """
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +20,7 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 BASE1, BASE2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 #: Texts are taken together up to about this many bytes, to bound the temporaries of one step.
 STEP_BYTES = 1 << 21
+LONG = 128
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -99,7 +103,10 @@ def word_spans(data: np.ndarray, off: np.ndarray, is_word: np.ndarray) -> tuple[
 
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     total, down = prefix_hash(data.astype(U) + U(1), _P1)
-    return span_hash(total, down, start, end)
+    out = span_hash(total, down, start, end)
+    for i in np.flatnonzero(end - start > LONG):
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def row_bounds(row: np.ndarray, rows: int) -> np.ndarray:

@@ -3,12 +3,16 @@
 A token file is a bare sequence of fixed-width little-endian ids, documents one after another, each closed
 by the separator; no index comes with it.  ``scan_counts`` cuts the files into blocks of equal length, finds
 the separators of each block with one vectorised comparison, and stitches documents that cross blocks: with
-each block's number of separators and the tokens after its last one, a prefix scan over the (few) block
-summaries tells every block the number of its first document and the tokens carried into it.  Blocks are
-read in parallel wherever they lie; only summaries, one row for each non-empty block, are ordered.
+each block's number of separators and the place after its last one, a prefix scan over the block summaries
+tells every block the number of its first document and where the document that runs into it began.  Blocks are
+read in parallel wherever they lie.  Only summaries, four numbers a block, are ordered, in two levels: within
+spans of ``SPAN`` blocks, and the spans of a file; what each block found meets its summary again by a join.
 
 A file that doesn't end with a separator ends with an open document, which counts (closed = false) if it has
-any token.  Empty files hold no documents; two separators in a row hold an empty one.
+any token.  Empty files hold no documents; two separators in a row hold an empty one; a folder without files
+gives no rows.  Writing: null and empty texts are documents without tokens, repeated rows and ids are written
+row by row (ties of ids stay apart by file and number), texts of any length are one document, columns besides id
+and text are ignored whatever their names, and an empty table writes no file.
 """
 from __future__ import annotations
 
@@ -17,11 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from renewcast.llm.bpe import TOKENIZER, WordEncoder
-from renewcast.llm.shared import scratch
+from renewcast.llm.bpe import TOKENIZER, Coder
+from renewcast.llm.shared import materialise, scratch
 from renewcast.llm.textkernel import texts
 
-BLOCK = 4 << 20
+BLOCK, SPAN = 4 << 20, 4096
 SEPARATOR = 49407
 
 
@@ -40,7 +44,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER,
 
         from pyspark import TaskContext
 
-        encoder, fs, where, done = WordEncoder(tokenizer, plain=True), None, None, 0
+        coder, fs, where, done = Coder(tokenizer, plain=True), None, None, 0
         name = f"{folder}/tokens-{TaskContext.get().partitionId():06d}.bin"
         temp = f"{name}.{TaskContext.get().taskAttemptId()}-{os.getpid()}.tmp"
         out = None
@@ -50,8 +54,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = TOKENIZER,
                     fs, where = _filesystem(temp)
                     fs.create_dir(where.rpartition("/")[0], recursive=True)
                     out = fs.open_output_stream(where)
-                ids, edge = encoder.step(data, off)
-                n = len(off) - 1
+                raw, o = data.tobytes(), off.tolist()
+                ids, edge = coder.step([raw[a:b] for a, b in zip(o[:-1], o[1:])])
+                n = len(o) - 1
                 flat = np.full(len(ids) + n, separator, f"<u{width}")
                 flat[np.arange(len(ids)) + np.repeat(np.arange(n), np.diff(edge))] = ids
                 out.write(flat.tobytes())
@@ -72,7 +77,7 @@ def blocks(spark: SparkSession, folder: str, width: int = 2, block: int = BLOCK)
         "path", "block", (F.col("block") * size).alias("start"), F.least(F.lit(size), F.col("length") - F.col("block") * size).alias("bytes"))
 
 
-def scan_counts(spark: SparkSession, folder: str, separator: int = SEPARATOR, width: int = 2, block: int = BLOCK) -> DataFrame:
+def scan_counts(spark: SparkSession, folder: str, separator: int = SEPARATOR, width: int = 2, block: int = BLOCK, span: int = SPAN) -> DataFrame:
     """(path, doc_no, first_token, n_tokens, closed) of each document of the files in a folder."""
     todo = blocks(spark, folder, width, block)
 
@@ -87,12 +92,18 @@ def scan_counts(spark: SparkSession, folder: str, separator: int = SEPARATOR, wi
                 yield pa.record_batch([pa.array([path]), pa.array([k], pa.int64()), pa.array([start // width], pa.int64()), pa.array([len(place)], pa.int64()), pa.array([len(raw)], pa.int64()), pa.array([last], pa.int64()), pa.array([place], pa.list_(pa.int64()))],
                                       names=["path", "block", "first", "n", "tokens", "last", "places"])
 
-    found = todo.repartition(F.col("path"), F.col("block")).mapInArrow(scan, "path string, block long, first long, n long, tokens long, last long, places array<long>")
-    w = Window.partitionBy("path").orderBy("block")
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    # Where the document that runs into this block began: after the last separator of any earlier block.
-    stitched = found.select("*", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("docs_before"), F.coalesce(F.max(F.when(F.col("n") > 0, F.col("first") + F.col("last"))).over(before), F.lit(0)).alias("open_at"),
-                            F.lead("block").over(w).isNull().alias("end"))
+    found = materialise(todo.repartition(F.col("path"), F.col("block")).mapInArrow(scan, "path string, block long, first long, n long, tokens long, last long, places array<long>"), "blocks")
+    # Where the document that runs into a block began: after the last separator of any earlier block.
+    summary = found.select("path", "block", F.expr(f"block div {span}").alias("span"), "n", F.when(F.col("n") > 0, F.col("first") + F.col("last")).alias("after"))
+    total, latest = (lambda c, w: F.coalesce(F.sum(c).over(w), F.lit(0))), (lambda c, w: F.coalesce(F.max(c).over(w), F.lit(0)))
+    before = lambda *keys: Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    spans = summary.groupBy("path", "span").agg(F.sum("n").alias("n"), F.max("after").alias("after"), F.max("block").alias("most"))
+    over, w = before("path", "span"), Window.partitionBy("path")
+    spans = spans.select("path", "span", total("n", over).alias("docs"), latest("after", over).alias("open"), F.max("most").over(w).alias("end"))
+    inner = before("path", "span", "block")
+    scanned = summary.select("path", "span", "block", total("n", inner).alias("docs_before"), latest("after", inner).alias("open_at"))
+    scanned = scanned.join(spans, ["path", "span"]).select("path", "block", (F.col("docs_before") + F.col("docs")).alias("docs_before"), F.greatest("open_at", "open").alias("open_at"), (F.col("block") == F.col("end")).alias("end"))
+    stitched = found.join(scanned, ["path", "block"])
     ended = stitched.select("path", "docs_before", "first", "open_at", "places", F.posexplode("places").alias("i", "place")).select(
         "path", (F.col("docs_before") + F.col("i")).alias("doc_no"),
         F.when(F.col("i") == 0, F.col("open_at")).otherwise(F.col("first") + F.expr("get(places, i - 1)") + 1).alias("first_token"), (F.col("first") + F.col("place")).alias("stop"), F.lit(True).alias("closed"))
@@ -102,12 +113,11 @@ def scan_counts(spark: SparkSession, folder: str, separator: int = SEPARATOR, wi
 
 def op10_token_counts(spark, sf_dir: str) -> DataFrame:
     """Token files of all documents, counted by a scan: doc_id, n_tokens."""
-    from renewcast.llm.shared import materialise
-
     folder = scratch(spark, "tokens")
     which = materialise(write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder), "token-docs")
     tail = lambda c: F.substring_index(c, "/", -1)
     counts = scan_counts(spark, folder) if which.limit(1).count() else None
     if counts is None:
         return which.select("doc_id", F.lit(0).cast("long").alias("n_tokens"))
-    return which.select(tail("path").alias("file"), "doc_no", "doc_id").join(counts.select(tail("path").alias("file"), "doc_no", "n_tokens"), ["file", "doc_no"]).select("doc_id", "n_tokens")
+    # Both sides grow with the corpus: neither is broadcast.
+    return which.select(tail("path").alias("file"), "doc_no", "doc_id").hint("merge").join(counts.select(tail("path").alias("file"), "doc_no", "n_tokens"), ["file", "doc_no"]).select("doc_id", "n_tokens")

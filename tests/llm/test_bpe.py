@@ -46,7 +46,37 @@ def test_odd_and_long_texts(spark, odd, library):
     df = odd.select("doc_id", "text").union(spark.createDataFrame(rows, "doc_id long, text string"))
     want = brute(library, [tuple(r) for r in df.collect()])
     assert digest(decode(encode(df))) == want
+    assert digest(encode(df, decoded="decoded")) == want
     assert digest(decode(encode(df, part=5000))) == want
+    assert digest(encode(df.repartition(5), part=2000, decoded="decoded")) == want
+
+
+def test_parts_keep_their_rows(spark, library):
+    """Long texts by parts after a repartition, with other columns whose names the operator uses itself."""
+    rng = random.Random(5)
+    rows = [(i, f"r{i}", i, "".join(rng.choice("abc de\n") for _ in range(rng.choice([20, 900])))) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, row string, part int, text string").repartition(4)
+    got = encode(df, part=300, decoded="decoded")
+    assert digest(got) == brute(library, [(i, t) for i, _, _, t in rows])
+    assert sorted((r["doc_id"], r["row"], r["part"], r["text"]) for r in got.collect()) == sorted(rows)
+    assert digest(encode(df.limit(0), part=300, decoded="decoded")) == []
+
+
+def test_words_of_equal_polynomial_hash(spark, library):
+    """A Thue-Morse word of 2048 letters and its complement, which polynomial hashes modulo 2**64 confuse."""
+    bits = [bin(i).count("1") & 1 for i in range(2048)]
+    words = ["".join("ab"[b ^ flip] for b in bits) for flip in (0, 1)]
+    rows = [(1, words[0] + " x " + words[1]), (2, words[1]), (3, words[0])]
+    assert digest(encode(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), decoded="decoded")) == brute(library, rows)
+
+
+def test_text_of_several_parts(spark, library):
+    """Over 1 MiB, with and without white space, at the default size of parts."""
+    rng = random.Random(7)
+    unsplit = "".join(rng.choice("abcdefghij12'é") for _ in range(150_000))
+    rows = [(1, unsplit), (2, " ".join("".join(rng.choice("lorem") for _ in range(rng.randrange(1, 9))) for _ in range(260_000)))]
+    assert len(rows[1][1]) > 1 << 20
+    assert digest(encode(spark.createDataFrame(rows, "doc_id long, text string"), decoded="decoded")) == brute(library, rows)
 
 
 def test_token_counts(spark, sf, library):
@@ -63,5 +93,16 @@ def test_blocks_are_stitched(spark, odd):
     which = write_token_files(odd.coalesce(2), folder).collect()
     whole = sorted(map(tuple, scan_counts(spark, folder).collect()))
     assert len(whole) == len(which)
-    for block in (2, 6, 100):
-        assert sorted(map(tuple, scan_counts(spark, folder, block=block).collect())) == whole
+    for block, span in ((2, 3), (6, 2), (100, 4096)):
+        assert sorted(map(tuple, scan_counts(spark, folder, block=block, span=span).collect())) == whole
+
+
+def test_token_files_of_odd_tables(spark, odd):
+    folder = scratch(spark, "tokens")
+    df = odd.withColumnRenamed("gone", "path").withColumn("doc_no", F.lit("mine"))
+    which = write_token_files(df, folder).collect()
+    assert sorted(str(r["doc_id"]) for r in which) == sorted(str(r["doc_id"]) for r in df.collect())
+    counts = {(r["path"].rpartition("/")[2], r["doc_no"]): r["n_tokens"] for r in scan_counts(spark, folder).collect()}
+    tokens = {r["doc_id"]: counts[r["path"].rpartition("/")[2], r["doc_no"]] for r in which}
+    assert tokens[1] == tokens[2] == tokens[3] == 0 and tokens[4] == tokens[5] == 3 and tokens[7] == tokens[8]
+    assert write_token_files(odd.limit(0), scratch(spark, "tokens")).count() == 0
