@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from renewcast.llm.bpe import decode, encode
+from renewcast.llm.bpe import encode
 from renewcast.llm.decontaminate import decontaminate
 from renewcast.llm.jaccard_join import jaccard_join
 from renewcast.llm.line_dedup import line_dedup
@@ -66,7 +66,7 @@ def clean_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    coded = decode(encode(docs))
+    coded = encode(docs, decoded="decoded")
     return coded.select(*COLUMNS, "ids", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
