@@ -30,10 +30,8 @@ from pyspark.sql import types as T
 from renewcast.llm.textkernel import SPACE, ranges, texts, word_spans
 
 TOKENIZER = "word_bpe_49k.json"
-LEAF, PART, CACHE, TOGETHER = 4096, 1 << 16, 24 << 20, 200
+LEAF, PART, CACHE, TOGETHER = 4096, 1 << 16, 48 << 20, 200
 _WORD = ~SPACE
-_NONE = np.zeros(0, np.uint32)
-_ZERO = np.zeros(0, np.int64)
 
 
 class Encoded:
@@ -86,6 +84,22 @@ def join_all(encode, parts: list[Encoded]) -> Encoded:
     return parts[0]
 
 
+class Grown:
+    """An array that grows at its end."""
+
+    def __init__(self, dtype):
+        self.held, self.n = np.zeros(1024, dtype), 0
+
+    def add(self, x: np.ndarray) -> None:
+        if self.n + len(x) > len(self.held):
+            self.held = np.concatenate([self.held[:self.n], np.zeros(self.n + 2 * len(x), self.held.dtype)])
+        self.held[self.n:self.n + len(x)] = x
+        self.n += len(x)
+
+    def __getitem__(self, at: np.ndarray) -> np.ndarray:
+        return self.held[at]
+
+
 class Coder:
     """Encodes and decodes texts.  plain: special tokens in a text are ordinary text."""
 
@@ -93,19 +107,10 @@ class Coder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        def load(plain: bool):
-            t = Tokenizer.from_file(public_tokenizers.path(name))
-            t.no_truncation()
-            t.no_padding()
-            t.encode_special_tokens = plain
-            return t
-
-        self.tokenizer = load(plain)
-        special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special and not (t.lstrip or t.rstrip or t.single_word or t.normalized)}
-        # A special token between words keeps them apart, so that many are encoded by one call.
-        self.between, self.between_id = next(iter(special.items()), (None, -1))
-        self.grouped = load(False) if plain and special else self.tokenizer
-        self.special = [s.encode() for s in special]
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.tokenizer.encode_special_tokens = plain
         # With no decoder in the file, the library puts the tokens' own texts together with blanks.
         self.token = pa.array([self.tokenizer.id_to_token(k) or "" for k in range(self.tokenizer.get_vocab_size())], pa.large_string()) if self.tokenizer.decoder is None else None
         self.clear()
@@ -113,8 +118,8 @@ class Coder:
     def clear(self):
         self.known: dict[bytes, int] = {}
         self.held = 0
-        self.first = self.count = _ZERO
-        self.ids, self.start, self.end = _NONE, np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.first, self.count = Grown(np.int64), Grown(np.int64)
+        self.ids, self.start, self.end = Grown(np.uint32), Grown(np.int32), Grown(np.int32)
 
     def encode(self, text: str) -> Encoded:
         """By the library, with no tree."""
@@ -122,18 +127,13 @@ class Coder:
         off = np.array(e.offsets, np.int64).reshape(-1, 2)
         return Encoded(text, e.ids, off[:, 0], off[:, 1])
 
-    def _together(self, words: list[bytes]) -> list[tuple]:
-        """(ids, start, end) of the words of one call."""
+    def _together(self, words: list[bytes]) -> tuple:
+        """(ids, start, end, number of tokens by word) of words encoded by one call."""
         plain = [w.decode() for w in words]
-        if self.between is None or any(s in w for w in words for s in self.special):
-            return [(e.ids, e.start, e.end) for e in map(self.encode, plain)]
-        e = self.grouped.encode(self.between.join(plain), add_special_tokens=False)
-        ids, off = np.array(e.ids, np.uint32), np.array(e.offsets, np.int32).reshape(-1, 2)
-        cut = np.flatnonzero(ids == self.between_id)
-        if len(cut) != len(words) - 1:
-            return [(e.ids, e.start, e.end) for e in map(self.encode, plain)]
-        a, b, shift = [0, *(cut + 1).tolist()], [*cut.tolist(), len(ids)], [0, *off[cut, 1].tolist()]
-        return [(ids[i:j], off[i:j, 0] - s, off[i:j, 1] - s) for i, j, s in zip(a, b, shift)]
+        e = self.encode(" ".join(plain))
+        begin = np.append(0, np.cumsum([len(w) + 1 for w in plain]))
+        of = np.searchsorted(begin, e.start, "right") - 1
+        return e.ids, e.start - begin[of], e.end - begin[of], np.bincount(of, minlength=len(words))
 
     def learn(self, words: list[bytes]) -> None:
         """Have all the words known; forget others if these would be too much beside them."""
@@ -143,19 +143,20 @@ class Coder:
         if self.held > CACHE:
             self.clear()
             new = list(dict.fromkeys(words))
-        found: list[tuple] = []
-        short = [w for w in new if len(w) <= LEAF]
-        for i in range(0, len(short), TOGETHER):
-            found += self._together(short[i:i + TOGETHER])
-        known = dict(zip(short, found))
-        for w in new:
-            if len(w) > LEAF:
-                e = self.tree(w.decode(), self.encode)
-                known[w] = e.ids, e.start, e.end
-        count = np.array([len(known[w][0]) for w in new], np.int64)
-        self.first = np.concatenate([self.first, len(self.ids) + np.cumsum(count) - count])
-        self.count = np.concatenate([self.count, count])
-        self.ids, self.start, self.end = (np.concatenate([old, *(known[w][k] for w in new)]).astype(old.dtype, copy=False) for k, old in enumerate((self.ids, self.start, self.end)))
+        long = [w for w in new if len(w) > LEAF]
+        if long:
+            new = [w for w in new if len(w) <= LEAF]
+        found = [self._together(new[i:i + TOGETHER]) for i in range(0, len(new), TOGETHER)]
+        for w in long:
+            e = self.tree(w.decode(), self.encode)
+            found.append((e.ids, e.start, e.end, np.array([len(e.ids)])))
+        new += long
+        count = np.concatenate([x[3] for x in found])
+        self.first.add(self.ids.n + np.cumsum(count) - count)
+        self.count.add(count)
+        for x in found:
+            for k, of in enumerate((self.ids, self.start, self.end)):
+                of.add(x[k])
         n = len(self.known)
         self.known.update(zip(new, range(n, n + len(new))))
         self.held += sum(map(len, new)) + 100 * len(new) + 12 * int(count.sum())
