@@ -1,273 +1,321 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Examples are labelled documents.  Terms are words (runs of letters, digits or bytes beyond ASCII; A-Z
-lower-cased) and their beginnings of ``STEMS`` bytes, which serve languages that compound and inflect; they
-are known by 64-bit hashes.  The vocabulary is made of the terms whose presence goes with the label in the examples (root of
-the log-likelihood ratio at least ``Z``; the ``VOCABULARY`` strongest at most), so that the angle
-between texts is about what the label is about.  Inverse document frequencies count all documents.
-
-The index has a posting list for each term, in blocks of ``BLOCK`` examples with the largest weight of each.
-A query's bound for a block is the sum of its terms' largest weights; blocks are visited from the greatest
-bound down until the bound cannot enter the ``k`` best any more, so the result is exact.  Batches of queries
-go through this together.
-
-Votes weigh 1 / (distance + ``SOFT``), with the share of the label among all examples as a prior of weight
-``PRIOR``.  Raw votes become scores by a monotone fit (pool adjacent violators) on the examples, each
-answered without itself.  Texts without a term of the vocabulary get the fitted share of examples like them.
-Evidence is the nearest examples, their labels and similarities.
-
-Bounds (parameters): ``sample`` labelled documents at most, chosen by hash, make the examples; vocabulary and
-index are bounded by it and are broadcast (``VOCABULARY`` * sample * 4 bytes at most).  All else covers every
-document and whole texts.  Null and empty texts have no terms.  Repeated rows are scored row by row; labels
-that are repeated or contradict each other count one by one; null labels count for nothing.  Without usable
-examples of both kinds every score is the share of the label, 0 if there is none.  Other columns of the
-documents are kept, but those with the result's names are replaced.
+Examples are labelled documents, rows of equal text being one example with all their labels.  Terms are words
+(runs of letters, digits or bytes beyond ASCII; A-Z lower-cased), known by 64-bit hashes.  A term weighs
+(1 + log count) * idf * z in a text: idf counts all documents, and z, the root of the log-likelihood ratio of
+the term's presence and the label among the examples, says how much the term is about the label.  No term of
+the examples is left out; one that no example has can add to no product and has no known z, so it weighs 0.
+
+The index has a posting list for each term: (example, weight) in blocks of ``BLOCK`` examples, and for each
+block the largest weight in it.  A text's bound for a block is the sum of its terms' weights times these
+largest weights.  The ``FIRST`` blocks with the greatest bounds are scored from their postings, then all
+blocks whose bound reaches the k-th best similarity so far; no other block can hold one of the k nearest, so
+the result is exact.  Texts go through this some at a time.  An example of the very same text has no vote.
+
+Votes weigh 1 / (distance + ``SOFT``), times how many labelled rows an example of its label stands for, with
+the share of the label as a prior of weight ``PRIOR``.  Raw votes become scores by a monotone fit (pool
+adjacent violators) on the examples, which are answered by Spark as all texts are.  Texts without a known term
+get the fitted share of examples like them.  Evidence is the nearest examples, their labels and similarities.
+
+Bounds (parameters): at most ``sample`` / 2 labelled rows of each label, chosen by hash, and at most ``size``
+bytes of their texts make the examples; the index is bounded by these, is put together on the driver and
+broadcast.  All else covers every document and whole texts.  Null and empty texts have no terms.  Repeated rows
+are scored row by row; labels that are repeated or contradict each other count one by one; null labels count
+for nothing.  Ties of similarity go to the example earlier in the index.  Without usable examples of both kinds
+every score is the share of the label, 0 if there is none.  Other columns of the documents are kept, but those
+with the result's names are replaced; an empty table gives no rows.
 """
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from renewcast.llm.decontaminate import ALNUM, LOWER
 from renewcast.llm.shared import materialise
-from renewcast.llm.textkernel import _P1, U, prefix_hash, ranges, span_hash, texts, word_spans
+from renewcast.llm.textkernel import U, ranges, row_bounds, texts, word_hashes, word_spans
 
-SAMPLE, VOCABULARY, Z, K = 32768, 1024, 4.5, 15
-BLOCK, SOFT, PRIOR = 64, 0.1, 1.0
-STEP = 1 << 22
-STEMS = (4, 5, 6, 7)
+SAMPLE, SIZE, K = 4096, 64 << 20, 15
+BLOCK, FIRST, SOFT, PRIOR = 64, 6, 0.1, 1.0
+#: Entries of posting lists looked at together.
+STEP = 1 << 19
+_SPLIT = 1 << 12
 
 
-def terms_of(data: np.ndarray, off: np.ndarray, wanted=None):
-    """(row, hash) of all terms of a step's texts; wanted: a table by the hash's upper 16 bits of which to keep."""
+def terms_of(data: np.ndarray, off: np.ndarray):
+    """(row, term, count) of a step's texts, ordered by row and term."""
     data = LOWER[data]
     start, end, row = word_spans(data, off, ALNUM)
-    total, down = prefix_hash(data.astype(U) + U(1), _P1)
-    rows, hashes = [], []
-    for n in (0, *STEMS):
-        if n:
-            long = end - start > n
-            s, r = start[long], row[long]
-            h = span_hash(total, down, s, s + n) ^ U(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
-        else:
-            r, h = row, span_hash(total, down, start, end)
-        if wanted is not None:
-            keep = wanted[(h >> U(48)).astype(np.int64)]
-            r, h = r[keep], h[keep]
-        rows.append(r)
-        hashes.append(h)
-    return np.concatenate(rows), np.concatenate(hashes)
+    h = word_hashes(data, start, end)
+    order = np.lexsort((h, row))
+    h, row = h[order], row[order]
+    new = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1]))) if len(h) else np.zeros(0, np.int64)
+    return row[new], h[new], np.diff(np.append(new, len(h)))
+
+
+def digest(raw: bytes) -> bytes:
+    return hashlib.blake2b(raw, digest_size=16).digest()
+
+
+def association(a: np.ndarray, b: np.ndarray, pos: int, neg: int) -> np.ndarray:
+    """Root of the log-likelihood ratio of presence (a of pos, b of neg) and label."""
+    n, out = pos + neg, np.zeros(len(a))
+    for o, r, c in ((a, a + b, pos), (b, a + b, neg), (pos - a, n - a - b, pos), (neg - b, n - a - b, neg)):
+        some = o > 0
+        out[some] += o[some] * np.log(o[some] * n / (r[some] * c))
+    return np.sqrt(np.maximum(2 * out, 0))
 
 
 class Index:
-    """Vocabulary, examples' TF-IDF vectors (dense by block, as the vocabulary is small) and block maxima."""
-
-    def __init__(self, hashes: np.ndarray, idf: np.ndarray, examples: list[tuple[int, int, list[int], list[int]]]):
-        """hashes: the vocabulary, sorted; examples: id, label, terms (places in the vocabulary), counts."""
-        self.hashes, self.idf = hashes, idf.astype(np.float32)
-        self.wanted = np.zeros(1 << 16, bool)
-        self.wanted[(hashes >> U(48)).astype(np.int64)] = True
-        self.bare = [y for _, y, t, _ in examples if not t]
-        # Examples that share their rarest term stand in neighbouring blocks.
-        examples = sorted((e for e in examples if e[2]), key=lambda e: (min(e[2], key=lambda t: (-self.idf[t], t)), e[0]))
-        self.ids = np.array([e[0] for e in examples], np.int64)
-        self.labels = np.array([e[1] for e in examples], np.float32)
-        self.n = len(examples)
-        blocks = max(1, -(-self.n // BLOCK))
-        weight = np.zeros((len(hashes), blocks * BLOCK), np.float32)
-        for j, (_, _, t, count) in enumerate(examples):
-            w = self.tf(np.array(count)) * self.idf[t]
-            weight[t, j] = w / np.sqrt((w * w).sum())
-        self.weight = weight.reshape(len(hashes), blocks, BLOCK)
-        self.most = self.weight.max(axis=2) if len(hashes) else np.zeros((0, blocks), np.float32)
-        self.share = float(np.mean([*self.bare, *self.labels])) if self.bare or self.n else 0.0
-
-    @staticmethod
-    def tf(count):
-        return (1 + np.log(count)).astype(np.float32)
-
-    def counts(self, data, off):
-        """(row, term, count) of a step's texts."""
-        row, h = terms_of(data, off, self.wanted)
-        if not len(row) or not len(self.hashes):
-            z = np.zeros(0, np.int64)
-            return z, z, z
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        ok = self.hashes[at] == h
-        code, count = np.unique(row[ok] * len(self.hashes) + at[ok], return_counts=True)
-        return *np.divmod(code, len(self.hashes)), count
+    """Terms with their factors, posting lists in blocks with largest weights, and the examples' labels."""
+
+    def __init__(self, hashes: np.ndarray, factor: np.ndarray, examples: list[tuple], weight: tuple[float, float] = (1.0, 1.0)):
+        """hashes: the terms, sorted; factor: idf * z of each; examples: (id, digest, rows labelled 0, rows labelled 1,
+        terms' places, counts); weight: how many labelled rows one of label 0 or 1 stands for."""
+        self.hashes, self.factor = hashes, factor.astype(np.float32)
+        known, self.bare = [], []
+        for e in examples:
+            w = (1 + np.log(e[5])) * factor[e[4]] if len(e[4]) else np.zeros(0)
+            norm = np.sqrt((w * w).sum())
+            known.append((e, w / norm)) if norm > 0 else self.bare.append(e)
+        # Examples that share their heaviest term stand in neighbouring blocks.
+        known.sort(key=lambda x: (int(x[0][4][np.argmax(x[1])]), x[0][0]))
+        self.n = len(known)
+        self.ids = np.array([e[0] for e, _ in known], np.int64)
+        self.no, self.yes = (np.array([e[2 + y] * weight[y] for e, _ in known], float) for y in (0, 1))
+        self.place: dict[bytes, int] = {e[1]: j for j, (e, _) in enumerate(known)}
+        self.blocks = max(1, -(-self.n // BLOCK))
+        term = np.concatenate([e[4] for e, _ in known]) if known else np.zeros(0, np.int64)
+        who = np.repeat(np.arange(self.n), [len(w) for _, w in known])
+        w = np.concatenate([w for _, w in known]) if known else np.zeros(0)
+        order = np.lexsort((who, term))
+        term, self.who, self.weight = term[order], who[order].astype(np.int32), w[order].astype(np.float32)
+        code = term * self.blocks + self.who // BLOCK
+        first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.zeros(0, np.int64)
+        self.post = np.append(first, len(code))
+        self.block = (code[first] % self.blocks).astype(np.int32)
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0, np.float32)
+        self.list = np.searchsorted(term[first], np.arange(len(hashes) + 1))
+        total = [sum(e[2 + y] * weight[y] for e in examples) for y in (0, 1)]
+        self.share = total[1] / sum(total) if sum(total) else 0.0
+        self.x, self.y, self.plain = np.array([0.0, 1.0]), np.array([0.0, 1.0]), self.share
+        if sum(total):
+            self.plain = (sum(e[3] * weight[1] for e in self.bare) + self.share) / (sum(e[2] * weight[0] + e[3] * weight[1] for e in self.bare) + 1)
 
     def vectors(self, data, off):
         """(row, term, weight) of a step's texts, unit length by row."""
-        row, term, count = self.counts(data, off)
-        w = self.tf(count) * self.idf[term]
+        row, h, count = terms_of(data, off)
+        z = np.zeros(0, np.int64)
+        if not len(row) or not len(self.hashes):
+            return z, z, np.zeros(0, np.float32)
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        ok = (self.hashes[at] == h) & (self.factor[at] > 0)
+        row, at = row[ok], at[ok]
+        w = (1 + np.log(count[ok])) * self.factor[at]
         norm = np.sqrt(np.bincount(row, w * w, len(off)))
-        return row, term, (w / norm[row]).astype(np.float32)
+        return row, at, (w / norm[row]).astype(np.float32)
 
     def nearest(self, row, term, weight, k: int, skip=None):
         """Of each row that occurs: (rows, examples (-1: none), similarities), by falling similarity, ties by place.
-        skip: an example for each row that doesn't count.  Bounds take a number for each term and block, so rows
-        are answered in steps of about ``STEP`` such numbers."""
+        skip: by row, an example that doesn't count (-1: none)."""
         rows, first = np.unique(row, return_index=True)
-        ends, limit = np.append(first, len(row)), max(1, STEP // self.weight.shape[1])
-        edge, who, best = 0, [np.zeros((0, k), np.int64)], [np.zeros((0, k), np.float32)]
+        ends = np.append(first, len(row))
+        work = np.append(0, np.cumsum(self.list[term + 1] - self.list[term]))[ends]
+        edge, who, best = 0, [np.zeros((0, k), np.int64)], [np.zeros((0, k))]
         while edge < len(rows):
-            stop = max(edge + 1, int(np.searchsorted(ends, ends[edge] + limit, "right")) - 1)
+            stop = min(len(rows), edge + 256, max(edge + 1, int(np.searchsorted(work, work[edge] + STEP, "right")) - 1))
             part = slice(ends[edge], ends[stop])
-            found = self._nearest(first[edge:stop] - first[edge], term[part], weight[part], k, None if skip is None else skip[edge:stop])
+            of = np.repeat(np.arange(stop - edge), np.diff(ends[edge:stop + 1]))
+            found = self._nearest(stop - edge, of, term[part], weight[part], k, np.full(stop - edge, -1) if skip is None else skip[rows[edge:stop]])
             who.append(found[0])
             best.append(found[1])
             edge = stop
         return rows, np.concatenate(who), np.concatenate(best)
 
-    def _nearest(self, first, term, weight, k: int, skip):
-        m, blocks = len(first), self.weight.shape[1]
-        best = np.zeros((m, k), np.float32)
-        who = np.full((m, k), -1, np.int64)
-        size = np.diff(np.append(first, len(term)))
-        bound = np.add.reduceat(self.most[term] * weight[:, None], first, axis=0)
-        order = np.argsort(-bound, axis=1, kind="stable")
-        active = np.arange(m)
-        for step in range(blocks):
-            block = order[active, step]
-            go = bound[active, block] > np.maximum(best[active, -1] - 1e-6, 0)
-            active, block = active[go], block[go]
-            if not len(active):
+    def _nearest(self, m, of, term, weight, k: int, skip):
+        width = self.blocks * BLOCK
+        count = self.list[term + 1] - self.list[term]
+        entry = ranges(self.list[term], count)
+        of, weight, block = np.repeat(of, count), np.repeat(weight, count), self.block[entry]
+        bound = np.bincount(of * self.blocks + block, weight * self.most[entry], m * self.blocks).reshape(m, self.blocks)
+        similar = np.zeros(m * width)
+        visit = np.zeros((m, self.blocks), bool)
+        if self.blocks > FIRST:
+            np.put_along_axis(visit, np.argpartition(-bound, FIRST, axis=1)[:, :FIRST], True, axis=1)
+        else:
+            visit[:] = True
+        seen = np.zeros_like(visit)
+        while True:
+            at = np.flatnonzero(visit[of, block])
+            size = self.post[entry[at] + 1] - self.post[entry[at]]
+            p = ranges(self.post[entry[at]], size)
+            similar += np.bincount(np.repeat(of[at], size) * width + self.who[p], np.repeat(weight[at], size) * self.weight[p], m * width)
+            seen |= visit
+            own = np.flatnonzero(skip >= 0)
+            similar[own * width + skip[own]] = 0
+            table = similar.reshape(m, width)
+            least = np.partition(table, width - k, axis=1)[:, width - k] if width > k else np.zeros(m)
+            visit = ~seen & (bound > 0) & (bound * (1 + 1e-6) >= least[:, None])
+            if not visit.any():
                 break
-            p = ranges(first[active], size[active])
-            which = np.repeat(block, size[active])
-            score = np.add.reduceat(self.weight[term[p], which] * weight[p][:, None], np.cumsum(size[active]) - size[active], axis=0)
-            ids = block[:, None] * BLOCK + np.arange(BLOCK)
-            score[ids >= self.n] = 0
-            if skip is not None:
-                score[ids == skip[active][:, None]] = 0
-            all_s, all_i = np.concatenate([best[active], score], axis=1), np.concatenate([who[active], ids], axis=1)
-            all_i = np.where(all_s > 0, all_i, -1)
-            top = np.lexsort((np.where(all_i < 0, self.n, all_i), -all_s), axis=1)[:, :k]
-            best[active], who[active] = np.take_along_axis(all_s, top, 1), np.take_along_axis(all_i, top, 1)
+        some = np.argpartition(-table, k, axis=1)[:, :k] if width > k else np.tile(np.arange(width), (m, 1))
+        # Of examples as similar as the k-th, those earlier in the index.
+        least = np.take_along_axis(table, some, 1).min(axis=1)
+        tied = np.flatnonzero((least > 0) & ((table == least[:, None]).sum(axis=1) > (np.take_along_axis(table, some, 1) == least[:, None]).sum(axis=1)))
+        for i in tied:
+            some[i] = np.lexsort((np.arange(width), -table[i]))[:k]
+        value = np.take_along_axis(table, some, 1)
+        order = np.lexsort((some, -value), axis=1)
+        who, best = np.full((m, k), -1), np.zeros((m, k))
+        n = some.shape[1]
+        who[:, :n], best[:, :n] = np.take_along_axis(some, order, 1), np.take_along_axis(value, order, 1)
+        who[best <= 0] = -1
         return who, best
 
     def votes(self, who, similarity):
         w = np.where(who >= 0, 1 / (1 - np.minimum(similarity, 1) + SOFT), 0)
-        return ((w * self.labels[who]).sum(axis=1) + PRIOR * self.share) / (w.sum(axis=1) + PRIOR)
+        yes, no = (w * self.yes[who]).sum(axis=1), (w * self.no[who]).sum(axis=1)
+        unit = (self.yes.sum() + self.no.sum()) / max(1, self.n)
+        return (yes + PRIOR * unit * self.share) / (yes + no + PRIOR * unit)
 
-    def calibrate(self, k: int) -> None:
-        """Fit scores to the labels of the examples, each answered by the others."""
-        self.plain = (sum(self.bare) + self.share) / (len(self.bare) + 1)
-        self.x, self.y = np.array([0.0, 1.0]), np.array([0.0, 1.0])
+    def answer(self, data, off, k: int):
+        """(rows with a known term, their nearest examples, similarities, raw votes) of a step's texts."""
         if not self.n:
-            return
-        dense = self.weight.reshape(len(self.hashes), -1)[:, :self.n].T
-        row, term = np.nonzero(dense)
-        rows, who, best = self.nearest(row, term, dense[row, term], k, skip=np.arange(self.n))
-        raw = self.votes(who, best)
+            return np.zeros(0, np.int64), np.zeros((0, k), np.int64), np.zeros((0, k)), np.zeros(0)
+        raw = data.tobytes()
+        same = np.array([self.place.get(digest(raw[a:b]), -1) for a, b in zip(off[:-1].tolist(), off[1:].tolist())], np.int64)
+        rows, who, best = self.nearest(*self.vectors(data, off), k, same)
+        some = (who >= 0).any(axis=1)
+        rows, who, best = rows[some], who[some], best[some]
+        return rows, who, best, self.votes(who, best)
+
+    def calibrate(self, raw: np.ndarray, no: np.ndarray, yes: np.ndarray) -> None:
+        """Fit scores to the labels of the examples, each answered by the others: raw votes, weights of both labels."""
         order = np.argsort(raw, kind="stable")
         pools: list[list[float]] = []
-        for x, y in zip(raw[order].tolist(), self.labels[rows][order].tolist()):
-            pools.append([y, 1, x, x])
+        for x, y, w in zip(raw[order].tolist(), yes[order].tolist(), (no + yes)[order].tolist()):
+            pools.append([y, w, x, x])
             while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
                 a = pools.pop()
                 pools[-1] = [pools[-1][0] + a[0], pools[-1][1] + a[1], pools[-1][2], a[3]]
-        # Shares are drawn a little to the prior, so that no score is entirely sure.
-        self.x = np.array([v for p in pools for v in (p[2], p[3])])
-        self.y = np.array([(p[0] + self.share) / (p[1] + 1) for p in pools for _ in range(2)])
-        self.y = np.maximum.accumulate(self.y)
+        if pools:
+            # Shares are drawn a little to the prior, so that no score is entirely sure.
+            self.x = np.array([v for p in pools for v in (p[2], p[3])])
+            self.y = np.maximum.accumulate([(p[0] + self.share) / (p[1] + 1) for p in pools for _ in range(2)])
 
     def score(self, raw):
         return np.clip(np.interp(raw, self.x, self.y), 0, 1)
 
 
-def _examples(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """(doc_id, label, text) of the chosen labelled documents."""
-    chosen = labels.where("label IS NOT NULL AND doc_id IS NOT NULL").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    ids = F.broadcast(materialise(chosen.select("doc_id", F.col("label").cast("int").alias("label")), "labels"))
-    return materialise(docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "label", "text"), "examples")
+def _examples(docs: DataFrame, labels: DataFrame, sample: int, size: int) -> DataFrame:
+    """(doc_id, no, yes, text) of the chosen labelled documents, equal texts in one row."""
+    usable = labels.where("label IN (0, 1) AND doc_id IS NOT NULL").select("doc_id", F.col("label").cast("int").alias("label"), F.xxhash64("doc_id").alias("turn"))
+    chosen = [usable.where(F.col("label") == y).orderBy("turn", "doc_id").limit(sample // 2) for y in (0, 1)]
+    ids = F.broadcast(materialise(chosen[0].unionByName(chosen[1]), "labels"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(ids, "doc_id").groupBy("text").agg(
+        F.min("turn").alias("turn"), F.min("doc_id").alias("doc_id"), F.sum(1 - F.col("label")).alias("no"), F.sum("label").alias("yes"))
+    before = F.coalesce(F.sum(F.octet_length("text")).over(Window.orderBy("turn", "doc_id").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return materialise(rows.withColumn("before", before).where(F.col("before") < size).select("doc_id", "no", "yes", "text"), "examples")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, k: int = K) -> Index:
+def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, k: int = K, size: int = SIZE) -> Index:
     """labels(doc_id, label): what to learn from; docs(doc_id, text): all documents."""
-    examples = _examples(docs, labels, sample)
-    total = {r["label"]: r["n"] for r in examples.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    pos, neg = total.get(1, 0), total.get(0, 0)
+    examples = _examples(docs, labels, sample, size)
 
-    def each(batches):
+    def features(batches):
         for batch in batches:
-            label = batch.column(1).to_numpy(zero_copy_only=False)
-            for first, data, off in texts(batch.column(2)):
-                row, h = terms_of(data, off)
-                order = np.lexsort((h, row))
-                row, h = row[order], h[order]
-                new = np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])) if len(h) else np.zeros(0, bool)
-                yield pa.record_batch([pa.array(label[first + row[new]].astype(np.int32)), pa.array(h[new].view(np.int64))], names=["label", "term"])
-
-    a, b, n = F.col("a"), F.col("b"), pos + neg
-    # Log-likelihood ratio of the table of presence by label.
-    cell = lambda o, r, c: F.when(o > 0, o * F.log(o * n / (r * c))).otherwise(0.0)
-    z = F.sqrt(F.greatest(F.lit(0.0), 2 * (cell(a, a + b, F.lit(pos)) + cell(b, a + b, F.lit(neg)) + cell(pos - a, n - a - b, F.lit(pos)) + cell(neg - b, n - a - b, F.lit(neg)))))
-    by_term = examples.mapInArrow(each, "label int, term long").groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")).withColumn("z", z)
-    terms = [r["term"] for r in by_term.where(F.col("z") >= Z).orderBy(F.desc("z"), "term").limit(VOCABULARY).collect()] if pos and neg else []
-    hashes = np.sort(np.array(terms, np.int64).view(U))
+            for first, data, off in texts(batch.column(3)):
+                row, term, count = terms_of(data, off)
+                edge, n, raw, o = pa.array(row_bounds(row, len(off) - 1).astype(np.int32)), len(off) - 1, data.tobytes(), off.tolist()
+                yield pa.record_batch([*batch.slice(first, n).columns[:3], pa.array([digest(raw[a:b]) for a, b in zip(o[:-1], o[1:])], pa.binary()),
+                                       pa.ListArray.from_arrays(edge, pa.array(term.view(np.int64))), pa.ListArray.from_arrays(edge, pa.array(count.astype(np.int32)))],
+                                      names=["doc_id", "no", "yes", "digest", "terms", "counts"])
+
+    found = examples.mapInArrow(features, "doc_id long, no long, yes long, digest binary, terms array<long>, counts array<int>").toArrow().combine_chunks()
+    ids, no, yes = (found[c].to_pylist() for c in ("doc_id", "no", "yes"))
+    lists = found["terms"].combine_chunks() if len(ids) else pa.array([], pa.list_(pa.int64()))
+    sizes = np.diff(lists.offsets.to_numpy()) if len(ids) else np.zeros(0, np.int64)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).view(U)
+    hashes, place = np.unique(flat, return_inverse=True)
+    pos, neg = sum(yes), sum(no)
+    a, b = (np.bincount(place, np.repeat(np.array(y, float), sizes), len(hashes)) for y in (yes, no))
     df, n = _frequencies(docs, hashes)
-    blank = Index(hashes, np.ones(len(hashes)), [])
+    factor = (np.log((n + 1) / (df + 1)) + 1) * (association(a, b, pos, neg) if pos and neg else np.zeros(len(hashes)))
+    total = {r["label"]: r["count"] for r in labels.where("label IN (0, 1) AND doc_id IS NOT NULL").groupBy("label").count().collect()}
+    weight = (total.get(0, 0) / max(1, neg), total.get(1, 0) / max(1, pos))
+    edge, counts = np.append(0, np.cumsum(sizes)), (found["counts"].combine_chunks().flatten().to_numpy(zero_copy_only=False) if len(ids) else flat)
+    digests = found["digest"].to_pylist()
+    index = Index(hashes, factor, [(ids[j], digests[j], no[j], yes[j], place[edge[j]:edge[j + 1]], counts[edge[j]:edge[j + 1]]) for j in range(len(ids))], weight)
+    shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    def few(batches):
+    def others(batches):
+        index = shared.value
         for batch in batches:
-            for first, data, off in texts(batch.column(2)):
-                row, term, count = blank.counts(data, off)
-                edge = pa.array(np.searchsorted(row, np.arange(len(off))).astype(np.int32))
-                rows = batch.slice(first, len(off) - 1)
-                yield pa.record_batch([rows.column(0), rows.column(1), pa.ListArray.from_arrays(edge, pa.array(term.astype(np.int64))), pa.ListArray.from_arrays(edge, pa.array(count.astype(np.int64)))], names=["doc_id", "label", "terms", "counts"])
-
-    rows = examples.mapInArrow(few, "doc_id long, label int, terms array<long>, counts array<long>").collect()
-    index = Index(hashes, np.log((n + 1) / (df + 1)) + 1, sorted((r["doc_id"], r["label"], list(r["terms"]), list(r["counts"])) for r in rows))
-    index.calibrate(k)
+            no, yes = (batch.column(c).to_numpy(zero_copy_only=False) for c in (1, 2))
+            for first, data, off in texts(batch.column(3)):
+                rows, _, _, raw = index.answer(data, off, k)
+                yield pa.record_batch([pa.array(raw), pa.array(no[first + rows] * weight[0]), pa.array(yes[first + rows] * weight[1])], names=["raw", "no", "yes"])
+
+    if index.n:
+        voted = examples.repartition(max(1, examples.sparkSession.sparkContext.defaultParallelism)).mapInArrow(others, "raw double, no double, yes double").toArrow()
+        index.calibrate(*(voted[c].to_numpy() for c in ("raw", "no", "yes")))
     return index
 
 
 def _frequencies(docs: DataFrame, hashes: np.ndarray) -> tuple[np.ndarray, int]:
-    """In how many of all documents each term occurs, and their number."""
+    """In how many of all documents each term occurs, and their number: counts of each task, added up by pieces."""
     if not len(hashes):
         return np.zeros(0), 0
-    blank = Index(hashes, np.ones(len(hashes)), [])
+    shared = docs.sparkSession.sparkContext.broadcast(hashes)
 
     def count(batches):
-        total, n = np.zeros(len(hashes), np.int64), 0
+        hashes = shared.value
+        total = np.zeros(len(hashes) + 1, np.int64)
         for batch in batches:
-            n += batch.num_rows
+            total[-1] += batch.num_rows
             for _, data, off in texts(batch.column(0)):
-                total += np.bincount(blank.counts(data, off)[1], minlength=len(hashes))
-        yield pa.record_batch([pa.array(np.append(np.flatnonzero(total), -1)), pa.array(np.append(total[total > 0], n))], names=["term", "n"])
+                h = terms_of(data, off)[1]
+                at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
+                total += np.bincount(at[hashes[at] == h], minlength=len(total))
+        pieces = range(0, len(total), _SPLIT)
+        yield pa.record_batch([pa.array([i // _SPLIT for i in pieces], pa.int32()), pa.array([total[i:i + _SPLIT].tobytes() for i in pieces], pa.binary())], names=["piece", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x, np.int64) for x in table["counts"].to_pylist())
+        return pa.table({"piece": table["piece"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
-    found = {r["term"]: r["n"] for r in docs.select("text").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
-    return np.array([found.get(k, 0) for k in range(len(hashes))], float), found.get(-1, 0)
+    merged = docs.select("text").mapInArrow(count, "piece int, counts binary").groupBy("piece").applyInArrow(add, "piece int, counts binary").collect()
+    if not merged:
+        return np.zeros(len(hashes)), 0
+    total = np.concatenate([np.frombuffer(r["counts"], np.int64) for r in sorted(merged, key=lambda r: r["piece"])])
+    return total[:-1].astype(float), int(total[-1])
 
 
 ADDED = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("evidence", T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("label", T.IntegerType()), T.StructField("similarity", T.FloatType())])))])
 
 
 def score(docs: DataFrame, index: Index, text: str = "text", k: int = K) -> DataFrame:
-    """docs with score (0 to 1) and evidence (the nearest examples)."""
+    """docs with score (0 to 1) and evidence (the nearest examples; an example's label is that of most of its rows)."""
     docs = docs.drop(*ADDED.fieldNames())
     at = docs.columns.index(text)
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
         index = shared.value
+        label = (index.yes >= index.no).astype(np.int32)
         for batch in batches:
             for first, data, off in texts(batch.column(at)):
                 n = len(off) - 1
-                out = np.full(n, index.plain)
-                rows, who, best = index.nearest(*index.vectors(data, off), k)
-                counts = np.zeros(n, np.int64)
-                if len(rows):
-                    some = (who >= 0).any(axis=1)
-                    out[rows[some]] = index.score(index.votes(who[some], best[some]))
-                    counts[rows] = (who >= 0).sum(axis=1)
-                flat = who[who >= 0] if len(rows) else np.zeros(0, np.int64)
-                evidence = pa.StructArray.from_arrays([pa.array(index.ids[flat], pa.int64()), pa.array(index.labels[flat].astype(np.int32)), pa.array(best[who >= 0] if len(rows) else np.zeros(0, np.float32))], names=["doc_id", "label", "similarity"])
+                out, counts = np.full(n, index.plain), np.zeros(n, np.int64)
+                rows, who, best, raw = index.answer(data, off, k)
+                out[rows] = index.score(raw)
+                counts[rows] = (who >= 0).sum(axis=1)
+                flat = who[who >= 0]
+                evidence = pa.StructArray.from_arrays([pa.array(index.ids[flat], pa.int64()), pa.array(label[flat]), pa.array(best[who >= 0].astype(np.float32))], names=["doc_id", "label", "similarity"])
                 yield pa.record_batch([*batch.slice(first, n).columns, pa.array(out), pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)).astype(np.int32)), evidence)], names=[*batch.schema.names, *ADDED.fieldNames()])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, *ADDED.fields]))
