@@ -1,4 +1,7 @@
-"""Connected components of an undirected graph by alternating large-star and small-star joins."""
+"""Connected components of an undirected graph by alternating large-star and small-star joins.
+
+A node with very many neighbours would bring all of them to one task of a join; neighbours are therefore dealt
+over ``SALT`` parts, and the least neighbour of a node (one row, from a pre-aggregated grouping) goes to each."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
@@ -6,6 +9,15 @@ from pyspark.sql import functions as F
 
 from renewcast.llm.shared import materialise
 
+SALT = 16
+
+
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """edges(a, b) joined with least(a, m)."""
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALT)))
+    each = least.select("a", "m", F.explode(F.expr(f"sequence(0L, {SALT - 1}L)")).alias("salt"))
+    return salted.join(each, ["a", "salt"])
+
 
 def components(links: DataFrame) -> DataFrame:
     """links(a, b) of comparable ids -> (node, component): the smallest node that can be reached.  Nodes
@@ -17,10 +29,10 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         # Greater neighbours link to the least neighbour.
-        star = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        star = _with_least(both.where("b > a"), least).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         # Smaller neighbours and the node itself link to the least.
         least = star.groupBy("a").agg(F.min("b").alias("m"))
-        star = star.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        star = _with_least(star, least).select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         edges = materialise(star, "edges")
         now = tuple(edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
         if now == before:

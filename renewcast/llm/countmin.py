@@ -42,8 +42,11 @@ def _send(keys: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array((ids + depth * blocks).astype(np.int32)), pa.array([raw[edge[i]:edge[i + 1]] for i in range(len(ids))], pa.binary())], names=["block", "cells"])
 
 
-def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], blocks: int, least: int = 2) -> np.ndarray:
-    """Bits of the merged sketch (counts of at least ``least``, 1 or 2), shape (DEPTH, blocks * 8192).  keys_of: a batch's keys as 64-bit arrays."""
+def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray]], blocks: int, least: int = 2, more: tuple[int, ...] = ()) -> np.ndarray:
+    """Bits of the merged sketch (counts of at least ``least``, 1 or 2), shape (DEPTH, blocks * 8192).  keys_of: a batch's keys as 64-bit arrays.
+
+    more: further counts, for each of which bits follow, with one more dimension in front.  As a task sends a key
+    twice at most, these are rough and only good for ordering keys."""
 
     def partial(batches):
         held, n = [], 0
@@ -61,14 +64,14 @@ def build(df: DataFrame, keys_of: Callable[[pa.RecordBatch], Iterator[np.ndarray
         count = np.zeros(1 << 16, np.int64)
         for part in table["cells"].to_pylist():
             np.add.at(count, np.frombuffer(part, np.uint16), 1) if len(part) < 64 else np.add(count, np.bincount(np.frombuffer(part, np.uint16), minlength=1 << 16), out=count)
-        return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "bits": pa.array([np.packbits(count >= least, bitorder="little").tobytes()], pa.binary())})
+        return pa.table({"block": pa.array([table["block"][0].as_py()], pa.int32()), "bits": pa.array([b"".join(np.packbits(count >= n, bitorder="little").tobytes() for n in (least, *more))], pa.binary())})
 
     rows = df.mapInArrow(partial, "block int, cells binary").groupBy("block").applyInArrow(merge, "block int, bits binary")
-    out = np.zeros((DEPTH, blocks * 8192), np.uint8)
+    out = np.zeros((1 + len(more), DEPTH, blocks * 8192), np.uint8)
     for r in rows.toLocalIterator():
         depth, block = divmod(r["block"], blocks)
-        out[depth, block * 8192:(block + 1) * 8192] = np.frombuffer(r["bits"], np.uint8)
-    return out
+        out[:, depth, block * 8192:(block + 1) * 8192] = np.frombuffer(r["bits"], np.uint8).reshape(1 + len(more), 8192)
+    return out if more else out[0]
 
 
 def repeated(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:

@@ -9,16 +9,15 @@ need(a, b) = ceil(percent * (a + b) / (100 + percent)) shingles, so each enumera
 that its partners can need.  All sets with a subset in common link to the smallest of them where its need
 allows; a link between two others implies theirs to the smallest, so nothing more is paired.
 
-Large sets (heavy): linked sets of a space (a range of sizes) differ in at most k shingles.  Shingles are
-dealt by hash into k + 3 parts, so at least three parts agree in full, and each part's content is the key
-of an inverted list.  Empty parts say nothing and have no lists; a set with three or more of them is dealt
-again by another hash (and, after ``SEEDS`` hashes, lists its empty parts too), which keeps the guarantee.
-A merged count-min sketch drops lists of one set before they are written.  Lists are scanned in rounds:
-every set is compared, exactly, with the most central set (the one in the most and longest lists) of the
-lists it is in, and what links is merged; up to ``ROUNDS`` times, for lists that still hold several
-components.  Then the members of different components in a list are compared by sketches, which bound from
-below in how many shingles sets differ, and those that may link exactly.  A large group of near copies thus
-costs a comparison or a few for each copy, and no link is lost.
+Large sets (heavy) are found by inverted lists of shingles.  All shingles have one order, from rare to frequent
+(levels of a merged count-min sketch, then a hash), and linked sets share one of the first n - ceil(percent * n /
+100) + 1 shingles of each.  Only lists of these are made, and none of a shingle that the sketch, which never
+underestimates, holds to be in one set.  A set with enough shingles of its own is thus in no list at all.  Lists
+are scanned in rounds: every set is compared, exactly, with the most central set (the one in the most and longest
+lists) of the lists it is in, and what links is merged; up to ``ROUNDS`` times, for lists that still hold several
+components.  Then the members of different components in a list are compared by sketches, which bound from below
+in how many shingles sets differ, and those that may link exactly.  A large group of near copies thus costs a
+comparison or a few for each copy, and no link is lost.
 
 The boundary is where the total of subsets written and lists scanned is least for the sizes at hand; sets of
 at least percent % of it are in the inverted lists too, for links across.
@@ -44,7 +43,9 @@ from renewcast.llm.shared import materialise, text_bytes, whole_groups
 from renewcast.llm.textkernel import _P1, SPACE, U, mix, prefix_hash, ranges, row_bounds, span_hash, texts, word_hashes, word_spans
 
 #: What reading, pairing and checking an entry of an inverted list costs, in subsets written.
-SCAN, MOST_LIGHT, SEEDS, SPARE, ROUNDS, SKETCH, CELL = 16, 24, 4, 3, 2, 256, 1024
+SCAN, MOST_LIGHT, ROUNDS, SKETCH, CELL = 16, 24, 2, 256, 1024
+#: Counts that part frequent shingles from rarer ones, and cells of the sketch a shingle.
+LEVELS, CELLS = (8, 64), 2.0
 _WORD = ~SPACE
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -56,11 +57,10 @@ class Sizes:
     def __init__(self, percent: int, light: int):
         self.percent, self.light = percent, light
         self.first = max(1, -(-percent * (light + 1) // 100))
-        self.low, self.parts = [self.first], []
-        while self.low[-1] < 1 << 40:
-            high = self.low[-1] * 100 // percent
-            self.parts.append((high + high * 100 // percent) * (100 - percent) // (100 + percent) + SPARE)
-            self.low.append(high + 1)
+
+    def prefix(self, n):
+        """How many of its first shingles a heavy set of n has lists for."""
+        return n + (-self.percent * n // 100) + 1
 
     def need(self, a: int, b: int) -> int:
         return -(-self.percent * (a + b) // (100 + self.percent))
@@ -70,7 +70,7 @@ class Sizes:
         return sorted({c for b in range(1, self.light + 1) if min(n, b) * 100 >= self.percent * max(n, b) and (c := self.need(n, b)) <= min(n, b)})
 
     def cost(self, count: dict[int, int]) -> int:
-        return sum(k * (sum(comb(n, c) for c in self.subsets(n)) if n <= self.light else 0) + k * (2 * SCAN * self.parts[max(0, np.searchsorted(self.low, n, "right") - 1)] if n >= self.first else 0) for n, k in count.items())
+        return sum(k * (sum(comb(n, c) for c in self.subsets(n)) if n <= self.light else 0) + k * (SCAN * self.prefix(n) if n >= self.first else 0) for n, k in count.items())
 
 
 def choose_boundary(docs: DataFrame, percent: int, gram: int) -> int:
@@ -106,37 +106,17 @@ def _set_ids(h, of, rows):
     return mix(ids)
 
 
-def signatures(h, of, bound, sizes: Sizes):
-    """(row, key) of the inverted lists of the heavy sets."""
+def prefixes(h, of, bound, sizes: Sizes, bits):
+    """(row, shingle) of the inverted lists of the heavy sets; bits: the sketch's levels."""
     n = np.diff(bound)
-    band = np.searchsorted(sizes.low, n, "right") - 1
-    rows, keys = [], []
-    for back in (0, 1):
-        space = band - back
-        todo = np.flatnonzero((n >= sizes.first) & (space >= 0))
-        for seed in range(SEEDS):
-            if not len(todo):
-                break
-            parts = np.array(sizes.parts)[space[todo]]
-            edge = np.append(0, np.cumsum(parts))
-            which = np.repeat(np.arange(len(todo)), n[todo])
-            x = mix(h[ranges(bound[todo], n[todo])] + U((0x9E3779B97F4A7C15 * (seed + 1)) & (1 << 64) - 1))
-            cell = edge[which] + (x % parts[which].astype(U)).astype(np.int64)
-            content = np.zeros(edge[-1], U)
-            np.add.at(content, cell, mix(x))
-            full = np.zeros(edge[-1], bool)
-            full[cell] = True
-            of_part = np.repeat(np.arange(len(todo)), parts)
-            number = np.arange(edge[-1]) - edge[of_part]
-            key = mix(content + mix(((space[todo][of_part] * SEEDS + seed) << 32).astype(U) + number.astype(U)))
-            empty = np.bincount(of_part[~full], minlength=len(todo))
-            emit = full if seed < SEEDS - 1 else full | (empty >= SPARE)[of_part]
-            rows.append(todo[of_part[emit]])
-            keys.append(key[emit])
-            todo = todo[empty >= SPARE]
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, U)
-    return np.concatenate(rows), np.concatenate(keys)
+    heavy = np.flatnonzero(n >= sizes.first)
+    at = ranges(bound[heavy], n[heavy])
+    h, of = h[at], of[at]
+    level = sum(countmin.repeated(b, h).astype(np.int8) for b in bits)
+    order = np.lexsort((mix(h), level, of))
+    place = np.arange(len(order)) - np.repeat(np.append(0, np.cumsum(n[heavy]))[:-1], n[heavy])
+    keep = order[(place < np.repeat(sizes.prefix(n[heavy]), n[heavy])) & (level[order] > 0)]
+    return of[keep], h[keep]
 
 
 def subsets(h, bound, sizes: Sizes):
@@ -173,12 +153,11 @@ def _scan(docs: DataFrame, gram: int, sizes: Sizes, bits, carry=()) -> DataFrame
             for first, data, off in texts(batch.column(1)):
                 h, of, bound = sets(data, off, gram)
                 rows = len(off) - 1
-                row, key = signatures(h, of, bound, sizes)
-                keep = countmin.repeated(bits.value, key)
+                row, key = prefixes(h, of, bound, sizes, bits.value)
                 light = subsets(h, bound, sizes)
                 yield pa.record_batch([
                     batch.column(0).slice(first, rows), pa.array(_set_ids(h, of, rows).view(np.int64)), pa.array(np.diff(bound).astype(np.int32)),
-                    *_lists(row[keep], rows, key[keep]), *_lists(light[0], rows, light[1], light[2]),
+                    *_lists(row, rows, key), *_lists(light[0], rows, light[1], light[2]),
                     *(batch.column(2 + i).slice(first, rows) for i in range(len(carry))),
                 ], names=["doc_id", "node", "n", "lists", "subsets", "sizes", *carry])
 
@@ -267,9 +246,11 @@ def jaccard_join(docs: DataFrame, percent: int = 85, gram: int = 4, light: int |
 
     def keys(batch):
         for _, data, off in texts(batch.column(1)):
-            yield signatures(*sets(data, off, gram), sizes)[1]
+            h, _, bound = sets(data, off, gram)
+            n = np.diff(bound)
+            yield h[ranges(bound[:-1], np.where(n >= sizes.first, n, 0))]
 
-    bits = countmin.build(docs, keys, countmin.blocks_for(text_bytes(docs) // 15))
+    bits = countmin.build(docs, keys, countmin.blocks_for(text_bytes(docs) // 6, CELLS), more=LEVELS)
     rows = materialise(_scan(wide, gram, sizes, bits, carry), "sets")
     nodes = materialise(rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_doc"), F.first("lists").alias("lists"), F.first("subsets").alias("subsets"), F.first("sizes").alias("sizes")), "nodes")
     # Light: all sets with a subset in common, to the smallest.
