@@ -7,6 +7,7 @@ of items stay far below that length.
 """
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 
@@ -14,6 +15,21 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
+
+
+def _return_memory(threshold: int = 4 << 20) -> None:
+    """Have the C library give large arrays back at once (M_MMAP_THRESHOLD, M_TRIM_THRESHOLD), Arrow's too, so that
+    a worker that is used again holds no more than its own task needs.  Other C libraries are left alone."""
+    try:
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, threshold)
+        libc.mallopt(-1, threshold)
+    except (OSError, AttributeError):
+        return
+    pa.set_memory_pool(pa.system_memory_pool())
+
+
+_return_memory()
 #: Words end at these bytes (ASCII white space).
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -41,8 +41,8 @@ from renewcast.llm.textkernel import U, ranges, row_bounds, texts, word_hashes,
 
 SAMPLE, SIZE, K = 4096, 64 << 20, 15
 BLOCK, FIRST, SOFT, PRIOR = 64, 6, 0.1, 1.0
-#: Entries of posting lists looked at together.
-STEP = 1 << 19
+#: Postings that texts answered together may ask for.
+STEP = 1 << 20
 _SPLIT = 1 << 12
 
 
@@ -100,6 +100,16 @@ class Index:
         self.block = (code[first] % self.blocks).astype(np.int32)
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0, np.float32)
         self.list = np.searchsorted(term[first], np.arange(len(hashes) + 1))
+        # Long lists as rows; their blocks keep the largest weights, but have no postings to walk.
+        length = np.bincount(term, minlength=len(hashes))
+        long = np.flatnonzero(length > self.n / 8)
+        self.row = np.full(len(hashes), -1, np.int32)
+        self.row[long] = np.arange(len(long))
+        self.rows = np.zeros((len(long), self.blocks * BLOCK), np.float32)
+        own = self.row[term] >= 0
+        self.rows[self.row[term[own]], self.who[own]] = self.weight[own]
+        self.size = np.where(self.row[term[first]] >= 0, 0, np.diff(self.post)).astype(np.int32)
+        self.work = np.where(self.row >= 0, 0, length) + np.diff(self.list)
         total = [sum(e[2 + y] * weight[y] for e in examples) for y in (0, 1)]
         self.share = total[1] / sum(total) if sum(total) else 0.0
         self.x, self.y, self.plain = np.array([0.0, 1.0]), np.array([0.0, 1.0]), self.share
@@ -124,7 +134,7 @@ class Index:
         skip: by row, an example that doesn't count (-1: none)."""
         rows, first = np.unique(row, return_index=True)
         ends = np.append(first, len(row))
-        work = np.append(0, np.cumsum(self.list[term + 1] - self.list[term]))[ends]
+        work = np.append(0, np.cumsum(self.work[term]))[ends]
         edge, who, best = 0, [np.zeros((0, k), np.int64)], [np.zeros((0, k))]
         while edge < len(rows):
             stop = min(len(rows), edge + 256, max(edge + 1, int(np.searchsorted(work, work[edge] + STEP, "right")) - 1))
@@ -140,9 +150,15 @@ class Index:
         width = self.blocks * BLOCK
         count = self.list[term + 1] - self.list[term]
         entry = ranges(self.list[term], count)
+        ask = np.zeros((m, len(self.rows)), np.float32)
+        long = self.row[term] >= 0
+        ask[of[long], self.row[term[long]]] = weight[long]
         of, weight, block = np.repeat(of, count), np.repeat(weight, count), self.block[entry]
         bound = np.bincount(of * self.blocks + block, weight * self.most[entry], m * self.blocks).reshape(m, self.blocks)
-        similar = np.zeros(m * width)
+        # Where a block isn't visited, this stays below its bound.
+        similar = (ask @ self.rows).astype(float).ravel()
+        walk = np.flatnonzero(self.size[entry] > 0)
+        entry, of, weight, block = entry[walk], of[walk], weight[walk], block[walk]
         visit = np.zeros((m, self.blocks), bool)
         if self.blocks > FIRST:
             np.put_along_axis(visit, np.argpartition(-bound, FIRST, axis=1)[:, :FIRST], True, axis=1)
@@ -151,7 +167,7 @@ class Index:
         seen = np.zeros_like(visit)
         while True:
             at = np.flatnonzero(visit[of, block])
-            size = self.post[entry[at] + 1] - self.post[entry[at]]
+            size = self.size[entry[at]]
             p = ranges(self.post[entry[at]], size)
             similar += np.bincount(np.repeat(of[at], size) * width + self.who[p], np.repeat(weight[at], size) * self.weight[p], m * width)
             seen |= visit
