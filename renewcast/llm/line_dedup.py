@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from renewcast.llm.shared import materialise
+from renewcast.llm.shared import join_hot, materialise
 
 WORD = r"[^\x20\x09-\x0D]+"
 KEY = ["_doc", "_text"]
@@ -40,11 +40,12 @@ def _lines(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
 def _runs(lines: DataFrame, min_words: int) -> DataFrame:
     """The lines that occur in several documents, by place among the document's lines, with the lengths (in
     lines) of the shortest runs that begin (m_to) and end (m_from) there, where these hold repeated lines only."""
-    repeated = lines.groupBy("line").agg(F.min("_doc").alias("a"), F.max("_doc").alias("b")).where("a < b").select("line", F.lit(1).alias("again"))
-    rows = lines.join(repeated, "line", "left")
+    lines = materialise(lines, "all-lines")
+    counts = materialise(lines.groupBy("line").agg((F.min("_doc") < F.max("_doc")).cast("int").alias("r"), F.count(F.lit(1)).alias("copies")), "line-counts")
+    rows = join_hot(lines, counts, "line")
     doc = Window.partitionBy(*KEY)
     by_line = doc.orderBy("line_no")
-    rows = rows.select("*", F.coalesce("again", F.lit(0)).alias("r"), F.row_number().over(by_line).alias("place"), F.sum("words").over(by_line).cast("long").alias("upto"))
+    rows = rows.select("*", F.row_number().over(by_line).alias("place"), F.sum("words").over(by_line).cast("long").alias("upto"))
     rows = rows.withColumn("begun", F.col("upto") - F.col("words"))
     ahead, back = doc.orderBy("begun").rangeBetween(0, min_words - 1), doc.orderBy("upto").rangeBetween(1 - min_words, 0)
 
@@ -107,11 +108,13 @@ def line_dedup(docs: DataFrame, min_words: int = 50, text: str = "text", doc_id:
     found = repeated_runs(docs, min_words, text, doc_id)
     base = docs.drop("n_lines", "n_removed", "spans")
     names = base.columns
-    joined = base.withColumn("_doc", F.col(doc_id)).withColumn("_text", F.xxhash64(text)).join(found, KEY, "left")
-    lines = F.split(text, "\n")
+    # The rows travel as one column, so that none of theirs can clash with the operator's own.
+    joined = base.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"), F.col(doc_id).alias("_doc"), F.xxhash64(text).alias("_text")).join(found, KEY, "left")
+    body = F.col("row").getField(text)
+    lines = F.split(body, "\n")
     out = F.array_join(F.filter(lines, lambda x, i: ~F.exists("spans", lambda s: (s["a"] <= i) & (i <= s["b"]))), "\n")
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"] + 1)
-    return joined.select(*(F.when(F.col("spans").isNull(), F.col(c)).otherwise(out).alias(c) if c == text else F.col(c) for c in names),
+    return joined.select(*(F.when(F.col("spans").isNull(), body).otherwise(out).alias(c) if c == text else F.col("row").getField(c).alias(c) for c in names),
                          F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(removed, F.lit(0)).alias("n_removed"), F.coalesce("spans", F.array().cast("array<struct<a:int,b:int>>")).alias("spans"))
 
 

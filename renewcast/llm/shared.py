@@ -49,6 +49,19 @@ def same_row(left: DataFrame, right: DataFrame, *keys: str):
     return cond
 
 
+def join_hot(rows: DataFrame, decided: DataFrame, *keys: str, copies: str = "copies", share: int = 1000) -> DataFrame:
+    """The inner join of rows with decided, which has one row for each key of theirs and says how many ``copies`` the
+    rows hold of it.  Keys that more than 1 / share of all rows have, fewer than ``share``, are broadcast, so that none
+    of them fills a task; the others are joined by a shuffle.  Both tables are read several times."""
+    total = decided.agg(F.sum(copies).alias("n")).first()["n"] or 0
+    limit = max(share, total // share)
+    hot, cold = decided.where(F.col(copies) > limit), decided.where(F.col(copies) <= limit)
+    if not hot.limit(1).count():
+        return rows.join(cold, list(keys))
+    apart = rows.join(F.broadcast(hot.select(*keys)), list(keys), "left_anti").join(cold, list(keys))
+    return apart.unionByName(rows.join(F.broadcast(hot), list(keys)))
+
+
 def whole_groups(batches, rows: int = 1 << 16):
     """Tables of about so many rows, cut where ``at`` changes."""
     held, n = [], 0

@@ -9,7 +9,8 @@ in a document with a smaller id.  Two passes over the text:
    in how many documents a window's anchor, and so the window, can occur.
 2. Only windows whose anchor is estimated repeated are grouped exactly.  A run of windows with one anchor is
    a segment.  Equal segments are grouped first (partial aggregation takes care of hot groups); the windows
-   themselves are compared only between the different segments of one anchor.
+   themselves are compared only between the different segments of one anchor.  A segment that a large part of all
+   occurrences have is decided by a broadcast of bounded size instead of in one task.
 
 Windows are compared by 64-bit hashes within their anchor's 64-bit hash.  Nulls and empty texts have no
 words.  Rows that share an id count as one document's pieces: none of them is earlier than the other, and
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renewcast.llm import countmin
-from renewcast.llm.shared import materialise, text_bytes
+from renewcast.llm.shared import join_hot, materialise, text_bytes
 from renewcast.llm.textkernel import _P2, SPACE, U, anchors, cover, mix, prefix_hash, ranges, row_bounds, span_hash, texts, word_hashes, word_spans
 
 GRAM = 20
@@ -78,14 +79,14 @@ def removed_segments(docs: DataFrame, window: int = 50, gram: int = GRAM) -> Dat
     bits = countmin.build(docs, keys, countmin.blocks_for(about))
     found = materialise(_found(docs, window, gram, bits), "windows")
     # Equal segments are one piece, with its windows as any of them has them.
-    pieces = materialise(found.groupBy("anchor", "segment", "n").agg(F.min("doc_id").alias("first_doc"), F.first("windows").alias("windows")), "pieces")
+    pieces = materialise(found.groupBy("anchor", "segment", "n").agg(F.min("doc_id").alias("first_doc"), F.count(F.lit(1)).alias("copies"), F.first("windows").alias("windows")), "pieces")
     parts = pieces.drop("windows")
     several = parts.groupBy("anchor").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("anchor")
     each = pieces.join(several, "anchor", "left_semi").select("anchor", "segment", "n", "first_doc", F.posexplode("windows").alias("j", "window"))
     least = each.groupBy("anchor", "window").agg(F.min("first_doc").alias("least"))
     late = each.join(least, ["anchor", "window"]).where("least < first_doc").groupBy("anchor", "segment", "n").agg(F.expr("bit_or(shiftleft(1L, j))").alias("mask"))
-    decided = parts.join(late, ["anchor", "segment", "n"], "left")
-    return (found.select("doc_id", "at", "anchor", "segment", "n").join(decided, ["anchor", "segment", "n"])
+    decided = materialise(parts.join(late, ["anchor", "segment", "n"], "left").where("copies > 1 OR mask IS NOT NULL"), "decided")
+    return (join_hot(found.select("doc_id", "at", "anchor", "segment", "n"), decided, "anchor", "segment", "n")
             .select("doc_id", "at", "n", F.when(F.col("doc_id") > F.col("first_doc"), F.expr("shiftleft(1L, n) - 1")).otherwise(F.coalesce("mask", F.lit(0))).alias("mask")).where("mask <> 0"))
 
 

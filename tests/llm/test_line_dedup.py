@@ -64,3 +64,9 @@ def test_table_by_sql(spark, sf):
     want = con.execute(f"SELECT {', '.join(columns)} FROM ({OP9_SQL})").fetchall()
     have = [tuple(r) for r in op9_line_dedup(spark, sf).select(*columns).collect()]
     assert sorted(have) == sorted(want) and sum(r[3] for r in have) > 0
+
+
+def test_names_of_its_own(spark):
+    df = spark.createDataFrame([(i, "a line of words\nanother line here", f"mine{i}", i) for i in range(3)], "doc_id long, text string, _doc string, _text long")
+    out = line_dedup(df, 3).orderBy("doc_id").collect()
+    assert [(r["_doc"], r["_text"]) for r in out] == [("mine0", 0), ("mine1", 1), ("mine2", 2)] and [r["n_removed"] for r in out] == [0, 2, 2]

@@ -65,3 +65,12 @@ def test_bytes_on_the_table(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     got = sorted(map(tuple, op2_suffix_dedup(spark, sf).collect()), key=str)
     assert got == brute(rows_of(docs), octets, 50, b"".join) and sum(r[2] for r in got) > 0
+
+
+def test_a_hot_text(spark):
+    """Copies of one text beyond what is left to a shuffle (join_hot), and variants of it."""
+    base = [f"word{i}" for i in range(70)]
+    rows = [(i, " ".join(base)) for i in range(1, 1301)] + [(2000 + i, " ".join(base[:i] + ["other"] + base[i:])) for i in range(3, 60, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, substring_dedup(df).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=str) == by_words(rows)
+    assert sorted(map(tuple, suffix_dedup(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()), key=str) == brute(rows, octets, 50, b"".join)
