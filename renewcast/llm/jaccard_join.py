@@ -44,8 +44,9 @@ from renewcast.llm.textkernel import _P1, SPACE, U, mix, prefix_hash, ranges, ro
 
 #: What reading, pairing and checking an entry of an inverted list costs, in subsets written.
 SCAN, MOST_LIGHT, ROUNDS, SKETCH, CELL = 16, 24, 2, 256, 1024
-#: Counts that part frequent shingles from rarer ones, and cells of the sketch a shingle.
-LEVELS, CELLS = (8, 64), 2.0
+#: Counts that part frequent shingles from rarer ones; cells of the sketch a shingle, and blocks of them at most.  The
+#: sketch need not be sharp: a set is left out as soon as its first shingles, a fifth or so, are known to be its own.
+LEVELS, CELLS, BLOCKS = (16,), 0.5, 1 << 12
 _WORD = ~SPACE
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -250,8 +251,9 @@ def jaccard_join(docs: DataFrame, percent: int = 85, gram: int = 4, light: int |
             n = np.diff(bound)
             yield h[ranges(bound[:-1], np.where(n >= sizes.first, n, 0))]
 
-    bits = countmin.build(docs, keys, countmin.blocks_for(text_bytes(docs) // 6, CELLS), more=LEVELS)
+    bits = countmin.build(docs, keys, min(BLOCKS, countmin.blocks_for(text_bytes(docs) // 6, CELLS)), more=LEVELS)
     rows = materialise(_scan(wide, gram, sizes, bits, carry), "sets")
+    del bits
     nodes = materialise(rows.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("doc_id").alias("first_doc"), F.first("lists").alias("lists"), F.first("subsets").alias("subsets"), F.first("sizes").alias("sizes")), "nodes")
     # Light: all sets with a subset in common, to the smallest.
     each = nodes.where(F.size("subsets") > 0).select("node", "n", F.explode(F.arrays_zip("subsets", "sizes")).alias("s")).select("node", "n", F.col("s.subsets").alias("key"), F.col("s.sizes").alias("c"))
