@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from renewcast.llm.textkernel import SPACE, ranges, texts, word_spans
 
 TOKENIZER = "word_bpe_49k.json"
-LEAF, PART, CACHE, TOGETHER = 4096, 1 << 16, 48 << 20, 200
+LEAF, PART, CACHE, TOGETHER = 4096, 1 << 16, 20 << 20, 200
 _WORD = ~SPACE
 
 

@@ -175,20 +175,25 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str, limit: int):
     total = items.agg(F.sum(F.size(lower_words("text"))).alias("n")).first()["n"] or 0
     n = max(1, -(-total // limit))
     for k in range(n):
-        yield [(r["item"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()]
+        yield k == n - 1, [(r["item"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == k).collect()]
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """docs with n_words, n_hit, longest (match, in words), spans (hit words: at, n) and items (ids as strings)."""
+    return _find(docs, benchmark, window, text, item_id, item_text, block_words)
+
+
+def _find(docs: DataFrame, benchmark: DataFrame, window: int = 10, text: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS, finish=None, more: tuple = ()) -> DataFrame:
+    """finish: what makes the columns ``more`` of a batch of results, within the last pass."""
     names = ADDED.fieldNames()
-    out = docs.drop(*names)
+    out = docs.drop(*names, *(f.name for f in more))
     kept = out.columns
-    for k, items in enumerate(_blocks(benchmark, item_id, item_text, block_words)):
-        out = _pass(out, Matcher(items, window), text, k > 0)
-    return out.select(*kept, *names)
+    for k, (last, items) in enumerate(_blocks(benchmark, item_id, item_text, block_words)):
+        out = _pass(out, Matcher(items, window), text, k > 0, finish if last else None, more if last else ())
+    return out.select(*kept, *names, *(f.name for f in more))
 
 
-def _pass(docs: DataFrame, matcher: Matcher, text: str, again: bool) -> DataFrame:
+def _pass(docs: DataFrame, matcher: Matcher, text: str, again: bool, finish, more) -> DataFrame:
     matcher = docs.sparkSession.sparkContext.broadcast(matcher)
     names = ADDED.fieldNames()
     plain = [f for f in docs.schema.fields if f.name not in names]
@@ -226,42 +231,39 @@ def _pass(docs: DataFrame, matcher: Matcher, text: str, again: bool) -> DataFram
                 head, tail = np.flatnonzero(head), np.flatnonzero(tail)
                 edge = np.searchsorted(row[head], np.arange(n + 1)) if len(head) else np.zeros(n + 1, np.int64)
                 spans = pa.StructArray.from_arrays([pa.array((head - bound[row[head]]).astype(np.int32)), pa.array((tail - head + 1).astype(np.int32))], names=["at", "n"])
-                yield pa.record_batch([
+                result = pa.record_batch([
                     *rows.columns[:len(plain)], pa.array(np.diff(bound)), pa.array(counts), pa.array([longest.get(r, 0) for r in range(n)], pa.int32()),
                     pa.ListArray.from_arrays(pa.array(edge.astype(np.int32)), spans), pa.array([sorted(items.get(r, ())) for r in range(n)], pa.list_(pa.string())),
                 ], names=[*(f.name for f in plain), *names])
+                yield pa.record_batch([*result.columns, *finish(result)], names=[*result.schema.names, *(f.name for f in more)]) if finish else result
 
-    return docs.mapInArrow(run, T.StructType([*plain, *ADDED.fields]))
+    return docs.mapInArrow(run, T.StructType([*plain, *ADDED.fields, *more]))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, span_limit: int = 1, coverage_limit: float = 0.5, text: str = "text", **how) -> DataFrame:
     """The documents with the result columns of ``find``, ``clean`` (the text without the removed spans) and ``dropped``."""
-    found = find(docs, benchmark, window, text, **how)
-    names = [f for f in found.schema.fields if f.name not in ("clean", "dropped")]
-    found = found.select(*(f.name for f in names))
-    at, spans, words, hit = (found.columns.index(c) for c in (text, "spans", "n_words", "n_hit"))
-
-    def cut(batches):
-        for batch in batches:
-            column, dropped = [], []
-            for t, s, n, k in zip(*(batch.column(c).to_pylist() for c in (at, spans, words, hit))):
-                drop = bool(n and k > coverage_limit * n)
-                s = [x for x in s if x["n"] >= span_limit]
-                if drop:
-                    t = ""
-                elif s:
-                    raw = t.encode()
-                    start, end, _ = word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM)
-                    parts, last = [], 0
-                    for x in s:
-                        parts.append(raw[last:start[x["at"]]])
-                        last = int(end[x["at"] + x["n"] - 1])
-                    t = b"".join([*parts, raw[last:]]).decode()
-                column.append(t)
-                dropped.append(drop)
-            yield pa.record_batch([*batch.columns, pa.array(column, pa.string()), pa.array(dropped, pa.bool_())], names=[*batch.schema.names, "clean", "dropped"])
-
-    return found.mapInArrow(cut, T.StructType([*names, T.StructField("clean", T.StringType()), T.StructField("dropped", T.BooleanType())]))
+    more = (T.StructField("clean", T.StringType()), T.StructField("dropped", T.BooleanType()))
+
+    def cut(batch):
+        column, dropped = [], []
+        for t, s, n, k in zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text, "spans", "n_words", "n_hit"))):
+            drop = bool(n and k > coverage_limit * n)
+            s = [x for x in s if x["n"] >= span_limit]
+            if drop:
+                t = ""
+            elif s:
+                raw = t.encode()
+                start, end, _ = word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), ALNUM)
+                parts, last = [], 0
+                for x in s:
+                    parts.append(raw[last:start[x["at"]]])
+                    last = int(end[x["at"] + x["n"] - 1])
+                t = b"".join([*parts, raw[last:]]).decode()
+            column.append(t)
+            dropped.append(drop)
+        return pa.array(column, pa.string()), pa.array(dropped, pa.bool_())
+
+    return _find(docs, benchmark, window, text, finish=cut, more=more, **how)
 
 
 def op4_decontaminate(spark, sf_dir: str) -> DataFrame:

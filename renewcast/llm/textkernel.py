@@ -35,7 +35,7 @@ SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 BASE1, BASE2 = U(0x9E3779B97F4A7C15), U(0xC2B2AE3D27D4EB4F)
 #: Texts are taken together up to about this many bytes, to bound the temporaries of one step.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 LONG = 128
 
 
