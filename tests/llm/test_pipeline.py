@@ -19,7 +19,7 @@ def test_pipeline(spark):
     bad = {r["doc_id"] for r in score(docs, learn(spark, docs, sf)).where("score >= 0.5").collect()}
     left = [(d, r["text"]) for d, r in rows.items() if d not in bad]
     cut = [(d, t) for d, t, _, n in lines(left, 50) if not n or t.strip()]
-    leaders = {d for d, n, c in groups(cut) if n == 0 or d == c}
+    leaders = {d for d, n, c in groups(cut, corpus_pipeline.PERCENT, corpus_pipeline.GRAM) if n == 0 or d == c}
     kept = [(d, t) for d, t in cut if d in leaders]
     items = [words(r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     grams = {tuple(w[i:i + 10]) for w in items for i in range(max(1, len(w) - 9)) if w}
