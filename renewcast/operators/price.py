@@ -57,11 +57,13 @@ def uplift_backtest(fine: DataFrame, cfg: C.Config) -> DataFrame:
 
 
 def weighted_percentiles(fine: DataFrame, cfg: C.Config) -> DataFrame:
-    """The rows at which the running share of renewed money passes 10, 50 and 90 %, by their uplift."""
+    """The uplifts below which 10, 50 and 90 % of the renewed money lie, between rows by straight lines."""
     rows = renewers(fine, cfg).groupBy("region", F.round(F.col("ren_value") / 200.0 / F.col("base_cents"), 4).alias("u")).agg(F.sum("base_cents").alias("w"))
     w = Window.partitionBy("region").orderBy("u")
     rows = rows.select("region", "u", (F.sum("w").over(w) / F.sum("w").over(Window.partitionBy("region"))).alias("share"))
-    at = lambda q: F.min(F.when(F.col("share") >= q, F.col("u")))
+    rows = rows.withColumn("u0", F.lag("u").over(w)).withColumn("s0", F.lag("share").over(w))
+    between = lambda q: F.coalesce(F.col("u0") + (F.col("u") - F.col("u0")) * (q - F.col("s0")) / (F.col("share") - F.col("s0")), F.col("u"))
+    at = lambda q: F.round(F.min_by(F.when(F.col("share") >= q, between(q)), F.when(F.col("share") >= q, F.col("share"))), 6)
     return rows.groupBy("region").agg(at(0.1).alias("p10"), at(0.5).alias("p50"), at(0.9).alias("p90"))
 
 

@@ -126,6 +126,32 @@ _STAGE = ", money AS (SELECT s.*, coalesce(m.cents, 0) AS cents FROM stages s LE
     f"SELECT {s} AS stage, '{n}' AS name, count(DISTINCT stage{s}_id) AS groups, count(*) AS series, round(coalesce(sum(cents) FILTER (stage{s}_support >= 30), 0)::DOUBLE / sum(cents)::DOUBLE, 6) AS share_floor, round(coalesce(sum(cents) FILTER (stage{s}_support >= 271), 0)::DOUBLE / sum(cents)::DOUBLE, 6) AS share_own FROM money"
     for s, n in enumerate(("raw", "sign", "extras", "collapse")))
 
+_ESTIMATE = """, rt AS (SELECT fs_id, max(sign) AS sign, count(DISTINCT ord) FILTER (role <> 'proyeccion') AS old, count(DISTINCT ord) FILTER (role = 'proyeccion') AS coming, avg(ts) AS share, coalesce(sum(due_cents) FILTER (role = 'proyeccion'), 0)::BIGINT AS cents FROM fin GROUP BY fs_id),
+e0 AS (SELECT rt.*, coalesce(c.pass, 0) AS pass, coalesce(c.composition, rt.fs_id) AS composition, coalesce(CASE WHEN c.fs_id IS NULL THEN s.support ELSE c.support END, 0) AS n, CASE WHEN c.fs_id IS NULL THEN s.ren_units::DOUBLE / nullif(s.due_units, 0) ELSE c.ren_units::DOUBLE / nullif(c.due_units, 0) END AS p,
+  greatest(coalesce(s.support, 0), 1) AS own, coalesce(s.months, 0) AS months, f.reference, f.r_support, coalesce(kk.k, 60) AS k, f.r_ren::DOUBLE / nullif(f.r_due, 0) AS r
+  FROM rt LEFT JOIN summary s ON rt.fs_id = s.fs_id LEFT JOIN chosen c ON rt.fs_id = c.fs_id LEFT JOIN refs f ON rt.fs_id = f.fs_id LEFT JOIN kk ON f.reference = kk.reference),
+e1 AS (SELECT *, reference IS NOT NULL AND r IS NOT NULL AND p IS NOT NULL AND n < 271 AS blends, 100 * sqrt(p * (1 - p) / greatest(n, 1)) AS alone, 100 * sqrt(r * (1 - r) / greatest(r_support, 1)) AS wide FROM e0),
+e2 AS (SELECT *, CASE WHEN blends THEN n / (n + k) ELSE 1.0::DOUBLE END AS z FROM e1),
+e3 AS (SELECT *, CASE WHEN blends THEN z * p + (1 - z) * r ELSE p END AS q, CASE WHEN blends THEN sqrt(z * alone * z * alone + (1 - z) * wide * (1 - z) * wide) ELSE alone END AS err FROM e2),
+est AS (SELECT fs_id, composition, pass, reference, months, round(z, 3) AS z, round(q, 6) AS rate, round(err, 6) AS error_estimate_pp, round(sqrt(err * err + 10000 * q * (1 - q) / own), 6) AS error_prediction_pp, round(100 * (q - p), 6) AS credibility_effect_pp, (n >= 30)::INT AS reaches_floor,
+  CASE WHEN coming = 0 THEN 'N_sin_impacto' WHEN share <> 0 THEN 'T_universo_ts' WHEN old = 0 OR months = 0 THEN 'D_sin_historia' WHEN sign = 'mixto' THEN 'M_signo_mixto' WHEN n < 30 AND sign <> 'neutro' THEN 'S_signo_bajo_suelo' WHEN n < 30 THEN 'C_lejano'
+    WHEN pass = 0 AND n >= 271 AND months >= 12 THEN 'A_propio' WHEN pass = 0 AND n >= 271 THEN 'A2_propio_corto' WHEN pass = 0 THEN 'A3_propio_reforzado' WHEN pass <= 2 THEN 'B_prestado' ELSE 'C_lejano' END AS risk, cents AS to_predict_cents FROM e3)
+"""
+_SECOND = """, sm AS (SELECT region, ord, coalesce(sum(ren_units), 0)::DOUBLE AS units, coalesce(sum(ren_value), 0)::DOUBLE / 20000 AS value FROM fin WHERE ts = 1 AND ord < 24009 GROUP BY ALL),
+sp AS (SELECT region, sum(units) FILTER (ord BETWEEN 24006 AND 24008) AS a, sum(units) FILTER (ord BETWEEN 23994 AND 23996) AS b, sum(units) FILTER (ord >= 23997) AS yu, sum(value) FILTER (ord >= 23997) AS yv FROM sm GROUP BY region),
+sl AS (SELECT region, a / nullif(b, 0) AS level, yv / nullif(yu, 0) AS price, yu, sum(a) OVER () / nullif(sum(b) OVER (), 0) AS all_level, sum(yv) OVER () / nullif(sum(yu) OVER (), 0) AS all_price, sum(yu) OVER () AS all_units FROM sp),
+so AS (SELECT region, ord + 12 AS ord, units FROM sm WHERE ord BETWEEN 23997 AND 23999), sn AS (SELECT ord, sum(units) AS total FROM so GROUP BY ord),
+s1 AS (SELECT sl.*, m.ord, so.units AS old, total, so.units IS NULL OR level IS NULL AS shared FROM sl CROSS JOIN (SELECT unnest([24009, 24010, 24011])::INT AS ord) m LEFT JOIN so ON so.region = sl.region AND so.ord = m.ord LEFT JOIN sn ON sn.ord = m.ord),
+s2 AS (SELECT region, ord, CASE WHEN shared THEN total * all_level * yu / nullif(all_units, 0) ELSE old * level END AS units, CASE WHEN shared THEN coalesce(price, all_price) ELSE price END AS price, CASE WHEN shared THEN all_level ELSE level END AS level, shared::INT AS by_share FROM s1),
+sr AS (SELECT region, sum(ren_units)::DOUBLE / nullif(sum(due_units), 0)::DOUBLE AS rate FROM fin WHERE ts = 0 AND ord BETWEEN 23997 AND 24008 GROUP BY region), sg AS (SELECT sum(ren_units)::DOUBLE / nullif(sum(due_units), 0)::DOUBLE AS rate FROM fin WHERE ts = 0 AND ord BETWEEN 23997 AND 24008)
+SELECT region, ord, 'ts_real' AS origin, round(units, 4) AS units, round(value, 4) AS value, round(value, 4) AS revenue, NULL::DOUBLE AS level, NULL::INT AS by_share, NULL::DOUBLE AS rate, NULL::VARCHAR AS rate_level, NULL::DOUBLE AS renewed_units FROM sm WHERE ord >= 24000
+UNION ALL SELECT region, ord, 'ts_proyectado', round(units, 4), round(units * price, 4), round(units * price, 4), round(level, 6), by_share, NULL, NULL, NULL FROM s2 WHERE units IS NOT NULL
+UNION ALL SELECT s2.region, ord + 12, 'ts_reentrada', round(units, 4), round(units * price, 4), round(units * price / 0.6::DOUBLE * coalesce(sr.rate, sg.rate), 4), NULL, NULL, round(coalesce(sr.rate, sg.rate), 6), CASE WHEN sr.rate IS NULL THEN 'global' ELSE 'region' END, round(units * coalesce(sr.rate, sg.rate), 4) FROM s2 LEFT JOIN sr ON s2.region = sr.region CROSS JOIN sg WHERE units IS NOT NULL"""
+_SHEETS = """, x AS (SELECT fs_id, concat_ws('|', region, product) AS cell, ord, due_units, ren_units FROM past WHERE due_units > 0),
+e AS (SELECT x.*, h, ord - h AS origin FROM x CROSS JOIN (VALUES (1), (6)) v(h) WHERE ord >= 24006), o AS (SELECT DISTINCT origin FROM e),
+sc AS (SELECT origin, cell, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS r FROM o JOIN x ON x.ord BETWEEN origin - 11 AND origin GROUP BY ALL), sa AS (SELECT origin, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS r FROM o JOIN x ON x.ord BETWEEN origin - 11 AND origin GROUP BY ALL)
+SELECT e.fs_id, e.ord, e.h, e.due_units, e.ren_units AS real_units, round(coalesce(sc.r, sa.r), 6) AS sheet_cell, round(sa.r, 6) AS sheet_all FROM e LEFT JOIN sc ON e.origin = sc.origin AND e.cell = sc.cell LEFT JOIN sa ON e.origin = sa.origin"""
+
 SQL = {k: _BASE + v for k, v in {
     "calendar_by_month": "SELECT ord, role, count(*) AS rows, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents, sum(ren_units)::BIGINT AS ren_units, sum(ren_value)::BIGINT AS ren_value, sum(raw_due_units)::BIGINT AS raw_due_units, sum(raw_ren_units)::BIGINT AS raw_ren_units, sum(ren_units)::DOUBLE / nullif(sum(due_units), 0)::DOUBLE AS rate FROM fin GROUP BY ord, role",
     "months_per_role": "SELECT fs_id, count(DISTINCT ord) FILTER (role = 'entrenamiento') AS entrenamiento, count(DISTINCT ord) FILTER (role = 'examen') AS examen, count(DISTINCT ord) FILTER (role = 'proyeccion') AS proyeccion FROM fin GROUP BY fs_id",
@@ -151,7 +177,7 @@ SQL = {k: _BASE + v for k, v in {
     "uplift_hierarchy": _UPLIFT.format(before=24009) + "SELECT * FROM up",
     "contract_rule_check": "SELECT bucket, sum(ren_units)::BIGINT AS renewers, round(sum(ren_value)::DOUBLE / 200 / sum(base_cents)::DOUBLE, 6) AS paid, round(sum(rule * base_cents) / sum(base_cents)::DOUBLE, 6) AS rule, round(coalesce(sum(base_cents) FILTER (abs(ren_value / 200.0::DOUBLE / base_cents / rule - 1) <= 0.02::DOUBLE), 0)::DOUBLE / sum(base_cents)::DOUBLE, 6) AS share_near FROM (SELECT *, 1 / (1 - least(percent / 100.0::DOUBLE, 0.99::DOUBLE)) AS rule FROM renew WHERE percent IS NOT NULL) GROUP BY bucket",
     "uplift_backtest": _UPLIFT.format(before=24006) + "SELECT *, CASE WHEN wape_contract < wape_statistical THEN 'contrato' ELSE 'estadistico' END AS method FROM (SELECT bucket, count(*) AS n, round(sum(abs(base_cents / 100.0::DOUBLE * uplift - ren_value / 20000.0::DOUBLE)) / sum(ren_value / 20000.0::DOUBLE), 6) AS wape_statistical, round(sum(abs(base_cents / 100.0::DOUBLE / (1 - least(coalesce(percent, 0) / 100.0::DOUBLE, 0.99::DOUBLE)) - ren_value / 20000.0::DOUBLE)) / sum(ren_value / 20000.0::DOUBLE), 6) AS wape_contract FROM renew JOIN up ON cell_id = cell WHERE ord >= 24006 GROUP BY bucket)",
-    "weighted_percentiles": "SELECT region, min(u) FILTER (share >= 0.1::DOUBLE) AS p10, min(u) FILTER (share >= 0.5::DOUBLE) AS p50, min(u) FILTER (share >= 0.9::DOUBLE) AS p90 FROM (SELECT region, u, sum(w) OVER (PARTITION BY region ORDER BY u)::DOUBLE / sum(w) OVER (PARTITION BY region)::DOUBLE AS share FROM (SELECT region, round(ren_value / 200.0::DOUBLE / base_cents, 4) AS u, sum(base_cents)::BIGINT AS w FROM renew GROUP BY 1, 2)) GROUP BY region",
+    "weighted_percentiles": ", wp AS (SELECT region, u, sum(w) OVER (PARTITION BY region ORDER BY u)::DOUBLE / sum(w) OVER (PARTITION BY region)::DOUBLE AS share FROM (SELECT region, round(ren_value / 200.0::DOUBLE / base_cents, 4) AS u, sum(base_cents)::BIGINT AS w FROM renew GROUP BY 1, 2)), wl AS (SELECT *, lag(u) OVER r AS u0, lag(share) OVER r AS s0 FROM wp WINDOW r AS (PARTITION BY region ORDER BY u)) SELECT region, " + ", ".join(f"round(min_by(coalesce(u0 + (u - u0) * ({q}::DOUBLE - s0) / (share - s0), u), share) FILTER (share >= {q}::DOUBLE), 6) AS {n}" for q, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))) + " FROM wl GROUP BY region",
     "price_monitor_rolling12": _MONITOR.format(step="0.02") + "SELECT * FROM mon",
     "price_increase_calendar": _MONITOR.format(step="0.002") + "SELECT s.product, s.ord AS start, s.step, count(m.uplift) AS months_seen, sum(m.ren_value)::BIGINT AS ren_value FROM mon s JOIN mon m ON s.product = m.product AND m.ord >= s.ord AND m.ord < s.ord + 12 WHERE s.starts = 1 GROUP BY ALL",
     "marks_by_month": "SELECT ord, CASE WHEN dormant = 1 AND softcancel = 1 THEN 'dormant+softcancel' WHEN dormant = 1 THEN 'dormant' WHEN softcancel = 1 THEN 'softcancel' ELSE 'neutral' END AS marks, sum(due_units)::BIGINT AS due_units, sum(ren_units)::BIGINT AS ren_units FROM fin GROUP BY 1, 2",
@@ -174,6 +200,10 @@ SELECT own.composition, n AS months, round(rate, 6) AS rate, round(var / nullif(
     "merge_evidence": _CLIMBED + ", lagged AS (SELECT *, lag(series) OVER w AS before, lag(support) OVER w AS support_before FROM climbed WINDOW w AS (PARTITION BY fs_id ORDER BY pass)), ev AS (SELECT l.*, l.ren_units::DOUBLE / nullif(l.due_units, 0) AS q, s.ren_units::DOUBLE / nullif(s.due_units, 0) AS p, greatest(coalesce(s.support, 0), 1) AS n FROM lagged l JOIN summary s ON l.fs_id = s.fs_id WHERE before IS NOT NULL AND series > before), er AS (SELECT *, 100 * sqrt(p * (1 - p) / n) AS alone, 100 * sqrt((q - p) * (q - p) + q * (1 - q) / greatest(support, 1)) AS merged FROM ev) SELECT fs_id, pass, pattern, support_before, support, series, round(100 * (q - p), 6) AS bias_pp, round(alone, 6) AS error_alone_pp, round(merged, 6) AS error_merged_pp, (round(merged, 9) < round(alone, 9))::INT AS improves FROM er",
     "ladder_stages": _CLIMBED + " SELECT * FROM stages",
     "stage_summary": _CLIMBED + _STAGE,
+    "series_estimate": _ESTIMATE + "SELECT * FROM est",
+    "risk_levels": _ESTIMATE + "SELECT risk, count(*) AS series, sum(to_predict_cents)::BIGINT AS to_predict_cents, round(coalesce(sum(to_predict_cents)::DOUBLE / nullif(sum(sum(to_predict_cents)) OVER (), 0)::DOUBLE, 0), 6) AS share, round(sum(error_prediction_pp * to_predict_cents) FILTER (to_predict_cents > 0 AND error_prediction_pp IS NOT NULL) / sum(to_predict_cents) FILTER (to_predict_cents > 0 AND error_prediction_pp IS NOT NULL)::DOUBLE, 4) AS error_pp FROM est GROUP BY risk",
+    "second_universe": _SECOND,
+    "spreadsheet_exam": _SHEETS,
 }.items()}
 for _name, _text in REPORTS.items():
     _text = _text.replace("FROM fine", "FROM fin")
