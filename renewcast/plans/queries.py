@@ -161,27 +161,11 @@ def core_table(spark: SparkSession, sf: str) -> DataFrame:
     return core.core(fine, forecast_rows(spark, sf), P.uplifts(fine, CFG), horizon_extension(fine), acquisition_lag12(fine), CFG)
 
 
-def grand_total(spark: SparkSession, sf: str) -> DataFrame:
-    fine = fine_table(spark, sf, CFG)
-    return universe.grand_total(fine, core_table(spark, sf), universe.second_universe(fine, CFG), CFG)
-
-
 def spreadsheet_exam(u: DataFrame) -> DataFrame:
     real, closed = EX.exam_rows(u, CFG)
     return _rounded(EX.sheets(real, closed, CFG).select("fs_id", "ord", "h", "due_units", F.col("ren_units").alias("real_units"), "sheet_cell", "sheet_all"), "sheet_cell", "sheet_all")
 
 
-def _exam(f=lambda rows: rows):
-    """Queries of every series' exam."""
-    def run(spark: SparkSession, sf: str) -> DataFrame:
-        from renewcast.plans.pipeline import forecast_tables
-
-        t = forecast_tables(spark, sf, CFG)
-        return f(EX.detail(t["units"], t["pooled"], t["decision"], t["bands"], t["weights"], CFG))
-
-    return run
-
-
 def _report(text: str):
     return lambda spark, sf: spark.sql(text.replace("FROM fine", "FROM {fine}"), fine=fine_table(spark, sf, CFG))
 
@@ -249,11 +233,6 @@ QUERIES = {
     "series_estimate": _fine(lambda f: risk.estimates(f, units(f, CFG), CFG)),
     "risk_levels": _fine(lambda f: risk.report(risk.estimates(f, units(f, CFG), CFG))),
     "second_universe": _fine(lambda f: universe.second_universe(f, CFG)),
-    "grand_total": grand_total,
     "spreadsheet_exam": _units(spreadsheet_exam),
-    "series_exam_detail": _exam(),
-    "series_exam": _exam(EX.per_series),
-    "portfolio_exam": _exam(EX.by_month),
-    "portfolio_exam_summary": _exam(EX.summary),
     **{name: _report(text) for name, text in REPORTS.items()},
 }
