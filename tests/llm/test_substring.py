@@ -74,3 +74,14 @@ def test_a_hot_text(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(tuple, substring_dedup(df).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=str) == by_words(rows)
     assert sorted(map(tuple, suffix_dedup(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()), key=str) == brute(rows, octets, 50, b"".join)
+
+
+def test_copies_of_long_passages(spark):
+    """Passages of many chunks whole, cut, put together otherwise, in documents with smaller and larger ids, in rows
+    that share an id, twice in one document, and with an id below zero."""
+    passage = [" ".join(f"{k}w{i * i % 9973}" for i in range(900)) for k in range(3)]
+    a, b, c = passage
+    rows = [(5, a), (9, a), (7, b + c), (3, c), (8, a[700:5000] + b[100:4000]), (8, c + c), (8, "x" * 300 + a), (-4, b[2000:]), (None, a), (10, a + b + c), (2, "x" * 70)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = suffix_dedup(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
+    assert sorted(map(tuple, got), key=str) == brute(rows, octets, 50, b"".join)
