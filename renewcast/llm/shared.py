@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: ``spark.checkpoint.dir``.  A temporary one is set only where the
-    session names none, as in local tests."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor sees: ``spark.checkpoint.dir``.  Where the session names none, a local one has a
+    temporary folder; on a cluster, whose executors would not see it, that is an error."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("renewcast.shared.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="renewcast-shared-")
-        spark.conf.set("spark.checkpoint.dir", found)
-        spark.sparkContext.setCheckpointDir(found)
+        spark.conf.set("renewcast.shared.dir", found)
     return found.rstrip("/")
 
 
