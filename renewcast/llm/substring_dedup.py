@@ -48,7 +48,7 @@ def _found(docs: DataFrame, window: int, gram: int, bits) -> DataFrame:
 
     def scan(batches):
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, hashes = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 2))
             for first, items, row, bound, anchor, p, count in _segments(batch.column(1), window, gram):
                 keep = countmin.repeated(bits.value, anchor)
                 anchor, p, count = anchor[keep], p[keep], count[keep]
@@ -56,18 +56,19 @@ def _found(docs: DataFrame, window: int, gram: int, bits) -> DataFrame:
                 w = ranges(p, count)
                 yield pa.record_batch([
                     pa.array(anchor.view(np.int64)), pa.array((span_hash(total, down, p, p + count + window - 1) ^ count.astype(U)).view(np.int64)),
-                    pa.array(ids[first + row[p]]), pa.array((p - bound[row[p]]).astype(np.int32)), pa.array(count.astype(np.int32)),
+                    pa.array(ids[first + row[p]]), pa.array(hashes[first + row[p]]), pa.array((p - bound[row[p]]).astype(np.int32)), pa.array(count.astype(np.int32)),
                     pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.array(span_hash(total, down, w, w + window).view(np.int64))),
-                ], names=["anchor", "segment", "doc_id", "at", "n", "windows"])
+                ], names=["anchor", "segment", "doc_id", "text_hash", "at", "n", "windows"])
 
-    return docs.mapInArrow(scan, "anchor long, segment long, doc_id long, at int, n int, windows array<long>")
+    return docs.mapInArrow(scan, "anchor long, segment long, doc_id long, text_hash long, at int, n int, windows array<long>")
 
 
 def removed_segments(docs: DataFrame, window: int = 50, gram: int = GRAM) -> DataFrame:
-    """doc_id, at (first window, by word), n and mask (bit j: window at + j is to go), for docs(doc_id, text)."""
+    """doc_id, text_hash (xxhash64 of the row's text), at (first window, by word), n and mask (bit j: window at + j is
+    to go), for docs(doc_id, text)."""
     if gram > window or window - gram + 1 > 62:
         raise ValueError("a window holds 1 to 62 grams")
-    docs = docs.select("doc_id", "text").where("doc_id IS NOT NULL AND text IS NOT NULL")
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).where("doc_id IS NOT NULL AND text IS NOT NULL")
 
     def keys(batch):
         for _, _, row, _, anchor, p, _ in _segments(batch.column(1), window, gram):
@@ -86,14 +87,15 @@ def removed_segments(docs: DataFrame, window: int = 50, gram: int = GRAM) -> Dat
     least = each.groupBy("anchor", "window").agg(F.min("first_doc").alias("least"))
     late = each.join(least, ["anchor", "window"]).where("least < first_doc").groupBy("anchor", "segment", "n").agg(F.expr("bit_or(shiftleft(1L, j))").alias("mask"))
     decided = materialise(parts.join(late, ["anchor", "segment", "n"], "left").where("copies > 1 OR mask IS NOT NULL"), "decided")
-    return (join_hot(found.select("doc_id", "at", "anchor", "segment", "n"), decided, "anchor", "segment", "n")
-            .select("doc_id", "at", "n", F.when(F.col("doc_id") > F.col("first_doc"), F.expr("shiftleft(1L, n) - 1")).otherwise(F.coalesce("mask", F.lit(0))).alias("mask")).where("mask <> 0"))
+    return (join_hot(found.select("doc_id", "text_hash", "at", "anchor", "segment", "n"), decided, "anchor", "segment", "n")
+            .select("doc_id", "text_hash", "at", "n", F.when(F.col("doc_id") > F.col("first_doc"), F.expr("shiftleft(1L, n) - 1")).otherwise(F.coalesce("mask", F.lit(0))).alias("mask")).where("mask <> 0"))
 
 
 def substring_dedup(docs: DataFrame, window: int = 50, gram: int = GRAM) -> DataFrame:
     """One row a document: doc_id, n_words, n_removed, kept (words joined by one space), kept_sha256."""
-    docs = docs.select("doc_id", "text")
-    gone = removed_segments(docs, window, gram).groupBy("doc_id").agg(F.collect_list(F.struct("at", "n", "mask")).alias("gone"))
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    # By the row's text too: rows that share an id lose what is theirs, and equal ones list it once.
+    gone = removed_segments(docs, window, gram).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("at", "n", "mask")).alias("gone"))
 
     def apply(batches):
         for batch in batches:
@@ -119,7 +121,7 @@ def substring_dedup(docs: DataFrame, window: int = 50, gram: int = GRAM) -> Data
                 cols = list(zip(*out))
                 yield pa.record_batch([ids.slice(first, len(out)), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.string())], names=["doc_id", "n_words", "n_removed", "kept", "kept_sha256"])
 
-    return docs.join(gone, "doc_id", "left").select("doc_id", "text", "gone").mapInArrow(apply, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
+    return docs.join(gone, ["doc_id", "text_hash"], "left").select("doc_id", "text", "gone").mapInArrow(apply, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
 
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:

@@ -85,3 +85,14 @@ def test_copies_of_long_passages(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = suffix_dedup(df).select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows, octets, 50, b"".join)
+
+
+def test_words_of_rows_that_share_an_id(spark):
+    """The same rows for words; rows of one id that share nothing, the shorter of which must lose nothing."""
+    passage = [" ".join(f"{k}w{i * i % 9973}" for i in range(900)) for k in range(3)]
+    a, b, c = passage
+    lone = " ".join(f"own{i}" for i in range(200))
+    rows = [(5, a), (9, a), (7, b + c), (3, c), (8, a[700:5000] + b[100:4000]), (8, c + c), (8, "x " * 300 + a), (-4, b[2000:]), (None, a), (10, a + b + c), (1, a), (5, lone), (5, "only three words"), (5, a), (5, a)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(map(tuple, substring_dedup(df).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=str)
+    assert got == by_words(rows) and (5, 200, 0) in [r[:3] for r in got] and (5, 3, 0) in [r[:3] for r in got]
