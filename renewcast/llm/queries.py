@@ -1,6 +1,7 @@
 """Queries of the corpus operators, one ``opN_<name>`` each, and their SQL where DuckDB can express them."""
 from __future__ import annotations
 
+from renewcast.llm.alignment import op13_alignment
 from renewcast.llm.bpe import op7_bpe
 from renewcast.llm.decontaminate import op4_decontaminate
 from renewcast.llm.jaccard_join import op6_jaccard_join
@@ -12,6 +13,6 @@ from renewcast.llm.token_files import op10_token_counts
 from renewcast.llm.toxicity import op5_toxicity
 from renewcast.llm.warc import op3_warc
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_warc, op4_decontaminate, op5_toxicity, op6_jaccard_join, op7_bpe, op8_neighbours, op9_line_dedup, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_suffix_dedup, op3_warc, op4_decontaminate, op5_toxicity, op6_jaccard_join, op7_bpe, op8_neighbours, op9_line_dedup, op10_token_counts, op13_alignment)}
 
 SQL: dict[str, str] = {"op9_line_dedup": OP9_SQL}
