@@ -41,15 +41,19 @@ def backtest(pooled: DataFrame, cfg: C.Config, names=tuple(CATALOGUE)) -> DataFr
     return out.select("composition", "ord", F.when(F.col("ord") >= cfg.exam, "examen").otherwise("seleccion").alias("purpose"), "h", "technique", "place", "predicted", "real", "due_units", error.alias("error"), (error / (100 * F.sqrt(p * (1 - p) / F.col("due_units")))).alias("error_norm"))
 
 
-def choose(predictions: DataFrame, cfg: C.Config) -> DataFrame:
-    """The best technique by composition and horizon, if it beats the challenger by the margin."""
+def choose(predictions: DataFrame, compositions: DataFrame, cfg: C.Config) -> DataFrame:
+    """A technique for every composition and judged horizon: the best one if it beats the challenger by the margin,
+    else the challenger, also where none could be judged (origin ``sin_soporte``)."""
     score = predictions.where("purpose = 'seleccion'").groupBy("composition", "h", "technique", "place").agg(F.avg(F.abs("error_norm")).alias("score"), F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("composition", "h").orderBy(F.when(F.col("n") >= LEAST_PREDICTIONS, 0).otherwise(1), F.round("score", 9), "place")
     best = score.withColumn("k", F.row_number().over(w)).where("k = 1")
     rival = score.where(F.col("technique") == CHALLENGER).select("composition", "h", F.col("score").alias("rival"))
     margin = F.when(F.col("h") == 1, cfg.margin_short).otherwise(0.0)
-    wins = (F.col("n") >= LEAST_PREDICTIONS) & (F.col("technique") != CHALLENGER) & (F.col("score") < F.coalesce("rival", F.lit(float("inf"))) - margin)
-    return best.join(rival, ["composition", "h"], "left").select("composition", "h", F.when(wins, F.col("technique")).otherwise(CHALLENGER).alias("technique"), F.when(wins, "campeon").otherwise("retador").alias("origin"))
+    enough = F.coalesce(F.col("n"), F.lit(0)) >= LEAST_PREDICTIONS
+    wins = enough & (F.col("technique") != CHALLENGER) & (F.col("score") < F.coalesce("rival", F.lit(float("inf"))) - margin)
+    every = compositions.select("composition").distinct().select("composition", F.explode(F.array(*map(F.lit, HORIZONS))).alias("h"))
+    rows = every.join(best, ["composition", "h"], "left").join(rival, ["composition", "h"], "left")
+    return rows.select("composition", "h", F.when(wins, F.col("technique")).otherwise(CHALLENGER).alias("technique"), F.when(wins, "campeon").when(F.col("n").isNotNull(), "retador").otherwise("sin_soporte").alias("origin"))
 
 
 def error_bands(predictions: DataFrame) -> DataFrame:

@@ -9,15 +9,12 @@ Each series with something due in an exam month is predicted with the months kno
 """
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from renewcast import config as C
 from renewcast.functions.columns import inverse_logit, join_id, logit, ratio
 from renewcast.operators import backtest as B
-from renewcast.operators import ladder as L
 from renewcast.operators.techniques import CHALLENGER
 
 RAW, FRAMEWORK, CELL_SHEET, ALL_SHEET = "raw", "framework", "hoja_mandatory", "hoja_global"
@@ -53,7 +50,7 @@ def exam_rows(units: DataFrame, cfg: C.Config) -> tuple[DataFrame, DataFrame]:
     return real.withColumn("origin", F.col("ord") - F.col("h")), rows
 
 
-def detail(units: DataFrame, pooled: DataFrame, decision: DataFrame, bands: DataFrame, weights: DataFrame, cfg: C.Config) -> DataFrame:
+def detail(units: DataFrame, patterns: DataFrame, pooled: DataFrame, decision: DataFrame, bands: DataFrame, weights: DataFrame, cfg: C.Config) -> DataFrame:
     """A row for each series, exam month, horizon and method, with the interval of raw and framework."""
     real, closed = exam_rows(units, cfg)
     decision = decision.select("composition", "h", "technique")
@@ -67,7 +64,7 @@ def detail(units: DataFrame, pooled: DataFrame, decision: DataFrame, bands: Data
     asked = asked.withColumn("seen", F.filter("history", lambda x: x["ord"] <= F.col("origin"))).where(F.size("seen") >= LEAST).join(decision, ["composition", "h"], "left")
     comp = B.predict_chosen(asked.select("composition", "origin", "h", "seen", F.coalesce("technique", F.lit(CHALLENGER)).alias("technique"))).withColumnsRenamed({"technique": "comp_technique", "rate": "comp_rate"})
     comp = comp.join(levels(pooled.where("due_units > 0"), ["composition"], cfg).select("composition", "origin", F.col("level").alias("comp_level")), ["composition", "origin"])
-    wide = L.patterns(units, cfg).select("fs_id", F.col("pattern").alias("reference")).join(weights.select("reference").where("reference IS NOT NULL").distinct(), "reference").join(closed, "fs_id")
+    wide = patterns.select("fs_id", F.col("pattern").alias("reference")).join(weights.select("reference").where("reference IS NOT NULL").distinct(), "reference").join(closed, "fs_id")
     base = base.join(comp, ["composition", "origin", "h"], "left").join(levels(wide, ["reference"], cfg).select("reference", "origin", F.col("level").alias("ref_level")), ["reference", "origin"], "left")
     z, r, p = F.coalesce("z", F.lit(1.0)), F.col("ref_level"), F.col("comp_level")
     shift = F.when((z < 1) & (r > 0) & (r < 1) & (p > 0) & (p < 1), (1 - z) * (logit(r) - logit(p))).otherwise(0.0)

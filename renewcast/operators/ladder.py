@@ -20,39 +20,42 @@ def patterns(units: DataFrame, cfg: C.Config) -> DataFrame:
     return each.where((F.col("sign") != C.MIXED) | (F.col("pass") == 0)).select("fs_id", "sign", "pass", "pattern")
 
 
-def pattern_support(units: DataFrame, cfg: C.Config) -> DataFrame:
+def pattern_support(units: DataFrame, patterns: DataFrame, cfg: C.Config) -> DataFrame:
     """Support (median month), series and rate of each pattern."""
-    rows = closed(units, cfg).select("fs_id", "ord", "due_units", "ren_units").join(patterns(units, cfg), "fs_id")
+    rows = closed(units, cfg).select("fs_id", "ord", "due_units", "ren_units").join(patterns, "fs_id")
     month = rows.groupBy("pass", "pattern", "ord").agg(F.sum("due_units").alias("due"), F.sum("ren_units").alias("ren"))
     count = rows.groupBy("pass", "pattern").agg(F.count_distinct("fs_id").alias("series"))
     return month.groupBy("pass", "pattern").agg(F.median(F.when(F.col("due") > 0, F.col("due").cast("double"))).alias("support"), F.sum("due").alias("due_units"), F.sum("ren").alias("ren_units")).join(count, ["pass", "pattern"])
 
 
-def chosen(units: DataFrame, cfg: C.Config) -> DataFrame:
+def rungs(patterns: DataFrame, support: DataFrame) -> DataFrame:
+    """Each series' patterns with what these have: what all that follows is made of."""
+    return patterns.join(support, ["pass", "pattern"])
+
+
+def chosen(rungs: DataFrame, cfg: C.Config) -> DataFrame:
     """The first pass at which a series' pattern has enough support, else its last."""
-    support = pattern_support(units, cfg)
-    each = patterns(units, cfg).join(support, ["pass", "pattern"])
     enough = F.min(F.when(F.col("support") >= cfg.support_floor, F.col("pass")))
     w = Window.partitionBy("fs_id")
-    pick = each.withColumn("take", F.coalesce(enough.over(w), F.max("pass").over(w))).where("pass = take")
+    pick = rungs.withColumn("take", F.coalesce(enough.over(w), F.max("pass").over(w))).where("pass = take")
     return pick.select("fs_id", "sign", "pass", F.col("pattern").alias("composition"), "support", "series", "due_units", "ren_units")
 
 
-def references(units: DataFrame, cfg: C.Config) -> DataFrame:
+def references(rungs: DataFrame, chosen: DataFrame, cfg: C.Config) -> DataFrame:
     """A wider group for compositions of little support: the next pass with more series and enough support,
     else the widest with more series."""
-    own = chosen(units, cfg).where((F.col("support") < cfg.support_full) & (F.col("sign") != C.MIXED))
-    wider = patterns(units, cfg).join(pattern_support(units, cfg), ["pass", "pattern"]).select("fs_id", F.col("pass").alias("r_pass"), F.col("pattern").alias("reference"), F.col("support").alias("r_support"), F.col("series").alias("r_series"), F.col("due_units").alias("r_due"), F.col("ren_units").alias("r_ren"))
+    own = chosen.where((F.col("support") < cfg.support_full) & (F.col("sign") != C.MIXED))
+    wider = rungs.select("fs_id", F.col("pass").alias("r_pass"), F.col("pattern").alias("reference"), F.col("support").alias("r_support"), F.col("series").alias("r_series"), F.col("due_units").alias("r_due"), F.col("ren_units").alias("r_ren"))
     cand = own.join(wider, "fs_id").where("r_pass > pass AND r_series > series")
     good = F.col("r_support") >= cfg.support_floor
     w = Window.partitionBy("fs_id").orderBy(F.when(good, 0).otherwise(1), F.when(good, F.col("r_pass")).otherwise(-F.col("r_pass")))
     return cand.withColumn("k", F.row_number().over(w)).where("k = 1").select("fs_id", "composition", "reference", "r_pass", "r_support", "r_due", "r_ren")
 
 
-def credibility(units: DataFrame, cfg: C.Config) -> DataFrame:
+def credibility(chosen: DataFrame, references: DataFrame, cfg: C.Config) -> DataFrame:
     """k of each reference from its compositions' rates: variance within over variance between."""
-    ref = references(units, cfg).select("composition", "reference").distinct()
-    comp = chosen(units, cfg).select("composition", F.col("support").alias("w"), ratio(F.col("ren_units"), F.col("due_units")).alias("p")).distinct()
+    ref = references.select("composition", "reference").distinct()
+    comp = chosen.select("composition", F.col("support").alias("w"), ratio(F.col("ren_units"), F.col("due_units")).alias("p")).distinct()
     rows = ref.join(comp, "composition").where("p IS NOT NULL AND w > 0")
     by = rows.groupBy("reference").agg(F.count(F.lit(1)).alias("siblings"), F.sum("w").alias("w"), F.sum(F.col("w") * F.col("p")).alias("wp"), F.avg(F.col("p") * (1 - F.col("p"))).alias("within"), F.sum(F.col("w") * F.col("p") ** 2).alias("wpp"), F.sum(F.col("w") * F.col("p") * (1 - F.col("p")) / F.greatest(F.col("w"), F.lit(1.0))).alias("noise"))
     between = (F.col("wpp") - F.col("wp") ** 2 / F.col("w") - F.col("noise")) / F.col("w")
@@ -60,28 +63,27 @@ def credibility(units: DataFrame, cfg: C.Config) -> DataFrame:
     return by.select("reference", "siblings", F.round(F.col("wp") / F.col("w"), 6).alias("mean_rate"), F.round(k, 4).alias("k"))
 
 
-def weighted(units: DataFrame, cfg: C.Config) -> DataFrame:
+def weighted(chosen: DataFrame, references: DataFrame, credibility: DataFrame, cfg: C.Config) -> DataFrame:
     """z = n / (n + k) of each series' composition, and the rates of composition and reference."""
-    own = chosen(units, cfg)
-    ref = references(units, cfg).join(credibility(units, cfg).select("reference", "k"), "reference", "left")
-    rows = own.join(ref.select("fs_id", "reference", "r_due", "r_ren", "k"), "fs_id", "left")
+    ref = references.join(credibility.select("reference", "k"), "reference", "left")
+    rows = chosen.join(ref.select("fs_id", "reference", "r_due", "r_ren", "k"), "fs_id", "left")
     z = F.when(F.col("reference").isNull(), 1.0).otherwise(F.round(F.col("support") / (F.col("support") + F.coalesce("k", F.lit(cfg.default_k))), 3))
     return rows.select("fs_id", "composition", "reference", z.alias("z"), ratio(F.col("ren_units"), F.col("due_units")).alias("own_rate"), ratio(F.col("r_ren"), F.col("r_due")).alias("reference_rate"))
 
 
-def blended(units: DataFrame, cfg: C.Config) -> DataFrame:
+def blended(weights: DataFrame) -> DataFrame:
     """z of each series' composition and the rate between it and its reference."""
     z, p, r = F.col("z"), F.col("own_rate"), F.col("reference_rate")
-    return weighted(units, cfg).select("fs_id", "composition", "reference", "z", F.round(z * p + (1 - z) * F.coalesce(r, p), 6).alias("rate"))
+    return weights.select("fs_id", "composition", "reference", "z", F.round(z * p + (1 - z) * F.coalesce(r, p), 6).alias("rate"))
 
 
-def members(units: DataFrame, cfg: C.Config) -> DataFrame:
+def members(patterns: DataFrame, chosen: DataFrame) -> DataFrame:
     """The bridge of compositions and series: a series uses one and may lend its months to several."""
-    comps = chosen(units, cfg).select("pass", F.col("composition").alias("pattern")).distinct()
-    uses = chosen(units, cfg).select("fs_id", F.col("composition").alias("pattern"), F.lit(1).alias("own"))
-    return patterns(units, cfg).join(comps, ["pass", "pattern"]).join(uses, ["fs_id", "pattern"], "left").select("fs_id", F.col("pattern").alias("composition"), F.when(F.col("own") == 1, "uses").otherwise("lends").alias("membership"))
+    comps = chosen.select("pass", F.col("composition").alias("pattern")).distinct()
+    uses = chosen.select("fs_id", F.col("composition").alias("pattern"), F.lit(1).alias("own"))
+    return patterns.join(comps, ["pass", "pattern"]).join(uses, ["fs_id", "pattern"], "left").select("fs_id", F.col("pattern").alias("composition"), F.when(F.col("own") == 1, "uses").otherwise("lends").alias("membership"))
 
 
-def pooled(units: DataFrame, cfg: C.Config) -> DataFrame:
+def pooled(members: DataFrame, units: DataFrame, cfg: C.Config) -> DataFrame:
     """Monthly sums of each composition's members."""
-    return members(units, cfg).select("fs_id", "composition").join(closed(units, cfg), "fs_id").groupBy("composition", "ord").agg(F.sum("due_units").alias("due_units"), F.sum("ren_units").alias("ren_units"), F.sum("due_cents").alias("due_cents"))
+    return members.select("fs_id", "composition").join(closed(units, cfg), "fs_id").groupBy("composition", "ord").agg(F.sum("due_units").alias("due_units"), F.sum("ren_units").alias("ren_units"), F.sum("due_cents").alias("due_cents"))

@@ -57,14 +57,31 @@ def uplift_backtest(fine: DataFrame, cfg: C.Config) -> DataFrame:
 
 
 def weighted_percentiles(fine: DataFrame, cfg: C.Config) -> DataFrame:
-    """The uplifts below which 10, 50 and 90 % of the renewed money lie, between rows by straight lines."""
-    rows = renewers(fine, cfg).groupBy("region", F.round(F.col("ren_value") / 200.0 / F.col("base_cents"), 4).alias("u")).agg(F.sum("base_cents").alias("w"))
-    w = Window.partitionBy("region").orderBy("u")
-    rows = rows.select("region", "u", (F.sum("w").over(w) / F.sum("w").over(Window.partitionBy("region"))).alias("share"))
-    rows = rows.withColumn("u0", F.lag("u").over(w)).withColumn("s0", F.lag("share").over(w))
-    between = lambda q: F.coalesce(F.col("u0") + (F.col("u") - F.col("u0")) * (q - F.col("s0")) / (F.col("share") - F.col("s0")), F.col("u"))
-    at = lambda q: F.round(F.min_by(F.when(F.col("share") >= q, between(q)), F.when(F.col("share") >= q, F.col("share"))), 6)
-    return rows.groupBy("region").agg(at(0.1).alias("p10"), at(0.5).alias("p50"), at(0.9).alias("p90"))
+    """The uplifts below which 10, 50 and 90 % of the renewed money lie, between rows by straight lines; rows of equal
+    uplift stay apart, in the order of their money (ties are then alike)."""
+    order = [F.col("u"), F.col("base_cents")]
+    rows = renewers(fine, cfg).select("region", (F.col("ren_value") / 200.0 / F.col("base_cents")).alias("u"), "base_cents")
+    return percentiles(rows, ["region"], order, "base_cents", {"p10": 0.1, "p50": 0.5, "p90": 0.9})
+
+
+def percentiles(rows: DataFrame, keys: list[str], order: list, weight: str, wanted: dict[str, float]) -> DataFrame:
+    """By keys, the points of ``u`` at shares of the summed weight; below the first row's share its own u.  Equal rows
+    are summed before the window, so that none holds more rows than there are different ones."""
+    same = rows.groupBy(*keys, "u", weight).agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(*keys).orderBy(*order)
+    upto = F.sum(F.col(weight) * F.col("n")).over(w)
+    total = F.sum(F.col(weight) * F.col("n")).over(Window.partitionBy(*keys)).cast("double")
+    # The n equal rows of a place end at shares last - (n - 1) * weight, ..., last, all with the same u: a line runs
+    # from the row before them to the first of them and is level from there on.
+    same = same.withColumn("upto", upto).withColumn("total", total)
+    same = same.select(*keys, "u", "total", (F.col("upto") / F.col("total")).alias("last"), ((F.col("upto") - (F.col("n") - 1) * F.col(weight)) / F.col("total")).alias("first"), F.lag("u").over(w).alias("u0"), (F.lag("upto").over(w) / F.col("total")).alias("s0"))
+
+    def at(q):
+        on = F.col("last") >= q
+        value = F.when((F.col("first") <= q) | F.col("u0").isNull(), F.col("u")).otherwise(F.col("u0") + (F.col("u") - F.col("u0")) * (q - F.col("s0")) / (F.col("first") - F.col("s0")))
+        return F.round(F.min_by(F.when(on, value), F.when(on, F.col("last"))), 6)
+
+    return same.groupBy(*keys).agg(*(at(q).alias(k) for k, q in wanted.items()))
 
 
 def monitor(fine: DataFrame, cfg: C.Config, step: float = STEP) -> DataFrame:

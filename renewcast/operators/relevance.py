@@ -1,6 +1,7 @@
 """How much of the rates' variance dimensions explain, and the order in which they are given up."""
 from __future__ import annotations
 
+import re
 from functools import reduce
 from itertools import combinations
 
@@ -80,13 +81,29 @@ def r_squared(equations, dims) -> float:
     return float(max(0.0, min(1.0, (fitted - mean) / (wxx - mean)))) if wxx - mean > 0 else 0.0
 
 
+def level_of(dim: str, dims) -> tuple[str, int]:
+    """(family, level) of a dimension: product_level_2 is (product, 2); product itself, beside levels of its own, is
+    finer than the finest of them; a dimension without levels is its own family's first."""
+    found = re.fullmatch(r"(.+)_level_(\d+)", dim)
+    if found:
+        return found[1], int(found[2])
+    return dim, max((int(m[1]) for d in dims if (m := re.fullmatch(re.escape(dim) + r"_level_(\d+)", d))), default=0) + 1
+
+
+def free(left) -> list[str]:
+    """Dimensions whose next finer level has gone."""
+    levels = {level_of(d, left) for d in left}
+    return [d for d in left for family, n in [level_of(d, left)] if (family, n + 1) not in levels]
+
+
 def collapse_order(spark: SparkSession, rows: DataFrame, dims: tuple[str, ...]) -> DataFrame:
-    """Dimensions from the first to give up: always the one without which the rest loses least, ties by name."""
+    """Dimensions from the first to give up: always the one without which the rest loses least, ties by name; a level
+    only after the finer one of its family."""
     equations, left, out = normal_equations(rows, dims), list(dims), []
     while left:
         now = r_squared(equations, left)
-        loss = {d: max(0.0, now - r_squared(equations, [x for x in left if x != d])) for d in left}
-        d = min(left, key=lambda x: (round(loss[x], 9), x))
+        loss = {d: max(0.0, now - r_squared(equations, [x for x in left if x != d])) for d in free(left)}
+        d = min(loss, key=lambda x: (round(loss[x], 9), x))
         out.append((len(out) + 1, d, round(loss[d], 4)))
         left.remove(d)
     return spark.createDataFrame(out, "place int, dimension string, loss double")

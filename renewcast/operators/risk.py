@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from renewcast import config as C
 from renewcast.functions.columns import binomial_error, ratio
-from renewcast.operators import ladder as L
 from renewcast.operators import series as S
 
 #: Risk levels.
@@ -16,12 +15,12 @@ SIGNED_LOW, MIXED, NO_HISTORY, NO_IMPACT, APART = "S_signo_bajo_suelo", "M_signo
 YEAR, LAST_CLOSE_PASS = 12, 2
 
 
-def estimates(fine: DataFrame, units: DataFrame, cfg: C.Config) -> DataFrame:
+def estimates(fine: DataFrame, summary: DataFrame, chosen: DataFrame, references: DataFrame, credibility: DataFrame, cfg: C.Config) -> DataFrame:
     """One row a series: rate of its group (moved to its reference where support is short), the error of that
     estimate, the error of a prediction (which never sheds the series' own noise) and the risk level."""
-    own = S.rate_summary(units, cfg).select("fs_id", F.col("support").alias("own_support"), F.col("rate").alias("own_rate"), "months")
-    group = L.chosen(units, cfg).select("fs_id", "pass", "composition", "support", ratio(F.col("ren_units"), F.col("due_units")).alias("group_rate"))
-    ref = L.references(units, cfg).join(L.credibility(units, cfg).select("reference", "k"), "reference", "left").select("fs_id", "reference", "r_support", F.coalesce("k", F.lit(cfg.default_k)).alias("k"), ratio(F.col("r_ren"), F.col("r_due")).alias("r_rate"))
+    own = summary.select("fs_id", F.col("support").alias("own_support"), F.col("rate").alias("own_rate"), "months")
+    group = chosen.select("fs_id", "pass", "composition", "support", ratio(F.col("ren_units"), F.col("due_units")).alias("group_rate"))
+    ref = references.join(credibility.select("reference", "k"), "reference", "left").select("fs_id", "reference", "r_support", F.coalesce("k", F.lit(cfg.default_k)).alias("k"), ratio(F.col("r_ren"), F.col("r_due")).alias("r_rate"))
     rows = S.routes(fine).select("fs_id", "route", "universe", "to_predict_cents").join(fine.select("fs_id", "sign").distinct(), "fs_id").join(own, "fs_id", "left").join(group, "fs_id", "left").join(ref, "fs_id", "left")
     itself = F.col("composition").isNull()
     rows = rows.withColumns({"pass": F.when(itself, 0).otherwise(F.col("pass")), "support": F.when(itself, F.col("own_support")).otherwise(F.col("support")), "group_rate": F.when(itself, F.col("own_rate")).otherwise(F.col("group_rate")), "composition": F.coalesce("composition", "fs_id"), "months": F.coalesce("months", F.lit(0))})

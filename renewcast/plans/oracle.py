@@ -152,6 +152,98 @@ e AS (SELECT x.*, h, ord - h AS origin FROM x CROSS JOIN (VALUES (1), (6)) v(h)
 sc AS (SELECT origin, cell, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS r FROM o JOIN x ON x.ord BETWEEN origin - 11 AND origin GROUP BY ALL), sa AS (SELECT origin, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS r FROM o JOIN x ON x.ord BETWEEN origin - 11 AND origin GROUP BY ALL)
 SELECT e.fs_id, e.ord, e.h, e.due_units, e.ren_units AS real_units, round(coalesce(sc.r, sa.r), 6) AS sheet_cell, round(sa.r, 6) AS sheet_all FROM e LEFT JOIN sc ON e.origin = sc.origin AND e.cell = sc.cell LEFT JOIN sa ON e.origin = sa.origin"""
 
+def _effect(month: str, ys: str = "ys", ms: str = "ms") -> str:
+    own = f"list_transform(list_filter(list_zip({ys}, {ms}), lambda p: p[2] = {month}), lambda p: p[1])"
+    return f"coalesce(list_avg({own}) - list_avg({ys}), 0.0)"
+
+
+#: What is left of a damped trend, and the calendar month aimed at.
+_LEFT, _AIM = "(0.9::DOUBLE * (1 - pow(0.9::DOUBLE, h)) / 0.1::DOUBLE)", "((ms[-1] - 1 + h) % 12 + 1)"
+_SES = "list_sum(list_transform(ys, lambda v, i: v * CASE WHEN i = 1 THEN 1.0::DOUBLE ELSE 0.3::DOUBLE END * pow(0.7::DOUBLE, n - i)))"
+_SLOPE = "list_sum(list_transform(ys, lambda v, i: v * (i - 1 - (n - 1) / 2.0::DOUBLE) * 12 / (n * (n * n - 1.0::DOUBLE))))"
+_HOLT = """list_reduce(list_transform(ys, lambda v, i: {'l': v, 't': CASE WHEN i = 1 THEN ys[2] - ys[1] ELSE 0.0::DOUBLE END}), lambda a, x:
+  {'l': 0.3::DOUBLE * x.l + 0.7::DOUBLE * (a.l + 0.9::DOUBLE * a.t), 't': 0.1::DOUBLE * (0.3::DOUBLE * x.l + 0.7::DOUBLE * (a.l + 0.9::DOUBLE * a.t) - a.l) + 0.9::DOUBLE * 0.9::DOUBLE * a.t})"""
+_HW_LEVEL = "(0.3::DOUBLE * (x.l - a.s[x.m]) + 0.7::DOUBLE * (a.l + 0.9::DOUBLE * a.t))"
+_HW = f"""list_reduce(list_prepend({{'l': list_avg(ys[1:12]), 't': 0.0::DOUBLE, 's': list_transform(range(1, 13), lambda k: {_effect("k", "ys[1:12]", "ms[1:12]")}), 'm': 0}}, list_transform(list_zip(ys[13:], ms[13:]), lambda z: {{'l': z[1], 't': 0.0::DOUBLE, 's': [0.0::DOUBLE], 'm': z[2]}})), lambda a, x:
+  {{'l': {_HW_LEVEL}, 't': 0.05::DOUBLE * ({_HW_LEVEL} - a.l) + 0.95::DOUBLE * 0.9::DOUBLE * a.t, 's': list_transform(a.s, lambda v, k: CASE WHEN k = x.m THEN 0.2::DOUBLE * (x.l - {_HW_LEVEL}) + 0.8::DOUBLE * v ELSE v END), 'm': x.m}})"""
+#: Name -> (months needed, logit of a row with ys, ms, n and h), in the order that settles ties.
+_TECHNIQUES = {
+    "T2_mean": (1, "list_avg(ys)"), "T3_ma3": (3, "list_avg(ys[-3:])"), "T3_ma6": (6, "list_avg(ys[-6:])"),
+    "T4_ewma": (4, "list_sum(list_transform(ys, lambda v, i: v * pow(0.5::DOUBLE, (n - i) / 3.0::DOUBLE))) / list_sum(list_transform(ys, lambda v, i: pow(0.5::DOUBLE, (n - i) / 3.0::DOUBLE)))"), "T9_ses": (4, _SES),
+    "T10_holt_damped": (12, f"({_HOLT}).l + ({_HOLT}).t * {_LEFT}"),
+    "T12_theta": (12, f"(list_avg(ys) + {_SLOPE} * (n - 1) / 2.0::DOUBLE + {_SLOPE} * {_LEFT} + {_SES}) / 2"),
+    "T14_temporal_cred": (6, "0.5::DOUBLE * list_avg(ys[-6:]) + 0.5::DOUBLE * list_avg(ys)"),
+    "T15_level_seasonal": (13, f"list_avg(list_transform(list_zip(ys[-3:], ms[-3:]), lambda z: z[1] - {_effect('z[2]')})) + {_effect(_AIM)}"),
+    "T11_holt_winters": (24, f"({_HW}).l + ({_HW}).t * {_LEFT} + ({_HW}).s[{_AIM}]"),
+}
+_CLIP = "ln(greatest(least({0}, 0.999), 0.001) / (1 - greatest(least({0}, 0.999), 0.001)))"
+
+
+def _logits(rows: str, keep: str) -> str:
+    """The logit of every technique that has its months, of rows with ys, ms, n and h."""
+    return " UNION ALL ".join(f"SELECT {keep}, '{t}' AS technique, {k} AS place, {x} AS lo FROM {rows} WHERE n >= {least}" for k, (t, (least, x)) in enumerate(_TECHNIQUES.items()))
+
+
+def _of_chosen(rows: str, keep: str) -> str:
+    """The rate by the technique that a row names, else the challenger's."""
+    own = "CASE technique " + " ".join(f"WHEN '{t}' THEN CASE WHEN n >= {least} THEN {x} END" for t, (least, x) in _TECHNIQUES.items()) + " END"
+    return f"SELECT {keep}, CASE WHEN own IS NULL THEN 'T3_ma3' ELSE technique END AS technique, 1 / (1 + exp(-coalesce(own, list_avg(ys[-3:])))) AS rate FROM (SELECT *, {own} AS own FROM {rows})"
+
+
+_TRIED = f""", hy AS (SELECT composition, ord, due_units, ren_units::DOUBLE / due_units AS rate, {_CLIP.format("(ren_units::DOUBLE / due_units)")} AS y, ord % 12 + 1 AS m FROM pool WHERE due_units > 0),
+sn AS (SELECT t.composition, t.ord, h, t.rate AS real, t.due_units, list(s.y ORDER BY s.ord) AS ys, list(s.m ORDER BY s.ord) AS ms, count(*) AS n FROM hy t CROSS JOIN (VALUES (1), (6)) v(h) JOIN hy s ON s.composition = t.composition AND s.ord <= t.ord - h WHERE t.ord >= 23994 GROUP BY ALL HAVING count(*) >= 12),
+lo AS ({_logits("sn", "composition, ord, h, real, due_units")}),
+tr AS (SELECT composition, ord, CASE WHEN ord >= 24006 THEN 'examen' ELSE 'seleccion' END AS purpose, h, technique, place, 1 / (1 + exp(-lo)) AS predicted, real, due_units, 100 * (1 / (1 + exp(-lo)) - real) AS error,
+  100 * (1 / (1 + exp(-lo)) - real) / (100 * sqrt(greatest(least(real, 1 - 0.5::DOUBLE / due_units), 0.5::DOUBLE / due_units) * (1 - greatest(least(real, 1 - 0.5::DOUBLE / due_units), 0.5::DOUBLE / due_units)) / due_units)) AS error_norm FROM lo),
+sco AS (SELECT composition, h, technique, place, avg(abs(error_norm)) AS score, count(*) AS n FROM tr WHERE purpose = 'seleccion' GROUP BY ALL),
+bst AS (SELECT *, row_number() OVER (PARTITION BY composition, h ORDER BY CASE WHEN n >= 3 THEN 0 ELSE 1 END, round(score, 9), place) AS k FROM sco),
+win AS (SELECT c.composition, v.h, b.technique, b.n, coalesce(b.n >= 3 AND b.technique <> 'T3_ma3' AND b.score < coalesce(r.score, 'inf'::DOUBLE) - CASE WHEN v.h = 1 THEN 0.1::DOUBLE ELSE 0 END, false) AS wins
+  FROM (SELECT DISTINCT composition FROM chosen) c CROSS JOIN (VALUES (1), (6)) v(h) LEFT JOIN bst b ON b.composition = c.composition AND b.h = v.h AND b.k = 1 LEFT JOIN sco r ON r.composition = c.composition AND r.h = v.h AND r.technique = 'T3_ma3'),
+dec AS (SELECT composition, h, CASE WHEN wins THEN technique ELSE 'T3_ma3' END AS technique, CASE WHEN wins THEN 'campeon' WHEN n IS NOT NULL THEN 'retador' ELSE 'sin_soporte' END AS origin FROM win),
+bnd AS (SELECT technique, h, round(quantile_cont(error_norm, 0.05), 6) AS q_low, round(quantile_cont(error_norm, 0.95), 6) AS q_high, count(*) AS n FROM tr WHERE purpose = 'seleccion' GROUP BY ALL)
+"""
+_FORECAST = _TRIED + f""", wgt AS (SELECT c.fs_id, c.composition, f.reference, CASE WHEN f.reference IS NULL THEN 1.0::DOUBLE ELSE round(c.support / (c.support + coalesce(kk.k, 60)), 3) END AS z, c.ren_units::DOUBLE / nullif(c.due_units, 0) AS p, f.r_ren::DOUBLE / nullif(f.r_due, 0) AS r FROM chosen c LEFT JOIN refs f ON c.fs_id = f.fs_id LEFT JOIN kk ON f.reference = kk.reference),
+fut AS (SELECT u.fs_id, concat_ws('|', region, product) AS cell, ord, ord - 24009 + 1 AS h, u.due_units, composition FROM units u LEFT JOIN chosen c ON c.fs_id = u.fs_id WHERE ord >= 24009),
+fh AS (SELECT composition, list(y ORDER BY ord) AS ys, list(m ORDER BY ord) AS ms, count(*) AS n FROM hy GROUP BY composition),
+fq AS (SELECT q.composition, q.h, coalesce(d.technique, 'T3_ma3') AS technique, ys, ms, n FROM (SELECT DISTINCT composition, h FROM fut) q JOIN fh USING (composition) LEFT JOIN dec d ON d.composition = q.composition AND d.h = CASE WHEN q.h <= 1 THEN 1 ELSE 6 END),
+fr AS ({_of_chosen("fq", "composition, h")}),
+fs AS (SELECT fut.*, fr.technique, fr.rate AS pool_rate, CASE WHEN z < 1 AND p > 0 AND p < 1 AND r > 0 AND r < 1 THEN (1 - z) * ({_CLIP.format("r")} - {_CLIP.format("p")}) ELSE 0 END AS shift FROM fut LEFT JOIN fr ON fr.composition = fut.composition AND fr.h = fut.h LEFT JOIN wgt ON wgt.fs_id = fut.fs_id),
+fc AS (SELECT concat_ws('|', region, product) AS cell, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS cell_rate FROM past WHERE due_units > 0 GROUP BY 1), fg AS (SELECT sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS global_rate FROM past WHERE due_units > 0),
+ft AS (SELECT fs.* EXCLUDE (technique), coalesce(technique, 'T3_ma3') AS technique, CASE WHEN pool_rate IS NOT NULL THEN 'pool' WHEN cell_rate IS NOT NULL THEN 'cell' ELSE 'global' END AS origin, coalesce(CASE WHEN shift = 0 THEN pool_rate ELSE 1 / (1 + exp(-({_CLIP.format("pool_rate")} + shift))) END, cell_rate, global_rate) AS rate FROM fs LEFT JOIN fc USING (cell) CROSS JOIN fg),
+fe AS (SELECT ft.*, least(coalesce(b.q_low, c.q_low, -1.645::DOUBLE), 0) * sqrt(rate * (1 - rate) / greatest(due_units, 1)) AS down, greatest(coalesce(b.q_high, c.q_high, 1.645::DOUBLE), 0) * sqrt(rate * (1 - rate) / greatest(due_units, 1)) AS up
+  FROM ft LEFT JOIN bnd b ON b.technique = ft.technique AND b.h = CASE WHEN ft.h <= 1 THEN 1 ELSE 6 END LEFT JOIN bnd c ON c.technique = 'T3_ma3' AND c.h = CASE WHEN ft.h <= 1 THEN 1 ELSE 6 END),
+forecast AS (SELECT fs_id, ord, h, composition, origin, technique, due_units, rate, least(greatest(rate + down, 0), 1) AS rate_low, least(greatest(rate + up, 0), 1) AS rate_high, rate * due_units AS expected_units FROM fe)
+"""
+#: The plan that the tables of sf0.01 lead to; ``ladder_sql`` takes any.
+PLAN = ((0, "itself", "", True, True), (1, "sign", "", True, True), (2, "extra channel", "channel", True, True), (3, "without region", "channel,region", True, True), (4, "without product", "channel,product,region", True, True))
+
+
+def ladder_sql(query: str, plan=PLAN) -> str:
+    """A query over the passes (lrun) and the patterns (lstat) of a plan, which is given as values."""
+    values = ", ".join(f"({k}, '{name}', '{without}', {merges}, {signed})" for k, name, without, merges, signed in plan)
+    field = lambda c: f"CASE WHEN list_contains(string_split(without, ','), '{c}') THEN '*' ELSE {c}::VARCHAR END"
+    pattern = f"CASE WHEN pass = 0 THEN fs_id ELSE concat_ws('|', {field('region')}, {field('product')}, 'SIG=' || sign, {field('channel')}) END"
+    return _BASE + f""", lplan(pass, name, without, merges, signed) AS (VALUES {values}),
+lrt AS (SELECT fs_id, coalesce(sum(due_cents) FILTER (role = 'proyeccion'), 0)::BIGINT AS cents FROM fin GROUP BY fs_id HAVING count(*) FILTER (role <> 'proyeccion') > 0 AND count(*) FILTER (role = 'proyeccion') > 0 AND avg(ts) = 0),
+leach AS (SELECT fs_id, sign, cents, pass, name, merges, pass = 0 OR (sign <> 'mixto' AND (sign = 'neutro' OR signed)) AS allowed, {pattern} AS pattern FROM names JOIN lrt USING (fs_id) CROSS JOIN lplan),
+lcount AS (SELECT * FROM leach WHERE pass = 0 OR sign <> 'mixto'),
+lmonth AS (SELECT pass, pattern, ord, sum(due_units) AS due FROM lcount JOIN past USING (fs_id) WHERE due_units > 0 GROUP BY ALL),
+lstat AS (SELECT e.*, coalesce(s.support, 0)::DOUBLE AS support, coalesce(c.series, 1) AS series FROM leach e LEFT JOIN (SELECT pass, pattern, count(*) AS series FROM lcount GROUP BY ALL) c ON c.pass = e.pass AND c.pattern = e.pattern LEFT JOIN (SELECT pass, pattern, median(due::DOUBLE) AS support FROM lmonth GROUP BY ALL) s ON s.pass = e.pass AND s.pattern = e.pattern),
+lstop AS (SELECT *, coalesce(min(pass) FILTER (allowed AND support >= 30) OVER w, max(pass) FILTER (allowed) OVER w) AS stop FROM lstat WHERE merges WINDOW w AS (PARTITION BY fs_id)),
+lmove AS (SELECT *, allowed AND pass <= stop AS moves FROM lstop),
+lheld AS (SELECT *, max(series) FILTER (moves) OVER (PARTITION BY fs_id ORDER BY pass ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS held FROM lmove),
+lrun AS (SELECT fs_id, pass, name, cents, arg_max(pattern, pass) FILTER (moves AND (held IS NULL OR series > held)) OVER w AS group_id, arg_max(support, pass) FILTER (moves) OVER w AS group_support, arg_max(series, pass) FILTER (moves) OVER w AS group_series, stop FROM lheld WINDOW w AS (PARTITION BY fs_id ORDER BY pass ROWS UNBOUNDED PRECEDING))
+""" + query
+
+
+_LADDER = {
+    "ladder_run": "SELECT *, (pass >= stop AND group_support >= 30)::INT AS closed FROM lrun",
+    "ladder_pass_summary": ", lg AS (SELECT pass, name, group_id, max(group_support) AS support, sum(cents) AS cents FROM lrun GROUP BY ALL) SELECT pass, name, count(*) AS groups, sum((support < 30)::INT)::BIGINT AS open_groups, median(support) AS median_support, round(coalesce(sum(cents) FILTER (support >= 30), 0)::DOUBLE / sum(cents)::DOUBLE, 6) AS share_floor, round(coalesce(sum(cents) FILTER (support >= 271), 0)::DOUBLE / sum(cents)::DOUBLE, 6) AS share_full FROM lg GROUP BY pass, name",
+    "ladder_compositions": """, ll AS (SELECT * FROM lrun QUALIFY row_number() OVER (PARTITION BY fs_id ORDER BY pass DESC) = 1),
+lw AS (SELECT s.fs_id, s.pattern AS reference, s.pass AS reference_pass, s.support AS reference_support, s.series AS reference_series, row_number() OVER (PARTITION BY s.fs_id ORDER BY CASE WHEN s.support >= 30 THEN 0 ELSE 1 END, CASE WHEN s.support >= 30 THEN s.pass ELSE -s.pass END) AS k FROM lstat s JOIN ll ON ll.fs_id = s.fs_id WHERE ll.group_support < 271 AND s.sign <> 'mixto' AND s.allowed AND s.pass > ll.stop AND s.series > ll.group_series)
+SELECT ll.fs_id, group_id AS composition, stop, group_support, group_series, (pass >= stop AND group_support >= 30)::INT AS closed, reference, reference_pass, reference_support, reference_series FROM ll LEFT JOIN lw ON lw.fs_id = ll.fs_id AND k = 1""",
+}
+
 SQL = {k: _BASE + v for k, v in {
     "calendar_by_month": "SELECT ord, role, count(*) AS rows, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents, sum(ren_units)::BIGINT AS ren_units, sum(ren_value)::BIGINT AS ren_value, sum(raw_due_units)::BIGINT AS raw_due_units, sum(raw_ren_units)::BIGINT AS raw_ren_units, sum(ren_units)::DOUBLE / nullif(sum(due_units), 0)::DOUBLE AS rate FROM fin GROUP BY ord, role",
     "months_per_role": "SELECT fs_id, count(DISTINCT ord) FILTER (role = 'entrenamiento') AS entrenamiento, count(DISTINCT ord) FILTER (role = 'examen') AS examen, count(DISTINCT ord) FILTER (role = 'proyeccion') AS proyeccion FROM fin GROUP BY fs_id",
@@ -177,7 +269,7 @@ SQL = {k: _BASE + v for k, v in {
     "uplift_hierarchy": _UPLIFT.format(before=24009) + "SELECT * FROM up",
     "contract_rule_check": "SELECT bucket, sum(ren_units)::BIGINT AS renewers, round(sum(ren_value)::DOUBLE / 200 / sum(base_cents)::DOUBLE, 6) AS paid, round(sum(rule * base_cents) / sum(base_cents)::DOUBLE, 6) AS rule, round(coalesce(sum(base_cents) FILTER (abs(ren_value / 200.0::DOUBLE / base_cents / rule - 1) <= 0.02::DOUBLE), 0)::DOUBLE / sum(base_cents)::DOUBLE, 6) AS share_near FROM (SELECT *, 1 / (1 - least(percent / 100.0::DOUBLE, 0.99::DOUBLE)) AS rule FROM renew WHERE percent IS NOT NULL) GROUP BY bucket",
     "uplift_backtest": _UPLIFT.format(before=24006) + "SELECT *, CASE WHEN wape_contract < wape_statistical THEN 'contrato' ELSE 'estadistico' END AS method FROM (SELECT bucket, count(*) AS n, round(sum(abs(base_cents / 100.0::DOUBLE * uplift - ren_value / 20000.0::DOUBLE)) / sum(ren_value / 20000.0::DOUBLE), 6) AS wape_statistical, round(sum(abs(base_cents / 100.0::DOUBLE / (1 - least(coalesce(percent, 0) / 100.0::DOUBLE, 0.99::DOUBLE)) - ren_value / 20000.0::DOUBLE)) / sum(ren_value / 20000.0::DOUBLE), 6) AS wape_contract FROM renew JOIN up ON cell_id = cell WHERE ord >= 24006 GROUP BY bucket)",
-    "weighted_percentiles": ", wp AS (SELECT region, u, sum(w) OVER (PARTITION BY region ORDER BY u)::DOUBLE / sum(w) OVER (PARTITION BY region)::DOUBLE AS share FROM (SELECT region, round(ren_value / 200.0::DOUBLE / base_cents, 4) AS u, sum(base_cents)::BIGINT AS w FROM renew GROUP BY 1, 2)), wl AS (SELECT *, lag(u) OVER r AS u0, lag(share) OVER r AS s0 FROM wp WINDOW r AS (PARTITION BY region ORDER BY u)) SELECT region, " + ", ".join(f"round(min_by(coalesce(u0 + (u - u0) * ({q}::DOUBLE - s0) / (share - s0), u), share) FILTER (share >= {q}::DOUBLE), 6) AS {n}" for q, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))) + " FROM wl GROUP BY region",
+    "weighted_percentiles": ", wp AS (SELECT region, ren_value / 200.0::DOUBLE / base_cents AS u, base_cents AS w FROM renew), wl AS (SELECT region, u, w, sum(w) OVER r::DOUBLE / sum(w) OVER (PARTITION BY region)::DOUBLE AS share FROM wp WINDOW r AS (PARTITION BY region ORDER BY u, w ROWS UNBOUNDED PRECEDING)), wm AS (SELECT *, lag(u) OVER r AS u0, lag(share) OVER r AS s0 FROM wl WINDOW r AS (PARTITION BY region ORDER BY u, w, share)) SELECT region, " + ", ".join(f"round(min_by(coalesce(u0 + (u - u0) * ({q}::DOUBLE - s0) / (share - s0), u), share) FILTER (share >= {q}::DOUBLE), 6) AS {n}" for q, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))) + " FROM wm GROUP BY region",
     "price_monitor_rolling12": _MONITOR.format(step="0.02") + "SELECT * FROM mon",
     "price_increase_calendar": _MONITOR.format(step="0.002") + "SELECT s.product, s.ord AS start, s.step, count(m.uplift) AS months_seen, sum(m.ren_value)::BIGINT AS ren_value FROM mon s JOIN mon m ON s.product = m.product AND m.ord >= s.ord AND m.ord < s.ord + 12 WHERE s.starts = 1 GROUP BY ALL",
     "marks_by_month": "SELECT ord, CASE WHEN dormant = 1 AND softcancel = 1 THEN 'dormant+softcancel' WHEN dormant = 1 THEN 'dormant' WHEN softcancel = 1 THEN 'softcancel' ELSE 'neutral' END AS marks, sum(due_units)::BIGINT AS due_units, sum(ren_units)::BIGINT AS ren_units FROM fin GROUP BY 1, 2",
@@ -204,7 +296,14 @@ SELECT own.composition, n AS months, round(rate, 6) AS rate, round(var / nullif(
     "risk_levels": _ESTIMATE + "SELECT risk, count(*) AS series, sum(to_predict_cents)::BIGINT AS to_predict_cents, round(coalesce(sum(to_predict_cents)::DOUBLE / nullif(sum(sum(to_predict_cents)) OVER (), 0)::DOUBLE, 0), 6) AS share, round(sum(error_prediction_pp * to_predict_cents) FILTER (to_predict_cents > 0 AND error_prediction_pp IS NOT NULL) / sum(to_predict_cents) FILTER (to_predict_cents > 0 AND error_prediction_pp IS NOT NULL)::DOUBLE, 4) AS error_pp FROM est GROUP BY risk",
     "second_universe": _SECOND,
     "spreadsheet_exam": _SHEETS,
+    "technique_backtest_recursive": _TRIED + "SELECT composition, ord, purpose, h, technique, round(predicted, 6) AS predicted, round(real, 6) AS real, due_units, round(error, 6) AS error, round(error_norm, 6) AS error_norm FROM tr",
+    "champion_choice": _TRIED + "SELECT * FROM dec",
+    "error_band_quantiles": _TRIED + "SELECT * FROM bnd",
+    "exam_precision": _TRIED + "SELECT h, count(*) AS n, round(sum(predicted * due_units), 4) AS predicted_units, round(sum(real * due_units), 4) AS real_units, round(sum(abs(predicted * due_units - real * due_units)) / sum(real * due_units), 6) AS wape, round(avg(error), 6) AS bias FROM tr JOIN dec USING (composition, h, technique) WHERE purpose = 'examen' GROUP BY h",
+    "forecast_rows": _FORECAST + "SELECT fs_id, ord, h, composition, origin, technique, due_units, round(rate, 9) AS rate, round(rate_low, 9) AS rate_low, round(rate_high, 9) AS rate_high, round(expected_units, 9) AS expected_units FROM forecast",
+    "forecast_yearly_totals": _FORECAST + "SELECT (ord // 12)::INT AS year, round(sum(expected_units), 4) AS expected, round(sum(rate_low * due_units), 4) AS low, round(sum(rate_high * due_units), 4) AS high, round(sqrt(sum(((rate_high - rate_low) / 2 * due_units) ^ 2)), 4) AS quadrature FROM forecast GROUP BY 1",
 }.items()}
+SQL |= {k: ladder_sql(v) for k, v in _LADDER.items()}
 for _name, _text in REPORTS.items():
     _text = _text.replace("FROM fine", "FROM fin")
     # A report's own CTEs go behind the base's.

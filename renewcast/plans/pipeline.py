@@ -1,79 +1,76 @@
-"""The whole run: steps in order, each written as Parquet, with the contracts of what is written."""
+"""The whole run: its steps, and a run of all of them into a folder."""
 from __future__ import annotations
 
 import json
-import time
-from collections.abc import Callable
-from dataclasses import asdict, dataclass
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from renewcast.config import Config
+from renewcast.functions import columns
 from renewcast.operators import backtest as B
-from renewcast.operators import ladder as L
-from renewcast.operators import price as P
-from renewcast.operators import series as S
-from renewcast.sources.extract import fine_table, units
-
-
-@dataclass(frozen=True)
-class Step:
-    """A table by name: how it is made from earlier ones, and what must hold of it."""
-
-    name: str
-    make: Callable[[SparkSession, str, Config, dict[str, DataFrame]], DataFrame]
-    key: tuple[str, ...] = ()
+from renewcast.operators import core, exam, ladder, maturation, passes, price, relevance, series, techniques, universe
+from renewcast.plans import projections as P
+from renewcast.plans.store import Step, Steps
+from renewcast.sources import extract
 
+SOURCES = ("lineitem", "orders", "part", "customer", "nation", "region")
+_BASE = (columns, extract)
+_TRIED = (columns, B, techniques)
 
 STEPS = (
-    Step("fine", lambda s, d, c, t: fine_table(s, d, c)),
-    Step("units", lambda s, d, c, t: units(t["fine"], c), ("fs_id", "ord")),
-    Step("routes", lambda s, d, c, t: S.routes(t["fine"]), ("fs_id",)),
-    Step("summary", lambda s, d, c, t: S.rate_summary(t["units"], c), ("fs_id",)),
-    Step("members", lambda s, d, c, t: L.members(t["units"], c), ("fs_id", "composition")),
-    Step("pooled", lambda s, d, c, t: L.pooled(t["units"], c), ("composition", "ord")),
-    Step("weights", lambda s, d, c, t: L.weighted(t["units"], c), ("fs_id",)),
-    Step("predictions", lambda s, d, c, t: B.backtest(t["pooled"], c), ("composition", "ord", "h", "technique")),
-    Step("decision", lambda s, d, c, t: B.choose(t["predictions"], c), ("composition", "h")),
-    Step("bands", lambda s, d, c, t: B.error_bands(t["predictions"]), ("technique", "h")),
-    Step("uplift", lambda s, d, c, t: P.uplifts(t["fine"], c), ("cell",)),
-    Step("forecast", lambda s, d, c, t: B.forecast(t["pooled"], t["members"], t["units"], t["decision"], t["bands"], t["weights"], c), ("fs_id", "ord")),
-    Step("yearly", lambda s, d, c, t: B.yearly_totals(t["forecast"]), ("year",)),
+    Step("fine", lambda spark, sf_dir, c: extract.fine_table(spark, sf_dir, c), (), _BASE),
+    Step("units", lambda t, c: extract.units(t["fine"], c), ("fine",), _BASE, ("fs_id", "ord")),
+    Step("routes", lambda t, c: series.routes(t["fine"]), ("fine",), (series,), ("fs_id",)),
+    Step("summary", lambda t, c: series.rate_summary(t["units"], c), ("units",), (series, columns), ("fs_id",)),
+    Step("patterns", lambda t, c: ladder.patterns(t["units"], c), ("units",), (ladder,), ("fs_id", "pass")),
+    Step("support", lambda t, c: ladder.pattern_support(t["units"], t["patterns"], c), ("units", "patterns"), (ladder,), ("pass", "pattern")),
+    Step("rungs", lambda t, c: ladder.rungs(t["patterns"], t["support"]), ("patterns", "support"), (ladder,), ("fs_id", "pass")),
+    Step("chosen", lambda t, c: ladder.chosen(t["rungs"], c), ("rungs",), (ladder,), ("fs_id",)),
+    Step("references", lambda t, c: ladder.references(t["rungs"], t["chosen"], c), ("rungs", "chosen"), (ladder,), ("fs_id",)),
+    Step("credibility", lambda t, c: ladder.credibility(t["chosen"], t["references"], c), ("chosen", "references"), (ladder,), ("reference",)),
+    Step("weights", lambda t, c: ladder.weighted(t["chosen"], t["references"], t["credibility"], c), ("chosen", "references", "credibility"), (ladder,), ("fs_id",)),
+    Step("members", lambda t, c: ladder.members(t["patterns"], t["chosen"]), ("patterns", "chosen"), (ladder,), ("fs_id", "composition")),
+    Step("pooled", lambda t, c: ladder.pooled(t["members"], t["units"], c), ("members", "units"), (ladder,), ("composition", "ord")),
+    Step("rates", lambda t, c: relevance.weighted_rates(P.with_dims(t["summary"], t["units"], c), c.series), ("summary", "units"), (relevance,)),
+    Step("plan", lambda t, c: relevance.pass_plan(t["rates"].sparkSession, t["rates"], c), ("rates",), (relevance,), ("pass",)),
+    Step("pass_stats", lambda t, c: passes.stats(t["units"], t["routes"], passes.read_plan(t["plan"]), c), ("units", "routes", "plan"), (passes,), ("fs_id", "pass")),
+    Step("passes", lambda t, c: passes.run(t["pass_stats"], c), ("pass_stats",), (passes,), ("fs_id", "pass")),
+    Step("predictions", lambda t, c: B.backtest(t["pooled"], c), ("pooled",), _TRIED, ("composition", "ord", "h", "technique")),
+    Step("decision", lambda t, c: B.choose(t["predictions"], t["chosen"], c), ("predictions", "chosen"), _TRIED, ("composition", "h")),
+    Step("bands", lambda t, c: B.error_bands(t["predictions"]), ("predictions",), _TRIED, ("technique", "h")),
+    Step("uplift", lambda t, c: price.uplifts(t["fine"], c), ("fine",), (price, columns), ("cell",)),
+    Step("forecast", lambda t, c: B.forecast(t["pooled"], t["members"], t["units"], t["decision"], t["bands"], t["weights"], c), ("pooled", "members", "units", "decision", "bands", "weights"), _TRIED, ("fs_id", "ord")),
+    Step("yearly", lambda t, c: B.yearly_totals(t["forecast"]), ("forecast",), _TRIED, ("year",)),
+    Step("extension", lambda t, c: P.horizon_extension(t["fine"], c), ("fine",), (P,)),
+    Step("acquisition", lambda t, c: P.acquisition_lag12(t["fine"], c), ("fine",), (P,)),
+    Step("core", lambda t, c: core.core(t["fine"], t["forecast"], t["uplift"], t["extension"], t["acquisition"], c), ("fine", "forecast", "uplift", "extension", "acquisition"), (core, columns), ("row_key",)),
+    Step("second", lambda t, c: universe.second_universe(t["fine"], c), ("fine",), (universe,), ("region", "ord", "origin")),
+    Step("moves", lambda t, c: maturation.moves(t["fine"], c), ("fine",), (maturation, columns)),
+    Step("exam_rows", lambda t, c: exam.detail(t["units"], t["patterns"], t["pooled"], t["decision"], t["bands"], t["weights"], c), ("units", "patterns", "pooled", "decision", "bands", "weights"), (exam, *_TRIED), ("fs_id", "ord", "h", "method")),
 )
 
 
-def duplicates(df: DataFrame, key: tuple[str, ...]) -> int:
-    return df.groupBy(*key).count().where("count > 1").count()
-
-
-def run(spark: SparkSession, sf_dir: str, folder: str, cfg: Config | None = None, start: str | None = None) -> dict[str, DataFrame]:
-    """Run all steps into a folder, or from ``start`` on what a former run with the same settings has left there."""
-    cfg = cfg or Config()
-    names, tables, log = [s.name for s in STEPS], {}, []
-    first = names.index(start) if start else 0
-    for i, step in enumerate(STEPS):
-        path = f"{folder}/{step.name}"
-        if i >= first:
-            began = time.time()
-            step.make(spark, sf_dir, cfg, tables).write.mode("overwrite").parquet(path)
-            log.append({"step": step.name, "seconds": round(time.time() - began, 3)})
-        tables[step.name] = spark.read.parquet(path)
-        if i >= first and step.key and (n := duplicates(tables[step.name], step.key)):
-            raise ValueError(f"{step.name}: {n} keys are not unique")
-    spark.createDataFrame([(json.dumps(asdict(cfg)), json.dumps(log))], "config string, steps string").coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
-    return tables
+def steps(spark: SparkSession, sf_dir: str, cfg: Config, folder: str | None = None) -> Steps:
+    return Steps(spark, sf_dir, cfg, STEPS, SOURCES, folder)
 
 
-def forecast_tables(spark: SparkSession, sf_dir: str, cfg: Config) -> dict[str, DataFrame]:
-    """The tables without writing them, as one plan each."""
-    tables: dict[str, DataFrame] = {}
-    for step in STEPS:
-        tables[step.name] = step.make(spark, sf_dir, cfg, tables)
-    return tables
+def run(spark: SparkSession, sf_dir: str, folder: str, cfg: Config | None = None, start: str | None = None) -> Steps:
+    """All steps in a folder.  What a former run has left there is read where code, settings and source are still the
+    same, from ``start`` on it is made again, and what they have outdated is deleted."""
+    found = steps(spark, sf_dir, cfg or Config(), folder)
+    if start:
+        found.forget(start)
+    for name in found:
+        found[name]
+    found.drop_stale()
+    manifest = [(json.dumps(asdict(found.cfg)), json.dumps({n: found.mark(n) for n in found}), json.dumps(found.made))]
+    spark.createDataFrame(manifest, "config string, marks string, made string").coalesce(1).write.mode("overwrite").json(f"{folder}/manifest")
+    return found
 
 
-def conservation(tables: dict[str, DataFrame]) -> DataFrame:
+def conservation(tables) -> DataFrame:
     """Money of the fine table against that of its units, by month: differences (none when all is well)."""
     a = tables["fine"].where("ts = 0").groupBy("ord").agg(F.sum("due_cents").alias("fine"))
     b = tables["units"].groupBy("ord").agg(F.sum("due_cents").alias("units"))

@@ -15,24 +15,29 @@ from renewcast.operators import ladder as L
 from renewcast.operators import maturation as M
 from renewcast.operators import price as P
 from renewcast.operators import relevance as V
-from renewcast.operators import risk, universe
+from renewcast.operators import passes, risk, universe
 from renewcast.operators import series as S
+from renewcast.plans.pipeline import steps
+from renewcast.plans.projections import with_dims
 from renewcast.plans.reports import REPORTS
-from renewcast.sources.extract import extract, fine_table, licences, units
+from renewcast.sources.extract import extract, licences
 
 CFG = Config()
 
 
-def _fine(f):
-    return lambda spark, sf: f(fine_table(spark, sf, CFG))
+def _of(*names: str):
+    """A query over written steps."""
+    def wrap(f=lambda t: t):
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            tables = steps(spark, sf, CFG)
+            return f(*(tables[n] for n in names))
 
+        return run
 
-def _units(f):
-    return lambda spark, sf: f(units(fine_table(spark, sf, CFG), CFG))
+    return wrap
 
 
-def _predictions(spark: SparkSession, sf: str, names=B.CATALOGUE) -> DataFrame:
-    return B.backtest(L.pooled(units(fine_table(spark, sf, CFG), CFG), CFG), CFG, tuple(names))
+_fine, _units, _pooled = _of("fine"), _of("units"), _of("pooled")
 
 
 def _rounded(rows: DataFrame, *names: str) -> DataFrame:
@@ -43,16 +48,14 @@ def months_per_role(fine: DataFrame) -> DataFrame:
     return fine.groupBy("fs_id").pivot("role", ["entrenamiento", "examen", "proyeccion"]).agg(F.count_distinct("ord")).na.fill(0)
 
 
-def grain_duplicates(spark: SparkSession, sf: str) -> DataFrame:
+def grain_duplicates(rows: DataFrame) -> DataFrame:
     """Which columns split the grain of series and months: rows that share it, and their distinct values."""
-    rows = fine_table(spark, sf, CFG)
     keys = rows.groupBy("fs_id", "ord").agg(F.count(F.lit(1)).alias("n"), *(F.count_distinct(F.coalesce(F.col(c).cast("string"), F.lit("null"))).alias(c) for c in ("newcust", "percent", "ts", "term"))).where("n > 1")
     return keys.agg(F.count(F.lit(1)).alias("keys"), F.sum("n").alias("rows"), *(F.sum((F.col(c) > 1).cast("int")).alias(f"split_by_{c}") for c in ("newcust", "percent", "ts", "term")))
 
 
-def lookups(spark: SparkSession, sf: str) -> DataFrame:
+def lookups(rows: DataFrame) -> DataFrame:
     """Ids and their keys, of all three kinds."""
-    rows = fine_table(spark, sf, CFG)
     kinds = {"fs": F.col("fs_id"), "fu": F.concat_ws("|", "fs_id", F.col("ord").cast("string")), "cell": F.col("cell_id")}
     out = None
     for kind, c in kinds.items():
@@ -69,9 +72,8 @@ def value_checks(spark: SparkSession, sf: str) -> DataFrame:
                     bad((F.col("due_units") == 0) & (F.col("due_cents") > 0))("money_without_units"), bad((F.col("percent") < 0) | (F.col("percent") > 100))("discount_out_of_range"), bad((F.col("dormant") + F.col("softcancel") > 0) & (F.col("autorenew") == 1))("mixed_sign"))
 
 
-def eta2_by_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    rows = units(fine_table(spark, sf, CFG), CFG)
-    summary = S.rate_summary(rows, CFG).join(rows.select("fs_id", *CFG.series).distinct(), "fs_id")
+def eta2_by_dimension(summary: DataFrame, units: DataFrame) -> DataFrame:
+    summary = with_dims(summary, units, CFG)
     out = None
     for d in CFG.series:
         part = S.eta_squared(summary, d)
@@ -97,15 +99,6 @@ def same_month_last_year(fine: DataFrame) -> DataFrame:
     return month.join(old, ["region", "ord"]).withColumn("change", F.col("due_units") - F.col("due_before"))
 
 
-def acquisition_lag12(fine: DataFrame) -> DataFrame:
-    """New customers expected in open months: the same month's a year before, at the level of the last three
-    closed months against theirs a year before."""
-    month = fine.where("newcust = 1").groupBy("region", "ord").agg(F.sum("raw_due_units").alias("units")).where(F.col("ord") < CFG.current)
-    recent, before = (F.sum(F.when(F.col("ord").between(CFG.current - a - 3, CFG.current - a - 1), F.col("units"))) for a in (0, 12))
-    level = month.groupBy("region").agg(F.try_divide(recent.cast("double"), before.cast("double")).alias("level"))
-    return month.where(F.col("ord") >= CFG.current - 12).join(level, "region").select("region", (F.col("ord") + 12).alias("ord"), F.round(F.col("units") * F.coalesce("level", F.lit(1.0)), 6).alias("units"))
-
-
 def region_rate_cascade(fine: DataFrame) -> DataFrame:
     """Rates of the second universe climbing from region and product to region to all, by first level with units."""
     rows = fine.where((F.col("ts") == 1) & (F.col("ord") < CFG.current))
@@ -122,43 +115,14 @@ def totals_by_prefix(fine: DataFrame) -> DataFrame:
     return rows.withColumn("rate", X.ratio(F.col("ren_units"), F.col("due_units")))
 
 
-def horizon_extension(fine: DataFrame) -> DataFrame:
-    """One-year licences that fall due in open months and are expected to renew fall due again a year later."""
-    rate = fine.where((F.col("ord") < CFG.current) & (F.col("ts") == 0)).groupBy("region", "product").agg(X.ratio(F.sum("ren_units"), F.sum("due_units")).alias("rate"))
-    rows = fine.where((F.col("ord") >= CFG.current) & (F.col("term") == CFG.one_year) & (F.col("due_units") > 0) & (F.col("ts") == 0)).join(rate, ["region", "product"])
-    return rows.groupBy("region", "product", (F.col("ord") + 12).alias("ord")).agg(F.sum("due_units").alias("due_units"), F.round(F.sum(F.col("due_units") * F.col("rate")), 6).alias("expected_units"))
-
-
-def forecast_rows(spark: SparkSession, sf: str) -> DataFrame:
-    from renewcast.plans.pipeline import forecast_tables
-
-    return forecast_tables(spark, sf, CFG)["forecast"]
-
+def _rates(f):
+    """Queries of the series' rates with their dimensions."""
+    return _of("rates")(lambda rates: f(rates.sparkSession, rates))
 
-def _rates(dims=None):
-    """Queries of a summary's rates with the dimensions."""
-    dims = dims or CFG.series
 
-    def wrap(f):
-        def run(spark: SparkSession, sf: str) -> DataFrame:
-            rows = units(fine_table(spark, sf, CFG), CFG)
-            return f(spark, V.weighted_rates(S.rate_summary(rows, CFG).join(rows.select("fs_id", *CFG.series).distinct(), "fs_id"), dims))
-
-        return run
-
-    return wrap
-
-
-def matured_forecast(spark: SparkSession, sf: str) -> DataFrame:
+def matured_forecast(forecast: DataFrame, units: DataFrame, moves: DataFrame) -> DataFrame:
     """The forecast after the marks still to come."""
-    fine = fine_table(spark, sf, CFG)
-    dims = units(fine, CFG).select("fs_id", *CFG.series).distinct()
-    return M.distribute(forecast_rows(spark, sf).join(dims, "fs_id"), M.moves(fine, CFG), CFG)
-
-
-def core_table(spark: SparkSession, sf: str) -> DataFrame:
-    fine = fine_table(spark, sf, CFG)
-    return core.core(fine, forecast_rows(spark, sf), P.uplifts(fine, CFG), horizon_extension(fine), acquisition_lag12(fine), CFG)
+    return M.distribute(forecast.join(units.select("fs_id", *CFG.series).distinct(), "fs_id"), moves, CFG)
 
 
 def spreadsheet_exam(u: DataFrame) -> DataFrame:
@@ -167,39 +131,43 @@ def spreadsheet_exam(u: DataFrame) -> DataFrame:
 
 
 def _report(text: str):
-    return lambda spark, sf: spark.sql(text.replace("FROM fine", "FROM {fine}"), fine=fine_table(spark, sf, CFG))
+    return _fine(lambda fine: fine.sparkSession.sql(text.replace("FROM fine", "FROM {fine}"), fine=fine))
 
 
+_ESTIMATE = ("fine", "summary", "chosen", "references", "credibility")
 NATIVE = ("T2_mean", "T3_ma3", "T3_ma6", "T4_ewma", "T9_ses", "T12_theta", "T14_temporal_cred")
 QUERIES = {
     "calendar_by_month": _fine(S.calendar_table),
     "months_per_role": _fine(months_per_role),
     "value_checks": value_checks,
-    "grain_duplicates": grain_duplicates,
-    "id_hash_keys": lookups,
-    "series_routes": _fine(S.routes),
+    "grain_duplicates": _fine(grain_duplicates),
+    "id_hash_keys": _fine(lookups),
+    "series_routes": _of("routes")(),
     "unit_aggregate": _units(lambda u: u.select("fs_id", "ord", "role", "sign", "due_units", "due_cents", "ren_units", "ren_value", "rows")),
     "gap_role_asof": _units(lambda u: S.gaps(u, CFG)),
-    "series_rate_summary": _units(lambda u: S.rate_summary(u, CFG)),
+    "series_rate_summary": _of("summary")(),
     "support_bound": _units(lambda u: S.support_bound(u, CFG)),
     "two_stage_support": _units(lambda u: S.two_stage_support(u, ["region", "product"], CFG)),
-    "eta2_by_dimension": eta2_by_dimension,
+    "eta2_by_dimension": _of("summary", "units")(eta2_by_dimension),
     "ratio_bands": ratio_bands,
-    "ladder_pattern_support": _units(lambda u: L.pattern_support(u, CFG)),
-    "ladder_chosen_pass": _units(lambda u: L.chosen(u, CFG)),
-    "credibility_reference": _units(lambda u: L.references(u, CFG).select("fs_id", "composition", "reference", "r_pass", "r_support")),
-    "credibility_k": _units(lambda u: L.credibility(u, CFG)),
-    "blended_rate": _units(lambda u: L.blended(u, CFG)),
-    "composition_members": _units(lambda u: L.members(u, CFG)),
-    "composition_monthly": _units(lambda u: L.pooled(u, CFG)),
-    "technique_backtest": lambda spark, sf: _rounded(_predictions(spark, sf, NATIVE).drop("place"), "predicted", "real", "error", "error_norm"),
-    "technique_backtest_recursive": lambda spark, sf: _rounded(_predictions(spark, sf).drop("place"), "predicted", "real", "error", "error_norm"),
-    "champion_choice": lambda spark, sf: B.choose(_predictions(spark, sf), CFG),
-    "error_band_quantiles": lambda spark, sf: B.error_bands(_predictions(spark, sf)),
-    "exam_precision": lambda spark, sf: B.exam(p := _predictions(spark, sf), B.choose(p, CFG)),
-    "forecast_rows": forecast_rows,
-    "forecast_yearly_totals": lambda spark, sf: B.yearly_totals(forecast_rows(spark, sf)),
-    "uplift_hierarchy": _fine(lambda f: P.uplifts(f, CFG)),
+    "ladder_pattern_support": _of("support")(),
+    "ladder_chosen_pass": _of("chosen")(),
+    "credibility_reference": _of("references")(lambda r: r.select("fs_id", "composition", "reference", "r_pass", "r_support")),
+    "credibility_k": _of("credibility")(),
+    "blended_rate": _of("weights")(L.blended),
+    "composition_members": _of("members")(),
+    "composition_monthly": _pooled(),
+    "ladder_run": _of("passes")(),
+    "ladder_pass_summary": _of("passes")(lambda p: passes.summary(p, CFG)),
+    "ladder_compositions": _of("pass_stats", "passes")(lambda s, p: passes.compositions(s, p, CFG)),
+    "technique_backtest": _pooled(lambda p: _rounded(B.backtest(p, CFG, NATIVE).drop("place"), "predicted", "real", "error", "error_norm")),
+    "technique_backtest_recursive": _of("predictions")(lambda p: _rounded(p.drop("place"), "predicted", "real", "error", "error_norm")),
+    "champion_choice": _of("decision")(),
+    "error_band_quantiles": _of("bands")(),
+    "exam_precision": _of("predictions", "decision")(B.exam),
+    "forecast_rows": _of("forecast")(lambda f: f.withColumns({c: F.round(c, 9) for c in ("rate", "rate_low", "rate_high", "expected_units")})),
+    "forecast_yearly_totals": _of("yearly")(),
+    "uplift_hierarchy": _of("uplift")(),
     "contract_rule_check": _fine(lambda f: P.contract_check(f, CFG)),
     "uplift_backtest": _fine(lambda f: P.uplift_backtest(f, CFG)),
     "weighted_percentiles": _fine(lambda f: P.weighted_percentiles(f, CFG)),
@@ -207,32 +175,37 @@ QUERIES = {
     "price_increase_calendar": _fine(lambda f: P.increase_calendar(P.monitor(f, CFG, 0.002))),
     "marks_by_month": _fine(marks_by_month),
     "same_month_last_year": _fine(same_month_last_year),
-    "acquisition_lag12": _fine(acquisition_lag12),
+    "acquisition_lag12": _of("acquisition")(),
     "region_rate_cascade": _fine(region_rate_cascade),
     "totals_by_prefix": _fine(totals_by_prefix),
-    "horizon_extension": _fine(horizon_extension),
-    "omega2_by_dimension": _rates()(lambda spark, r: V.omega_squared(r, CFG.series)),
-    "dimension_pairs": _rates()(lambda spark, r: V.pairs(r, CFG.series)),
-    "collapse_order": _rates()(lambda spark, r: V.collapse_order(spark, r, CFG.mandatory + CFG.extra)),
-    "pass_plan": _rates()(lambda spark, r: V.pass_plan(spark, r, CFG)),
+    "horizon_extension": _of("extension")(),
+    "omega2_by_dimension": _rates(lambda spark, r: V.omega_squared(r, CFG.series)),
+    "dimension_pairs": _rates(lambda spark, r: V.pairs(r, CFG.series)),
+    "collapse_order": _rates(lambda spark, r: V.collapse_order(spark, r, CFG.mandatory + CFG.extra)),
+    "pass_plan": _of("plan")(),
     "level_values": _fine(lambda f: levels.values(f, "product", CFG)),
-    "level_groups": lambda spark, sf: levels.levels(spark, fine_table(spark, sf, CFG), "product", CFG),
-    "dynamics_statistics": _units(lambda u: D.statistics(L.pooled(u, CFG))),
-    "dynamics_tests": _units(lambda u: D.tests(L.pooled(u, CFG))),
-    "month_profile": _units(lambda u: D.month_profile(L.pooled(u, CFG))),
-    "mark_redistribution": _fine(lambda f: M.moves(f, CFG)),
-    "matured_forecast": matured_forecast,
+    "level_groups": _fine(lambda f: levels.levels(f.sparkSession, f, "product", CFG)),
+    "dynamics_statistics": _pooled(D.statistics),
+    "dynamics_tests": _pooled(D.tests),
+    "month_profile": _pooled(D.month_profile),
+    "mark_redistribution": _of("moves")(),
+    "matured_forecast": _of("forecast", "units", "moves")(matured_forecast),
     "uplift_bands": _fine(lambda f: bootstrap.bands(f, CFG)),
-    "merge_evidence": _units(lambda u: E.merges(u, CFG)),
-    "ladder_stages": _units(lambda u: E.stages(u, CFG)),
-    "stage_summary": _units(lambda u: E.stage_summary(u, CFG)),
-    "series_cards": lambda spark, sf: E.cards(f := fine_table(spark, sf, CFG), units(f, CFG), CFG),
-    "core_table": core_table,
+    "merge_evidence": _of("rungs", "chosen", "summary")(E.merges),
+    "ladder_stages": _of("rungs", "chosen")(E.stages),
+    "stage_summary": _of("units", "rungs", "chosen")(lambda u, r, c: E.stage_summary(u, r, c, CFG)),
+    "series_cards": _of("fine", "summary", "chosen", "weights")(lambda f, s, c, w: E.cards(f, s, c, w, CFG)),
+    "core_table": _of("core")(),
     "core_legend": lambda spark, sf: core.legend(spark),
-    "new_rows_by_source": lambda spark, sf: core.new_rows(core_table(spark, sf)),
-    "series_estimate": _fine(lambda f: risk.estimates(f, units(f, CFG), CFG)),
-    "risk_levels": _fine(lambda f: risk.report(risk.estimates(f, units(f, CFG), CFG))),
-    "second_universe": _fine(lambda f: universe.second_universe(f, CFG)),
+    "new_rows_by_source": _of("core")(core.new_rows),
+    "grand_total": _of("fine", "core", "second")(lambda f, c, s: universe.grand_total(f, c, s, CFG)),
+    "series_estimate": _of(*_ESTIMATE)(lambda *t: risk.estimates(*t, CFG)),
+    "risk_levels": _of(*_ESTIMATE)(lambda *t: risk.report(risk.estimates(*t, CFG))),
+    "second_universe": _of("second")(),
     "spreadsheet_exam": _units(spreadsheet_exam),
+    "series_exam": _of("exam_rows")(),
+    "series_exam_per_series": _of("exam_rows")(EX.per_series),
+    "series_exam_by_month": _of("exam_rows")(EX.by_month),
+    "series_exam_summary": _of("exam_rows")(EX.summary),
     **{name: _report(text) for name, text in REPORTS.items()},
 }

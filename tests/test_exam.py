@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from renewcast.config import Config
 from renewcast.operators import exam as EX
+from renewcast.operators import ladder as L
 from renewcast.operators import universe as U
 
 
@@ -28,7 +29,7 @@ def detail(spark):
     decision = spark.createDataFrame([("c", 1, "T2_mean")], "composition string, h int, technique string")
     bands = spark.createDataFrame([("T3_ma3", 1, -1.0, 1.0), ("T3_ma3", 6, -2.0, 2.0)], "technique string, h int, q_low double, q_high double")
     weights = spark.createDataFrame([("s1", "c", "region=EU|product=A|sign=neutro", 0.5), ("s2", "c", None, 1.0)], "fs_id string, composition string, reference string, z double")
-    out = EX.detail(units, pooled, decision, bands, weights, cfg).cache()
+    out = EX.detail(units, L.patterns(units, cfg), pooled, decision, bands, weights, cfg).cache()
     return due, out, {(r.fs_id, r.ord, r.h, r.method): r for r in out.collect()}
 
 

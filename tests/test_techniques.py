@@ -76,13 +76,3 @@ def test_increase_is_found(spark):
     rows = spark.createDataFrame([("a", 100 + i, 1.0 if i < 20 else 1.1, 5) for i in range(36)], "product string, ord int, uplift double, ren_value long")
     out = sorted(increases(rows).collect(), key=lambda r: r["ord"])
     assert [r["ord"] for r in out if r["starts"]] == [120] and out[20]["in_cycle"] == 1 and out[32]["in_cycle"] == 0 and out[25]["months_since"] == 5
-
-
-def test_run_and_resume(spark, tmp_path):
-    from renewcast.plans.pipeline import conservation, run
-
-    tables = run(spark, "/root/testdata/sf0.001", str(tmp_path))
-    assert conservation(tables).count() == 0
-    n = tables["forecast"].count()
-    again = run(spark, "/root/testdata/sf0.001", str(tmp_path), start="decision")
-    assert again["forecast"].count() == n > 0
