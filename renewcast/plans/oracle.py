@@ -191,8 +191,8 @@ def _of_chosen(rows: str, keep: str) -> str:
 
 
 _TRIED = f""", hy AS (SELECT composition, ord, due_units, ren_units::DOUBLE / due_units AS rate, {_CLIP.format("(ren_units::DOUBLE / due_units)")} AS y, ord % 12 + 1 AS m FROM pool WHERE due_units > 0),
-sn AS (SELECT t.composition, t.ord, h, t.rate AS real, t.due_units, list(s.y ORDER BY s.ord) AS ys, list(s.m ORDER BY s.ord) AS ms, count(*) AS n FROM hy t CROSS JOIN (VALUES (1), (6)) v(h) JOIN hy s ON s.composition = t.composition AND s.ord <= t.ord - h WHERE t.ord >= 23994 GROUP BY ALL HAVING count(*) >= 12),
-lo AS ({_logits("sn", "composition, ord, h, real, due_units")}),
+series_seen AS (SELECT t.composition, t.ord, h, t.rate AS real, t.due_units, list(s.y ORDER BY s.ord) AS ys, list(s.m ORDER BY s.ord) AS ms, count(*) AS n FROM hy t CROSS JOIN (VALUES (1), (6)) v(h) JOIN hy s ON s.composition = t.composition AND s.ord <= t.ord - h WHERE t.ord >= 23994 GROUP BY ALL HAVING count(*) >= 12),
+lo AS ({_logits("series_seen", "composition, ord, h, real, due_units")}),
 tr AS (SELECT composition, ord, CASE WHEN ord >= 24006 THEN 'examen' ELSE 'seleccion' END AS purpose, h, technique, place, 1 / (1 + exp(-lo)) AS predicted, real, due_units, 100 * (1 / (1 + exp(-lo)) - real) AS error,
   100 * (1 / (1 + exp(-lo)) - real) / (100 * sqrt(greatest(least(real, 1 - 0.5::DOUBLE / due_units), 0.5::DOUBLE / due_units) * (1 - greatest(least(real, 1 - 0.5::DOUBLE / due_units), 0.5::DOUBLE / due_units)) / due_units)) AS error_norm FROM lo),
 sco AS (SELECT composition, h, technique, place, avg(abs(error_norm)) AS score, count(*) AS n FROM tr WHERE purpose = 'seleccion' GROUP BY ALL),
@@ -244,6 +244,82 @@ lw AS (SELECT s.fs_id, s.pattern AS reference, s.pass AS reference_pass, s.suppo
 SELECT ll.fs_id, group_id AS composition, stop, group_support, group_series, (pass >= stop AND group_support >= 30)::INT AS closed, reference, reference_pass, reference_support, reference_series FROM ll LEFT JOIN lw ON lw.fs_id = ll.fs_id AND k = 1""",
 }
 
+#: Uplifts with the cell's id (cells of _UPLIFT), the extension and the acquisitions, as their own queries have them.
+_CORE = _FORECAST + _UPLIFT.format(before=24009) + """, xr AS (SELECT region, product, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS rate FROM fin WHERE ord < 24009 AND ts = 0 GROUP BY ALL),
+extension AS (SELECT region, product, (ord + 12)::INT AS ord, sum(due_units)::BIGINT AS due_units, round(sum(due_units * rate), 6) AS expected_units FROM fin JOIN xr USING (region, product) WHERE ord >= 24009 AND term = '1 year' AND due_units > 0 AND ts = 0 GROUP BY region, product, ord),
+am AS (SELECT region, ord, sum(raw_due_units)::BIGINT AS units FROM fin WHERE newcust = 1 AND ord < 24009 GROUP BY ALL),
+al AS (SELECT region, sum(units) FILTER (ord BETWEEN 24006 AND 24008)::DOUBLE / sum(units) FILTER (ord BETWEEN 23994 AND 23996)::DOUBLE AS level FROM am GROUP BY region),
+acquisition AS (SELECT region, (ord + 12)::INT AS ord, round(units * coalesce(level, 1), 6)::DOUBLE AS units FROM am JOIN al USING (region) WHERE ord >= 23997),
+c1 AS (SELECT region, product, fs_id, cell_id, ord, role, CASE WHEN ts = 1 THEN 'second_universe' ELSE 'real' END AS source, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents, sum(ren_units)::BIGINT AS ren_units, NULL::DOUBLE AS rate, NULL::DOUBLE AS uplift, NULL::DOUBLE AS expected_units, NULL::DOUBLE AS expected_cents FROM fin WHERE ord < 24009 GROUP BY region, product, fs_id, cell_id, ord, role, ts),
+c2 AS (SELECT region, product, fs_id, cell_id, ord, role, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents FROM fin WHERE ord >= 24009 AND ts = 0 GROUP BY ALL),
+core0 AS (SELECT * FROM c1
+  UNION ALL SELECT c2.region, c2.product, c2.fs_id, cell_id, c2.ord, role, 'forecast', c2.due_units, c2.due_cents, NULL, f.rate, up.uplift, round(c2.due_units * f.rate, 6), round(c2.due_cents * f.rate * up.uplift, 4) FROM c2 LEFT JOIN forecast f ON f.fs_id = c2.fs_id AND f.ord = c2.ord LEFT JOIN up ON up.cell = c2.cell_id
+  UNION ALL SELECT region, product, NULL, NULL, ord, 'proyeccion', 'extension', due_units, NULL, NULL, NULL, NULL, expected_units, NULL FROM extension
+  UNION ALL SELECT region, NULL, NULL, NULL, ord, 'proyeccion', 'acquisition', NULL, NULL, NULL, NULL, NULL, units, NULL FROM acquisition),
+core AS (SELECT *, ('0x' || substr(md5(concat_ws('|', source, coalesce(region, 'null'), coalesce(product, 'null'), coalesce(fs_id, 'null'), coalesce(cell_id, 'null'), ord::VARCHAR)), 1, 12))::BIGINT AS row_key FROM core0)
+"""
+_TOTAL = """, g0 AS (SELECT (ord // 12)::INT AS year, 'pipeline_renovado_real' AS origin, due_units::DOUBLE AS du, due_cents::DOUBLE / 100 AS dv, ren_units::DOUBLE AS ru, ren_value::DOUBLE / 20000 AS rv FROM fin WHERE ts = 0 AND ord < 24009
+  UNION ALL SELECT (ord // 12)::INT, CASE source WHEN 'forecast' THEN 'pipeline_real_esperado' WHEN 'extension' THEN 'pipeline_proyectada' ELSE 'pipeline_simulada' END, due_units::DOUBLE, due_cents::DOUBLE / 100, expected_units, expected_cents / 100 FROM core WHERE source IN ('forecast', 'extension', 'acquisition')
+  UNION ALL SELECT (ord // 12)::INT, origin, CASE WHEN origin = 'ts_reentrada' THEN units ELSE 0.0::DOUBLE END, CASE WHEN origin = 'ts_reentrada' THEN value ELSE 0.0::DOUBLE END, CASE WHEN origin = 'ts_reentrada' THEN renewed_units ELSE units END, revenue FROM second),
+g1 AS (SELECT year, origin, sum(du) AS du, sum(dv) AS dv, sum(ru) AS ru, sum(rv) AS rv FROM g0 WHERE year >= 2000 GROUP BY ALL)
+SELECT year, origin, round(du, 2) AS due_units, round(dv, 2) AS due_value, round(ru, 2) AS renewed_units, round(rv, 2) AS renewed_value FROM (SELECT * FROM g1 UNION ALL SELECT year, 'TOTAL', sum(du), sum(dv), sum(ru), sum(rv) FROM g1 GROUP BY year)"""
+_SECOND_CTE = _SECOND[:_SECOND.index("SELECT region, ord, 'ts_real'")] + ", second AS (" + _SECOND[_SECOND.index("SELECT region, ord, 'ts_real'"):] + ")"
+_SHIFT = _CLIP.format("rl.level") + " - " + _CLIP.format("cl.level")
+_LEVELS = lambda name, rows, keys: f"{name} AS (SELECT {keys}, o.origin, count(*) AS n, sum(ren_units)::DOUBLE / nullif(sum(due_units), 0)::DOUBLE AS level FROM {rows} x JOIN eo o ON x.ord <= o.origin GROUP BY ALL)"
+#: Every series and exam month by four methods: see operators/exam.py.
+_EXAM = _FORECAST + f""", ex AS (SELECT fs_id, concat_ws('|', region, product) AS cell, ord, due_units, ren_units FROM past WHERE due_units > 0),
+er AS (SELECT ex.*, h, ord - h AS origin FROM ex CROSS JOIN (VALUES (1), (6)) v(h) WHERE ord >= 24006), eo AS (SELECT DISTINCT origin FROM er),
+ey AS (SELECT origin, cell, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS r FROM eo JOIN ex ON ex.ord BETWEEN origin - 11 AND origin GROUP BY ALL), ez AS (SELECT origin, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS r FROM eo JOIN ex ON ex.ord BETWEEN origin - 11 AND origin GROUP BY ALL),
+{_LEVELS("lcell", "ex", "cell")}, {_LEVELS("lall", "ex", "1 AS one")}, {_LEVELS("lown", "ex", "fs_id")}, epool AS (SELECT * FROM pool WHERE due_units > 0), {_LEVELS("lcomp", "epool", "composition")},
+ewide AS (SELECT p.pattern AS reference, ex.ord, ex.due_units, ex.ren_units FROM pattern p JOIN (SELECT DISTINCT reference FROM wgt WHERE reference IS NOT NULL) r ON r.reference = p.pattern JOIN ex ON ex.fs_id = p.fs_id), {_LEVELS("lref", "ewide", "reference")},
+eq AS (SELECT q.composition, q.origin, q.h, coalesce(d.technique, 'T3_ma3') AS technique, list(y ORDER BY ord) AS ys, list(m ORDER BY ord) AS ms, count(*) AS n FROM (SELECT DISTINCT w.composition, er.origin, er.h FROM er JOIN wgt w USING (fs_id)) q JOIN hy ON hy.composition = q.composition AND hy.ord <= q.origin LEFT JOIN dec d ON d.composition = q.composition AND d.h = q.h GROUP BY ALL HAVING count(*) >= 3),
+ecomp AS ({_of_chosen("eq", "composition, origin, h")}),
+eh AS (SELECT fs_id, ord, {_CLIP.format("(ren_units::DOUBLE / due_units)")} AS y, ord % 12 + 1 AS m FROM ex),
+es AS (SELECT er.fs_id, er.ord, er.h, coalesce(d.technique, 'T3_ma3') AS technique, list(y ORDER BY eh.ord) AS ys, list(m ORDER BY eh.ord) AS ms, count(*) AS n FROM er JOIN eh ON eh.fs_id = er.fs_id AND eh.ord <= er.origin LEFT JOIN wgt w ON w.fs_id = er.fs_id LEFT JOIN dec d ON d.composition = w.composition AND d.h = er.h GROUP BY ALL HAVING count(*) >= 3),
+ealone AS ({_of_chosen("es", "fs_id, ord, h")}),
+ebase AS (SELECT er.*, w.composition, coalesce(ey.r, ez.r) AS sheet_cell, ez.r AS sheet_all, coalesce(lc.level, la.level) AS cell_level, lo.level AS own_level, s.technique AS own_technique, s.rate AS own_rate, c.technique AS comp_technique, c.rate AS comp_rate,
+  CASE WHEN c.rate IS NOT NULL AND coalesce(w.z, 1) < 1 AND rl.level > 0 AND rl.level < 1 AND cl.level > 0 AND cl.level < 1 THEN (1 - w.z) * ({_SHIFT}) ELSE 0.0::DOUBLE END AS shift
+  FROM er LEFT JOIN wgt w USING (fs_id) LEFT JOIN ey ON ey.cell = er.cell AND ey.origin = er.origin LEFT JOIN ez ON ez.origin = er.origin LEFT JOIN lcell lc ON lc.cell = er.cell AND lc.origin = er.origin LEFT JOIN lall la ON la.origin = er.origin LEFT JOIN lown lo ON lo.fs_id = er.fs_id AND lo.origin = er.origin
+  LEFT JOIN ealone s ON s.fs_id = er.fs_id AND s.ord = er.ord AND s.h = er.h LEFT JOIN ecomp c ON c.composition = w.composition AND c.origin = er.origin AND c.h = er.h LEFT JOIN lref rl ON rl.reference = w.reference AND rl.origin = er.origin LEFT JOIN lcomp cl ON cl.composition = w.composition AND cl.origin = er.origin),
+em AS (SELECT *, 'raw' AS method, coalesce(own_technique, CASE WHEN own_level IS NOT NULL THEN 'own_level' END, 'mandatory_cell') AS technique, coalesce(own_rate, own_level, cell_level) AS pred_rate, NULL::DOUBLE AS composition_rate, 0.0::DOUBLE AS moved FROM ebase
+  UNION ALL SELECT *, 'framework', coalesce(comp_technique, 'mandatory_cell'), coalesce(CASE WHEN shift = 0 THEN comp_rate ELSE 1 / (1 + exp(-({_CLIP.format("comp_rate")} + shift))) END, cell_level), comp_rate, shift FROM ebase
+  UNION ALL SELECT *, 'hoja_mandatory', 'last 12 months', sheet_cell, NULL, 0.0 FROM ebase UNION ALL SELECT *, 'hoja_global', 'last 12 months', sheet_all, NULL, 0.0 FROM ebase),
+en AS (SELECT em.*, sqrt(pred_rate * (1 - pred_rate) / greatest(due_units, 1)) AS se, least(coalesce(b.q_low, c.q_low, -1.645::DOUBLE), 0) AS ql, greatest(coalesce(b.q_high, c.q_high, 1.645::DOUBLE), 0) AS qh FROM em LEFT JOIN bnd b ON b.technique = em.technique AND b.h = em.h LEFT JOIN bnd c ON c.technique = 'T3_ma3' AND c.h = em.h),
+ed AS (SELECT fs_id, composition, ord, h, origin, due_units, ren_units AS real_units, method, technique, pred_rate, composition_rate, moved AS shift, CASE WHEN method IN ('raw', 'framework') THEN least(greatest(pred_rate + ql * se, 0), 1) END AS band_low, CASE WHEN method IN ('raw', 'framework') THEN least(greatest(pred_rate + qh * se, 0), 1) END AS band_high,
+  ren_units::DOUBLE / due_units AS real_rate, pred_rate * due_units AS pred_units, pred_rate * due_units - ren_units AS err_units, 100 * (pred_rate - ren_units::DOUBLE / due_units) AS err_pp, 100 * sqrt(greatest(pred_rate * (1 - pred_rate), 0) / greatest(due_units, 1)) AS noise_pp FROM en),
+exam AS (SELECT *, CASE WHEN band_low IS NOT NULL THEN (real_rate BETWEEN band_low - 1e-12 AND band_high + 1e-12)::INT END AS in_band FROM ed)
+"""
+_R6 = lambda *names: ", ".join(f"round({n}, 6) AS {n}" for n in names)
+
+
+def _per_series() -> str:
+    out = []
+    for m in ("raw", "framework"):
+        on = f"FILTER (method = '{m}')"
+        rms = lambda c, on=on: f"sqrt(avg({c} * {c}) {on})"
+        values = {"predictions": f"count(*) {on}", "in_band": f"sum(in_band) {on}::BIGINT", "pred_units": f"round(sum(pred_units) {on}, 6)", "real_units": f"sum(real_units) {on}::BIGINT", "abs_err_units": f"round(sum(abs(err_units)) {on}, 6)", "mae_pp": f"round(avg(abs(err_pp)) {on}, 6)", "bias_pp": f"round(avg(err_pp) {on}, 6)", "rmse_pp": f"round({rms('err_pp')}, 6)", "noise_pp": f"round({rms('noise_pp')}, 6)",
+                  "error_over_noise": f"round({rms('err_pp')} / nullif({rms('noise_pp')}, 0), 6)", "wape": f"round(sum(abs(err_units)) {on} / nullif(sum(real_units) {on}, 0)::DOUBLE, 6)", "coverage": f"round(sum(in_band) {on}::DOUBLE / (count(*) {on})::DOUBLE, 6)"}
+        out += [f"{v} AS {m}_{k}" for k, v in values.items()]
+    return "SELECT fs_id, " + ", ".join(out) + ", round(avg(abs(err_pp)) FILTER (method = 'raw') - avg(abs(err_pp)) FILTER (method = 'framework'), 6) AS improvement_mae_pp FROM exam GROUP BY fs_id"
+
+
+_MONTHS = ", emon AS (SELECT ord, h, method, sum(pred_units) AS pred_units, sum(real_units)::BIGINT AS real_units, (sum(pred_units) - sum(real_units)) / nullif(sum(real_units), 0)::DOUBLE AS error_total FROM exam GROUP BY ALL)"
+_LATE = {
+    "core_table": _CORE + "SELECT region, product, fs_id, cell_id, ord, role, source, due_units, due_cents, ren_units, round(rate, 9) AS rate, uplift, expected_units, expected_cents, row_key FROM core",
+    "new_rows_by_source": _CORE + "SELECT ord, source, count(*) AS rows, coalesce(sum(due_units), 0)::BIGINT AS due_units, round(coalesce(sum(expected_units), 0), 4) AS expected_units FROM core GROUP BY ord, source",
+    "grand_total": _CORE + _SECOND_CTE + _TOTAL,
+    "series_exam": _EXAM + "SELECT fs_id, composition, ord, h, origin, due_units, real_units, method, technique, in_band, " + _R6("pred_rate", "composition_rate", "shift", "band_low", "band_high", "real_rate", "pred_units", "err_units", "err_pp", "noise_pp") + " FROM exam",
+    "series_exam_per_series": _EXAM + _per_series(),
+    "series_exam_by_month": _EXAM + _MONTHS + "SELECT ord, h, method, real_units, " + _R6("pred_units", "error_total") + " FROM emon",
+    "series_exam_summary": _EXAM + _MONTHS + """, e2 AS (SELECT method, h, avg(abs(error_total)) AS mean_error_total, avg(error_total) AS mean_bias_total FROM emon GROUP BY ALL), e3 AS (SELECT method, h, sum(abs(err_units)) / nullif(sum(real_units), 0)::DOUBLE AS wape_series, sqrt(avg(err_pp * err_pp)) / nullif(sqrt(avg(noise_pp * noise_pp)), 0) AS error_over_noise, avg(in_band) AS in_band FROM exam GROUP BY ALL)
+SELECT method, h, """ + _R6("mean_error_total", "mean_bias_total", "wape_series", "error_over_noise", "in_band") + " FROM e2 JOIN e3 USING (method, h)",
+    "series_cards": _FORECAST + """, ct AS (SELECT fs_id, count(DISTINCT ord) FILTER (role = 'entrenamiento') AS t, count(DISTINCT ord) FILTER (role = 'examen') AS e, count(DISTINCT ord) FILTER (role = 'proyeccion') AS p, coalesce(sum(due_cents) FILTER (role = 'proyeccion'), 0)::BIGINT AS to_predict_cents FROM fin WHERE ts = 0 GROUP BY fs_id)
+SELECT ct.fs_id, concat_ws('+', CASE WHEN t > 0 THEN 'entrenamiento' END, CASE WHEN e > 0 THEN 'examen' END, CASE WHEN ct.p > 0 THEN 'proyeccion' END) AS coverage, CASE WHEN t + e > 0 AND ct.p > 0 THEN 'predecible' WHEN t + e > 0 THEN 'solo_historia' ELSE 'solo_futuro' END AS route, to_predict_cents, s.support AS own_support, s.months, round(s.ren_units::DOUBLE / nullif(s.due_units, 0), 6) AS own_rate,
+  round(CASE WHEN s.fs_id IS NULL THEN NULL WHEN s.due_units <= 0 THEN 50.0 ELSE 100 * (1.645::DOUBLE * sqrt(s.ren_units::DOUBLE / s.due_units * (1 - s.ren_units::DOUBLE / s.due_units) / s.due_units + 2.706025::DOUBLE / (4 * s.due_units::DOUBLE * s.due_units)) / (1 + 2.706025::DOUBLE / s.due_units)) END, 6)::DOUBLE AS half_width,
+  c.sign, c.pass, c.composition, c.support AS group_support, c.series, w.reference, w.z, round(w.z * w.p + (1 - w.z) * coalesce(w.r, w.p), 6) AS blended_rate, CASE WHEN s.support >= 271 THEN 'high' WHEN coalesce(c.support, 0) >= 30 THEN 'medium' ELSE 'low' END AS confidence
+  FROM ct LEFT JOIN summary s USING (fs_id) LEFT JOIN chosen c USING (fs_id) LEFT JOIN wgt w USING (fs_id)""",
+}
+
 SQL = {k: _BASE + v for k, v in {
     "calendar_by_month": "SELECT ord, role, count(*) AS rows, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents, sum(ren_units)::BIGINT AS ren_units, sum(ren_value)::BIGINT AS ren_value, sum(raw_due_units)::BIGINT AS raw_due_units, sum(raw_ren_units)::BIGINT AS raw_ren_units, sum(ren_units)::DOUBLE / nullif(sum(due_units), 0)::DOUBLE AS rate FROM fin GROUP BY ord, role",
     "months_per_role": "SELECT fs_id, count(DISTINCT ord) FILTER (role = 'entrenamiento') AS entrenamiento, count(DISTINCT ord) FILTER (role = 'examen') AS examen, count(DISTINCT ord) FILTER (role = 'proyeccion') AS proyeccion FROM fin GROUP BY fs_id",
@@ -303,6 +379,7 @@ SELECT own.composition, n AS months, round(rate, 6) AS rate, round(var / nullif(
     "forecast_rows": _FORECAST + "SELECT fs_id, ord, h, composition, origin, technique, due_units, round(rate, 9) AS rate, round(rate_low, 9) AS rate_low, round(rate_high, 9) AS rate_high, round(expected_units, 9) AS expected_units FROM forecast",
     "forecast_yearly_totals": _FORECAST + "SELECT (ord // 12)::INT AS year, round(sum(expected_units), 4) AS expected, round(sum(rate_low * due_units), 4) AS low, round(sum(rate_high * due_units), 4) AS high, round(sqrt(sum(((rate_high - rate_low) / 2 * due_units) ^ 2)), 4) AS quadrature FROM forecast GROUP BY 1",
 }.items()}
+SQL |= {k: _BASE + v for k, v in _LATE.items()}
 SQL |= {k: ladder_sql(v) for k, v in _LADDER.items()}
 for _name, _text in REPORTS.items():
     _text = _text.replace("FROM fine", "FROM fin")

@@ -44,6 +44,11 @@ def _rounded(rows: DataFrame, *names: str) -> DataFrame:
     return rows.withColumns({c: F.round(c, 6) for c in names})
 
 
+def _six(rows: DataFrame) -> DataFrame:
+    """All fractions to six places."""
+    return _rounded(rows, *(c for c, t in rows.dtypes if t == "double"))
+
+
 def months_per_role(fine: DataFrame) -> DataFrame:
     return fine.groupBy("fs_id").pivot("role", ["entrenamiento", "examen", "proyeccion"]).agg(F.count_distinct("ord")).na.fill(0)
 
@@ -195,7 +200,7 @@ QUERIES = {
     "ladder_stages": _of("rungs", "chosen")(E.stages),
     "stage_summary": _of("units", "rungs", "chosen")(lambda u, r, c: E.stage_summary(u, r, c, CFG)),
     "series_cards": _of("fine", "summary", "chosen", "weights")(lambda f, s, c, w: E.cards(f, s, c, w, CFG)),
-    "core_table": _of("core")(),
+    "core_table": _of("core")(lambda c: c.withColumn("rate", F.round("rate", 9))),
     "core_legend": lambda spark, sf: core.legend(spark),
     "new_rows_by_source": _of("core")(core.new_rows),
     "grand_total": _of("fine", "core", "second")(lambda f, c, s: universe.grand_total(f, c, s, CFG)),
@@ -203,9 +208,9 @@ QUERIES = {
     "risk_levels": _of(*_ESTIMATE)(lambda *t: risk.report(risk.estimates(*t, CFG))),
     "second_universe": _of("second")(),
     "spreadsheet_exam": _units(spreadsheet_exam),
-    "series_exam": _of("exam_rows")(),
-    "series_exam_per_series": _of("exam_rows")(EX.per_series),
-    "series_exam_by_month": _of("exam_rows")(EX.by_month),
-    "series_exam_summary": _of("exam_rows")(EX.summary),
+    "series_exam": _of("exam_rows")(_six),
+    "series_exam_per_series": _of("exam_rows")(lambda e: _six(EX.per_series(e))),
+    "series_exam_by_month": _of("exam_rows")(lambda e: _six(EX.by_month(e))),
+    "series_exam_summary": _of("exam_rows")(lambda e: _six(EX.summary(e))),
     **{name: _report(text) for name, text in REPORTS.items()},
 }
