@@ -65,3 +65,15 @@ def apply_levels(rows: DataFrame, dim: str, mapping: DataFrame) -> DataFrame:
     """Adds <dim>_level_1; a value that no training month had falls to the rest."""
     m = mapping.where(F.col("dimension") == dim).select(F.col("value").alias("_value"), F.col("level").alias("_level"))
     return rows.join(m, F.coalesce(F.col(dim).cast("string"), F.lit("null")) == F.col("_value"), "left").withColumn(f"{dim}_level_1", F.coalesce("_level", F.lit(RESIDUAL))).drop("_value", "_level")
+
+
+def save(mapping: DataFrame, folder: str) -> None:
+    """The mapping as JSON, one object a dimension: {"dimension": ..., "levels": {value: level, ...}}."""
+    by = mapping.groupBy("dimension").agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("value", "level")))).alias("levels"))
+    by.coalesce(1).write.mode("overwrite").json(folder)
+
+
+def load(spark: SparkSession, folder: str) -> DataFrame:
+    """What ``save`` has written; apply_levels has the rule for values that it does not know."""
+    rows = spark.read.schema("dimension string, levels map<string,string>").json(folder)
+    return rows.select("dimension", F.explode("levels").alias("value", "level"))

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from renewcast import config as C
-from renewcast.functions.columns import join_id
+from renewcast.functions.columns import discount_bucket, join_id
 
 FLOOR, CAP, LEAST = 30, 3.0, 0.01
 STEP, PERSISTENCE, REFERENCE, CYCLE = 0.02, 3, 6, 12
@@ -108,3 +108,31 @@ def increase_calendar(monitored: DataFrame) -> DataFrame:
     start = monitored.where("starts = 1").select("product", F.col("ord").alias("start"), "step")
     rows = start.join(monitored.select("product", "ord", "uplift", "ren_value"), "product").where((F.col("ord") >= F.col("start")) & (F.col("ord") < F.col("start") + CYCLE))
     return rows.groupBy("product", "start", "step").agg(F.count("uplift").alias("months_seen"), F.sum("ren_value").alias("ren_value"))
+
+
+def longest_runs(monitored: DataFrame, cfg: C.Config, months: int = CYCLE) -> DataFrame:
+    """By product, of its last closed months: how many are above the step, the longest run of such months, and what that
+    says: an increase, scattered months, or none."""
+    rows = monitored.where((F.col("ord") >= cfg.current - months) & (F.col("ord") < cfg.current) & F.col("step").isNotNull())
+    by = Window.partitionBy("product")
+    # Months in a row have the same difference of their place among all and among those of their kind.
+    place = F.row_number().over(by.orderBy("ord")) - F.row_number().over(Window.partitionBy("product", "above").orderBy("ord"))
+    runs = rows.withColumn("island", place).groupBy("product", "above", "island").agg(F.count(F.lit(1)).alias("n"), F.max("step").alias("step"))
+    of = F.col("above") == 1
+    out = runs.groupBy("product").agg(F.sum("n").alias("months"), F.coalesce(F.sum(F.when(of, F.col("n"))), F.lit(0)).alias("months_above"), F.coalesce(F.max(F.when(of, F.col("n"))), F.lit(0)).alias("longest_run"), F.max("step").alias("largest_step"))
+    return out.withColumn("verdict", F.when(F.col("longest_run") >= PERSISTENCE, "increase").when(F.col("months_above") > 0, "scattered").otherwise("none"))
+
+
+def homogeneity(licences: DataFrame, fine: DataFrame, cfg: C.Config) -> DataFrame:
+    """How much uplifts differ within a region and discount, weighted by money: exactly, from single licences, and as
+    the extract's rows tell, whose licences are taken for alike.  Both from three sums that can be merged (weight, weight
+    times uplift, weight times its square)."""
+    def spread(rows: DataFrame, x: str) -> DataFrame:
+        u = F.col("ren_value") / 200.0
+        sums = rows.groupBy("region", "bucket").agg(F.count(F.lit(1)).alias(f"{x}_rows"), F.sum("base_cents").cast("double").alias("w"), F.sum(u).alias("wu"), F.sum(u * u / F.col("base_cents")).alias("wuu"))
+        mean = F.col("wu") / F.col("w")
+        return sums.select("region", "bucket", f"{x}_rows", F.round(mean, 6).alias(f"{x}_mean"), F.round(F.sqrt(F.greatest(F.col("wuu") / F.col("w") - mean * mean, F.lit(0.0))), 6).alias(f"{x}_std"))
+
+    single = licences.where((F.col("ts") == 0) & (F.col("ord") < cfg.current) & (F.col("ren_units") > 0) & (F.col("base_cents") > 0)).withColumn("bucket", discount_bucket(F.col("percent"), cfg.bucket_edges))
+    out = spread(single, "exact").join(spread(renewers(fine, cfg), "rows"), ["region", "bucket"], "full")
+    return out.withColumn("hidden", F.round(F.col("exact_std") - F.col("rows_std"), 6))

@@ -1,6 +1,7 @@
 """The queries' equivalents in DuckDB's SQL."""
 from __future__ import annotations
 
+from renewcast.operators.checks import in_sql
 from renewcast.plans.reports import REPORTS
 
 _LICENCES = """lic AS (
@@ -304,7 +305,45 @@ def _per_series() -> str:
 
 
 _MONTHS = ", emon AS (SELECT ord, h, method, sum(pred_units) AS pred_units, sum(real_units)::BIGINT AS real_units, (sum(pred_units) - sum(real_units)) / nullif(sum(real_units), 0)::DOUBLE AS error_total FROM exam GROUP BY ALL)"
+
+
+def _differ(name: str, written: str, again: str, keys: list[str], values: list[str]) -> str:
+    key = "concat_ws('|', " + ", ".join(f"coalesce(coalesce(a.{k}, b.{k})::VARCHAR, 'null')" for k in keys) + ")"
+    each = ", ".join(f"{{'value': '{v}', 'written': a.{v}::DOUBLE, 'again': b.{v}::DOUBLE}}" for v in values)
+    on = " AND ".join(f"a.{k} IS NOT DISTINCT FROM b.{k}" for k in keys)
+    return f"""SELECT '{name}' AS what, key, x.value AS value, x.written AS written, x.again AS again FROM (SELECT {key} AS key, a.here IS NULL OR b.here IS NULL AS alone, unnest([{each}]) AS x FROM (SELECT *, 1 AS here FROM ({written})) a FULL JOIN (SELECT *, 1 AS here FROM ({again})) b ON {on})
+WHERE alone OR NOT coalesce(abs(x.written - x.again) <= 1e-6 * greatest(1, abs(x.again)) OR (x.written IS NULL AND x.again IS NULL), false)"""
+
+
+def _audit() -> str:
+    sums = lambda table, keys, *v: f"SELECT {keys}, " + ", ".join(f"sum({c}) AS {c}" for c in v) + f" FROM {table} GROUP BY ALL"
+    three, two = ("due_units", "due_cents", "ren_units"), ("due_units", "ren_units")
+    done = "(SELECT fs_id, ord, due_units, ren_units FROM fin WHERE ts = 0 AND ord < 24009)"
+    lent = f"(SELECT q.composition, d.ord, d.due_units, d.ren_units FROM {done} d JOIN (SELECT DISTINCT l.fs_id, l.pattern AS composition FROM ladder l JOIN chosen c ON c.pass = l.pass AND c.composition = l.pattern) q ON q.fs_id = d.fs_id)"
+    wide = f"(SELECT q.reference, d.due_units, d.ren_units FROM {done} d JOIN (SELECT DISTINCT l.fs_id, l.pattern AS reference FROM ladder l JOIN refs r ON r.reference = l.pattern) q ON q.fs_id = d.fs_id)"
+    return " UNION ALL ".join([
+        _differ("units", sums("units", "ord", *three), sums("fin WHERE ts = 0", "ord", *three), ["ord"], list(three)),
+        _differ("pooled", "SELECT composition, ord, due_units, ren_units FROM pool", sums(lent, "composition, ord", *two), ["composition", "ord"], list(two)),
+        _differ("references", "SELECT DISTINCT reference, r_ren::DOUBLE / r_due AS rate FROM refs", f"SELECT reference, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS rate FROM {wide} GROUP BY reference", ["reference"], ["rate"]),
+        _differ("forecast", sums("forecast", "ord", "due_units"), sums("fin WHERE ts = 0 AND ord >= 24009", "ord", "due_units"), ["ord"], ["due_units"]),
+        _differ("core", sums("core WHERE source IN ('real', 'second_universe', 'forecast')", "ord", "due_cents"), sums("fin WHERE ts = 0 OR ord < 24009", "ord", "due_cents"), ["ord"], ["due_cents"])])
+
+
+_TABLES = {"fine": "fin", "units": "units", "routes": "rt0", "summary": "sum0", "weights": "wgt0", "members": "bridge", "pooled": "pool", "forecast": "forecast", "core": "core"}
 _LATE = {
+    "check_registry": _CORE + ", rt0 AS (SELECT DISTINCT fs_id FROM fin), sum0 AS (SELECT *, ren_units::DOUBLE / nullif(due_units, 0) AS rate FROM summary), wgt0 AS (SELECT * FROM wgt) " + in_sql(_TABLES),
+    "audit_differences": _CORE + _audit(),
+    "technique_trials": _TRIED + ", tt AS (SELECT c.composition, v.h, t.technique FROM (SELECT DISTINCT composition FROM chosen) c CROSS JOIN (VALUES (1), (6)) v(h) CROSS JOIN (VALUES " + ", ".join(f"('{t}')" for t in _TECHNIQUES) + """) t(technique)),
+te AS (SELECT composition, h, technique, count(*) AS k, avg(abs(error_norm)) FILTER (purpose = 'seleccion') AS sn, avg(abs(error)) FILTER (purpose = 'seleccion') AS se, avg(abs(error_norm)) FILTER (purpose = 'examen') AS en, avg(abs(error)) FILTER (purpose = 'examen') AS ee FROM tr GROUP BY ALL)
+SELECT tt.composition, tt.h, tt.technique, CASE WHEN k IS NULL THEN 'too_short' ELSE 'tested' END AS status, coalesce(k, 0) AS predictions, round(sn, 6) AS selection_error_norm, round(se, 6) AS selection_error, round(en, 6) AS exam_error_norm, round(ee, 6) AS exam_error,
+  CASE WHEN sn IS NOT NULL THEN rank() OVER (PARTITION BY tt.composition, tt.h, sn IS NULL ORDER BY round(sn, 9)) END::INT AS rank, (tt.technique = dec.technique)::INT AS chosen
+  FROM tt LEFT JOIN te ON te.composition = tt.composition AND te.h = tt.h AND te.technique = tt.technique LEFT JOIN dec ON dec.composition = tt.composition AND dec.h = tt.h""",
+    "price_longest_runs": _MONITOR.format(step="0.002") + """, pr AS (SELECT *, row_number() OVER (PARTITION BY product ORDER BY ord) - row_number() OVER (PARTITION BY product, above ORDER BY ord) AS isle FROM mon WHERE ord BETWEEN 23997 AND 24008 AND step IS NOT NULL),
+pq AS (SELECT product, above, isle, count(*) AS n, max(step) AS step FROM pr GROUP BY ALL), ps AS (SELECT product, sum(n)::BIGINT AS months, coalesce(sum(n) FILTER (above = 1), 0)::BIGINT AS months_above, coalesce(max(n) FILTER (above = 1), 0)::BIGINT AS longest_run, max(step) AS largest_step FROM pq GROUP BY product)
+SELECT *, CASE WHEN longest_run >= 3 THEN 'increase' WHEN months_above > 0 THEN 'scattered' ELSE 'none' END AS verdict FROM ps""",
+    "uplift_homogeneity": """, hl AS (SELECT region, CASE WHEN percent IS NULL THEN 'sin_dato' WHEN percent < 10 THEN '01 _ 0-10%' WHEN percent < 20 THEN '02 _ 10-20%' WHEN percent < 30 THEN '03 _ 20-30%' WHEN percent < 40 THEN '04 _ 30-40%' ELSE '05 _ 40-100%' END AS bucket, base_cents::DOUBLE AS w, ren_value / 200.0::DOUBLE AS wu FROM lic WHERE ts = 0 AND ord < 24009 AND ren_units > 0 AND base_cents > 0),
+h1 AS (SELECT region, bucket, count(*) AS n, sum(wu) / sum(w) AS m, sum(wu * wu / w) / sum(w) AS q FROM hl GROUP BY ALL), h2 AS (SELECT region, bucket, count(*) AS n, sum(ren_value / 200.0::DOUBLE) / sum(base_cents)::DOUBLE AS m, sum((ren_value / 200.0::DOUBLE) * (ren_value / 200.0::DOUBLE) / base_cents) / sum(base_cents)::DOUBLE AS q FROM renew GROUP BY ALL)
+SELECT region, bucket, h1.n AS exact_rows, round(h1.m, 6) AS exact_mean, round(sqrt(greatest(h1.q - h1.m * h1.m, 0)), 6) AS exact_std, h2.n AS rows_rows, round(h2.m, 6) AS rows_mean, round(sqrt(greatest(h2.q - h2.m * h2.m, 0)), 6) AS rows_std, round(round(sqrt(greatest(h1.q - h1.m * h1.m, 0)), 6) - round(sqrt(greatest(h2.q - h2.m * h2.m, 0)), 6), 6) AS hidden FROM h1 FULL JOIN h2 USING (region, bucket)""",
     "core_table": _CORE + "SELECT region, product, fs_id, cell_id, ord, role, source, due_units, due_cents, ren_units, round(rate, 9) AS rate, uplift, expected_units, expected_cents, row_key FROM core",
     "new_rows_by_source": _CORE + "SELECT ord, source, count(*) AS rows, coalesce(sum(due_units), 0)::BIGINT AS due_units, round(coalesce(sum(expected_units), 0), 4) AS expected_units FROM core GROUP BY ord, source",
     "grand_total": _CORE + _SECOND_CTE + _TOTAL,

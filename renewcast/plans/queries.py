@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from renewcast.config import Config
 from renewcast.functions import columns as X
 from renewcast.operators import backtest as B
-from renewcast.operators import bootstrap, core, levels
+from renewcast.operators import audit, bootstrap, checks, core, levels
 from renewcast.operators import dynamics as D
 from renewcast.operators import evidence as E
 from renewcast.operators import exam as EX
@@ -178,6 +178,11 @@ QUERIES = {
     "weighted_percentiles": _fine(lambda f: P.weighted_percentiles(f, CFG)),
     "price_monitor_rolling12": _fine(lambda f: P.monitor(f, CFG)),
     "price_increase_calendar": _fine(lambda f: P.increase_calendar(P.monitor(f, CFG, 0.002))),
+    "price_longest_runs": _fine(lambda f: P.longest_runs(P.monitor(f, CFG, 0.002), CFG)),
+    "uplift_homogeneity": lambda spark, sf: P.homogeneity(licences(spark, sf), steps(spark, sf, CFG)["fine"], CFG),
+    "technique_trials": _of("chosen", "predictions", "decision")(audit.technique_trials),
+    "check_registry": _of(*checks.needed())(lambda *t: checks.registry(dict(zip(checks.needed(), t)))),
+    "audit_differences": _of(*audit.AUDITED)(lambda *t: audit.differences(dict(zip(audit.AUDITED, t)), CFG)),
     "marks_by_month": _fine(marks_by_month),
     "same_month_last_year": _fine(same_month_last_year),
     "acquisition_lag12": _of("acquisition")(),

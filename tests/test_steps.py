@@ -130,3 +130,80 @@ def test_percentiles(spark):
         share = np.cumsum(w) / sum(w)
         assert [got[k][p] for p in ("p10", "p50", "p90")] == pytest.approx([np.interp(q, share, u) for q in (0.1, 0.5, 0.9)], abs=1e-6)
     assert (got["a"].p50, got["a"].p90) == (1.5, 2.0)
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    from renewcast.plans.pipeline import steps
+    from renewcast.plans.queries import CFG
+
+    return steps(spark, SF, CFG)
+
+
+def test_audit_finds_what_is_planted(spark, tables):
+    """No differences in what is written; a changed figure, a lost and an added row are found."""
+    from pyspark.sql import functions as F
+
+    from renewcast.operators import audit
+
+    t = {k: tables[k] for k in audit.AUDITED}
+    assert audit.differences(t, Config()).count() == 0
+    month = t["forecast"].agg(F.min("ord")).first()[0]
+    t["forecast"] = t["forecast"].where(F.col("ord") != month)
+    one = t["pooled"].orderBy("composition", "ord").first()
+    t["pooled"] = t["pooled"].withColumn("ren_units", F.when((F.col("composition") == one.composition) & (F.col("ord") == one.ord), F.col("ren_units") + 1).otherwise(F.col("ren_units")))
+    t["core"] = t["core"].unionByName(t["core"].limit(1).withColumns({"ord": F.lit(1), "due_cents": F.lit(5).cast("long"), "source": F.lit("real")}))
+    got = {(r.what, r.key, r.value): (r.written, r.again) for r in audit.differences(t, Config()).collect()}
+    assert set(got) == {("forecast", str(month), "due_units"), ("pooled", f"{one.composition}|{one.ord}", "ren_units"), ("core", "1", "due_cents")}
+    assert got["forecast", str(month), "due_units"][0] is None and got["core", "1", "due_cents"] == (5, None)
+    written, again = got["pooled", f"{one.composition}|{one.ord}", "ren_units"]
+    assert written == again + 1
+
+
+def test_checks_tell(spark, tables):
+    from pyspark.sql import functions as F
+
+    from renewcast.operators import checks
+
+    t = {k: tables[k] for k in checks.needed()}
+    sound = {(r.scope, r.name): r for r in checks.registry(t).collect()}
+    assert len(sound) == len(checks.CHECKS) + len(checks.KEYS) and not [r for r in sound.values() if r.state == "failed"]
+    t["fine"] = t["fine"].withColumn("percent", F.when(F.col("percent") == 0, 120).otherwise(F.col("percent")))
+    t["weights"] = t["weights"].where("z = 1")
+    broken = {(r.scope, r.name): r for r in checks.registry(t).collect()}
+    assert broken["fine", "discount is a percentage"].state == "failed" and broken["fine", "discount is a percentage"].broken == tables["fine"].where("percent = 0").count()
+    assert broken["forecast", "fs_id is in weights"].state == "failed" and broken["fine", "discount known"].state == "warning"
+
+
+def test_ranks_share_ties(spark):
+    from renewcast.operators import audit
+
+    comps = spark.createDataFrame([("c",)], "composition string")
+    rows = [("c", "seleccion", 1, t, e, 10 * e) for t, e in (("T2_mean", 0.5), ("T3_ma3", -0.5), ("T3_ma6", 0.2), ("T4_ewma", 0.9))] + [("c", "examen", 1, "T9_ses", 0.1, 1.0)]
+    predictions = spark.createDataFrame(rows, "composition string, purpose string, h int, technique string, error_norm double, error double")
+    decision = spark.createDataFrame([("c", 1, "T3_ma6")], "composition string, h int, technique string")
+    got = {r.technique: r for r in audit.technique_trials(comps, predictions, decision).where("h = 1").collect()}
+    assert [got[t]["rank"] for t in ("T3_ma6", "T2_mean", "T3_ma3", "T4_ewma", "T9_ses", "T12_theta")] == [1, 2, 2, 4, None, None]
+    assert got["T9_ses"].status == "tested" and got["T12_theta"].status == "too_short" and [t for t in got if got[t].chosen] == ["T3_ma6"]
+
+
+def test_longest_run(spark):
+    from renewcast.operators.price import longest_runs
+
+    now = Config().current
+    marks = {"a": "011101100000", "b": "010101000000", "c": "000000000000", "d": "111111111111"}
+    rows = [(p, now - 12 + i, 0.05 if x == "1" else 0.0, int(x)) for p, m in marks.items() for i, x in enumerate(m)] + [("a", now - 13, 0.05, 1), ("c", now - 14, 0.05, 1)]
+    got = {r.product: (r.months_above, r.longest_run, r.verdict) for r in longest_runs(spark.createDataFrame(rows, "product string, ord int, step double, above int"), Config()).collect()}
+    assert got == {"a": (5, 3, "increase"), "b": (3, 1, "scattered"), "c": (0, 0, "none"), "d": (12, 12, "increase")}
+
+
+def test_levels_are_kept(spark, tmp_path):
+    """Written by one run, applied by the next; values that it has not seen fall to the rest."""
+    from renewcast.operators import levels
+
+    mapping = spark.createDataFrame([("product", "a", "a + b"), ("product", "b", "a + b"), ("region", "x", "x")], "dimension string, value string, level string")
+    levels.save(mapping, f"file://{tmp_path}/levels")
+    back = levels.load(spark, f"file://{tmp_path}/levels")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, mapping.collect()))
+    got = levels.apply_levels(spark.createDataFrame([("a",), ("b",), ("new",), (None,)], "product string"), "product", back)
+    assert sorted((r["product"] or "", r.product_level_1) for r in got.collect()) == [("", levels.RESIDUAL), ("a", "a + b"), ("b", "a + b"), ("new", levels.RESIDUAL)]
