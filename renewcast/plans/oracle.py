@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 from renewcast.operators.checks import in_sql
+from renewcast.plans.covers import COVERS, bound
 from renewcast.plans.reports import REPORTS
 
 _LICENCES = """lic AS (
@@ -251,12 +252,12 @@ extension AS (SELECT region, product, (ord + 12)::INT AS ord, sum(due_units)::BI
 am AS (SELECT region, ord, sum(raw_due_units)::BIGINT AS units FROM fin WHERE newcust = 1 AND ord < 24009 GROUP BY ALL),
 al AS (SELECT region, sum(units) FILTER (ord BETWEEN 24006 AND 24008)::DOUBLE / sum(units) FILTER (ord BETWEEN 23994 AND 23996)::DOUBLE AS level FROM am GROUP BY region),
 acquisition AS (SELECT region, (ord + 12)::INT AS ord, round(units * coalesce(level, 1), 6)::DOUBLE AS units FROM am JOIN al USING (region) WHERE ord >= 23997),
-c1 AS (SELECT region, product, fs_id, cell_id, ord, role, CASE WHEN ts = 1 THEN 'second_universe' ELSE 'real' END AS source, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents, sum(ren_units)::BIGINT AS ren_units, NULL::DOUBLE AS rate, NULL::DOUBLE AS uplift, NULL::DOUBLE AS expected_units, NULL::DOUBLE AS expected_cents FROM fin WHERE ord < 24009 GROUP BY region, product, fs_id, cell_id, ord, role, ts),
+c1 AS (SELECT region, product, fs_id, cell_id, ord, role, CASE WHEN ts = 1 THEN 'second_universe' ELSE 'real' END AS source, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents, sum(ren_units)::BIGINT AS ren_units, sum(ren_value)::BIGINT AS ren_value, NULL::DOUBLE AS rate, NULL::DOUBLE AS uplift, NULL::DOUBLE AS expected_units, NULL::DOUBLE AS expected_cents, NULL::DOUBLE AS expected_cents_low, NULL::DOUBLE AS expected_cents_high FROM fin WHERE ord < 24009 GROUP BY region, product, fs_id, cell_id, ord, role, ts),
 c2 AS (SELECT region, product, fs_id, cell_id, ord, role, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents FROM fin WHERE ord >= 24009 AND ts = 0 GROUP BY ALL),
 core0 AS (SELECT * FROM c1
-  UNION ALL SELECT c2.region, c2.product, c2.fs_id, cell_id, c2.ord, role, 'forecast', c2.due_units, c2.due_cents, NULL, f.rate, up.uplift, round(c2.due_units * f.rate, 6), round(c2.due_cents * f.rate * up.uplift, 4) FROM c2 LEFT JOIN forecast f ON f.fs_id = c2.fs_id AND f.ord = c2.ord LEFT JOIN up ON up.cell = c2.cell_id
-  UNION ALL SELECT region, product, NULL, NULL, ord, 'proyeccion', 'extension', due_units, NULL, NULL, NULL, NULL, expected_units, NULL FROM extension
-  UNION ALL SELECT region, NULL, NULL, NULL, ord, 'proyeccion', 'acquisition', NULL, NULL, NULL, NULL, NULL, units, NULL FROM acquisition),
+  UNION ALL SELECT c2.region, c2.product, c2.fs_id, cell_id, c2.ord, role, 'forecast', c2.due_units, c2.due_cents, NULL, NULL, f.rate, up.uplift, round(c2.due_units * f.rate, 6), round(c2.due_cents * f.rate * up.uplift, 4), round(c2.due_cents * f.rate_low * up.uplift, 4), round(c2.due_cents * f.rate_high * up.uplift, 4) FROM c2 LEFT JOIN forecast f ON f.fs_id = c2.fs_id AND f.ord = c2.ord LEFT JOIN up ON up.cell = c2.cell_id
+  UNION ALL SELECT region, product, NULL, NULL, ord, 'proyeccion', 'extension', due_units, NULL, NULL, NULL, NULL, NULL, expected_units, NULL, NULL, NULL FROM extension
+  UNION ALL SELECT region, NULL, NULL, NULL, ord, 'proyeccion', 'acquisition', NULL, NULL, NULL, NULL, NULL, NULL, units, NULL, NULL, NULL FROM acquisition),
 core AS (SELECT *, ('0x' || substr(md5(concat_ws('|', source, coalesce(region, 'null'), coalesce(product, 'null'), coalesce(fs_id, 'null'), coalesce(cell_id, 'null'), ord::VARCHAR)), 1, 12))::BIGINT AS row_key FROM core0)
 """
 _TOTAL = """, g0 AS (SELECT (ord // 12)::INT AS year, 'pipeline_renovado_real' AS origin, due_units::DOUBLE AS du, due_cents::DOUBLE / 100 AS dv, ren_units::DOUBLE AS ru, ren_value::DOUBLE / 20000 AS rv FROM fin WHERE ts = 0 AND ord < 24009
@@ -344,7 +345,7 @@ SELECT *, CASE WHEN longest_run >= 3 THEN 'increase' WHEN months_above > 0 THEN
     "uplift_homogeneity": """, hl AS (SELECT region, CASE WHEN percent IS NULL THEN 'sin_dato' WHEN percent < 10 THEN '01 _ 0-10%' WHEN percent < 20 THEN '02 _ 10-20%' WHEN percent < 30 THEN '03 _ 20-30%' WHEN percent < 40 THEN '04 _ 30-40%' ELSE '05 _ 40-100%' END AS bucket, base_cents::DOUBLE AS w, ren_value / 200.0::DOUBLE AS wu FROM lic WHERE ts = 0 AND ord < 24009 AND ren_units > 0 AND base_cents > 0),
 h1 AS (SELECT region, bucket, count(*) AS n, sum(wu) / sum(w) AS m, sum(wu * wu / w) / sum(w) AS q FROM hl GROUP BY ALL), h2 AS (SELECT region, bucket, count(*) AS n, sum(ren_value / 200.0::DOUBLE) / sum(base_cents)::DOUBLE AS m, sum((ren_value / 200.0::DOUBLE) * (ren_value / 200.0::DOUBLE) / base_cents) / sum(base_cents)::DOUBLE AS q FROM renew GROUP BY ALL)
 SELECT region, bucket, h1.n AS exact_rows, round(h1.m, 6) AS exact_mean, round(sqrt(greatest(h1.q - h1.m * h1.m, 0)), 6) AS exact_std, h2.n AS rows_rows, round(h2.m, 6) AS rows_mean, round(sqrt(greatest(h2.q - h2.m * h2.m, 0)), 6) AS rows_std, round(round(sqrt(greatest(h1.q - h1.m * h1.m, 0)), 6) - round(sqrt(greatest(h2.q - h2.m * h2.m, 0)), 6), 6) AS hidden FROM h1 FULL JOIN h2 USING (region, bucket)""",
-    "core_table": _CORE + "SELECT region, product, fs_id, cell_id, ord, role, source, due_units, due_cents, ren_units, round(rate, 9) AS rate, uplift, expected_units, expected_cents, row_key FROM core",
+    "core_table": _CORE + "SELECT region, product, fs_id, cell_id, ord, role, source, due_units, due_cents, ren_units, ren_value, round(rate, 9) AS rate, uplift, expected_units, expected_cents, expected_cents_low, expected_cents_high, row_key FROM core",
     "new_rows_by_source": _CORE + "SELECT ord, source, count(*) AS rows, coalesce(sum(due_units), 0)::BIGINT AS due_units, round(coalesce(sum(expected_units), 0), 4) AS expected_units FROM core GROUP BY ord, source",
     "grand_total": _CORE + _SECOND_CTE + _TOTAL,
     "series_exam": _EXAM + "SELECT fs_id, composition, ord, h, origin, due_units, real_units, method, technique, in_band, " + _R6("pred_rate", "composition_rate", "shift", "band_low", "band_high", "real_rate", "pred_units", "err_units", "err_pp", "noise_pp") + " FROM exam",
@@ -419,8 +420,22 @@ SELECT own.composition, n AS months, round(rate, 6) AS rate, round(var / nullif(
     "forecast_yearly_totals": _FORECAST + "SELECT (ord // 12)::INT AS year, round(sum(expected_units), 4) AS expected, round(sum(rate_low * due_units), 4) AS low, round(sum(rate_high * due_units), 4) AS high, round(sqrt(sum(((rate_high - rate_low) / 2 * due_units) ^ 2)), 4) AS quadrature FROM forecast GROUP BY 1",
 }.items()}
 SQL |= {k: _BASE + v for k, v in _LATE.items()}
+#: What the covers read, by the names that it has here.
+_COVERED = _CORE + _SECOND_CTE + ", predictions AS (SELECT * FROM tr), decision AS (SELECT * FROM dec) "
+
+
+def cover_sql(name: str, **years: int) -> str:
+    return _BASE + _COVERED + "SELECT * FROM (" + bound(COVERS[name], years or {"current_year": 2000, "next_year": 2001}) + ")"
+
+
+SQL |= {k: cover_sql(k) for k in COVERS}
 SQL |= {k: ladder_sql(v) for k, v in _LADDER.items()}
-for _name, _text in REPORTS.items():
-    _text = _text.replace("FROM fine", "FROM fin")
+
+
+def report_sql(name: str, now: int = 24009) -> str:
+    text = bound(REPORTS[name].replace("FROM fine", "FROM fin"), {"now": now, "january": now // 12 * 12}).strip()
     # A report's own CTEs go behind the base's.
-    SQL[_name] = _BASE + ("," + _text.strip().removeprefix("WITH") if _text.strip().startswith("WITH") else _text)
+    return _BASE + ("," + text.removeprefix("WITH") if text.startswith("WITH") else text)
+
+
+SQL |= {k: report_sql(k) for k in REPORTS}

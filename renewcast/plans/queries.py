@@ -17,6 +17,7 @@ from renewcast.operators import price as P
 from renewcast.operators import relevance as V
 from renewcast.operators import passes, risk, universe
 from renewcast.operators import series as S
+from renewcast.plans.covers import COVERS, READS, cover
 from renewcast.plans.pipeline import steps
 from renewcast.plans.projections import with_dims
 from renewcast.plans.reports import REPORTS
@@ -135,8 +136,18 @@ def spreadsheet_exam(u: DataFrame) -> DataFrame:
     return _rounded(EX.sheets(real, closed, CFG).select("fs_id", "ord", "h", "due_units", F.col("ren_units").alias("real_units"), "sheet_cell", "sheet_all"), "sheet_cell", "sheet_all")
 
 
+def report(text: str, fine: DataFrame, now: int) -> DataFrame:
+    months = {k: v for k, v in {"now": now, "january": now // 12 * 12}.items() if f":{k}" in text}
+    text = text.replace("FROM fine", "FROM {fine}")
+    return fine.sparkSession.sql(text, args=months, fine=fine) if months else fine.sparkSession.sql(text, fine=fine)
+
+
 def _report(text: str):
-    return _fine(lambda fine: fine.sparkSession.sql(text.replace("FROM fine", "FROM {fine}"), fine=fine))
+    return _fine(lambda fine: report(text, fine, CFG.current))
+
+
+def _cover(name: str):
+    return _of(*READS)(lambda *t: cover(name, dict(zip(READS, t)), CFG.current // 12, CFG.current // 12 + 1))
 
 
 _ESTIMATE = ("fine", "summary", "chosen", "references", "credibility")
@@ -217,5 +228,6 @@ QUERIES = {
     "series_exam_per_series": _of("exam_rows")(lambda e: _six(EX.per_series(e))),
     "series_exam_by_month": _of("exam_rows")(lambda e: _six(EX.by_month(e))),
     "series_exam_summary": _of("exam_rows")(lambda e: _six(EX.summary(e))),
+    **{name: _cover(name) for name in COVERS},
     **{name: _report(text) for name, text in REPORTS.items()},
 }
