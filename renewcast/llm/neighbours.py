@@ -14,8 +14,8 @@ its own node's edges; each hop expands the best nodes not yet expanded and score
 in double precision on the original vectors, and keeps the ``beam`` best.
 
 Vectors that are null, zero, hold nulls or non-finite components, or are not of the commonest length take no
-part.  Equal ids with equal vectors are one candidate each time they occur in the table only once; an id
-with several vectors is a candidate with each.  Rows without an id take no part.  Other columns are ignored;
+part.  Repeated rows, and rows that share an id, are candidates and queries each: a query leaves out its own row
+only.  Rows without an id take no part.  Other columns are ignored;
 an empty table or query set gives no rows.
 """
 from __future__ import annotations
@@ -32,12 +32,12 @@ BEAM, EXPAND, HOPS, QUERY_BYTES = 256, 64, 4, 32 << 20
 
 
 def usable(rows: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """(vec_id, v array<double>) of the vectors that take part."""
+    """(vec_id, v array<double>) of the rows that take part, repeated ones each."""
     v = F.col(embedding).cast("array<double>")
     good = rows.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v")).where("vec_id IS NOT NULL AND v IS NOT NULL").where(
         F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
     length = good.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    return good.where(F.size("v") == (length["d"] if length else 0)).distinct()
+    return good.where(F.size("v") == (length["d"] if length else 0))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -223,27 +223,27 @@ def nearest(rows: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", embe
     """query_id, rank, vec_id, score: the k nearest found of each row for which is_query (a condition on vec_id)
     holds, without the row itself."""
     spark = rows.sparkSession
-    good = materialise(usable(rows, vec_id, embedding), "vectors")
-    w = Window.partitionBy("v").orderBy("vec_id")
-    members = materialise(good.select("v", "vec_id", F.row_number().over(w).alias("i")).where(F.col("i") <= k + 1), "members")
+    good = materialise(usable(rows, vec_id, embedding).withColumn("row", F.monotonically_increasing_id()), "vectors")
+    w = Window.partitionBy("v").orderBy("vec_id", "row")
+    members = materialise(good.select("v", "vec_id", "row", F.row_number().over(w).alias("i")).where(F.col("i") <= k + 1), "members")
     nodes = materialise(members.where("i = 1").select(F.col("vec_id").alias("node"), "v"), "nodes")
     # An id with several vectors may name several nodes; the node then is a hash of the vector.
     if nodes.select("node").distinct().count() < nodes.count():
         nodes = materialise(nodes.select(F.xxhash64("v").alias("node"), "v"), "nodes")
-    named = materialise(members.join(nodes, "v").select("node", "vec_id"), "named")
-    queries = materialise(good.where(is_query).join(nodes, "v").select("vec_id", "node", "v"), "queries")
+    named = materialise(members.join(nodes, "v").select("node", "vec_id", "row"), "named")
+    queries = materialise(good.where(is_query).join(nodes, "v").select("vec_id", "node", "v", "row"), "queries")
     graph = build_graph(nodes, **how)
     size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("d")).first()
     blocks = max(1, -(-size["n"] * (size["d"] or 0) * 8 // QUERY_BYTES))
     out = None
     for b in range(blocks if size["n"] else 0):
-        block = [(r["vec_id"], r["node"], r["v"]) for r in queries.where(F.pmod(F.xxhash64("vec_id", "node"), F.lit(blocks)) == b).collect()]
+        block = [(r["vec_id"], r["node"], r["v"], r["row"]) for r in queries.where(F.pmod(F.xxhash64("vec_id", "node"), F.lit(blocks)) == b).collect()]
         if not block:
             continue
         found = search(nodes, graph, block)
-        ids = spark.createDataFrame([(i, q[0]) for i, q in enumerate(block)], "q int, query_id long")
-        rank = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id")
-        each = found.join(named, "node").join(F.broadcast(ids), "q").where("vec_id <> query_id").select("q", "query_id", "vec_id", "score", F.row_number().over(rank).alias("rank")).where(F.col("rank") <= k)
+        ids = spark.createDataFrame([(i, q[0], q[3]) for i, q in enumerate(block)], "q int, query_id long, query_row long")
+        rank = Window.partitionBy("q").orderBy(F.desc("score"), "vec_id", "row")
+        each = found.join(named, "node").join(F.broadcast(ids), "q").where("row <> query_row").select("q", "query_id", "vec_id", "score", F.row_number().over(rank).alias("rank")).where(F.col("rank") <= k)
         part = each.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
         out = part if out is None else out.unionByName(part)
     return out if out is not None else spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")

@@ -49,3 +49,13 @@ def test_odd_rows(spark):
     assert {q: [r["vec_id"] for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] for q in want} == {q: [i for i, _ in near] for q, near in want.items()}
     assert nearest(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
     assert nearest(df, F.col("vec_id") < 0).count() == 0
+
+
+def test_repeated_rows(spark):
+    """Each row is a candidate, and a query by itself; only its own row is left out."""
+    v, w = [1.0, 0.0], [0.5, 0.5]
+    df = spark.createDataFrame([(1, v), (1, v), (20, v), (20, v), (20, w), (3, w)], "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in nearest(df, F.col("vec_id") % 20 == 0).collect())
+    one = [(1, 1.0), (1, 1.0), (20, 1.0), (3, 0.5), (20, 0.5)]
+    other = [(1, 0.5), (1, 0.5), (3, 0.5), (20, 0.5), (20, 0.5)]
+    assert got == sorted((20, k + 1, *x) for near in (one, one, other) for k, x in enumerate(near))
