@@ -360,6 +360,60 @@ SELECT ct.fs_id, concat_ws('+', CASE WHEN t > 0 THEN 'entrenamiento' END, CASE W
   FROM ct LEFT JOIN summary s USING (fs_id) LEFT JOIN chosen c USING (fs_id) LEFT JOIN wgt w USING (fs_id)""",
 }
 
+_BUCKET = "CASE WHEN percent IS NULL THEN 'sin_dato' WHEN percent < 10 THEN '01 _ 0-10%' WHEN percent < 20 THEN '02 _ 10-20%' WHEN percent < 30 THEN '03 _ 20-30%' WHEN percent < 40 THEN '04 _ 30-40%' ELSE '05 _ 40-100%' END"
+_RATIO_EDGES = {"lt095": (0, 950), "095_100": (950, 1000), "100_105": (1000, 1050), "105_110": (1050, 1100), "110_120": (1100, 1200), "ge120": (1200, 10 ** 6)}
+_UPLIFT_EDGES = (0, 800, 900, 950, 975, 1000, 1025, 1050, 1100, 1200, 1500)
+#: The population of the revaluation report: extract rows with renewers (iso), those of the last months (pop), by series (val).
+_ISOLATED = ", iso AS (SELECT ord, concat_ws('|', region, product, dormant, softcancel, autorenew, channel) AS fs_id, region, product, newcust, percent, " + _BUCKET + """ AS bucket, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents, sum(ren_units)::BIGINT AS ren_units, sum(ren_value)::BIGINT AS ren_value,
+  coalesce(sum(ren_units) FILTER (alone), 0)::BIGINT AS i_units, coalesce(sum(ren_value) FILTER (alone), 0)::BIGINT AS i_value, coalesce(sum(base_cents) FILTER (alone), 0)::BIGINT AS i_base, coalesce(sum((ren_value / 200.0::DOUBLE) ^ 2 / base_cents) FILTER (alone), 0) AS i_square, """ + ", ".join(f"coalesce(sum(base_cents) FILTER (alone AND ren_value * 5 >= base_cents * {a} AND ren_value * 5 < base_cents * {b}), 0)::BIGINT AS b_{n}" for n, (a, b) in _RATIO_EDGES.items()) + """
+  FROM (SELECT *, softcancel = 0 AND ren_units > 0 AND base_cents > 0 AS alone FROM lic WHERE ts = 0 AND ord < 24009) GROUP BY ord, region, product, dormant, softcancel, autorenew, channel, newcust, percent, term HAVING sum(ren_units) > 0),
+pop AS (SELECT * FROM iso WHERE i_base > 0 AND newcust = 0 AND ord IN (SELECT DISTINCT ord FROM iso ORDER BY ord DESC LIMIT 12)),
+val0 AS (SELECT fs_id, count(DISTINCT ord) AS months, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents, sum(i_units)::BIGINT AS i_units, sum(i_value)::BIGINT AS i_value, sum(i_base)::BIGINT AS i_base, sum(i_square) AS i_square, sum(b_095_100 + b_100_105)::BIGINT AS near_base, sum(b_110_120 + b_ge120)::BIGINT AS high_base, coalesce(sum(i_value) FILTER (percent IS NULL), 0)::BIGINT AS unknown_value FROM pop GROUP BY fs_id),
+val AS (SELECT * FROM val0 WHERE due_units::DOUBLE / months >= 271 OR fs_id IN (SELECT fs_id FROM val0 ORDER BY due_cents DESC, fs_id LIMIT 50))
+"""
+
+
+def _ratios(rows: str) -> str:
+    m = "(sum(i_value) / 200.0::DOUBLE / sum(i_base))"
+    near, high = ("sum(near_base)", "sum(high_base)") if rows == "val" else ("sum(b_095_100 + b_100_105)", "sum(b_110_120 + b_ge120)")
+    return f"round({m}, 6) AS uplift, round(sqrt(greatest(sum(i_square) / sum(i_base) - {m} * {m}, 0)), 6) AS spread, round({near}::DOUBLE / sum(i_base)::DOUBLE, 6) AS near, round({high}::DOUBLE / sum(i_base)::DOUBLE, 6) AS high"
+
+
+_PATH = f""", pm AS (SELECT ord, sum(i_units)::BIGINT AS ren_units, {_ratios("iso")}, sum(i_value) / 200.0::DOUBLE / sum(i_base) AS own FROM iso WHERE i_base > 0 AND newcust = 0 AND ord IN (SELECT DISTINCT ord FROM iso ORDER BY ord DESC LIMIT 24) GROUP BY ord),
+pp AS (SELECT *, CASE WHEN count(own) OVER w >= 6 THEN avg(own) OVER w END AS prior FROM pm WINDOW w AS (ORDER BY ord ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)),
+path AS (SELECT ord, ren_units, uplift, spread, near, high, round(prior, 6) AS "before", round(own / prior - 1, 6) AS step, (round(own / prior - 1, 9) >= 0.03)::INT AS above FROM pp)
+"""
+_POINTS = """, vw AS (SELECT i_value / 200.0::DOUBLE / i_base AS u, i_value AS w FROM val), vc AS (SELECT u, w, row_number() OVER r AS k, sum(w) OVER r::DOUBLE / sum(w) OVER ()::DOUBLE AS s FROM vw WINDOW r AS (ORDER BY u, w ROWS UNBOUNDED PRECEDING)),
+vl AS (SELECT *, lag(u) OVER r AS u0, lag(s) OVER r AS s0 FROM vc WINDOW r AS (ORDER BY k)), """ + "pts AS (SELECT " + ", ".join(f"round(min_by(coalesce(u0 + (u - u0) * ({q}::DOUBLE - s0) / (s - s0), u), k) FILTER (s >= {q}::DOUBLE), 6) AS p{n}" for q, n in ((0.1, 10), (0.25, 25), (0.5, 50), (0.75, 75), (0.9, 90))) + " FROM vl)"
+#: Closed months with final marks (mh) and all that falls due ahead (mf), with the history's rates by combination (mr).
+_MARK = "CASE WHEN dormant = 1 AND softcancel = 1 THEN 'dormant+softcancel' WHEN dormant = 1 THEN 'dormant' WHEN softcancel = 1 THEN 'softcancel' ELSE 'neutral' END"
+_AHEAD = f""", mh AS (SELECT *, ord % 12 AS m, {_MARK} AS mark FROM fin WHERE ts = 0 AND due_units > 0 AND ord < 24009 AND ord IN (SELECT DISTINCT ord FROM fin WHERE ts = 0 AND due_units > 0 AND ord < 24009 ORDER BY ord DESC LIMIT 12)),
+me AS (SELECT (ord + 12)::INT AS ord, round(sum(due_units * rate), 6) AS units FROM fin JOIN (SELECT region, product, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS rate FROM fin WHERE ord < 24009 AND ts = 0 GROUP BY ALL) USING (region, product) WHERE ord >= 24009 AND term = '1 year' AND due_units > 0 AND ts = 0 GROUP BY region, product, ord),
+ma AS (SELECT region, ord, sum(raw_due_units)::BIGINT AS units FROM fin WHERE newcust = 1 AND ord < 24009 GROUP BY ALL), ml AS (SELECT region, sum(units) FILTER (ord BETWEEN 24006 AND 24008)::DOUBLE / sum(units) FILTER (ord BETWEEN 23994 AND 23996)::DOUBLE AS level FROM ma GROUP BY region),
+mf AS (SELECT ord, {_MARK} AS mark, dormant, softcancel, due_units::DOUBLE AS units, due_cents, 1 AS extract FROM fin WHERE ts = 0 AND due_units > 0 AND ord >= 24009 UNION ALL SELECT ord, 'neutral', 0, 0, units, 0, 0 FROM me WHERE units > 0
+  UNION ALL SELECT (ord + 12)::INT, 'neutral', 0, 0, round(units * coalesce(level, 1), 6)::DOUBLE, 0, 0 FROM ma JOIN ml USING (region) WHERE ord >= 23997 AND units * coalesce(level, 1) > 0),
+mr AS (SELECT mark, sum(due_units) AS due_units, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS ru, sum(ren_value)::DOUBLE / 200 / sum(due_cents)::DOUBLE AS rv FROM mh GROUP BY mark)
+"""
+_EFFECT = """, mn AS (SELECT ord, ord % 12 AS m, sum(due_cents)::BIGINT AS due_cents, sum(units * coalesce(ru, nu)) / sum(units) AS tu, sum(units * coalesce(rv, nv)) / sum(units) AS tv FROM mf LEFT JOIN mr USING (mark) CROSS JOIN (SELECT max(ru) AS nu, max(rv) AS nv FROM mr WHERE mark = 'neutral') GROUP BY ord),
+mx AS (SELECT m, sum(mh.due_units * ru) / sum(mh.due_units)::DOUBLE AS fu, sum(mh.due_units * rv) / sum(mh.due_units)::DOUBLE AS fv FROM mh JOIN mr USING (mark) GROUP BY m),
+meff AS (SELECT ord, (ord // 12)::INT AS year, due_cents, round(tu, 6) AS today_units, round(coalesce(fu, tu), 6) AS final_units, round(tv, 6) AS today_value, round(coalesce(fv, tv), 6) AS final_value, round(due_cents * (coalesce(fv, tv) - tv), 4) AS effect_cents FROM mn LEFT JOIN mx USING (m))
+"""
+_SHARE = lambda c, n, units="units": f"round(coalesce(sum({units}) FILTER ({c}), 0)::DOUBLE / sum({units})::DOUBLE, 6) AS {n}"
+_FLAGS = ("dormant", "softcancel")
+_REPORTED = {
+    "revaluation_funnel": _ISOLATED + ", wi AS (SELECT * FROM iso WHERE ord IN (SELECT DISTINCT ord FROM iso ORDER BY ord DESC LIMIT 12)) SELECT 'renewers' AS population, count(*) AS rows, sum(ren_value)::BIGINT AS ren_value FROM wi UNION ALL SELECT 'isolated', count(*), sum(i_value)::BIGINT FROM wi WHERE i_base > 0 UNION ALL SELECT 'not_acquired', count(*), sum(i_value)::BIGINT FROM pop",
+    "revaluation_top_series": _ISOLATED + f"SELECT fs_id, months, round(due_units::DOUBLE / months, 6) AS units_a_month, due_cents, round(i_units::DOUBLE / due_units::DOUBLE, 6) AS rate, {_ratios('val')} FROM val GROUP BY fs_id, months, due_units, due_cents, i_units ORDER BY due_cents DESC, fs_id LIMIT 15",
+    "revaluation_histogram": _ISOLATED + ", ed(a, b) AS (VALUES " + ", ".join(f"({a}, {b})" for a, b in zip(_UPLIFT_EDGES, (*_UPLIFT_EDGES[1:], 10 ** 6))) + "), st AS (SELECT 'all' AS among, * FROM val UNION ALL SELECT 'unknown', * FROM val WHERE unknown_value::DOUBLE / i_value > 0.5), hg AS (SELECT g.among, a AS from_thousandths, count(fs_id) AS series, coalesce(sum(i_value), 0)::BIGINT AS ren_value FROM (SELECT DISTINCT among FROM st) g CROSS JOIN ed LEFT JOIN st ON st.among = g.among AND i_value * 5 >= i_base * a AND i_value * 5 < i_base * b GROUP BY ALL) SELECT among, from_thousandths, series, round(series::DOUBLE / sum(series) OVER (PARTITION BY among)::DOUBLE, 6) AS series_share, ren_value, round(ren_value::DOUBLE / sum(ren_value) OVER (PARTITION BY among)::DOUBLE, 6) AS value_share FROM hg",
+    "revaluation_summary": _ISOLATED + _POINTS + f", sg AS (SELECT {_ratios('pop')} FROM pop), sh AS (SELECT count(*) AS series, round(sum(i_value) / 200.0::DOUBLE / sum(i_base), 6) AS series_uplift, " + ", ".join(_SHARE(c, n, "i_value") for c, n in (("i_value * 5 >= i_base * 1000 AND i_value * 5 < i_base * 1050", "share_100_105"), ("i_value * 5 >= i_base * 950 AND i_value * 5 < i_base * 1050", "share_095_105"), ("i_value * 5 >= i_base * 1100", "share_from_110"))) + ", round(sum(i_value)::DOUBLE / (SELECT sum(i_value) FROM val0)::DOUBLE, 6) AS covered FROM val) SELECT *, CASE WHEN near >= 0.8 THEN 'holds' WHEN high >= 0.25 THEN 'fails' WHEN near IS NOT NULL THEN 'in_part' END AS claim FROM sh CROSS JOIN pts CROSS JOIN sg",
+    "revaluation_bands": _ISOLATED + "SELECT *, round(base_cents::DOUBLE / sum(base_cents) OVER ()::DOUBLE, 6) AS share FROM (" + " UNION ALL ".join(f"SELECT '{n}' AS band, coalesce(sum(b_{n}), 0)::BIGINT AS base_cents FROM pop" for n in _RATIO_EDGES) + ")",
+    "revaluation_by_discount": _ISOLATED + f"SELECT 'bucket' AS cut, bucket AS value, sum(i_value)::BIGINT AS ren_value, {_ratios('pop')} FROM pop GROUP BY bucket UNION ALL SELECT 'discount', CASE WHEN percent IS NULL THEN 'unknown' ELSE 'known' END, sum(i_value)::BIGINT, {_ratios('pop')} FROM pop GROUP BY percent IS NULL",
+    "revaluation_monthly": _ISOLATED + _PATH + "SELECT * FROM path",
+    "revaluation_verdict": _ISOLATED + _PATH + ", lp AS (SELECT * FROM (SELECT * FROM path ORDER BY ord DESC LIMIT 12) WHERE above IS NOT NULL), li AS (SELECT above, row_number() OVER (ORDER BY ord) - row_number() OVER (PARTITION BY above ORDER BY ord) AS isle FROM lp), lr AS (SELECT above, count(*) AS n FROM li GROUP BY above, isle), lv AS (SELECT coalesce(sum(n), 0)::BIGINT AS months, coalesce(sum(n) FILTER (above = 1), 0)::BIGINT AS months_above, coalesce(max(n) FILTER (above = 1), 0)::BIGINT AS longest_run FROM lr) SELECT *, CASE WHEN longest_run >= 3 THEN 'increase' WHEN months_above > 0 THEN 'scattered' WHEN months > 0 THEN 'none' END AS verdict FROM lv",
+    "mark_costs": _AHEAD + "SELECT mark, round(due_units::DOUBLE / sum(due_units) OVER ()::DOUBLE, 6) AS share_units, round(ru, 6) AS rate_units, round(rv, 6) AS rate_value FROM mr",
+    "mark_shares_ahead": _AHEAD + ", fs AS (SELECT m, " + ", ".join([_SHARE(f"{c} = 1", f"final_{c}", "due_units") for c in _FLAGS] + [_SHARE("mark = 'neutral'", "final_neutral", "due_units")]) + " FROM mh GROUP BY m) SELECT n.*, " + ", ".join(f"final_{c}" for c in (*_FLAGS, "neutral")) + " FROM (SELECT ord, (ord - 24008)::INT AS h, sum(due_cents)::BIGINT AS due_cents, " + ", ".join([_SHARE("extract = 1", "extract_share")] + [_SHARE(f"{c} = 1", f"today_{c}") for c in _FLAGS] + [_SHARE("mark = 'neutral'", "today_neutral")]) + " FROM mf GROUP BY ord) n LEFT JOIN fs ON fs.m = n.ord % 12",
+    "mark_mix_effect": _AHEAD + _EFFECT + "SELECT * FROM meff",
+    "mark_effect_by_year": _AHEAD + _EFFECT + "SELECT year, sum(due_cents)::BIGINT AS due_cents, round(sum(effect_cents), 3) AS effect_cents, round(round(sum(effect_cents), 3) / nullif(sum(due_cents), 0)::DOUBLE, 6) AS share FROM meff GROUP BY year",
+}
 SQL = {k: _BASE + v for k, v in {
     "calendar_by_month": "SELECT ord, role, count(*) AS rows, sum(due_units)::BIGINT AS due_units, sum(due_cents)::BIGINT AS due_cents, sum(ren_units)::BIGINT AS ren_units, sum(ren_value)::BIGINT AS ren_value, sum(raw_due_units)::BIGINT AS raw_due_units, sum(raw_ren_units)::BIGINT AS raw_ren_units, sum(ren_units)::DOUBLE / nullif(sum(due_units), 0)::DOUBLE AS rate FROM fin GROUP BY ord, role",
     "months_per_role": "SELECT fs_id, count(DISTINCT ord) FILTER (role = 'entrenamiento') AS entrenamiento, count(DISTINCT ord) FILTER (role = 'examen') AS examen, count(DISTINCT ord) FILTER (role = 'proyeccion') AS proyeccion FROM fin GROUP BY fs_id",
@@ -419,7 +473,7 @@ SELECT own.composition, n AS months, round(rate, 6) AS rate, round(var / nullif(
     "forecast_rows": _FORECAST + "SELECT fs_id, ord, h, composition, origin, technique, due_units, round(rate, 9) AS rate, round(rate_low, 9) AS rate_low, round(rate_high, 9) AS rate_high, round(expected_units, 9) AS expected_units FROM forecast",
     "forecast_yearly_totals": _FORECAST + "SELECT (ord // 12)::INT AS year, round(sum(expected_units), 4) AS expected, round(sum(rate_low * due_units), 4) AS low, round(sum(rate_high * due_units), 4) AS high, round(sqrt(sum(((rate_high - rate_low) / 2 * due_units) ^ 2)), 4) AS quadrature FROM forecast GROUP BY 1",
 }.items()}
-SQL |= {k: _BASE + v for k, v in _LATE.items()}
+SQL |= {k: _BASE + v for k, v in (_LATE | _REPORTED).items()}
 #: What the covers read, by the names that it has here.
 _COVERED = _CORE + _SECOND_CTE + ", predictions AS (SELECT * FROM tr), decision AS (SELECT * FROM dec) "
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from renewcast.config import Config
 from renewcast.functions import columns
 from renewcast.operators import backtest as B
-from renewcast.operators import core, exam, ladder, maturation, passes, price, relevance, series, techniques, universe
+from renewcast.operators import core, exam, ladder, maturation, passes, price, relevance, revaluation, series, techniques, universe
 from renewcast.plans import projections as P
 from renewcast.plans.store import Step, Steps
 from renewcast.sources import extract
@@ -48,6 +48,8 @@ STEPS = (
     Step("core", lambda t, c: core.core(t["fine"], t["forecast"], t["uplift"], t["extension"], t["acquisition"], c), ("fine", "forecast", "uplift", "extension", "acquisition"), (core, columns), ("row_key",)),
     Step("second", lambda t, c: universe.second_universe(t["fine"], c), ("fine",), (universe,), ("region", "ord", "origin")),
     Step("moves", lambda t, c: maturation.moves(t["fine"], c), ("fine",), (maturation, columns)),
+    Step("isolated", lambda spark, sf_dir, c: revaluation.isolated(extract.licences(spark, sf_dir), c), (), (revaluation, *_BASE)),
+    Step("valued", lambda t, c: revaluation.series(t["isolated"]), ("isolated",), (revaluation,), ("fs_id",)),
     Step("exam_rows", lambda t, c: exam.detail(t["units"], t["patterns"], t["pooled"], t["decision"], t["bands"], t["weights"], c), ("units", "patterns", "pooled", "decision", "bands", "weights"), (exam, *_TRIED), ("fs_id", "ord", "h", "method")),
 )
 

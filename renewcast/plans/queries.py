@@ -12,9 +12,11 @@ from renewcast.operators import dynamics as D
 from renewcast.operators import evidence as E
 from renewcast.operators import exam as EX
 from renewcast.operators import ladder as L
+from renewcast.operators import mark_diagnosis as MD
 from renewcast.operators import maturation as M
 from renewcast.operators import price as P
 from renewcast.operators import relevance as V
+from renewcast.operators import revaluation as R
 from renewcast.operators import passes, risk, universe
 from renewcast.operators import series as S
 from renewcast.plans.covers import COVERS, READS, cover
@@ -126,6 +128,11 @@ def _rates(f):
     return _of("rates")(lambda rates: f(rates.sparkSession, rates))
 
 
+def _marks_ahead(f):
+    """Queries of closed months' rows and of all that falls due in open ones."""
+    return _of("fine", "extension", "acquisition")(lambda fine, e, a: f(MD.history(fine, CFG), MD.ahead(fine, e, a, CFG)))
+
+
 def matured_forecast(forecast: DataFrame, units: DataFrame, moves: DataFrame) -> DataFrame:
     """The forecast after the marks still to come."""
     return M.distribute(forecast.join(units.select("fs_id", *CFG.series).distinct(), "fs_id"), moves, CFG)
@@ -191,6 +198,14 @@ QUERIES = {
     "price_increase_calendar": _fine(lambda f: P.increase_calendar(P.monitor(f, CFG, 0.002))),
     "price_longest_runs": _fine(lambda f: P.longest_runs(P.monitor(f, CFG, 0.002), CFG)),
     "uplift_homogeneity": lambda spark, sf: P.homogeneity(licences(spark, sf), steps(spark, sf, CFG)["fine"], CFG),
+    "revaluation_funnel": _of("isolated")(R.funnel),
+    "revaluation_top_series": _of("valued")(R.top),
+    "revaluation_histogram": _of("valued")(R.histogram),
+    "revaluation_summary": _of("isolated", "valued")(R.summary),
+    "revaluation_bands": _of("isolated")(R.bands),
+    "revaluation_by_discount": _of("isolated")(R.by_discount),
+    "revaluation_monthly": _of("isolated")(R.monthly),
+    "revaluation_verdict": _of("isolated")(lambda rows: R.verdict(R.monthly(rows))),
     "technique_trials": _of("chosen", "predictions", "decision")(audit.technique_trials),
     "check_registry": _of(*checks.needed())(lambda *t: checks.registry(dict(zip(checks.needed(), t)))),
     "audit_differences": _of(*audit.AUDITED)(lambda *t: audit.differences(dict(zip(audit.AUDITED, t)), CFG)),
@@ -210,6 +225,10 @@ QUERIES = {
     "dynamics_tests": _pooled(D.tests),
     "month_profile": _pooled(D.month_profile),
     "mark_redistribution": _of("moves")(),
+    "mark_shares_ahead": _marks_ahead(lambda past, future: MD.shares(past, future, CFG)),
+    "mark_costs": _fine(lambda fine: MD.costs(MD.history(fine, CFG))),
+    "mark_mix_effect": _marks_ahead(MD.effects),
+    "mark_effect_by_year": _marks_ahead(lambda past, future: MD.by_year(MD.effects(past, future))),
     "matured_forecast": _of("forecast", "units", "moves")(matured_forecast),
     "uplift_bands": _fine(lambda f: bootstrap.bands(f, CFG)),
     "merge_evidence": _of("rungs", "chosen", "summary")(E.merges),
