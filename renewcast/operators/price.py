@@ -8,7 +8,7 @@ from renewcast import config as C
 from renewcast.functions.columns import discount_bucket, join_id
 
 FLOOR, CAP, LEAST = 30, 3.0, 0.01
-STEP, PERSISTENCE, REFERENCE, CYCLE = 0.02, 3, 6, 12
+STEP, PERSISTENCE, REFERENCE, CYCLE = 0.03, 3, 6, 12
 
 
 def renewers(fine: DataFrame, cfg: C.Config, before: int | None = None) -> DataFrame:

@@ -440,7 +440,7 @@ SQL = {k: _BASE + v for k, v in {
     "contract_rule_check": "SELECT bucket, sum(ren_units)::BIGINT AS renewers, round(sum(ren_value)::DOUBLE / 200 / sum(base_cents)::DOUBLE, 6) AS paid, round(sum(rule * base_cents) / sum(base_cents)::DOUBLE, 6) AS rule, round(coalesce(sum(base_cents) FILTER (abs(ren_value / 200.0::DOUBLE / base_cents / rule - 1) <= 0.02::DOUBLE), 0)::DOUBLE / sum(base_cents)::DOUBLE, 6) AS share_near FROM (SELECT *, 1 / (1 - least(percent / 100.0::DOUBLE, 0.99::DOUBLE)) AS rule FROM renew WHERE percent IS NOT NULL) GROUP BY bucket",
     "uplift_backtest": _UPLIFT.format(before=24006) + "SELECT *, CASE WHEN wape_contract < wape_statistical THEN 'contrato' ELSE 'estadistico' END AS method FROM (SELECT bucket, count(*) AS n, round(sum(abs(base_cents / 100.0::DOUBLE * uplift - ren_value / 20000.0::DOUBLE)) / sum(ren_value / 20000.0::DOUBLE), 6) AS wape_statistical, round(sum(abs(base_cents / 100.0::DOUBLE / (1 - least(coalesce(percent, 0) / 100.0::DOUBLE, 0.99::DOUBLE)) - ren_value / 20000.0::DOUBLE)) / sum(ren_value / 20000.0::DOUBLE), 6) AS wape_contract FROM renew JOIN up ON cell_id = cell WHERE ord >= 24006 GROUP BY bucket)",
     "weighted_percentiles": ", wp AS (SELECT region, ren_value / 200.0::DOUBLE / base_cents AS u, base_cents AS w FROM renew), wl AS (SELECT region, u, w, sum(w) OVER r::DOUBLE / sum(w) OVER (PARTITION BY region)::DOUBLE AS share FROM wp WINDOW r AS (PARTITION BY region ORDER BY u, w ROWS UNBOUNDED PRECEDING)), wm AS (SELECT *, lag(u) OVER r AS u0, lag(share) OVER r AS s0 FROM wl WINDOW r AS (PARTITION BY region ORDER BY u, w, share)) SELECT region, " + ", ".join(f"round(min_by(coalesce(u0 + (u - u0) * ({q}::DOUBLE - s0) / (share - s0), u), share) FILTER (share >= {q}::DOUBLE), 6) AS {n}" for q, n in ((0.1, "p10"), (0.5, "p50"), (0.9, "p90"))) + " FROM wm GROUP BY region",
-    "price_monitor_rolling12": _MONITOR.format(step="0.02") + "SELECT * FROM mon",
+    "price_monitor_rolling12": _MONITOR.format(step="0.03") + "SELECT * FROM mon",
     "price_increase_calendar": _MONITOR.format(step="0.002") + "SELECT s.product, s.ord AS start, s.step, count(m.uplift) AS months_seen, sum(m.ren_value)::BIGINT AS ren_value FROM mon s JOIN mon m ON s.product = m.product AND m.ord >= s.ord AND m.ord < s.ord + 12 WHERE s.starts = 1 GROUP BY ALL",
     "marks_by_month": "SELECT ord, CASE WHEN dormant = 1 AND softcancel = 1 THEN 'dormant+softcancel' WHEN dormant = 1 THEN 'dormant' WHEN softcancel = 1 THEN 'softcancel' ELSE 'neutral' END AS marks, sum(due_units)::BIGINT AS due_units, sum(ren_units)::BIGINT AS ren_units FROM fin GROUP BY 1, 2",
     "same_month_last_year": ", mo AS (SELECT region, ord, sum(due_units)::BIGINT AS due_units, sum(ren_units)::BIGINT AS ren_units FROM fin GROUP BY ALL) SELECT a.region, a.ord, a.due_units, a.ren_units, b.due_units AS due_before, b.ren_units AS ren_before, a.due_units - b.due_units AS change FROM mo a JOIN mo b ON a.region = b.region AND a.ord = b.ord + 12",

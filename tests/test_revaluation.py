@@ -72,15 +72,13 @@ def test_histogram_and_unknown_discounts(spark):
     assert len(got) == 22 and {k: v for k, v in got.items() if v[0]} == {("all", 975): (1, round(195 / 1395, 6)), ("all", 1500): (1, round(1200 / 1395, 6)), ("unknown", 1500): (1, 1.0)}
 
 
-@pytest.mark.parametrize("ratios, want", [((200,) * 12 + (210,) * 3, (9, 3, 3, "increase")), ((200,) * 12 + (210, 200, 210), (9, 2, 1, "scattered")), ((200,) * 15, (9, 0, 0, "none")), ((200,) * 5, (0, 0, 0, None))])
+@pytest.mark.parametrize("ratios, want", [((200,) * 12 + (210,) * 3, (9, 3, 3, "increase")), ((200,) * 12 + (210, 200, 210), (9, 2, 1, "scattered")), ((200,) * 21, (12, 0, 0, "none")), ((200,) * 5, (0, 0, 0, None))])
 def test_steps_of_the_path(spark, ratios, want):
     path = R.monthly(rows(spark, *(licence(ord=NOW - len(ratios) + i, ratio=k) for i, k in enumerate(ratios))))
     last = path.orderBy("ord").collect()
     assert [r["above"] is None for r in last[:6]] == [True] * min(6, len(ratios))
-    got = tuple(R.verdict(path).first())
-    # Of fifteen months the last twelve are looked at, all of which have enough before them but the first three.
-    want = (sum(r["above"] is not None for r in last[-12:]), *want[1:])
-    assert got == want
+    # Of the last twelve months, those with enough before them count: of fifteen months, nine.
+    assert tuple(R.verdict(path).first()) == want
 
 
 def test_claim(spark):
