@@ -7,6 +7,11 @@
 5. BPE: token ids, their number and the digest of what they decode to are added.
 
 Where a stage changes a text, ``n_chars`` follows it.
+
+Null, empty and wordless texts are near copies of nothing, stay as they are and have no tokens.  Rows that share an id
+are judged by their texts, each alone; of equal rows one stays, and of copies a row without an id goes first.  Very long
+texts are taken whole.  Columns other than those of documents are dropped, whatever their names; an empty table gives no
+rows.
 """
 from __future__ import annotations
 
