@@ -10,11 +10,11 @@ from pyspark.sql.types import DoubleType
 LEAST_MONTHS, SIGNIFICANT, SIGMAS, LEAST_SHARED = 24, 0.05, 2.0, 3
 
 
-def residuals(pooled: DataFrame) -> DataFrame:
+def residuals(pooled: DataFrame, least: int = LEAST_MONTHS) -> DataFrame:
     """Months of compositions that have enough, with what their weighted straight line leaves."""
     w = Window.partitionBy("composition")
     rows = pooled.where("due_units > 0").select("composition", "ord", "due_units", "ren_units", (F.col("ren_units") / F.col("due_units")).alias("rate"), F.count(F.lit(1)).over(w).alias("n"), F.avg("due_units").over(w).alias("mean_due"), F.min("ord").over(w).alias("first"))
-    rows = rows.where(F.col("n") >= LEAST_MONTHS).withColumn("w", F.col("due_units") / F.col("mean_due")).withColumn("t", (F.col("ord") - F.col("first")) / 12.0)
+    rows = rows.where(F.col("n") >= least).withColumn("w", F.col("due_units") / F.col("mean_due")).withColumn("t", (F.col("ord") - F.col("first")) / 12.0)
     mean = lambda c: F.sum(F.col("w") * F.col(c)).over(w) / F.sum("w").over(w)
     rows = rows.withColumn("tm", mean("t")).withColumn("rm", mean("rate"))
     dt, dr = F.col("t") - F.col("tm"), F.col("rate") - F.col("rm")
@@ -48,9 +48,9 @@ def steadiness(rows: DataFrame) -> DataFrame:
     return out.select("composition", F.when((F.col("shared") >= LEAST_SHARED) & (F.col("sa") > 0) & (F.col("sb") > 0), F.round("r", 6)).alias("consistency"))
 
 
-def statistics(pooled: DataFrame) -> DataFrame:
+def statistics(pooled: DataFrame, least: int = LEAST_MONTHS) -> DataFrame:
     """One row a composition: phi, trend with its t, season with its F, amplitude and months out of line."""
-    rows = residuals(pooled)
+    rows = residuals(pooled, least)
     p = F.sum("ren_units") / F.sum("due_units")
     own = rows.groupBy("composition", "n", "sxx", "slope").agg(p.alias("rate"), F.var_samp("rate").alias("var"), F.avg(1 / F.col("due_units")).alias("per"), F.sum(F.col("w") * F.col("res") ** 2).alias("rss"))
     se = F.sqrt(F.col("rss") / (F.col("n") - 2) / F.col("sxx"))
@@ -89,7 +89,7 @@ def f_tail(f: pd.Series, df1: pd.Series, df2: pd.Series) -> pd.Series:
     return pd.Series(beta_tail(df2.to_numpy(float) / (df2.to_numpy(float) + df1.to_numpy(float) * f.to_numpy(float)), a, b))
 
 
-def tests(pooled: DataFrame) -> DataFrame:
+def tests(pooled: DataFrame, least: int = LEAST_MONTHS) -> DataFrame:
     """The statistics with their p-values and verdicts.  A t squared is an F of one degree."""
-    rows = statistics(pooled).withColumn("p_trend", F.round(f_tail(F.col("t") ** 2, F.lit(1), F.col("months") - 2), 6)).withColumn("p_month", F.round(f_tail("f", "df1", "df2"), 6))
+    rows = statistics(pooled, least).withColumn("p_trend", F.round(f_tail(F.col("t") ** 2, F.lit(1), F.col("months") - 2), 6)).withColumn("p_month", F.round(f_tail("f", "df1", "df2"), 6))
     return rows.withColumn("trend", F.when(F.col("p_trend") < SIGNIFICANT, F.signum("trend_pp").cast("int")).otherwise(0)).withColumn("seasonal", (F.col("p_month") < SIGNIFICANT).cast("int"))

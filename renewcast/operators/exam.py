@@ -85,10 +85,10 @@ def detail(units: DataFrame, patterns: DataFrame, pooled: DataFrame, decision: D
                    method(FRAMEWORK, F.coalesce("comp_technique", cell_name), F.coalesce(moved, F.col("cell_level")), F.col("comp_rate"), F.col("shift")),
                    method(CELL_SHEET, sheet, F.col("sheet_cell")), method(ALL_SHEET, sheet, F.col("sheet_all")))
     out = base.select("fs_id", "composition", "ord", "h", "origin", "due_units", F.col("ren_units").alias("real_units"), F.explode(each).alias("m")).select("fs_id", "composition", "ord", "h", "origin", "due_units", "real_units", "m.*")
-    return measured(_interval(out, bands, cfg))
+    return measured(interval(out, bands, cfg))
 
 
-def _interval(rows: DataFrame, bands: DataFrame, cfg: C.Config) -> DataFrame:
+def interval(rows: DataFrame, bands: DataFrame, cfg: C.Config) -> DataFrame:
     """band_low and band_high, as the forecast has them; none for spreadsheets."""
     edges = bands.select("technique", "h", "q_low", "q_high")
     rival = edges.where(F.col("technique") == CHALLENGER).select("h", F.col("q_low").alias("c_low"), F.col("q_high").alias("c_high"))

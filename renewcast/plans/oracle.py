@@ -331,6 +331,82 @@ def _audit() -> str:
 
 
 _TABLES = {"fine": "fin", "units": "units", "routes": "rt0", "summary": "sum0", "weights": "wgt0", "members": "bridge", "pooled": "pool", "forecast": "forecast", "core": "core"}
+_STATISTICS = """, own AS (SELECT composition, n, sxx, slope, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS rate, var_samp(rate) AS var, avg(1.0::DOUBLE / due_units) AS per, sum(w * res * res) AS rss FROM d3 GROUP BY composition, n, sxx, slope),
+sea AS (SELECT composition, df1, df2, within, between_, max(effect) - min(effect) AS amplitude, coalesce(string_agg(month::VARCHAR, ',' ORDER BY month) FILTER (effect > 2 * error), '') AS high, coalesce(string_agg(month::VARCHAR, ',' ORDER BY month) FILTER (-effect > 2 * error), '') AS low FROM m4 GROUP BY composition, df1, df2, within, between_),
+mid AS (SELECT composition, median(y) AS middle FROM (SELECT DISTINCT composition, ord // 12 AS y FROM d3) GROUP BY composition),
+hv AS (SELECT composition, ord % 12 AS m, avg(res) FILTER (ord // 12 <= middle) AS a, avg(res) FILTER (ord // 12 > middle) AS b FROM d3 JOIN mid USING (composition) GROUP BY ALL),
+st AS (SELECT composition, CASE WHEN count(*) >= 3 AND stddev(a) > 0 AND stddev(b) > 0 THEN round(corr(a, b), 6) END AS consistency FROM hv WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY composition)
+SELECT own.composition, n AS months, round(rate, 6) AS rate, round(var / nullif(rate * (1 - rate) * per, 0), 6) AS phi, round(100 * slope, 6) AS trend_pp, round(coalesce(slope / nullif(sqrt(rss / (n - 2) / sxx), 0), 0), 6) AS t, round(CASE WHEN within > 1e-15 THEN (between_ / df1) / (within / df2) ELSE 0 END, 6)::DOUBLE AS f, df1, df2, round(100 * amplitude, 6) AS amplitude_pp, high, low, consistency FROM own JOIN sea USING (composition) LEFT JOIN st USING (composition)"""
+
+
+def _measured(name: str, months: str, least: int = 24) -> str:
+    """CTE of a table's statistics (months: composition, ord, due_units, ren_units)."""
+    text = (_DYNAMICS + _STATISTICS).replace("FROM pool WHERE", f"FROM {months} WHERE").replace("n >= 24", f"n >= {least}")
+    return f", {name} AS (WITH " + text.strip().removeprefix(",") + ")"
+
+
+#: Simpson's places and weights on [0, 1].
+_SIMPSON = ", simpson AS (SELECT i / 4000.0::DOUBLE AS u, CASE WHEN i IN (0, 4000) THEN 1.0::DOUBLE WHEN i % 2 = 1 THEN 4.0 ELSE 2.0 END AS c FROM range(4001) r(i))"
+
+
+def _tested(name: str, of: str) -> str:
+    """CTE of statistics with p-values: P(F > f) is an incomplete beta function, summed on the sine-squared scale."""
+    area = lambda top, d1, d2: f"sum(c * pow(sin(u * ({top})), {d2} - 1) * pow(abs(cos(u * ({top}))), {d1} - 1))"
+
+    def tail(f, d1, d2):
+        top = f"asin(sqrt(least({d2} / ({d2} + {d1} * ({f})), 1.0::DOUBLE)))"
+        return f"round({area(top, d1, d2)} * any_value({top}) / ({area('pi() / 2', d1, d2)} * pi() / 2), 6)"
+
+    return f""", {name}_p AS (SELECT composition, {tail('t * t', '1', '(months - 2)')} AS p_trend, {tail('f', 'df1', 'df2')} AS p_month FROM {of} CROSS JOIN simpson GROUP BY composition),
+{name} AS (SELECT *, CASE WHEN p_trend < 0.05 THEN sign(trend_pp)::INT ELSE 0 END AS trend, (p_month < 0.05)::INT AS seasonal FROM {of} JOIN {name}_p USING (composition))"""
+
+
+_POOLS = _measured("pool_st", "pool") + _SIMPSON + _tested("pool_t", "pool_st")
+_OWN = """, own_months AS (SELECT fs_id AS composition, ord, due_units, ren_units FROM past)""" + _measured("own_st", "own_months", 12) + _tested("own_t", "own_st") + """,
+sdyn AS (SELECT fs_id, c.composition, coalesce(q.n, 0) AS months, coalesce(s.support, 0) AS own_support, CASE WHEN coalesce(q.n, 0) < 12 THEN 'short_history' WHEN coalesce(s.support, 0) < 30 THEN 'low_support' ELSE 'yes' END AS measurable, o.phi,
+  CASE WHEN o.trend_pp <> 0 THEN o.trend WHEN o.trend_pp IS NOT NULL THEN 0 END AS trend, o.trend_pp, CASE WHEN o.trend_pp <> 0 THEN o.p_trend WHEN o.trend_pp IS NOT NULL THEN 1.0::DOUBLE END AS p_trend,
+  CASE WHEN o.months >= 24 THEN CASE WHEN o.amplitude_pp <> 0 THEN o.seasonal ELSE 0 END END AS seasonal, CASE WHEN o.months >= 24 THEN CASE WHEN o.amplitude_pp <> 0 THEN o.p_month ELSE 1.0::DOUBLE END END AS p_month, CASE WHEN o.months >= 24 THEN o.amplitude_pp END AS amplitude_pp,
+  CASE WHEN o.months >= 24 THEN CASE WHEN o.amplitude_pp <> 0 THEN o.high ELSE '' END END AS high, CASE WHEN o.months >= 24 THEN CASE WHEN o.amplitude_pp <> 0 THEN o.low ELSE '' END END AS low, g.trend AS composition_trend, g.seasonal AS composition_seasonal
+  FROM chosen c LEFT JOIN (SELECT fs_id, count(*) AS n FROM past WHERE due_units > 0 GROUP BY fs_id) q USING (fs_id) LEFT JOIN summary s USING (fs_id) LEFT JOIN own_t o ON o.composition = fs_id LEFT JOIN pool_t g ON g.composition = c.composition)
+"""
+_PORTFOLIO = ", everything AS (SELECT 'portfolio' AS composition, ord, sum(due_units)::BIGINT AS due_units, sum(ren_units)::BIGINT AS ren_units FROM past WHERE due_units > 0 GROUP BY ord)"
+
+
+def _segments() -> str:
+    marks = {"all": "true", "low_phi": "phi <= 1.5", "high_phi": "phi > 1.5", "trend": "measurable = 'yes' AND coalesce(trend, 0) <> 0", "no_trend": "measurable = 'yes' AND coalesce(trend, 0) = 0", "seasonal": "measurable = 'yes' AND seasonal = 1", "not_seasonal": "measurable = 'yes' AND seasonal = 0", "not_measurable": "coalesce(measurable, '') <> 'yes'"}
+    of = lambda m, a, b: f"round(sum({m}_{a}) / nullif(sum({m}_{b}), 0)::DOUBLE, 6)"
+    one = lambda name, where: (f"SELECT '{name}' AS segment, count(*) AS series, sum(framework_predictions)::BIGINT AS predictions, {of('framework', 'in_band', 'predictions')} AS in_band, {of('raw', 'in_band', 'predictions')} AS in_band_raw, {of('framework', 'abs_err_units', 'real_units')} AS wape, {of('raw', 'abs_err_units', 'real_units')} AS wape_raw, "
+                               f"round(sum(framework_pred_units) / nullif(sum(framework_real_units), 0)::DOUBLE - 1, 6) AS bias FROM ps WHERE {where} HAVING count(*) > 0")
+    return ", ps AS (SELECT * FROM (" + _per_series() + ") LEFT JOIN sdyn USING (fs_id) WHERE framework_predictions > 0) " + " UNION ALL ".join(one(n, w) for n, w in marks.items())
+
+
+_NOISE = ", nz AS (SELECT * FROM exam WHERE method IN ('raw', 'framework'))"
+_TRIALS = f""", sbt AS (SELECT w.fs_id, t.composition, t.ord, t.h, t.technique, coalesce((d.technique = t.technique)::INT, 0) AS chosen, t.predicted, e.due_units, e.ren_units,
+  CASE WHEN coalesce(w.z, 1) < 1 AND r.level > 0 AND r.level < 1 AND c.level > 0 AND c.level < 1 THEN (1 - w.z) * ({_CLIP.format('r.level')} - {_CLIP.format('c.level')}) ELSE 0 END AS shift
+  FROM tr t JOIN wgt w ON w.composition = t.composition JOIN ex e ON e.fs_id = w.fs_id AND e.ord = t.ord LEFT JOIN dec d ON d.composition = t.composition AND d.h = t.h
+  LEFT JOIN lcomp c ON c.composition = t.composition AND c.origin = t.ord - t.h LEFT JOIN lref r ON r.reference = w.reference AND r.origin = t.ord - t.h WHERE t.purpose = 'examen'),
+sb1 AS (SELECT *, CASE WHEN shift = 0 THEN predicted ELSE 1 / (1 + exp(-({_CLIP.format('predicted')} + shift))) END AS pred_rate FROM sbt),
+sb2 AS (SELECT s.*, ren_units::DOUBLE / due_units AS real_rate, pred_rate * due_units AS pred_units, pred_rate * due_units - ren_units AS err_units, 100 * (pred_rate - ren_units::DOUBLE / due_units) AS err_pp, 100 * sqrt(pred_rate * (1 - pred_rate) / greatest(due_units, 1)) AS noise_pp,
+  least(coalesce(b.q_low, c.q_low, -1.645::DOUBLE), 0) AS ql, greatest(coalesce(b.q_high, c.q_high, 1.645::DOUBLE), 0) AS qh FROM sb1 s LEFT JOIN bnd b ON b.technique = s.technique AND b.h = s.h LEFT JOIN bnd c ON c.technique = 'T3_ma3' AND c.h = s.h),
+sb3 AS (SELECT *, least(greatest(pred_rate + ql * noise_pp / 100, 0), 1) AS band_low, least(greatest(pred_rate + qh * noise_pp / 100, 0), 1) AS band_high, CASE WHEN noise_pp > 0 THEN err_pp / noise_pp END AS err_norm FROM sb2)
+"""
+_GAIN = ", ba AS (SELECT est.*, coalesce(s.support, 0) AS own_support, CASE WHEN s.months > 0 THEN CASE WHEN s.due_units <= 0 OR s.q IS NULL THEN 50.0::DOUBLE ELSE round(100 * (1.645::DOUBLE * sqrt(s.q * (1 - s.q) / s.due_units + 2.706025::DOUBLE / (4 * s.due_units::DOUBLE * s.due_units)) / (1 + 2.706025::DOUBLE / s.due_units)), 6) END END AS before, 1.645::DOUBLE * error_estimate_pp AS after FROM est LEFT JOIN (SELECT *, ren_units::DOUBLE / nullif(due_units, 0) AS q FROM summary) s USING (fs_id))"
+_DEEP = {
+    "dynamics_tests": _POOLS + " SELECT * FROM pool_t",
+    "series_dynamics": _POOLS + _OWN + " SELECT *, (measurable = 'yes' AND composition_trend IS NOT NULL AND coalesce((trend <> 0 AND trend <> composition_trend) OR seasonal <> composition_seasonal, false))::INT AS differs FROM sdyn",
+    "dynamics_shares": _POOLS + ", pm AS (SELECT t.*, coalesce(sum(u.due_cents), 0)::BIGINT AS cents FROM pool_t t JOIN chosen c USING (composition) LEFT JOIN (SELECT fs_id, due_cents FROM units WHERE ord >= 24009) u USING (fs_id) GROUP BY ALL) " + " UNION ALL ".join(f"SELECT '{n}' AS attribute, count(*) AS compositions, sum(cents)::BIGINT AS cents, round(coalesce(sum(cents)::DOUBLE / nullif((SELECT sum(cents) FROM pm), 0)::DOUBLE, 0), 6) AS share FROM pm WHERE {w} HAVING count(*) > 0" for n, w in {"measured": "phi IS NOT NULL", "more_than_noise": "phi > 1.5", "trend": "trend <> 0", "seasonal": "seasonal = 1"}.items()),
+    "portfolio_dynamics": _PORTFOLIO + _measured("all_st", "everything") + _SIMPSON + _tested("all_t", "all_st") + " SELECT * FROM all_t",
+    "portfolio_month_profile": _PORTFOLIO + _DYNAMICS.replace("FROM pool WHERE", "FROM everything WHERE") + "SELECT composition, month, round(100 * effect, 6) AS effect_pp, round(100 * error, 6) AS error_pp, seen FROM m4",
+    "exam_segments": _EXAM + _POOLS + _OWN + _segments(),
+    "exam_noise_by_size": _EXAM + _NOISE + ", ns AS (SELECT CASE WHEN due_units < 30 THEN 0 WHEN due_units < 271 THEN 30 ELSE 271 END AS due_from, method, count(*) AS predictions, sqrt(avg(err_pp * err_pp)) AS error_pp, sqrt(avg(noise_pp * noise_pp)) AS noise_pp FROM nz GROUP BY 1, 2) SELECT due_from, method, predictions, " + _R6("error_pp", "noise_pp") + ", round(error_pp / nullif(noise_pp, 0), 6) AS error_over_noise, round(CASE WHEN error_pp > 0 THEN least(noise_pp * noise_pp / (error_pp * error_pp), 1) END, 6) AS noise_share FROM ns",
+    "exam_noise_of_total": _EXAM + _NOISE + ", nt AS (SELECT ord, h, method, 100 * (sum(pred_units) - sum(real_units)) / sum(due_units) AS e, 100 * sqrt(sum(pred_rate * (1 - pred_rate) * due_units)) / sum(due_units) AS z FROM nz GROUP BY ALL) SELECT method, round(sqrt(avg(e * e)), 6) AS error_pp, round(sqrt(avg(z * z)), 6) AS noise_pp, round(sqrt(avg(e * e)) / nullif(sqrt(avg(z * z)), 0), 6) AS error_over_noise FROM nt GROUP BY method",
+    "support_buckets": _ESTIMATE + _GAIN + " SELECT CASE WHEN own_support <= 0 THEN '0_none' WHEN own_support < 30 THEN '1_below_floor' WHEN own_support < 271 THEN '2_evidence' ELSE '3_own_rate' END AS support, count(*) AS series, sum(to_predict_cents)::BIGINT AS to_predict_cents, round(coalesce(sum(to_predict_cents)::DOUBLE / nullif((SELECT sum(to_predict_cents) FROM ba), 0)::DOUBLE, 0), 6) AS share FROM ba GROUP BY 1",
+    "support_gain": _ESTIMATE + _GAIN + " SELECT sum(to_predict_cents)::BIGINT AS all_cents, " + ", ".join(f"coalesce(sum(to_predict_cents) FILTER ({c} <= 5), 0)::BIGINT AS known_cents_{c}, round(sum(coalesce({c}, 50) * to_predict_cents) / nullif(sum(to_predict_cents), 0)::DOUBLE, 6) AS error_pp_{c}" for c in ("before", "after")) + " FROM ba",
+    "series_backtest": _EXAM + _TRIALS + " SELECT fs_id, composition, ord, h, technique, chosen, due_units, ren_units AS real_units, (real_rate BETWEEN band_low - 1e-12 AND band_high + 1e-12)::INT AS in_band, " + _R6("shift", "predicted", "pred_rate", "real_rate", "pred_units", "err_units", "err_pp", "noise_pp", "err_norm", "band_low", "band_high") + " FROM sb3",
+    "series_technique_summary": _EXAM + _TRIALS + """, sq AS (SELECT fs_id, composition, h, technique, count(*) AS predictions, avg(abs(err_pp)) AS abs_err_pp, avg(err_pp) AS bias_pp, round(avg(abs(err_norm)), 9) AS abs_err_norm, sum(abs(err_units)) / nullif(sum(ren_units), 0)::DOUBLE AS wape, max(chosen) AS chosen FROM sb3 GROUP BY ALL),
+sr AS (SELECT *, CASE WHEN abs_err_norm IS NOT NULL THEN rank() OVER (PARTITION BY fs_id, h, abs_err_norm IS NULL ORDER BY abs_err_norm)::INT END AS rank FROM sq)
+SELECT fs_id, composition, h, technique, predictions, chosen, rank, coalesce((rank = 1)::INT, 0) AS best, max(CASE WHEN chosen = 1 THEN rank END) OVER (PARTITION BY fs_id, h) AS chosen_rank, """ + _R6("abs_err_pp", "bias_pp", "abs_err_norm", "wape") + " FROM sr",
+}
 _LATE = {
     "check_registry": _CORE + ", rt0 AS (SELECT DISTINCT fs_id FROM fin), sum0 AS (SELECT *, ren_units::DOUBLE / nullif(due_units, 0) AS rate FROM summary), wgt0 AS (SELECT * FROM wgt) " + in_sql(_TABLES),
     "audit_differences": _CORE + _audit(),
@@ -451,12 +527,7 @@ SQL = {k: _BASE + v for k, v in {
     "omega2_by_dimension": _RATES + _SINGLE + " SELECT d AS dimension, levels, series, round(CASE WHEN sst > 0 AND series > levels THEN greatest(0, (ssb - (levels - 1) * (sst - ssb) / (series - levels)) / (sst + (sst - ssb) / (series - levels))) ELSE 0 END, 6)::DOUBLE AS omega2 FROM sg",
     "dimension_pairs": _RATES + _SINGLE + _spread("pr", [f"'{a}×{b}' AS d, {a} || '|' || {b} AS v" for a, b in _PAIRS]) + ", names2(d, a, b) AS (VALUES " + ", ".join(f"('{a}×{b}', '{a}', '{b}')" for a, b in _PAIRS) + "), eta AS (SELECT d, round(CASE WHEN sst > 0 THEN ssb / sst ELSE 0 END, 4)::DOUBLE AS e FROM sg) SELECT p.d AS pair, round(CASE WHEN sst > 0 THEN ssb / sst ELSE 0 END, 4)::DOUBLE AS eta2, round(round(CASE WHEN sst > 0 THEN ssb / sst ELSE 0 END, 4)::DOUBLE - greatest(x.e, y.e), 4)::DOUBLE AS interaction FROM pr p JOIN names2 k ON p.d = k.d JOIN eta x ON x.d = k.a JOIN eta y ON y.d = k.b ORDER BY interaction DESC, pair LIMIT 20",
     "level_values": ", tr AS (SELECT * FROM fin WHERE role = 'entrenamiento' AND due_units > 0), cr AS (SELECT region, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS rate FROM tr GROUP BY region), mo AS (SELECT product AS value, ord, sum(due_units)::BIGINT AS due_units, sum(ren_units)::BIGINT AS ren_units, sum(due_units * rate) AS expected FROM tr JOIN cr USING (region) GROUP BY ALL) SELECT value, sum(due_units)::BIGINT AS due_units, sum(ren_units)::BIGINT AS ren_units, round(sum(expected), 6) AS expected, median(due_units::DOUBLE) AS support FROM mo GROUP BY value",
-    "dynamics_statistics": _DYNAMICS + """, own AS (SELECT composition, n, sxx, slope, sum(ren_units)::DOUBLE / sum(due_units)::DOUBLE AS rate, var_samp(rate) AS var, avg(1.0::DOUBLE / due_units) AS per, sum(w * res * res) AS rss FROM d3 GROUP BY composition, n, sxx, slope),
-sea AS (SELECT composition, df1, df2, within, between_, max(effect) - min(effect) AS amplitude, coalesce(string_agg(month::VARCHAR, ',' ORDER BY month) FILTER (effect > 2 * error), '') AS high, coalesce(string_agg(month::VARCHAR, ',' ORDER BY month) FILTER (-effect > 2 * error), '') AS low FROM m4 GROUP BY composition, df1, df2, within, between_),
-mid AS (SELECT composition, median(y) AS middle FROM (SELECT DISTINCT composition, ord // 12 AS y FROM d3) GROUP BY composition),
-hv AS (SELECT composition, ord % 12 AS m, avg(res) FILTER (ord // 12 <= middle) AS a, avg(res) FILTER (ord // 12 > middle) AS b FROM d3 JOIN mid USING (composition) GROUP BY ALL),
-st AS (SELECT composition, CASE WHEN count(*) >= 3 AND stddev(a) > 0 AND stddev(b) > 0 THEN round(corr(a, b), 6) END AS consistency FROM hv WHERE a IS NOT NULL AND b IS NOT NULL GROUP BY composition)
-SELECT own.composition, n AS months, round(rate, 6) AS rate, round(var / nullif(rate * (1 - rate) * per, 0), 6) AS phi, round(100 * slope, 6) AS trend_pp, round(coalesce(slope / nullif(sqrt(rss / (n - 2) / sxx), 0), 0), 6) AS t, round(CASE WHEN within > 1e-15 THEN (between_ / df1) / (within / df2) ELSE 0 END, 6)::DOUBLE AS f, df1, df2, round(100 * amplitude, 6) AS amplitude_pp, high, low, consistency FROM own JOIN sea USING (composition) LEFT JOIN st USING (composition)""",
+    "dynamics_statistics": _DYNAMICS + _STATISTICS,
     "month_profile": _DYNAMICS + "SELECT composition, month, round(100 * effect, 6) AS effect_pp, round(100 * error, 6) AS error_pp, seen FROM m4",
     "mark_redistribution": _moves(),
     "merge_evidence": _CLIMBED + ", lagged AS (SELECT *, lag(series) OVER w AS before, lag(support) OVER w AS support_before FROM climbed WINDOW w AS (PARTITION BY fs_id ORDER BY pass)), ev AS (SELECT l.*, l.ren_units::DOUBLE / nullif(l.due_units, 0) AS q, s.ren_units::DOUBLE / nullif(s.due_units, 0) AS p, greatest(coalesce(s.support, 0), 1) AS n FROM lagged l JOIN summary s ON l.fs_id = s.fs_id WHERE before IS NOT NULL AND series > before), er AS (SELECT *, 100 * sqrt(p * (1 - p) / n) AS alone, 100 * sqrt((q - p) * (q - p) + q * (1 - q) / greatest(support, 1)) AS merged FROM ev) SELECT fs_id, pass, pattern, support_before, support, series, round(100 * (q - p), 6) AS bias_pp, round(alone, 6) AS error_alone_pp, round(merged, 6) AS error_merged_pp, (round(merged, 9) < round(alone, 9))::INT AS improves FROM er",
@@ -473,7 +544,7 @@ SELECT own.composition, n AS months, round(rate, 6) AS rate, round(var / nullif(
     "forecast_rows": _FORECAST + "SELECT fs_id, ord, h, composition, origin, technique, due_units, round(rate, 9) AS rate, round(rate_low, 9) AS rate_low, round(rate_high, 9) AS rate_high, round(expected_units, 9) AS expected_units FROM forecast",
     "forecast_yearly_totals": _FORECAST + "SELECT (ord // 12)::INT AS year, round(sum(expected_units), 4) AS expected, round(sum(rate_low * due_units), 4) AS low, round(sum(rate_high * due_units), 4) AS high, round(sqrt(sum(((rate_high - rate_low) / 2 * due_units) ^ 2)), 4) AS quadrature FROM forecast GROUP BY 1",
 }.items()}
-SQL |= {k: _BASE + v for k, v in (_LATE | _REPORTED).items()}
+SQL |= {k: _BASE + v for k, v in (_LATE | _REPORTED | _DEEP).items()}
 #: What the covers read, by the names that it has here.
 _COVERED = _CORE + _SECOND_CTE + ", predictions AS (SELECT * FROM tr), decision AS (SELECT * FROM dec) "
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from renewcast.config import Config
 from renewcast.functions import columns
 from renewcast.operators import backtest as B
-from renewcast.operators import core, exam, ladder, maturation, passes, price, relevance, revaluation, series, techniques, universe
+from renewcast.operators import core, dynamics, exam, ladder, maturation, passes, price, relevance, revaluation, segments, series, series_backtest, techniques, universe
 from renewcast.plans import projections as P
 from renewcast.plans.store import Step, Steps
 from renewcast.sources import extract
@@ -51,6 +51,9 @@ STEPS = (
     Step("isolated", lambda spark, sf_dir, c: revaluation.isolated(extract.licences(spark, sf_dir), c), (), (revaluation, *_BASE)),
     Step("valued", lambda t, c: revaluation.series(t["isolated"]), ("isolated",), (revaluation,), ("fs_id",)),
     Step("exam_rows", lambda t, c: exam.detail(t["units"], t["patterns"], t["pooled"], t["decision"], t["bands"], t["weights"], c), ("units", "patterns", "pooled", "decision", "bands", "weights"), (exam, *_TRIED), ("fs_id", "ord", "h", "method")),
+    Step("tested", lambda t, c: dynamics.tests(t["pooled"]), ("pooled",), (dynamics,), ("composition",)),
+    Step("series_dynamics", lambda t, c: segments.series_dynamics(t["chosen"], t["summary"], t["units"], t["tested"], c), ("chosen", "summary", "units", "tested"), (segments, dynamics), ("fs_id",)),
+    Step("series_trials", lambda t, c: series_backtest.detail(t["predictions"], t["decision"], t["bands"], t["weights"], t["patterns"], t["pooled"], t["units"], c), ("predictions", "decision", "bands", "weights", "patterns", "pooled", "units"), (series_backtest, exam, columns), ("fs_id", "ord", "h", "technique")),
 )
 
 

@@ -17,7 +17,7 @@ from renewcast.operators import maturation as M
 from renewcast.operators import price as P
 from renewcast.operators import relevance as V
 from renewcast.operators import revaluation as R
-from renewcast.operators import passes, risk, universe
+from renewcast.operators import passes, risk, segments, series_backtest, universe
 from renewcast.operators import series as S
 from renewcast.plans.covers import COVERS, READS, cover
 from renewcast.plans.pipeline import steps
@@ -222,7 +222,11 @@ QUERIES = {
     "level_values": _fine(lambda f: levels.values(f, "product", CFG)),
     "level_groups": _fine(lambda f: levels.levels(f.sparkSession, f, "product", CFG)),
     "dynamics_statistics": _pooled(D.statistics),
-    "dynamics_tests": _pooled(D.tests),
+    "dynamics_tests": _of("tested")(),
+    "series_dynamics": _of("series_dynamics")(),
+    "dynamics_shares": _of("tested", "chosen", "units")(lambda t, c, u: segments.dynamics_shares(t, c, u, CFG)),
+    "portfolio_dynamics": _units(lambda u: D.tests(segments.portfolio(u, CFG))),
+    "portfolio_month_profile": _units(lambda u: D.month_profile(segments.portfolio(u, CFG))),
     "month_profile": _pooled(D.month_profile),
     "mark_redistribution": _of("moves")(),
     "mark_shares_ahead": _marks_ahead(lambda past, future: MD.shares(past, future, CFG)),
@@ -247,6 +251,13 @@ QUERIES = {
     "series_exam_per_series": _of("exam_rows")(lambda e: _six(EX.per_series(e))),
     "series_exam_by_month": _of("exam_rows")(lambda e: _six(EX.by_month(e))),
     "series_exam_summary": _of("exam_rows")(lambda e: _six(EX.summary(e))),
+    "exam_segments": _of("exam_rows", "series_dynamics")(lambda e, d: _six(segments.exam_segments(EX.per_series(e), d))),
+    "exam_noise_by_size": _of("exam_rows")(lambda e: _six(segments.noise_by_size(e, CFG))),
+    "exam_noise_of_total": _of("exam_rows")(lambda e: _six(segments.noise_of_total(e))),
+    "support_buckets": _of("summary", *_ESTIMATE)(lambda s, *t: segments.support_buckets(risk.estimates(*t, CFG), s, CFG)),
+    "support_gain": _of("summary", *_ESTIMATE)(lambda s, *t: segments.support_gain(risk.estimates(*t, CFG), s, CFG)),
+    "series_backtest": _of("series_trials")(_six),
+    "series_technique_summary": _of("series_trials")(lambda t: _six(series_backtest.summary(t))),
     **{name: _cover(name) for name in COVERS},
     **{name: _report(text) for name, text in REPORTS.items()},
 }

@@ -50,7 +50,7 @@ def test_oracle(spark, duck, name):
 
 
 #: Queries without SQL, and the test that looks at their values.
-ELSEWHERE = {"collapse_order": "test_evidence", "pass_plan": "test_evidence", "level_groups": "test_evidence", "dynamics_tests": "test_evidence", "uplift_bands": "test_evidence", "matured_forecast": "test_evidence", "core_legend": "test_evidence"}
+ELSEWHERE = {"collapse_order": "test_evidence", "pass_plan": "test_evidence", "level_groups": "test_evidence", "uplift_bands": "test_evidence", "matured_forecast": "test_evidence", "core_legend": "test_evidence"}
 
 
 def test_every_query_is_tested():
