@@ -12,7 +12,8 @@ seen, and a repeated attempt writes the same bytes under the same names.
 Of the records with equal payloads of at least ``revisit_from`` bytes, the one with the largest page id is
 the response and the others revisit it (equal ids: the first by url, nulls first).  Smaller ones are all
 responses.  A null payload is an empty one.  Rows without a page id are written first, each a response that
-nothing refers to.  An empty table gives an archive without files.  Further columns are ignored.
+nothing refers to.  An empty table gives an archive without files.  Further columns are ignored.  A folder takes one
+archive: a name that is taken keeps its file.
 """
 from __future__ import annotations
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from renewcast.llm.shared import materialise, scratch
+from renewcast.llm.shared import join_hot, materialise, scratch
 
 ROLL_BYTES, SHARD_BYTES, SAMPLE = 64 << 20, 256 << 20, 8192
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -41,11 +42,26 @@ def filesystem(path: str):
     return fs.FileSystem.from_uri(path if "://" in path or not path.startswith("file:") else "file://" + path[5:])
 
 
+def put(fs, temp: str, path: str) -> None:
+    """Give a whole file its name.  Where another attempt has been there before, its file has the same bytes and stays:
+    not every store renames onto a name that is taken."""
+    from pyarrow.fs import FileType
+
+    taken = lambda: fs.get_file_info(path).type != FileType.NotFound
+    if not taken():
+        try:
+            return fs.move(temp, path)
+        except OSError:
+            if not taken():
+                raise
+    fs.delete_file(temp)
+
+
 def _commit(fs, path: str, attempt: str, data: bytes) -> None:
     temp = f"{path}.{attempt}.tmp"
     with fs.open_output_stream(temp) as f:
         f.write(data)
-    fs.move(temp, path)
+    put(fs, temp, path)
 
 
 def _digest(data: bytes) -> str:
@@ -89,10 +105,11 @@ def write_warc(pages: DataFrame, folder: str, prefix: str = "pages", page_id: st
     shards = max(1, -(-(size["b"] or 0) // shard_bytes), min(spark.sparkContext.defaultParallelism, (size["b"] or 0) >> 23))
     bounds = _bounds(pages, "page_id", shards, size["n"])
     shard = F.size(F.filter(F.array(*(F.lit(b) for b in bounds)).cast("array<bigint>"), lambda b: b < F.col("page_id"))) if bounds else F.lit(0)
-    # Who refers to whom, by digest; these rows are small and travel with the pages to their shards.
-    keys = pages.where(F.octet_length("payload") >= revisit_from).select("page_id", F.sha1("payload").alias("sha1")).where("page_id IS NOT NULL")
-    several = keys.groupBy("sha1").agg(F.max("page_id").alias("to"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    marks = keys.join(several, "sha1").select("page_id", F.lit(None).cast("string").alias("url"), F.unhex("sha1").alias("payload"), "to").distinct()
+    # Who refers to whom, by digest; these rows are small and travel with the pages to their shards.  One payload (an empty
+    # one, say) may be that of a third of all pages.
+    keys = materialise(pages.where(F.octet_length("payload") >= revisit_from).select("page_id", F.sha1("payload").alias("sha1")).where("page_id IS NOT NULL"), "warc-keys")
+    several = materialise(keys.groupBy("sha1").agg(F.max("page_id").alias("to"), F.count(F.lit(1)).alias("copies")).where("copies > 1"), "warc-copies")
+    marks = join_hot(keys, several, "sha1").select("page_id", F.lit(None).cast("string").alias("url"), F.unhex("sha1").alias("payload"), "to").distinct()
     rows = pages.withColumn("to", F.lit(None).cast("long")).unionByName(marks).withColumn("shard", F.coalesce(shard, F.lit(0)).cast("int"))
     dealt = rows.repartitionById(len(bounds) + 1, "shard").sortWithinPartitions("shard", "page_id", F.col("to").isNull(), "url", "payload")
 
@@ -108,7 +125,7 @@ def write_warc(pages: DataFrame, folder: str, prefix: str = "pages", page_id: st
             nonlocal out, written, records
             if out is not None:
                 out.close()
-                fs.move(f"{where}/{name}.{attempt}.tmp", f"{where}/{name}")
+                put(fs, f"{where}/{name}.{attempt}.tmp", f"{where}/{name}")
                 files.append({"shard": current, "file": name, "records": records, "bytes": written})
                 out, written, records = None, 0, 0
 

@@ -3,8 +3,10 @@ import base64
 import hashlib
 import os
 
+import pytest
+
 from renewcast.llm.shared import scratch
-from renewcast.llm.warc import op3_warc, read_warc, write_warc
+from renewcast.llm.warc import op3_warc, put, read_warc, write_warc
 
 
 def brute(rows, least=0):
@@ -58,3 +60,41 @@ def scratch_of(spark, df):
     folder = scratch(spark, "warc")
     write_warc(df, folder)
     return folder
+
+
+def test_hot_payload(spark):
+    """A third of all pages are empty, more than a join's task should hold of one key."""
+    rows = [(i, f"u{i}", "" if i % 3 == 0 else f"page {i % 2500}") for i in range(4000)] + [(3, "again", "")]
+    folder = scratch(spark, "warc")
+    write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5), folder, shard_bytes=10000)
+    assert digest(read_warc(spark, folder)) == brute(rows)
+
+
+class Strict:
+    """A store that refuses to rename onto a name that is taken, also one taken between look and rename."""
+
+    def __init__(self, files, late=None):
+        self.files, self.late = files, late
+
+    def get_file_info(self, path):
+        from pyarrow.fs import FileInfo, FileType
+
+        return FileInfo(path, FileType.File if path in self.files else FileType.NotFound)
+
+    def move(self, temp, path):
+        if self.late:
+            self.files[path], self.late = self.late, None
+        if path in self.files:
+            raise FileExistsError(path)
+        self.files[path] = self.files.pop(temp)
+
+    def delete_file(self, path):
+        del self.files[path]
+
+
+def test_second_attempt():
+    for files, late in (({"t": 1}, None), ({"t": 1, "p": 1}, None), ({"t": 1}, 1)):
+        put(Strict(files, late), "t", "p")
+        assert files == {"p": 1}
+    with pytest.raises(KeyError):
+        put(Strict({}), "t", "p")
