@@ -122,3 +122,11 @@ def yearly_totals(forecast: DataFrame) -> DataFrame:
     """Expected renewals by year with linear and quadrature bands."""
     half = (F.col("rate_high") - F.col("rate_low")) / 2 * F.col("due_units")
     return forecast.groupBy(F.floor(F.col("ord") / 12).cast("int").alias("year")).agg(F.round(F.sum("expected_units"), 4).alias("expected"), F.round(F.sum(F.col("rate_low") * F.col("due_units")), 4).alias("low"), F.round(F.sum(F.col("rate_high") * F.col("due_units")), 4).alias("high"), F.round(F.sqrt(F.sum(half * half)), 4).alias("quadrature"))
+
+
+def monthly_totals(forecast: DataFrame) -> DataFrame:
+    """Expected renewals by month with linear and quadrature bands: series' errors add up, or are independent."""
+    low, high = ((F.col("rate") - F.col("rate_low")) * F.col("due_units"), (F.col("rate_high") - F.col("rate")) * F.col("due_units"))
+    out = forecast.groupBy("ord").agg(F.sum("due_units").alias("due_units"), F.sum("expected_units").alias("expected"), F.sum(low).alias("low"), F.sum(high).alias("high"), F.sqrt(F.sum(low * low)).alias("q_low"), F.sqrt(F.sum(high * high)).alias("q_high"))
+    near = lambda c, n: F.round(c, 4).alias(n)
+    return out.select("ord", "due_units", near(F.col("expected"), "expected"), near(F.col("expected") - F.col("low"), "low"), near(F.col("expected") + F.col("high"), "high"), near(F.col("expected") - F.col("q_low"), "quadrature_low"), near(F.col("expected") + F.col("q_high"), "quadrature_high"))

@@ -1,6 +1,7 @@
 """The queries' equivalents in DuckDB's SQL."""
 from __future__ import annotations
 
+from renewcast.operators import structure
 from renewcast.operators.checks import in_sql
 from renewcast.plans.covers import COVERS, bound
 from renewcast.plans.reports import REPORTS
@@ -392,6 +393,7 @@ sb3 AS (SELECT *, least(greatest(pred_rate + ql * noise_pp / 100, 0), 1) AS band
 """
 _GAIN = ", ba AS (SELECT est.*, coalesce(s.support, 0) AS own_support, CASE WHEN s.months > 0 THEN CASE WHEN s.due_units <= 0 OR s.q IS NULL THEN 50.0::DOUBLE ELSE round(100 * (1.645::DOUBLE * sqrt(s.q * (1 - s.q) / s.due_units + 2.706025::DOUBLE / (4 * s.due_units::DOUBLE * s.due_units)) / (1 + 2.706025::DOUBLE / s.due_units)), 6) END END AS before, 1.645::DOUBLE * error_estimate_pp AS after FROM est LEFT JOIN (SELECT *, ren_units::DOUBLE / nullif(due_units, 0) AS q FROM summary) s USING (fs_id))"
 _DEEP = {
+    "forecast_monthly_totals": _FORECAST + "SELECT ord, sum(due_units)::BIGINT AS due_units, round(sum(expected_units), 4) AS expected, round(sum(rate_low * due_units), 4) AS low, round(sum(rate_high * due_units), 4) AS high, round(sum(expected_units) - sqrt(sum(((rate - rate_low) * due_units) ^ 2)), 4) AS quadrature_low, round(sum(expected_units) + sqrt(sum(((rate_high - rate) * due_units) ^ 2)), 4) AS quadrature_high FROM forecast GROUP BY ord",
     "dynamics_tests": _POOLS + " SELECT * FROM pool_t",
     "series_dynamics": _POOLS + _OWN + " SELECT *, (measurable = 'yes' AND composition_trend IS NOT NULL AND coalesce((trend <> 0 AND trend <> composition_trend) OR seasonal <> composition_seasonal, false))::INT AS differs FROM sdyn",
     "dynamics_shares": _POOLS + ", pm AS (SELECT t.*, coalesce(sum(u.due_cents), 0)::BIGINT AS cents FROM pool_t t JOIN chosen c USING (composition) LEFT JOIN (SELECT fs_id, due_cents FROM units WHERE ord >= 24009) u USING (fs_id) GROUP BY ALL) " + " UNION ALL ".join(f"SELECT '{n}' AS attribute, count(*) AS compositions, sum(cents)::BIGINT AS cents, round(coalesce(sum(cents)::DOUBLE / nullif((SELECT sum(cents) FROM pm), 0)::DOUBLE, 0), 6) AS share FROM pm WHERE {w} HAVING count(*) > 0" for n, w in {"measured": "phi IS NOT NULL", "more_than_noise": "phi > 1.5", "trend": "trend <> 0", "seasonal": "seasonal = 1"}.items()),
@@ -554,6 +556,7 @@ def cover_sql(name: str, **years: int) -> str:
 
 
 SQL |= {k: cover_sql(k) for k in COVERS}
+SQL["source_structure"] = structure.in_sql()
 SQL |= {k: ladder_sql(v) for k, v in _LADDER.items()}
 
 

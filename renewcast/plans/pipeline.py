@@ -57,14 +57,19 @@ STEPS = (
 )
 
 
-def steps(spark: SparkSession, sf_dir: str, cfg: Config, folder: str | None = None) -> Steps:
-    return Steps(spark, sf_dir, cfg, STEPS, SOURCES, folder)
+def steps(spark: SparkSession, sf_dir: str, cfg: Config, folder: str | None = None, replaced: tuple[Step, ...] = (), sources: tuple[str, ...] = SOURCES) -> Steps:
+    """``replaced``: steps that stand in for those of their names: another source (``fine`` and ``isolated``, with the
+    tables that it reads as ``sources``) or another rule."""
+    by = {s.name: s for s in replaced}
+    if unknown := set(by) - {s.name for s in STEPS}:
+        raise ValueError(f"no steps of these names: {sorted(unknown)}")
+    return Steps(spark, sf_dir, cfg, tuple(by.get(s.name, s) for s in STEPS), sources, folder)
 
 
-def run(spark: SparkSession, sf_dir: str, folder: str, cfg: Config | None = None, start: str | None = None) -> Steps:
+def run(spark: SparkSession, sf_dir: str, folder: str, cfg: Config | None = None, start: str | None = None, replaced: tuple[Step, ...] = (), sources: tuple[str, ...] = SOURCES) -> Steps:
     """All steps in a folder.  What a former run has left there is read where code, settings and source are still the
     same, from ``start`` on it is made again, and what they have outdated is deleted."""
-    found = steps(spark, sf_dir, cfg or Config(), folder)
+    found = steps(spark, sf_dir, cfg or Config(), folder, replaced, sources)
     if start:
         found.forget(start)
     for name in found:

@@ -17,13 +17,13 @@ from renewcast.operators import maturation as M
 from renewcast.operators import price as P
 from renewcast.operators import relevance as V
 from renewcast.operators import revaluation as R
-from renewcast.operators import passes, risk, segments, series_backtest, universe
+from renewcast.operators import passes, risk, segments, series_backtest, structure, universe
 from renewcast.operators import series as S
 from renewcast.plans.covers import COVERS, READS, cover
-from renewcast.plans.pipeline import steps
+from renewcast.plans.pipeline import SOURCES, steps
 from renewcast.plans.projections import with_dims
 from renewcast.plans.reports import REPORTS
-from renewcast.sources.extract import extract, licences
+from renewcast.sources.extract import extract, licences, table
 
 CFG = Config()
 
@@ -163,6 +163,7 @@ QUERIES = {
     "calendar_by_month": _fine(S.calendar_table),
     "months_per_role": _fine(months_per_role),
     "value_checks": value_checks,
+    "source_structure": lambda spark, sf: structure.structure({t: table(spark, sf, t) for t in SOURCES}),
     "grain_duplicates": _fine(grain_duplicates),
     "id_hash_keys": _fine(lookups),
     "series_routes": _of("routes")(),
@@ -190,6 +191,7 @@ QUERIES = {
     "exam_precision": _of("predictions", "decision")(B.exam),
     "forecast_rows": _of("forecast")(lambda f: f.withColumns({c: F.round(c, 9) for c in ("rate", "rate_low", "rate_high", "expected_units")})),
     "forecast_yearly_totals": _of("yearly")(),
+    "forecast_monthly_totals": _of("forecast")(B.monthly_totals),
     "uplift_hierarchy": _of("uplift")(),
     "contract_rule_check": _fine(lambda f: P.contract_check(f, CFG)),
     "uplift_backtest": _fine(lambda f: P.uplift_backtest(f, CFG)),

@@ -24,7 +24,7 @@ def test_run_and_resume(spark, tmp_path):
     again = run(spark, SF, str(tmp_path))
     assert again.made == [] and again["forecast"].count() == n > 0
     part = run(spark, SF, str(tmp_path), start="decision")
-    assert {m["step"] for m in part.made} == {"decision", "forecast", "yearly", "core", "exam_rows"} and folders(tmp_path) == there
+    assert {m["step"] for m in part.made} == {"decision", "forecast", "yearly", "core", "exam_rows", "series_trials"} and folders(tmp_path) == there
     # Other settings: nothing of the former run is read where they matter, nor left behind.
     other = run(spark, SF, str(tmp_path), replace(Config(), support_floor=60))
     assert {m["step"] for m in other.made} == set(other) and not {n for n in folders(tmp_path) if n != "manifest"} & there
