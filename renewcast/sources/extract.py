@@ -19,20 +19,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of the largest table for each task that joins and sums lines.
+TASK_ROWS = 1 << 21
+
+
+def _dealt(rows: DataFrame, parts: int, key: str) -> DataFrame:
+    return rows.where(F.col(key).isNotNull()).repartition(parts, key)
+
+
 def licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their dimensions.
+
+    Lines are dealt twice only, by order and by part, and carry whole numbers and flags instead of the source's prices and
+    texts; customers are joined to orders before.  Tasks grow in number with the tables, not in size, and hold the side
+    whose key is unique.  No more tasks are left after the joins than that, so that a task has many lines of a group and
+    sums them before what follows is shuffled."""
     t = lambda name: table(spark, sf_dir, name)
-    rows = (t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-            .join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey")).join(t("region"), F.col("n_regionkey") == F.col("r_regionkey")))
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    tax, off = F.round(F.col("l_tax") * 100).cast("long"), F.round(F.col("l_discount") * 100).cast("long")
-    renewed = F.col("l_returnflag") != "R"
     flag = lambda c: c.cast("int")
+    parts = max(spark.sparkContext.defaultParallelism, *(-(-t(name).count() // TASK_ROWS) for name in ("lineitem", "orders", "part", "customer")))
+    dealt = lambda rows, key: _dealt(rows, parts, key)
+    # As many rows as there are nations.
+    nations = F.broadcast(t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", F.col("r_name").alias("region")))
+    customers = t("customer").select("c_custkey", "c_nationkey", F.col("c_mktsegment").alias("channel"))
+    orders = t("orders").select("o_orderkey", "o_custkey", flag(F.col("o_orderstatus") == "P").alias("dormant"), flag(F.col("o_orderpriority") == "1-URGENT").alias("autorenew"))
+    goods = t("part").select("p_partkey", F.col("p_type").alias("product"), flag(F.col("p_size") <= 5).alias("softcancel"), flag(F.col("p_brand") == "Brand#1").alias("ts"))
+    hundred = lambda c: F.round(F.col(c) * 100).cast("long")
+    lines = t("lineitem").select("l_orderkey", "l_partkey", month_ordinal(F.col("l_shipdate")).alias("ord"), F.col("l_quantity").cast("long").alias("due_units"), hundred("l_extendedprice").alias("due_cents"), hundred("l_tax").alias("tax"), hundred("l_discount").alias("off"),
+                                 (F.col("l_returnflag") != "R").alias("renewed"), (F.col("l_linestatus") == "F").alias("one"))
+    bought = dealt(orders, "o_custkey").join(dealt(customers, "c_custkey").hint("shuffle_hash"), F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey", "c_custkey")
+    rows = dealt(lines, "l_orderkey").join(dealt(bought, "o_orderkey").hint("shuffle_hash"), F.col("l_orderkey") == F.col("o_orderkey")).drop("l_orderkey", "o_orderkey")
+    rows = dealt(rows, "l_partkey").join(dealt(goods, "p_partkey").hint("shuffle_hash"), F.col("l_partkey") == F.col("p_partkey")).coalesce(parts).join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
+    tax, off, cents, units, renewed = (F.col(c) for c in ("tax", "off", "due_cents", "due_units", "renewed"))
     return rows.select(
-        month_ordinal(F.col("l_shipdate")).alias("ord"), F.col("r_name").alias("region"), F.col("p_type").alias("product"), flag(F.col("o_orderstatus") == "P").alias("dormant"), flag(F.col("p_size") <= 5).alias("softcancel"),
-        flag(F.col("o_orderpriority") == "1-URGENT").alias("autorenew"), F.col("c_mktsegment").alias("channel"), flag(tax >= 6).alias("newcust"), F.when(tax != 8, off * 5).alias("percent"),
-        flag(F.col("p_brand") == "Brand#1").alias("ts"), F.when(F.col("l_linestatus") == "F", "1 year").otherwise("3 year").alias("term"),
-        F.col("l_quantity").cast("long").alias("due_units"), cents.alias("due_cents"), F.when(renewed, F.col("l_quantity").cast("long")).otherwise(0).alias("ren_units"),
-        F.when(renewed, cents * (200 + 2 * tax - off)).otherwise(0).alias("ren_value"), F.when(renewed, cents).otherwise(0).alias("base_cents"))
+        "ord", "region", "product", "dormant", "softcancel", "autorenew", "channel", flag(tax >= 6).alias("newcust"), F.when(tax != 8, off * 5).alias("percent"), "ts", F.when(F.col("one"), "1 year").otherwise("3 year").alias("term"),
+        "due_units", "due_cents", F.when(renewed, units).otherwise(0).alias("ren_units"), F.when(renewed, cents * (200 + 2 * tax - off)).otherwise(0).alias("ren_value"), F.when(renewed, cents).otherwise(0).alias("base_cents"))
 
 
 def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
