@@ -43,6 +43,9 @@ SAMPLE, SIZE, K = 4096, 64 << 20, 15
 BLOCK, FIRST, SOFT, PRIOR = 64, 6, 0.1, 1.0
 #: Postings that texts answered together may ask for.
 STEP = 1 << 20
+#: Lists of more than an eighth of the examples are rows; those of more than a thirty-second as long as rows are no more
+#: than so many, and bytes.
+ROWS, ROW_BYTES = 1 << 11, 1 << 24
 _SPLIT = 1 << 12
 
 
@@ -100,16 +103,20 @@ class Index:
         self.block = (code[first] % self.blocks).astype(np.int32)
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0, np.float32)
         self.list = np.searchsorted(term[first], np.arange(len(hashes) + 1))
-        # Long lists as rows; their blocks keep the largest weights, but have no postings to walk.
+        # Long lists as rows of weights, and of largest weights by block: nothing of them is walked.
         length = np.bincount(term, minlength=len(hashes))
-        long = np.flatnonzero(length > self.n / 8)
+        most = max(np.count_nonzero(length > self.n / 8), min(ROWS, ROW_BYTES // (4 * self.blocks * BLOCK)))
+        long = np.argsort(-length, kind="stable")[:most]
+        long = np.sort(long[length[long] > self.n / 32])
         self.row = np.full(len(hashes), -1, np.int32)
         self.row[long] = np.arange(len(long))
-        self.rows = np.zeros((len(long), self.blocks * BLOCK), np.float32)
-        own = self.row[term] >= 0
+        self.rows, self.tops = np.zeros((len(long), self.blocks * BLOCK), np.float32), np.zeros((len(long), self.blocks), np.float32)
+        own, head = self.row[term] >= 0, self.row[term[first]]
         self.rows[self.row[term[own]], self.who[own]] = self.weight[own]
-        self.size = np.where(self.row[term[first]] >= 0, 0, np.diff(self.post)).astype(np.int32)
-        self.work = np.where(self.row >= 0, 0, length) + np.diff(self.list)
+        self.tops[head[head >= 0], self.block[head >= 0]] = self.most[head >= 0]
+        self.size = np.diff(self.post).astype(np.int32)
+        self.count = np.where(self.row >= 0, 0, np.diff(self.list))
+        self.work = np.where(self.row >= 0, 0, length) + self.count
         total = [sum(e[2 + y] * weight[y] for e in examples) for y in (0, 1)]
         self.share = total[1] / sum(total) if sum(total) else 0.0
         self.x, self.y, self.plain = np.array([0.0, 1.0]), np.array([0.0, 1.0]), self.share
@@ -148,17 +155,15 @@ class Index:
 
     def _nearest(self, m, of, term, weight, k: int, skip):
         width = self.blocks * BLOCK
-        count = self.list[term + 1] - self.list[term]
+        count = self.count[term]
         entry = ranges(self.list[term], count)
         ask = np.zeros((m, len(self.rows)), np.float32)
         long = self.row[term] >= 0
         ask[of[long], self.row[term[long]]] = weight[long]
         of, weight, block = np.repeat(of, count), np.repeat(weight, count), self.block[entry]
-        bound = np.bincount(of * self.blocks + block, weight * self.most[entry], m * self.blocks).reshape(m, self.blocks)
-        # Where a block isn't visited, this stays below its bound.
+        bound = np.bincount(of * self.blocks + block, weight * self.most[entry], m * self.blocks).reshape(m, self.blocks) + ask @ self.tops
+        # Where a block isn't visited, this stays below its bound, up to the last digits of both.
         similar = (ask @ self.rows).astype(float).ravel()
-        walk = np.flatnonzero(self.size[entry] > 0)
-        entry, of, weight, block = entry[walk], of[walk], weight[walk], block[walk]
         visit = np.zeros((m, self.blocks), bool)
         if self.blocks > FIRST:
             np.put_along_axis(visit, np.argpartition(-bound, FIRST, axis=1)[:, :FIRST], True, axis=1)
@@ -175,7 +180,7 @@ class Index:
             similar[own * width + skip[own]] = 0
             table = similar.reshape(m, width)
             least = np.partition(table, width - k, axis=1)[:, width - k] if width > k else np.zeros(m)
-            visit = ~seen & (bound > 0) & (bound * (1 + 1e-6) >= least[:, None])
+            visit = ~seen & (bound > 0) & (bound * (1 + 1e-4) >= least[:, None])
             if not visit.any():
                 break
         some = np.argpartition(-table, k, axis=1)[:, :k] if width > k else np.tile(np.arange(width), (m, 1))

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from renewcast.llm.toxicity import fit, learn, op5_toxicity, score
+from renewcast.llm.toxicity import Index, fit, learn, op5_toxicity, score
 
 
 def test_held_out_accuracy(spark):
@@ -79,3 +79,24 @@ def test_odd_rows(spark, odd):
     copies = spark.createDataFrame([(i, "vile foul same text" if i < 90 else f"vile foul v{i}") for i in range(120)] + [(i, f"nice kind w{i}") for i in range(120, 239)] + [(239, "nice " + "kind word " * 60000), (240, "vile foul other text")], "doc_id long, text string")
     out = {r["doc_id"]: r["predicted"] for r in score(copies, fit(copies, spark.range(239).select(F.col("id").alias("doc_id"), (F.col("id") < 120).cast("int").alias("label")))).select("doc_id", (F.col("score") >= 0.5).alias("predicted")).collect()}
     assert out[240] and not out[239] and not out[130]
+
+
+def test_common_terms_are_rows():
+    """Terms of more than a thirty-second of the examples are walked neither for bounds nor for products; what is found
+    is what all products say."""
+    rng = np.random.default_rng(5)
+    has = rng.random((640, 60)) < np.array([0.5] * 5 + [0.06] * 20 + [0.01] * 35)
+    count = rng.integers(1, 4, has.shape)
+    factor = rng.random(60) + 0.1
+    index = Index(np.arange(60, dtype=np.uint64), factor, [(i, bytes([i % 256, i // 256]), i % 2, 1 - i % 2, np.flatnonzero(has[i]), count[i][has[i]]) for i in range(640) if has[i].any()])
+    often = has.sum(axis=0) > index.n / 32
+    assert often.sum() > 15 and not index.count[often].any() and index.count[~often].all()
+    dense = np.zeros((index.n, 60))
+    for j, i in enumerate(index.ids):
+        dense[j][has[i]] = (1 + np.log(count[i][has[i]])) * factor[has[i]]
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    row, term = np.nonzero(dense[:100])
+    rows, who, best = index.nearest(row, term, dense[row, term].astype(np.float32), 15)
+    want = dense[:100] @ dense.T
+    assert list(rows) == list(range(100)) and np.allclose(best, -np.sort(-want, axis=1)[:, :15], atol=1e-6)
+    assert np.allclose(best, np.take_along_axis(want, who, 1), atol=1e-6)
