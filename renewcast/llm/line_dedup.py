@@ -79,8 +79,10 @@ def repeated_runs(docs: DataFrame, min_words: int = 50, text: str = "text", doc_
         here = wanted.where(F.col("m").between(width, 2 * width - 1))
         ends = level.select(*KEY, F.col("place").alias("last"), F.col("rank").alias("b"))
         pairs = here.withColumn("last", F.col("place") + F.col("m") - width).join(level.withColumnRenamed("rank", "a"), [*KEY, "place"]).join(ends, [*KEY, "last"]).select(*KEY, "place", "m", "a", "b")
+        # Each level is a plan of its own: all in one would have the driver hold them, and plan the rest anew, at once.
+        pairs = materialise(pairs, "windows")
         least = pairs.groupBy("m", "a", "b").agg(F.min("_doc").alias("least"), F.max("_doc").alias("most")).where("least < most").drop("most")
-        found = pairs.join(least, ["m", "a", "b"]).where("least < _doc").select(*KEY, "place", "m")
+        found = materialise(pairs.join(least, ["m", "a", "b"]).where("least < _doc").select(*KEY, "place", "m"), "late")
         late = found if late is None else late.unionByName(found)
         if 2 * width <= longest:
             w = Window.partitionBy(*KEY).orderBy("place")
