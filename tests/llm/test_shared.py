@@ -1,10 +1,13 @@
 """What the operators leave behind, and how large the plans are that the driver holds."""
+import os
 import time
+from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
 from renewcast.llm.line_dedup import repeated_runs
-from renewcast.llm.shared import materialise
+from renewcast.llm.shared import materialise, shared_dir
+from renewcast.llm.suffix_dedup import suffix_dedup
 
 
 def test_written_copies_leave_no_shuffle_files(spark):
@@ -29,3 +32,17 @@ def test_long_runs_make_no_larger_plan(spark):
     found = repeated_runs(df, 40)
     assert found._jdf.queryExecution().optimizedPlan().toString().count("Join ") <= 2
     assert sorted((r["_doc"], [tuple(s) for s in r["spans"]]) for r in found.collect()) == [(2, [(0, 59)]), (3, [(1, 60)])]
+
+
+def test_a_job_drops_its_copies_and_sketches(spark):
+    """Of byte dedup only what is to be removed stays written, no sketch stays broadcast, and the texts' plan has no
+    join but that with what is removed."""
+    shared, temp = urlparse(shared_dir(spark)).path, spark.sparkContext._temp_dir
+    text = " ".join(f"w{i * i % 997}" for i in range(400))
+    rows = [(1, text), (2, text), (3, "other " + text[100:900]), (4, text[30:300] + "x" + text[50:400])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    before, held = set(os.listdir(shared)), set(os.listdir(temp))
+    out = suffix_dedup(docs)
+    assert [f.split("-")[0] for f in set(os.listdir(shared)) - before] == ["removed"] and not set(os.listdir(temp)) - held
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+    assert [r["n_bytes"] > r["n_removed"] > 0 for r in out.orderBy("doc_id").collect()] == [False, False, True, True]
