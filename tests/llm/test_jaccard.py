@@ -1,8 +1,12 @@
 """The Jaccard join against brute force."""
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
+
+from renewcast.llm import countmin
 from renewcast.llm.jaccard_join import jaccard_join, op6_jaccard_join
 
 
@@ -68,3 +72,18 @@ def test_small_and_near_sets(spark, odd):
     assert got(jaccard_join(df)) == want
     assert got(jaccard_join(df, light=0)) == want
     assert jaccard_join(df.limit(0)).count() == 0
+
+
+def test_cells_of_a_sketch_take_little_memory():
+    """What a worker needs for a full step of keys, and that each cell is sent once or twice."""
+    keys = np.random.default_rng(1).integers(0, 1 << 63, countmin._FLUSH, np.int64).astype(np.uint64)
+    keys[:1000] = keys[0]
+    tracemalloc.start()
+    sent = 0
+    for batch in countmin._send(keys, 1024):
+        sent += sum(map(len, batch["cells"].to_pylist())) // 2
+        del batch
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = sum(int(np.minimum(np.unique(countmin.cells(keys, 1024, d), return_counts=True)[1], 2).sum()) for d in range(countmin.DEPTH))
+    assert sent == want and most < 80 << 20
