@@ -236,6 +236,18 @@ def _distances(pairs: DataFrame, shingles: DataFrame) -> DataFrame:
     return both.select("a", "b", "inter", (F.col("sum") - F.col("inter")).alias("total"))
 
 
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members of lists that hold several components, with the list's most central one."""
+    marked = members.select("key", "node", "n", "central").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lists = marked.groupBy("key").agg(F.max(F.struct("central", "node", "n", "component")).alias("head"), F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key", "head")
+    return marked.join(lists, "key")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels after more links."""
+    return materialise(components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(links.select("a", "b"))), "components")
+
+
 def jaccard_join(docs: DataFrame, percent: int = 85, gram: int = 4, light: int | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles, node (set), component (of linked sets, by a node), component_id and the columns of
     ``carry`` for docs(doc_id, text)."""
@@ -268,12 +280,10 @@ def jaccard_join(docs: DataFrame, percent: int = 85, gram: int = 4, light: int |
     members = materialise(members.join(central, "node").select("key", "node", "n", "central"), "members")
     shingles = materialise(_shingles(docs, gram, central.select("node")), "shingles")
     linked = F.col("inter") * 100 >= F.col("total") * percent
-    links, known = light_links, None
+    # Labels stand for all links so far, and lists of one component stay so: each round takes what the last one left.
+    labels, mixed, known = materialise(components(light_links), "components"), members, None
     for _ in range(ROUNDS):
-        labels = materialise(components(links), "components")
-        marked = members.join(labels, "node", "left").select("key", "node", "n", "central", F.coalesce("component", "node").alias("component"))
-        lists = marked.groupBy("key").agg(F.max(F.struct("central", "node", "n", "component")).alias("head"), F.min("component").alias("least"), F.max("component").alias("most")).where("least <> most").select("key", "head")
-        mixed = materialise(marked.join(lists, "key"), "mixed")
+        mixed = materialise(_mixed(mixed, labels), "mixed")
         asked = mixed.where((F.col("component") != F.col("head.component")) & fits(F.col("n"), F.col("head.n"))).select(F.col("head.node").alias("a"), F.col("node").alias("b"), F.col("head.central").alias("central"))
         if known is not None:
             asked = asked.join(known.select("a", "b"), ["a", "b"], "left_anti")
@@ -282,17 +292,17 @@ def jaccard_join(docs: DataFrame, percent: int = 85, gram: int = 4, light: int |
             break
         found = materialise(_distances(asked, shingles), "distances")
         known = found if known is None else known.unionByName(found)
-        links = links.unionByName(found.where(linked).select("a", "b"))
-    labels = materialise(components(links), "components")
+        labels = _merged(labels, found.where(linked))
+    else:
+        mixed = materialise(_mixed(mixed, labels), "mixed")
     # Members of different components, where nothing rules a link out.
-    marked = members.join(labels, "node", "left").select("key", "node", "n", F.coalesce("component", "node").alias("component"))
-    lists = marked.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    pairs = _candidates(marked.join(lists, "key", "left_semi").join(shingles.select("node", "sketch"), "node"), percent).distinct()
-    if known is not None:
-        pairs = pairs.join(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = materialise(_distances(pairs, shingles).where(linked).select("a", "b"), "links")
-    if more.limit(1).count():
-        labels = materialise(components(links.unionByName(more)), "components")
+    if mixed.limit(1).count():
+        pairs = _candidates(mixed.select("key", "node", "n", "component").join(shingles.select("node", "sketch"), "node"), percent).distinct()
+        if known is not None:
+            pairs = pairs.join(known.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        more = materialise(_distances(materialise(pairs, "pairs"), shingles).where(linked).select("a", "b"), "links")
+        if more.limit(1).count():
+            labels = _merged(labels, more)
     named = nodes.select("node", "first_doc").join(labels, "node", "left").select("node", "first_doc", F.coalesce("component", "node").alias("component"))
     names = named.groupBy("component").agg(F.min("first_doc").alias("component_id"))
     # Nodes that are alone keep their own first document; the others ask their component.

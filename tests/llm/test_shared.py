@@ -5,6 +5,7 @@ from urllib.parse import urlparse
 
 from pyspark.sql import functions as F
 
+from renewcast.llm.components import components
 from renewcast.llm.line_dedup import repeated_runs
 from renewcast.llm.shared import materialise, shared_dir
 from renewcast.llm.suffix_dedup import suffix_dedup
@@ -46,3 +47,20 @@ def test_a_job_drops_its_copies_and_sketches(spark):
     assert [f.split("-")[0] for f in set(os.listdir(shared)) - before] == ["removed"] and not set(os.listdir(temp)) - held
     assert out._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
     assert [r["n_bytes"] > r["n_removed"] > 0 for r in out.orderBy("doc_id").collect()] == [False, False, True, True]
+
+
+def test_components_end_when_flat(spark):
+    """A chain and a star of a large centre; what is flat from the start takes no round and one look."""
+    def jobs(rows):
+        tracker, group = spark.sparkContext.statusTracker(), f"flat{len(rows)}"
+        spark.sparkContext.setJobGroup(group, group)
+        got = {tuple(r) for r in components(spark.createDataFrame(rows, "a long, b long")).collect()}
+        found = len(tracker.getJobIdsForGroup(group))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return got, found
+
+    chain = [(i, i + 1) for i in range(1, 20)] + [(100, i) for i in range(50, 60)] + [(7, 7)]
+    got, several = jobs(chain)
+    assert got == {(i, 1) for i in range(1, 21)} | {(i, 50) for i in range(50, 60)} | {(100, 50)}
+    got, few = jobs([(i, 1) for i in range(2, 9)] + [(1, 3)])
+    assert got == {(i, 1) for i in range(1, 9)} and few <= 8 < several
