@@ -2,6 +2,11 @@
 import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
+
+from renewcast.llm import countmin
+from renewcast.llm.shared import Copies
 from renewcast.llm.substring_dedup import op1_substring_dedup, substring_dedup
 from renewcast.llm.suffix_dedup import op2_suffix_dedup, suffix_dedup
 
@@ -96,3 +101,33 @@ def test_words_of_rows_that_share_an_id(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     got = sorted(map(tuple, substring_dedup(df).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()), key=str)
     assert got == by_words(rows) and (5, 200, 0) in [r[:3] for r in got] and (5, 3, 0) in [r[:3] for r in got]
+
+
+def test_a_full_sketch_lists_no_more(spark, monkeypatch):
+    """Far more anchors, each in one document, than the sketches have cells, as a large corpus has: only what two
+    documents have is listed, and it is removed."""
+    monkeypatch.setattr(countmin, "MAX_BLOCKS", 1)
+    listed, write = {}, Copies.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        listed[name] = out.count()
+        return out
+
+    monkeypatch.setattr(Copies, "write", counted)
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(d, " ".join(hashlib.sha256(f"{d} {i}".encode()).hexdigest() for i in range(300)) + (passage if d in (7, 50) else "")) for d in range(60)]
+    got = {r["doc_id"]: r["n_removed"] for r in suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == {d: len(passage) if d == 50 else 0 for d in range(60)}
+    assert sum(len(t) for _, t in rows) // 10 > 1 << 16 and 0 < listed["segments"] < 1000 and listed["shared"] < 100
+
+
+def test_only_repeated_keys_fill_the_bits(spark):
+    rng = np.random.default_rng(3)
+    keys = rng.integers(0, 1 << 63, 400_000, np.int64)
+    keys = np.append(keys, keys[:5000])
+    df = spark.createDataFrame(pa.table({"key": rng.permutation(keys)})).repartition(4)
+    for blocks in (1, 4):
+        bits = countmin.several(df, lambda b: iter([b.column(0).to_numpy().view(np.uint64)]), blocks)
+        found = countmin.among(bits, keys.view(np.uint64))
+        assert found[:5000].all() and found[5000:400_000].mean() < 0.01
