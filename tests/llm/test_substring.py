@@ -1,14 +1,16 @@
 """Word-window and byte-string dedup against brute force."""
 import hashlib
+import os
 import re
 
 import numpy as np
 import pyarrow as pa
 
 from renewcast.llm import countmin
+from renewcast.llm.induced import Folder
 from renewcast.llm.shared import Copies
 from renewcast.llm.substring_dedup import op1_substring_dedup, substring_dedup
-from renewcast.llm.suffix_dedup import op2_suffix_dedup, suffix_dedup
+from renewcast.llm.suffix_dedup import _later, op2_suffix_dedup, suffix_dedup
 
 
 def brute(rows, split, window, join):
@@ -131,3 +133,21 @@ def test_only_repeated_keys_fill_the_bits(spark):
         bits = countmin.several(df, lambda b: iter([b.column(0).to_numpy().view(np.uint64)]), blocks)
         found = countmin.among(bits, keys.view(np.uint64))
         assert found[:5000].all() and found[5000:400_000].mean() < 0.01
+
+
+def test_shards_in_memory_and_on_disk():
+    """Strings of a shard sorted as a sparse suffix array, and all its suffixes on disk."""
+    rng = np.random.default_rng(11)
+    pieces = [bytes(rng.integers(97, 99, int(n), dtype=np.uint8).tolist()) for n in rng.integers(8, 40, 300)]
+    size, doc = np.array([len(x) for x in pieces]), rng.integers(-3, 40, 300)
+    text = np.frombuffer(b"\1".join(pieces) + b"\1\0", np.uint8)
+    start = np.cumsum(size + 1) - size - 1
+    strings = [(x[j:j + 8], int(d)) for x, d in zip(pieces, doc) for j in range(len(x) - 7)]
+    least = {}
+    for x, d in strings:
+        least[x] = min(least.get(x, d), d)
+    want = [least[x] < d for x, d in strings]
+    for base, on_disk in ((1 << 18, False), (16, True)):
+        with Folder() as folder:
+            assert _later(text, start, size, doc, 8, folder, base, 100).tolist() == want and bool(os.listdir(folder.path)) == on_disk
+    assert 0 < sum(want) < len(want)
